@@ -1,0 +1,24 @@
+"""Registry of runnable queries: name -> (Spark query, SQL with the same result)."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its operator ID; ``sql`` is the oracle, absent where SQL cannot say it."""
+
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql
+        return fn
+
+    return register
