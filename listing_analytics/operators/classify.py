@@ -103,3 +103,16 @@ def classify(df: DataFrame, mapping: DataFrame, stop_words: Sequence[str] | None
         *df.columns,
         F.coalesce("broad_category", "predicted_broad_category").alias("broad_category"),
         F.col("broad_category").isNull().alias("is_predicted"))
+
+
+def tfidf_weights(df: DataFrame, key: str, text: str = "text", stop_words: Sequence[str] = ()) -> DataFrame:
+    """The weights of :func:`tfidf_pipeline` as (key, term, weight), for a vocabulary of any size."""
+    terms = df.select(key, F.explode(tx.tokens(F.col(text))).alias("term"))
+    if stop_words:
+        terms = terms.filter(~F.col("term").isin(*stop_words))
+    tf = terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    n = df.select(F.count(F.lit(1)).cast("double")).scalar()
+    idf = tf.groupBy("term").agg((F.log((n + 1) / (F.count(F.lit(1)) + 1)) + 1).alias("idf"))
+    raw = tf.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    length = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
+    return raw.join(length, key).select(key, "term", (F.col("raw") / F.col("length")).alias("weight"))

@@ -135,10 +135,11 @@ class _Shredder(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        if tag in VOID or not any(entry[1] == tag for entry in self.stack):
-            return
-        while self.stack[-1][1] != tag:
-            self._close_top()
+        if self.stack[-1][1] != tag:
+            if tag in VOID or not any(entry[1] == tag for entry in self.stack):
+                return
+            while self.stack[-1][1] != tag:
+                self._close_top()
         self._close_top()
 
     def handle_data(self, data):

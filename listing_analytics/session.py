@@ -19,6 +19,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages are large rows: bound what crosses to Python at once by bytes, not by rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 
@@ -29,6 +31,7 @@ def local_session(name: str = "listing_analytics", cores: str = "8", **extra: st
         .appName(name)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
