@@ -73,16 +73,18 @@ def tfidf_pipeline(training: DataFrame, text: str = "text", stop_words: Sequence
 
 def fit_category_model(labelled: DataFrame, stop_words: Sequence[str] | None = None,
                        text: str = "text", label: str = "broad_category") -> PipelineModel:
-    """TF-IDF and multinomial logistic regression with the same objective as C = 1."""
+    """TF-IDF and logistic regression with the same objective as C = 1.
+
+    Two categories give the binomial form, more the multinomial one.
+    """
     features = tfidf_pipeline(labelled, text, stop_words)
-    index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(labelled)
+    index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(labelled)
     training = index.transform(features.transform(labelled)).select("features", "label").persist()
     try:
         n = training.count()
         regression = LogisticRegression(
-            family="multinomial", regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
-            maxIter=1000, predictionCol="prediction").fit(training)
+            family="auto", regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
+            maxIter=1000, tol=1e-4).fit(training)
     finally:
         training.unpersist()
     decode = IndexToString(inputCol="prediction", outputCol="predicted_broad_category", labels=index.labels)
