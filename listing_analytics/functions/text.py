@@ -86,9 +86,14 @@ def title_case(col: Column) -> Column:
     ``initcap`` only looks at blanks and would give ``Ids/dls``.
     """
     runs = F.regexp_extract_all(F.lower(strip(col)), F.lit(_CASED_RUNS), 1)
-    return F.array_join(
-        F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, 2, 1 << 30))), ""
-    )
+    rest = lambda text: F.substring(text, 2, 1 << 30)
+
+    def capital(run: Column) -> Column:
+        # The upper case of one letter may be two letters, of which only the first is a capital.
+        first = F.upper(F.substring(run, 1, 1))
+        return F.concat(F.substring(first, 1, 1), F.lower(rest(first)), rest(run))
+
+    return F.array_join(F.transform(runs, capital), "")
 
 
 def listing_text(name: Column, description: Column) -> Column:
