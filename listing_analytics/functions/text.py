@@ -7,20 +7,23 @@ from pyspark.sql import functions as F
 
 from listing_analytics import fixed
 
-# Whitespace as Python's str.strip() understands it; Java's \s alone is ASCII only.
+# Whitespace as Python's str.strip() understands it, for patterns and for trim.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 # Two or more word characters; plain \w is ASCII only on the JVM.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 _CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, rf"\A{SPACE}+|{SPACE}+\z", "")
+    """Remove any whitespace at both ends; looks at the ends only, unlike a pattern."""
+    return F.trim(col, F.lit(SPACES))
 
 
 def normalise_text(col: Column) -> Column:
     """Collapse runs of blanks and line breaks, lower, delete tabs and backslashes, strip."""
-    spaced = F.trim(F.regexp_replace(col, r"[\n ]+", " "))
+    # Single blanks stay as they are, so the pattern only stops at what has to change.
+    spaced = F.trim(F.regexp_replace(col, r"\n[\n ]*| [\n ]+", " "))
     return strip(F.translate(F.lower(spaced), "\t\\", ""))
 
 

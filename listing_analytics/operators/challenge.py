@@ -54,15 +54,19 @@ def term_weights(corpus: DataFrame, smoothing: float = 1.0) -> DataFrame:
 
 def fit_challenge_model(corpus: DataFrame, max_terms: int = MAX_MODEL_TERMS) -> PipelineModel | None:
     """The model as a pipeline (D2, D3); None when the vocabulary is too large for one."""
-    n_terms = count_terms(corpus, "text")
-    if n_terms > max_terms:
-        return None
-    training = corpus.select("text", F.when(F.col("label") == CHALLENGE, 0.0).otherwise(1.0).alias("label"))
-    return Pipeline(stages=[
-        tokenizer("text", "tokens"),
-        CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=max(n_terms, 1), minDF=1),
-        NaiveBayes(modelType="complement", smoothing=1.0),
-    ]).fit(training)
+    training = corpus.select(
+        "text", F.when(F.col("label") == CHALLENGE, 0.0).otherwise(1.0).alias("label")).persist()
+    try:
+        n_terms = count_terms(training, "text")
+        if n_terms > max_terms:
+            return None
+        return Pipeline(stages=[
+            tokenizer("text", "tokens"),
+            CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=max(n_terms, 1), minDF=1),
+            NaiveBayes(modelType="complement", smoothing=1.0),
+        ]).fit(training)
+    finally:
+        training.unpersist()
 
 
 def score_challenge(df: DataFrame, model: PipelineModel) -> DataFrame:

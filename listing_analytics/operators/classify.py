@@ -57,6 +57,14 @@ def tfidf_pipeline(training: DataFrame, text: str = "text", stop_words: Sequence
     """
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
+    texts = training.select(text).persist()
+    try:
+        return _fit_tfidf(texts, text, stop_words, max_terms)
+    finally:
+        texts.unpersist()
+
+
+def _fit_tfidf(training: DataFrame, text: str, stop_words: Sequence[str], max_terms: int) -> PipelineModel:
     n_terms = count_terms(training, text, stop_words)
     split = tokenizer(text, "tokens")
     remove = StopWordsRemover(inputCol="tokens", outputCol="terms", stopWords=list(stop_words) or [""], caseSensitive=True)

@@ -48,24 +48,71 @@ def test_of(find: Find) -> nd.Test:
     return nd.every(*tests) if tests else nd.is_element
 
 
-def select(path: Sequence[Find], nodes: Column | None = None) -> Column:
-    """Node at the end of a path; null as soon as a step finds nothing.
+def step_from(node: Column | None, step: Find, nodes: Column) -> Column:
+    """Node one step further; null when it finds nothing."""
+    test = test_of(step)
+    if step.axis == "page":
+        return nd.first_of(nodes, test)
+    if step.axis == "inside":
+        return nd.first_inside(_nodes(), node, test)
+    if step.axis == "next":
+        return nd.next_element(_nodes(), node, test)
+    return nd.next_sibling(_nodes(), node)
+
+
+class Page:
+    """The nodes that the paths of a site end at, each found once and kept in a column."""
+
+    def __init__(self, site: Site) -> None:
+        users: dict[tuple[Find, ...], set[str]] = {}
+
+        def note(entity: str, path: Sequence[Find]) -> None:
+            for depth in range(1, len(path) + 1):
+                users.setdefault(tuple(path[:depth]), set()).add(entity)
+
+        for entity, fields in (("product", site.product), ("vendor", site.vendor), ("review", site.reviews.page_fields)):
+            for f in fields:
+                note(entity, f.path)
+        note("review", (site.reviews.container,))
+        if site.reviews.gate is not None:
+            note("review", (site.reviews.gate,))
+        if "about" in site.extra:
+            note("vendor", site.extra["about"])
+        self.site = site
+        self.users = users
+        self.names = {path: f"_p{i}" for i, path in enumerate(users)}
+
+    def select(self, path: Sequence[Find]) -> Column:
+        return F.col(self.names[tuple(path)])
+
+    def stage(self, routed: DataFrame) -> DataFrame:
+        """Add the found nodes, step by step; a path is only followed on pages that need it."""
+        by_label = lambda path: path[0].contains is not None
+        plain = [p for p in self.names if not by_label(p)]
+        labels = [p for p in self.names if by_label(p)]
+        df = self._steps(routed, plain, _nodes())
+        if not labels:
+            return df
+        if "about" not in self.site.extra:
+            return self._steps(df, labels, _nodes())
+        # The vendor's own text is taken out before labels are searched: only nodes that neither
+        # lie inside it nor contain it remain.
+        about = self.select(self.site.extra["about"])
+        rest = nd.let(F.struct(about.alias("a")), lambda s: F.filter(
+            _nodes(), lambda n: s["a"].isNull() | ((n["pre"] < s["a"]["pre"]) == (n["post"] < s["a"]["post"]))
+            & (n["pre"] != s["a"]["pre"])))
+        return self._steps(df.withColumn("_searched", rest), labels, F.col("_searched"))
 
-    ``nodes`` narrows where the first step searches.
-    """
-    every_node = _nodes()
-    node = None
-    for step in path:
-        test = test_of(step)
-        if step.axis == "page":
-            node = nd.first_of(every_node if nodes is None else nodes, test)
-        elif step.axis == "inside":
-            node = nd.first_inside(every_node, node, test)
-        elif step.axis == "next":
-            node = nd.next_element(every_node, node, test)
-        else:
-            node = nd.next_sibling(every_node, node)
-    return node
+    def _steps(self, df: DataFrame, paths: list[tuple[Find, ...]], nodes: Column) -> DataFrame:
+        for depth in range(1, max(map(len, paths), default=0) + 1):
+            added = {}
+            for path in paths:
+                if len(path) == depth:
+                    before = self.select(path[:-1]) if depth > 1 else None
+                    needed = F.arrays_overlap("entities", F.array(*[F.lit(e) for e in sorted(self.users[path])]))
+                    added[self.names[path]] = F.when(needed, step_from(before, path[-1], nodes))
+            df = df.withColumns(added)
+        return df
 
 
 def select_nodes(shredded: DataFrame, find: Find, first: bool = True,
@@ -120,25 +167,32 @@ TAKE: dict[str, Callable[[Field, Column], Column]] = {
 }
 
 
-def _value(site: Site, field: Field, nodes: Column | None = None) -> Column:
+def _value(page: Page, field: Field) -> Column:
     if field.take == "constant":
         return F.lit(field.default)
-    value = TAKE[field.take](field, select(field.path, nodes))
-    return F.concat(F.lit(site.link_base), value) if field.take == "link" else value
+    value = TAKE[field.take](field, page.select(field.path))
+    return F.concat(F.lit(page.site.link_base), value) if field.take == "link" else value
 
 
-def _fields(site: Site, fields: Sequence[Field],
-            nodes: Callable[[Field], Column | None] = lambda f: None) -> dict[str, Column]:
-    """Value of every field: alternatives in order, groups all or nothing, then the default."""
-    groups: dict[str, list[Column]] = {}
+def _group_structs(page: Page, fields: Sequence[Field]) -> dict[str, Column]:
+    """Fields that are blank unless all of their group are found, as one struct per group."""
+    groups: dict[str, dict[str, Column]] = {}
     for f in fields:
         if f.group:
-            groups.setdefault(f.group, []).append(_value(site, f))
+            groups.setdefault(f.group, {})[f.name] = _value(page, f)
+
+    def all_or_nothing(values: dict[str, Column]) -> Column:
+        complete = lambda s: F.when(reduce(lambda a, b: a & b, [s[n].isNotNull() for n in values]), s)
+        return nd.let(F.struct(*[v.alias(n) for n, v in values.items()]), complete)
+
+    return {f"_g_{name}": all_or_nothing(values) for name, values in groups.items()}
+
+
+def _fields(page: Page, fields: Sequence[Field]) -> dict[str, Column]:
+    """Value of every field: alternatives in order, groups all or nothing, then the default."""
     values: dict[str, Column] = {}
     for f in fields:
-        value = _value(site, f, nodes(f))
-        if f.group:
-            value = F.when(reduce(lambda a, b: a & b, [v.isNotNull() for v in groups[f.group]]), value)
+        value = F.col(f"_g_{f.group}")[f.name] if f.group else _value(page, f)
         if f.name in values:
             values[f.name] = F.coalesce(F.nullif(values[f.name], F.lit("")), value)
         else:
@@ -148,33 +202,34 @@ def _fields(site: Site, fields: Sequence[Field],
             for name, v in values.items()}
 
 
-def _problems(fields: Sequence[Field], entity: str) -> list[Column]:
+def _problems(page: Page, fields: Sequence[Field], entity: str) -> list[Column]:
     """One message per field that a valid page must have and this page has not."""
     found: list[Column] = []
     for f in fields:
         message = F.lit(f"{entity}.{f.name} is missing")
         if f.need == "always":
-            found.append(F.when(select(f.path).isNull(), message))
+            found.append(F.when(page.select(f.path).isNull(), message))
         elif f.need == "after":
-            found.append(F.when(select(f.path[:-1]).isNotNull() & select(f.path).isNull(), message))
+            found.append(F.when(page.select(f.path[:-1]).isNotNull() & page.select(f.path).isNull(), message))
         if f.take == "link":
-            node = select(f.path)
+            node = page.select(f.path)
             found.append(F.when(node.isNotNull() & nd.read_attr(node, f.arg).isNull(), message))
         if f.take == "before":
-            node = select(f.path)
+            node = page.select(f.path)
             parts = F.size(_parts(nd.text_of(_text(), node), f.arg))
             found.append(F.when(node.isNotNull() & (parts != 2), F.lit(f"{entity}.{f.name} cannot be split")))
     return found
 
 
-def _record(site: Site, entity: str, values: dict[str, Column]) -> Column:
+def _record(entity: str, values: dict[str, Column]) -> Column:
     names = schemas.RECORDS[entity].fieldNames()
     return F.struct(*[values[n].alias(n) for n in names])
 
 
-def product_struct(site: Site) -> Column:
+def product_struct(page: Page) -> Column:
     """Product record of a page."""
-    return _record(site, "product", {**_fields(site, site.product), "marketplace": F.lit(site.marketplace)})
+    site = page.site
+    return _record("product", {**_fields(page, site.product), "marketplace": F.lit(site.marketplace)})
 
 
 def _history(site: Site) -> Column:
@@ -195,25 +250,17 @@ def _history(site: Site) -> Column:
     return F.map_from_entries(last)
 
 
-def vendor_struct(site: Site) -> Column:
+def vendor_struct(page: Page) -> Column:
     """Vendor record of a page."""
-    searched = None
-    if "about" in site.extra:
-        # The vendor's own text is taken out before labels are searched: only nodes that neither
-        # lie inside it nor contain it remain.
-        about = select(site.extra["about"])
-        searched = nd.let(F.struct(about.alias("a")), lambda s: F.filter(
-            _nodes(), lambda n: s["a"].isNull() | ((n["pre"] < s["a"]["pre"]) == (n["post"] < s["a"]["post"]))
-            & (n["pre"] != s["a"]["pre"])))
-    uses_labels = lambda f: searched if f.path and f.path[0].contains else None
-    values = _fields(site, site.vendor, uses_labels)
+    site = page.site
+    values = _fields(page, site.vendor)
     if "no_history_count" in site.extra:
         label = [f for f in site.vendor if f.name == "historic_sale_count"][0].path[:1]
         values["historic_sale_count"] = F.when(
-            select(label, searched).isNull(), F.lit(site.extra["no_history_count"])
+            page.select(label).isNull(), F.lit(site.extra["no_history_count"])
         ).when(values["sale_count"].isNotNull(), values["historic_sale_count"])
     values |= {"marketplace": F.lit(site.marketplace), "marketplace_history": _history(site)}
-    return _record(site, "vendor", values)
+    return _record("vendor", values)
 
 
 def _table_row_review(site: Site, page: Column, row: Column) -> Column:
@@ -250,24 +297,23 @@ def _card_review(site: Site, page: Column, card: Column) -> Column:
             (F.size(x["s"]) > 0).alias("complete"))))
 
 
-def review_structs(site: Site) -> Column:
+def review_structs(page: Page) -> Column:
     """All reviews of a page in order (B23, B24), with the vendor of the page."""
-    rules = site.reviews
+    site, rules = page.site, page.site.reviews
     owner = F.col(site.owner[0])[site.owner[1]]
-    page = {"vendor": owner, "product": F.lit(None).cast("string"), "product_link": F.lit(None).cast("string")}
-    page |= _fields(site, rules.page_fields)
+    shared = {"vendor": owner, "product": F.lit(None).cast("string"), "product_link": F.lit(None).cast("string")}
+    shared |= _fields(page, rules.page_fields)
     for f in rules.page_fields:
         if f.name == "vendor":
             # Without the marker in front of the name, the vendor of the page is taken.
-            page["vendor"] = F.when(select(f.path[:1]).isNull(), owner).otherwise(page["vendor"])
+            shared["vendor"] = F.when(page.select(f.path[:1]).isNull(), owner).otherwise(shared["vendor"])
     build = {"table_row": _table_row_review, "card": _card_review}[rules.layout]
-    shared = F.struct(*[v.alias(k) for k, v in page.items()])
-    items = nd.inside(_nodes(), select((rules.container,)), test_of(rules.item))
-    found = nd.let(shared, lambda p: F.filter(
+    items = nd.inside(_nodes(), page.select((rules.container,)), test_of(rules.item))
+    found = nd.let(F.struct(*[v.alias(k) for k, v in shared.items()]), lambda p: F.filter(
         F.transform(items, lambda item: build(site, p, item)), lambda r: r.isNotNull()))
     if rules.gate is None:
         return found
-    gate = nd.text_of(_text(), select((rules.gate,)))
+    gate = nd.text_of(_text(), page.select((rules.gate,)))
     return F.when(F.coalesce(tx.digit_sum(gate), F.lit(0)) > 0, found)
 
 
@@ -302,14 +348,16 @@ def extract_pages(pages: DataFrame, site: Site) -> DataFrame:
     the extraction; the tables of :func:`split_records` are projections of it.
     """
     keep = [c for c in pages.columns if c != "html"]
-    shredded = shred(pages)
+    page = Page(site)
     has = lambda entity: F.array_contains("entities", entity)
-    routed = route_pages(shredded, site).withColumn("entities", F.when(
+    routed = route_pages(shred(pages), site).withColumn("entities", F.when(
         F.col("problem").isNull() & valid_page(site), F.col("entities")))
-    built = routed.withColumns({
-        "product": F.when(has("product"), product_struct(site)),
-        "vendor": F.when(has("vendor"), vendor_struct(site)),
-    }).withColumn("reviews", F.when(has("review"), review_structs(site)))
+    groups = {name: F.when(has("product"), struct) for name, struct in _group_structs(page, site.product).items()}
+    staged = page.stage(routed)
+    built = (staged.withColumns(groups) if groups else staged).withColumns({
+        "product": F.when(has("product"), product_struct(page)),
+        "vendor": F.when(has("vendor"), vendor_struct(page)),
+    }).withColumn("reviews", F.when(has("review"), review_structs(page)))
 
     def checked(entity: str, checks: list[Column]) -> Column:
         return F.when(has(entity), F.coalesce(*checks)) if checks else F.lit(None).cast("string")
@@ -318,9 +366,9 @@ def extract_pages(pages: DataFrame, site: Site) -> DataFrame:
     problem = F.coalesce(
         F.col("problem"),
         F.when(~valid_page(site), "page is not valid for extraction"),
-        checked("product", _problems(site.product, "product")),
-        checked("vendor", _problems(site.vendor, "vendor")),
-        checked("review", [*_problems(site.reviews.page_fields, "review"), incomplete]),
+        checked("product", _problems(page, site.product, "product")),
+        checked("vendor", _problems(page, site.vendor, "vendor")),
+        checked("review", [*_problems(page, site.reviews.page_fields, "review"), incomplete]),
     )
     return built.select(*keep, "entities", problem.alias("problem"), "product", "vendor", "reviews")
 

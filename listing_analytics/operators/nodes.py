@@ -43,9 +43,10 @@ def attribute(name: str, value: str) -> Test:
 
 def has_class(value: str) -> Test:
     """One class of the attribute, or the whole attribute when several are asked for."""
+    padded = f" {value} "
     if " " in value:
-        return lambda n: F.array_join(F.split(F.trim(n["attrs"]["class"]), r"\s+"), " ") == value
-    return lambda n: F.array_contains(F.split(n["attrs"]["class"], r"\s+"), value)
+        return lambda n: n["cls"] == padded
+    return lambda n: n["cls"].contains(padded)
 
 
 def has_id(value: str) -> Test:
@@ -83,21 +84,26 @@ def first_of(nodes: Column, test: Test) -> Column:
     return F.get(F.filter(nodes, test), F.lit(0))
 
 
+def descendants(a: Column) -> Column:
+    """Number of nodes below an element; they follow it directly in the array."""
+    return a["post"] - a["pre"] + a["level"]
+
+
 def next_element(nodes: Column, anchor: Column, test: Test = is_element) -> Column:
     """First element that opens after the anchor opened."""
-    return let(anchor, lambda a: first_of(nodes, lambda n: (n["pre"] > a["pre"]) & test(n)))
+    return let(anchor, lambda a: first_of(F.slice(nodes, a["pre"] + 2, F.size(nodes)), test))
 
 
 def next_sibling(nodes: Column, anchor: Column) -> Column:
     """Next element with the same parent."""
     return let(anchor, lambda a: first_of(
-        nodes, lambda n: (n["pre"] > a["pre"]) & (n["parent"] == a["parent"]) & is_element(n)))
+        F.slice(nodes, a["pre"] + 2 + descendants(a), F.size(nodes)),
+        lambda n: (n["parent"] == a["parent"]) & is_element(n)))
 
 
 def inside(nodes: Column, anchor: Column, test: Test) -> Column:
-    """All matches inside an element, in document order."""
-    return let(anchor, lambda a: F.filter(
-        nodes, lambda n: (n["pre"] > a["pre"]) & (n["post"] < a["post"]) & test(n)))
+    """All matches inside an element, in document order (B14); only its own nodes are looked at."""
+    return let(anchor, lambda a: F.filter(F.slice(nodes, a["pre"] + 2, descendants(a)), test))
 
 
 def first_inside(nodes: Column, anchor: Column, test: Test) -> Column:

@@ -23,27 +23,30 @@ HIDDEN = frozenset(("script", "style", "template"))
 
 _SLICE_PAGES = 128
 
-_INTS = ("pre", "post", "parent", "level", "sib_ord", "start", "end")
-
-
 class _Shredder(HTMLParser):
-    """Collects node columns. An end tag closes up to its nearest open match, an unmatched one is
-    ignored, what is still open closes at the end of the page."""
+    """Collects nodes. An end tag closes up to its nearest open match, an unmatched one is ignored,
+    what is still open closes at the end of the page."""
+
+    PRE, POST, PARENT, LEVEL, SIB_ORD, TAG, CLS, STRING, START, END = range(10)
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.cols: dict[str, list] = {name: [] for name in (*_INTS, "tag", "string")}
+        self.rows: list[list] = []
         self.attr_ends: list[int] = [0]
         self.keys: list[str] = []
-        self.values: list[str | None] = []
+        self.values: list[str] = []
+
+    def updatepos(self, i, j):
+        """Line numbers are not needed."""
+        return j
 
     def page(self, html: str) -> str:
         self.reset()
-        self.first = len(self.cols["pre"])
+        self.first = len(self.rows)
         self.posts = self.chars = self.hidden = 0
         self.pieces: list[str] = []
         self.buffer: list[str] = []
-        # An open element: position, tag, children, elements among them, string of the last child.
+        # An open element: its row, children, elements among them, string of the last child.
         self.stack: list[list] = []
         self._open("#document", ())
         self.feed(html)
@@ -55,51 +58,42 @@ class _Shredder(HTMLParser):
 
     def undo(self) -> None:
         """Forget the nodes of a page that could not be read."""
-        for col in self.cols.values():
-            del col[self.first:]
+        del self.rows[self.first:]
         del self.attr_ends[self.first + 1:]
         del self.keys[self.attr_ends[-1]:], self.values[self.attr_ends[-1]:]
 
-    def _node(self, tag: str, sib_ord: int | None, string: str | None, end: int) -> int:
-        c = self.cols
-        at = len(c["pre"])
-        c["pre"].append(at - self.first)
-        c["post"].append(-1)
-        c["parent"].append(self.stack[-1][0] - self.first if self.stack else -1)
-        c["level"].append(len(self.stack))
-        c["sib_ord"].append(sib_ord)
-        c["tag"].append(tag)
-        c["string"].append(string)
-        c["start"].append(self.chars)
-        c["end"].append(end)
-        self.attr_ends.append(len(self.keys))
-        return at
-
     def _open(self, tag: str, attrs: Sequence[tuple[str, str | None]]) -> None:
-        sib_ord = 0
+        at, sib_ord, cls = -1, 0, None
         if self.stack:
             parent = self.stack[-1]
+            at = parent[0][0]
+            sib_ord = parent[2]
+            parent[1] += 1
             parent[2] += 1
-            sib_ord = parent[3]
-            parent[3] += 1
-        for key, value in dict(attrs).items():
-            self.keys.append(key)
-            self.values.append("" if value is None else value)
-        at = self._node(tag, sib_ord, None, self.chars)
-        self.stack.append([at, tag, 0, 0, None])
-        self.hidden += tag in HIDDEN
+        if attrs:
+            for key, value in dict(attrs).items():
+                self.keys.append(key)
+                self.values.append("" if value is None else value)
+                if key == "class" and value:
+                    cls = " " + " ".join(value.split()) + " "
+        row = [len(self.rows) - self.first, -1, at, len(self.stack), sib_ord, tag, cls, None, self.chars, self.chars]
+        self.rows.append(row)
+        self.attr_ends.append(len(self.keys))
+        self.stack.append([row, 0, 0, None])
+        if tag in HIDDEN:
+            self.hidden += 1
 
     def _close_top(self) -> None:
-        at, tag, children, _, string = self.stack.pop()
-        self.hidden -= tag in HIDDEN
+        row, children, _, string = self.stack.pop()
+        if row[self.TAG] in HIDDEN:
+            self.hidden -= 1
         only = string if children == 1 else None
-        c = self.cols
-        c["string"][at] = only
-        c["end"][at] = self.chars
-        c["post"][at] = self.posts
+        row[self.STRING] = only
+        row[self.END] = self.chars
+        row[self.POST] = self.posts
         self.posts += 1
         if self.stack:
-            self.stack[-1][4] = only
+            self.stack[-1][3] = only
 
     def _flush(self) -> None:
         if not self.buffer:
@@ -109,18 +103,20 @@ class _Shredder(HTMLParser):
         if not data:
             return
         top = self.stack[-1]
-        top[2] += 1
+        top[1] += 1
         if self.hidden:
-            top[4] = None
+            top[3] = None
             return
-        if not data.strip(" \n\t\f\r"):
+        if data.isspace() and not data.strip(" \n\t\f\r"):
             data = "\n" if "\n" in data else " "
-        top[4] = data
-        at = self._node("#text", None, data, self.chars + len(data))
-        self.cols["post"][at] = self.posts
+        top[3] = data
+        end = self.chars + len(data)
+        self.rows.append([len(self.rows) - self.first, self.posts, top[0][0], len(self.stack), None, "#text", None,
+                          data, self.chars, end])
+        self.attr_ends.append(len(self.keys))
         self.posts += 1
         self.pieces.append(data)
-        self.chars += len(data)
+        self.chars = end
 
     def handle_starttag(self, tag, attrs):
         self._flush()
@@ -135,10 +131,10 @@ class _Shredder(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        if self.stack[-1][1] != tag:
-            if tag in VOID or not any(entry[1] == tag for entry in self.stack):
+        if self.stack[-1][0][self.TAG] != tag:
+            if tag in VOID or not any(entry[0][self.TAG] == tag for entry in self.stack):
                 return
-            while self.stack[-1][1] != tag:
+            while self.stack[-1][0][self.TAG] != tag:
                 self._close_top()
         self._close_top()
 
@@ -147,15 +143,17 @@ class _Shredder(HTMLParser):
 
     def handle_comment(self, data):
         self._flush()
-        self.stack[-1][2] += 1
-        self.stack[-1][4] = data
+        self.stack[-1][1] += 1
+        self.stack[-1][3] = data
 
     def node_arrays(self) -> pa.StructArray:
-        fields = {name: pa.array(self.cols[name], pa.int32()) for name in _INTS}
-        fields["tag"] = pa.array(self.cols["tag"], pa.string())
-        fields["string"] = pa.array(self.cols["string"], pa.string())
-        fields["attrs"] = pa.MapArray.from_arrays(
-            pa.array(self.attr_ends, pa.int32()), pa.array(self.keys, pa.string()), pa.array(self.values, pa.string()))
+        columns = list(zip(*self.rows)) or [()] * 10
+        fields = {"attrs": pa.MapArray.from_arrays(
+            pa.array(self.attr_ends, pa.int32()), pa.array(self.keys, pa.string()), pa.array(self.values, pa.string()))}
+        names = ("pre", "post", "parent", "level", "sib_ord", "tag", "cls", "string", "start", "end")
+        for name, values in zip(names, columns):
+            kind = pa.string() if name in ("tag", "cls", "string") else pa.int32()
+            fields[name] = pa.array(values, kind)
         return pa.StructArray.from_arrays([fields[f.name] for f in schemas.NODE.fields], schemas.NODE.fieldNames())
 
 
@@ -174,7 +172,7 @@ def _shred_slice(pages: list[str | None]) -> tuple[list, pa.ListArray, list]:
                 problem = f"page cannot be parsed: {error}"
         texts.append(text)
         problems.append(problem)
-        ends.append(len(shredder.cols["pre"]))
+        ends.append(len(shredder.rows))
     nodes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), shredder.node_arrays())
     return texts, nodes, problems
 

@@ -39,7 +39,8 @@ FX_RATES = T.StructType([
     T.StructField("per_eur", T.DoubleType()),
 ])
 
-# One row per page after shredding. ``start``/``end`` are character offsets into ``text``, so the
+# One node of a page, in document order: ``pre`` is its position in the node array, and it has
+# ``post - pre + level`` descendants, which follow it directly. ``start``/``end`` are character offsets into ``text``, so the
 # text of any element is one substring and is never stored twice.
 NODE = T.StructType([
     T.StructField("pre", T.IntegerType()),
@@ -48,6 +49,8 @@ NODE = T.StructType([
     T.StructField("level", T.IntegerType()),
     T.StructField("sib_ord", T.IntegerType()),
     T.StructField("tag", T.StringType()),
+    # Class names with one blank before, between and after them.
+    T.StructField("cls", T.StringType()),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("string", T.StringType()),
     T.StructField("start", T.IntegerType()),

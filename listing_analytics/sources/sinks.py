@@ -43,7 +43,8 @@ def upsert_latest(df: DataFrame, keys: Sequence[str], order: str, path: str, buc
     if stored is not None:
         touched = fresh.select("split").distinct()
         fresh = fresh.unionByName(stored.join(touched, "split", "left_semi").select(*fresh.columns))
-    (latest(fresh, keys, order).repartition("split").write.mode("overwrite")
+    # Rebalancing keeps a split together where it is small and cuts it where it is large.
+    (latest(fresh, keys, order).hint("rebalance", "split").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("split").parquet(path))
 
 
