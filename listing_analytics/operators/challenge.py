@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame
@@ -54,17 +54,17 @@ def term_weights(corpus: DataFrame, smoothing: float = 1.0) -> DataFrame:
 
 def fit_challenge_model(corpus: DataFrame, max_terms: int = MAX_MODEL_TERMS) -> PipelineModel | None:
     """The model as a pipeline (D2, D3); None when the vocabulary is too large for one."""
-    training = corpus.select(
-        "text", F.when(F.col("label") == CHALLENGE, 0.0).otherwise(1.0).alias("label")).persist()
+    split = tokenizer("text", "tokens")
+    label = F.when(F.col("label") == CHALLENGE, 0.0).otherwise(1.0).alias("label")
+    # Tokenised once; counting, the vocabulary and the classifier all read the tokens.
+    training = split.transform(corpus.select("text", label)).select("tokens", "label").persist()
     try:
-        n_terms = count_terms(training, "text")
+        n_terms = count_terms(training, "tokens")
         if n_terms > max_terms:
             return None
-        return Pipeline(stages=[
-            tokenizer("text", "tokens"),
-            CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=max(n_terms, 1), minDF=1),
-            NaiveBayes(modelType="complement", smoothing=1.0),
-        ]).fit(training)
+        counts = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=max(n_terms, 1), minDF=1).fit(training)
+        bayes = NaiveBayes(modelType="complement", smoothing=1.0).fit(counts.transform(training))
+        return PipelineModel(stages=[split, counts, bayes])
     finally:
         training.unpersist()
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF, CountVectorizer, ElementwiseProduct, HashingTF, IndexToString, Normalizer, RegexTokenizer,
@@ -41,12 +41,9 @@ def tokenizer(text: str, out: str) -> RegexTokenizer:
     return RegexTokenizer(inputCol=text, outputCol=out, pattern=tx.TOKEN, gaps=False, toLowercase=True)
 
 
-def count_terms(df: DataFrame, text: str, stop_words: Sequence[str] = ()) -> int:
+def count_terms(tokenised: DataFrame, tokens: str) -> int:
     """Size of the vocabulary, counted before a model is fitted."""
-    terms = df.select(F.explode(F.array_distinct(tx.tokens(F.col(text)))).alias("term"))
-    if stop_words:
-        terms = terms.filter(~F.col("term").isin(*stop_words))
-    return terms.distinct().count()
+    return tokenised.select(F.explode(F.array_distinct(tokens)).alias("term")).distinct().count()
 
 
 def tfidf_pipeline(training: DataFrame, text: str = "text", stop_words: Sequence[str] | None = None,
@@ -57,26 +54,22 @@ def tfidf_pipeline(training: DataFrame, text: str = "text", stop_words: Sequence
     """
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
-    texts = training.select(text).persist()
-    try:
-        return _fit_tfidf(texts, text, stop_words, max_terms)
-    finally:
-        texts.unpersist()
-
-
-def _fit_tfidf(training: DataFrame, text: str, stop_words: Sequence[str], max_terms: int) -> PipelineModel:
-    n_terms = count_terms(training, text, stop_words)
     split = tokenizer(text, "tokens")
     remove = StopWordsRemover(inputCol="tokens", outputCol="terms", stopWords=list(stop_words) or [""], caseSensitive=True)
-    if n_terms <= max_terms:
-        vectorise = CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=max(n_terms, 1), minDF=1)
-    else:
-        vectorise = HashingTF(inputCol="terms", outputCol="tf", numFeatures=max_terms)
-    counted = Pipeline(stages=[split, remove, vectorise]).fit(training)
-    idf = IDF(inputCol="tf", outputCol="idf").fit(counted.transform(training)).idf
+    # Tokenised once; the vocabulary and the document frequencies read the stored terms.
+    terms = remove.transform(split.transform(training)).select("terms").persist()
+    try:
+        n_terms = count_terms(terms, "terms")
+        if n_terms <= max_terms:
+            vectorise = CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=max(n_terms, 1), minDF=1).fit(terms)
+        else:
+            vectorise = HashingTF(inputCol="terms", outputCol="tf", numFeatures=max_terms)
+        idf = IDF(inputCol="tf", outputCol="idf").fit(vectorise.transform(terms)).idf
+    finally:
+        terms.unpersist()
     weigh = ElementwiseProduct(inputCol="tf", outputCol="weighted", scalingVec=Vectors.dense(idf.toArray() + 1.0))
     unit = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
-    return PipelineModel(stages=[*counted.stages, weigh, unit])
+    return PipelineModel(stages=[split, remove, vectorise, weigh, unit])
 
 
 def fit_category_model(labelled: DataFrame, stop_words: Sequence[str] | None = None,
