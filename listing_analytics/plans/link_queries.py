@@ -19,11 +19,12 @@ _LINKS_SQL = """l as (select page_id, url, unnest(regexp_extract_all(html, '<a h
 _EDGES_SQL = f"""{_LINKS_SQL}, e as (select distinct md5(url) as src_hash, url as src_url, md5(target) as dst_hash,
   target as dst_url from t)"""
 
-# The graph of vendors and the products they list, in both directions.
+# The graph of vendors and the products they list, in both directions. Nothing is 12 hops away; the
+# bound only ends the recursion, which would go round in circles.
 _GRAPH_SQL = f"""{LISTING_SQL}, g as (select distinct md5('v:' || vendor) as src, md5('p:' || name) as dst from listing
     union select distinct md5('p:' || name), md5('v:' || vendor) from listing),
   w as (select src, level from (select md5('v:' || min(vendor)) as src, 0 as level from listing) s
-    union select g.dst, level + 1 from w join g on g.src = w.src where level < 3),
+    union select g.dst, level + 1 from w join g on g.src = w.src where level < 12),
   h as (select src as url_hash, min(level) as level from w group by 1)"""
 
 
@@ -84,13 +85,13 @@ def c6(spark, sf):
     return lk.frontier(_vendor_graph(spark, sf), visited, queued, "seen")
 
 
-def _levels(spark: SparkSession, sf: str, hops: int = 3) -> DataFrame:
+def _levels(spark: SparkSession, sf: str) -> DataFrame:
     # The edges are stored once; every hop reads the stored table.
     path = scratch_path(spark, "edges")
     graph = _vendor_graph(spark, sf)
     graph.select("src_hash", "dst_hash").distinct().write.parquet(path)
     seed = roles.listing(spark, sf).agg(url_key(F.concat(F.lit("v:"), F.min("vendor"))).alias("url_hash"))
-    return lk.hop_levels(spark.read.parquet(path), seed, hops)
+    return lk.hop_levels(spark.read.parquet(path), seed)
 
 
 @query("C7_hop_levels", f"with recursive {_GRAPH_SQL} select * from h")
@@ -114,16 +115,10 @@ def c9(spark, sf):
 
 
 @query("C10_requeue", """
-  select o_orderkey as queue_ord, cast(case o_orderstatus when 'F' then 1 else 0 end as int) as queue_round,
-         cast(row_number() over (order by case o_orderstatus when 'F' then 1 else 0 end, o_orderkey) as int) as place
-  from orders qualify place <= 500""")
+  select o_orderkey as queue_ord, cast(case o_orderstatus when 'F' then 1 else 0 end as int) as queue_round from orders""")
 def c10(spark, sf):
     queue = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("queue_ord"), F.lit(0).alias("queue_round"), "o_orderstatus")
     waiting = queue.filter("o_orderstatus <> 'F'").drop("o_orderstatus")
     failed = queue.filter("o_orderstatus = 'F'").drop("o_orderstatus")
-    # The next fetches in queue order; the limit is the size of one session.
-    session = lk.requeue(waiting, failed).orderBy("queue_round", "queue_ord").limit(500)
-    ordered = session.agg(F.sort_array(F.collect_list(F.struct("queue_round", "queue_ord"))).alias("q"))
-    return ordered.select(F.posexplode("q").alias("i", "e")).select(
-        F.col("e.queue_ord").alias("queue_ord"), F.col("e.queue_round").alias("queue_round"), (F.col("i") + 1).alias("place"))
+    return lk.requeue(waiting, failed)
