@@ -102,18 +102,22 @@ def min_max(df: DataFrame, col: str, out: str) -> DataFrame:
                                            high.cast("double") - low.cast("double")))
 
 
-def clean_products(sites: Sequence[DataFrame], rates: DataFrame) -> DataFrame:
-    """Raw product tables (with ``source_file``, ``row_ord``) to one priced table."""
-    firsts = [dedup_keep_first(normalise_nulls(s), ["name"], ["source_file", "row_ord"]) for s in sites]
+# Order of rows of record files; extracted tables have ``page_id`` instead.
+FILE_ORDER = ("source_file", "row_ord")
+
+
+def clean_products(sites: Sequence[DataFrame], rates: DataFrame, order: Sequence[str] = FILE_ORDER) -> DataFrame:
+    """Raw product tables of the sites to one priced table."""
+    firsts = [dedup_keep_first(normalise_nulls(s), ["name"], order) for s in sites]
     merged = union_sites(*firsts).select(
         "name", "category", "price", "currency", "description", "vendor", "marketplace")
     return to_usd(merged, "price", "currency", rates).select(
         "name", "category", "price_usd", "description", "vendor", "marketplace")
 
 
-def clean_vendors(sites: Sequence[DataFrame]) -> DataFrame:
-    """Raw vendor tables to one table with a scaled review count."""
-    firsts = [dedup_keep_first(normalise_nulls(s), ["name"], ["source_file", "row_ord"]) for s in sites]
+def clean_vendors(sites: Sequence[DataFrame], order: Sequence[str] = FILE_ORDER) -> DataFrame:
+    """Raw vendor tables of the sites to one table with a scaled review count."""
+    firsts = [dedup_keep_first(normalise_nulls(s), ["name"], order) for s in sites]
     merged = fill(union_sites(*firsts), {"review_count": "0"}).select(
         "name",
         tx.blank_placeholder(F.col("about_text")).alias("about_text"),

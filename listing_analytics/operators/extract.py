@@ -378,14 +378,16 @@ def split_records(extracted: DataFrame, key: Sequence[str] = ("page_id",)) -> di
     """The output tables of an extraction (B27): records, processed pages and rejects (A10)."""
     good = extracted.filter("problem is null")
     key = list(key)
+    # The logs also name the file, where the pages came from files.
+    log = [*key, *(["path"] if "path" in extracted.columns and "path" not in key else [])]
     review = good.select(*key, F.posexplode("reviews").alias("review_no", "r")).select(
         *key, "review_no", *[F.col(f"r.{n}").alias(n) for n in schemas.REVIEW.fieldNames()])
     return {
         "product": good.filter("product is not null").select(*key, "product.*"),
         "vendor": good.filter("vendor is not null").select(*key, "vendor.*"),
         "review": review,
-        "processed": good.select(*key, "entities"),
-        "rejects": extracted.filter("problem is not null").select(*key, F.col("problem").alias("reason")),
+        "processed": good.select(*log, "entities"),
+        "rejects": extracted.filter("problem is not null").select(*log, F.col("problem").alias("reason")),
     }
 
 
