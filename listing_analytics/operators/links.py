@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from listing_analytics.functions.urls import authority, resolve_links, url_key
 from listing_analytics.operators.clean import dedup_keep_first
-from listing_analytics.session import cut_lineage
+from listing_analytics.session import cut_lineage, ship_package
 
 
 def resolved_links(shredded: DataFrame, url: str = "url") -> DataFrame:
@@ -17,6 +17,7 @@ def resolved_links(shredded: DataFrame, url: str = "url") -> DataFrame:
 
     Narrow: one Python call per page, no row per link.
     """
+    ship_package(shredded.sparkSession)
     anchors = F.filter("nodes", lambda n: n["tag"] == "a")
     hrefs = F.transform(anchors, lambda n: n["attrs"]["href"])
     return shredded.withColumn("links", resolve_links(F.col(url), hrefs))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listing_analytics import schemas
+from listing_analytics.session import ship_package
 
 # Elements without content, and elements whose text is not shown.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -182,6 +183,7 @@ def shred(pages: DataFrame, html: str = "html", keep: Sequence[str] | None = Non
 
     ``text`` is the text of the whole page, scripts, styles and comments left out (B2).
     """
+    ship_package(pages.sparkSession)
     keep = [c for c in pages.columns if c != html] if keep is None else list(keep)
     schema = T.StructType(
         [pages.schema[c] for c in keep]
