@@ -35,61 +35,109 @@ INNER_PENALTY = 64
 INNER_STEP = 256  # places for cuts in a sentence longer than this
 STRETCH = 1 << 20  # tokens in memory before windows are given out
 TEXT_AT_ONCE = 1 << 19  # bytes
-REMEMBERED = 800_000  # words whose ids are kept
+REMEMBERED = 600_000  # words whose ids are kept
+_REMEMBER_EVERY = 8
 _BETWEEN, _TOGETHER = "\x01", 200
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable characters that stand for bytes in a byte-level vocabulary; blanks stay, as they part words."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(others)} | {b: chr(b) for b in [*plain, 32]}
+
+
 class WordTokenizer:
-    """Ids of whole texts from a tokenizer that never joins tokens across blanks.
+    """Ids of whole texts from a lower-casing byte-level BPE tokenizer that never joins tokens across blanks.
 
-    A text is cut at blanks and line ends, and the ids of each word are remembered; unknown words of many texts go to
-    the tokenizer together.
+    A text is cut at blanks and line ends. The ids of frequent words are remembered; the other words of many texts go to
+    the tokenizer together. Words of Latin letters, with or without a final stop or comma, need none of its normalisation
+    and patterns and go to the same BPE model directly.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.whole, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.letters.normalizer, self.letters.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        self.byte_letters = _byte_letters()
+        vocabulary = self.whole.get_vocab(with_added_tokens=True)
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
-        self.sentence_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.sentence_end, self.word_end = np.zeros((2, max(vocabulary.values()) + 1), bool)
         self.sentence_end[[i for word, i in vocabulary.items() if re.search(r"[.!?](</w>)?$", word)]] = True
-        self.between, = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        self.word_end[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.stops = {stop: self._one(stop) for stop in ("", ".", ",")}
+        self.between, = self.whole.encode(_BETWEEN, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {"": b""}
         self.former: dict[str, bytes] = {}
+        self.calls = 0
 
-    def _ask(self, some: list[str]) -> None:
-        """Encode many words in few calls, with a mark between them that is one token and that no word holds."""
-        clear = [word for word in some if _BETWEEN not in word]
-        for word in some:
-            if _BETWEEN in word:
-                found = self.tokenizer.encode(word, add_special_tokens=False).ids
-                self.known[word] = np.array(found, dtype=self.kind).tobytes()
-        groups = [clear[i:i + _TOGETHER] for i in range(0, len(clear), _TOGETHER)]
-        between, width = f" {_BETWEEN} ", self.kind.itemsize
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast([between.join(g) for g in groups], add_special_tokens=False)):
+    def _one(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+
+    def _calls(self, tokenizer, groups: list[str], parts) -> Iterator[bytes]:
+        """Ids of the words of joined groups; ``parts`` gives the starts and ends of the words in a group's ids."""
+        width = self.kind.itemsize
+        for found in tokenizer.encode_batch_fast(groups, add_special_tokens=False):
             ids = np.array(found.ids, dtype=self.kind)
-            marks = np.flatnonzero(ids == self.between) * width
+            starts, ends = parts(ids)
             ids = ids.tobytes()
-            self.known.update(zip(group, [ids[s:e] for s, e in zip([0, *(marks + width).tolist()], [*marks.tolist(), len(ids)])]))
-
-    def _learn(self, words: set[str]) -> None:
-        """Make ``known`` hold all ``words``; those that come again are carried over when the memory is renewed."""
+            yield from [ids[s * width:e * width] for s, e in zip(starts, ends)]
+
+    def _of_letters(self, words: list[str]) -> Iterator[bytes]:
+        """Lower-cased words of letters, as byte letters: the last token of each has the word-end mark."""
+        def parts(ids: np.ndarray) -> tuple[list[int], list[int]]:
+            ends = (np.flatnonzero(self.word_end[ids]) + 1).tolist()
+            return [0, *ends[:-1]], ends
+
+        groups = [" ".join(words[i:i + _TOGETHER]) for i in range(0, len(words), _TOGETHER)]
+        groups = [g if g.isascii() else g.encode().decode("latin-1").translate(self.byte_letters) for g in groups]
+        return self._calls(self.letters, groups, parts)
+
+    def _of_others(self, words: list[str]) -> Iterator[bytes]:
+        """Any words: between them stands a mark that is one token; a word that holds it is asked for by itself."""
+        def parts(ids: np.ndarray) -> tuple[list[int], list[int]]:
+            marks = np.flatnonzero(ids == self.between)
+            return [0, *(marks + 1).tolist()], [*marks.tolist(), len(ids)]
+
+        clear = [word for word in words if _BETWEEN not in word]
+        groups = [f" {_BETWEEN} ".join(clear[i:i + _TOGETHER]) for i in range(0, len(clear), _TOGETHER)]
+        found = self._calls(self.whole, groups, parts)
+        return iter([self._one(word) if _BETWEEN in word else next(found) for word in words])
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        stops = [word[-1] if word[-1] in ".," else "" for word in words]
+        cores = [(word[:-1] if stop else word).lower() for word, stop in zip(words, stops)]
+        easy = [core.isalpha() and (core.isascii() or max(core) < "\u0250") for core in cores]
+        latin = self._of_letters([core for core, is_easy in zip(cores, easy) if is_easy])
+        others = self._of_others([word for word, is_easy in zip(words, easy) if not is_easy])
+        return [next(latin) + self.stops[stop] if is_easy else next(others) for is_easy, stop in zip(easy, stops)]
+
+    def _remember(self, words: list[str], ids: list[bytes]) -> None:
+        """Frequent words soon turn up in one of the batches that are remembered; rare ones leave with their generation."""
         if len(self.known) > REMEMBERED // 2:
             self.former, self.known = self.known, {"": b""}
-        known, former = self.known, self.former
-        words = [word for word in words if word not in known]
-        known.update([(word, former[word]) for word in words if word in former])
-        self._ask([word for word in words if word not in former])
+        self.known.update(zip(words, ids))
 
     def encode(self, some: list[str]) -> list[np.ndarray]:
         split = [text.replace("\n", " ").split(" ") for text in some]
-        self._learn(set().union(*split))
-        known = self.known
-        return [np.frombuffer(b"".join([known[word] for word in line]), dtype=self.kind) for line in split]
+        words = list(chain.from_iterable(split))
+        found = list(map(self.known.get, words))
+        unknown = [word for word, ids in zip(words, found) if ids is None]
+        ids = list(map(self.former.get, unknown))
+        asked = [word for word, known in zip(unknown, ids) if known is None]
+        answers = iter(self._ids(asked))
+        ids = [next(answers) if known is None else known for known in ids]
+        if self.calls % _REMEMBER_EVERY == 0 or len(self.known) < REMEMBERED // 8:
+            self._remember(unknown, ids)
+        self.calls += 1
+        answers = iter(ids)
+        found = [next(answers) if known is None else known for known in found]
+        ends = np.cumsum([len(line) for line in split]).tolist()
+        return [np.frombuffer(b"".join(found[s:e]), dtype=self.kind) for s, e in zip([0, *ends], ends)]
 
 
 def cuts(places: np.ndarray, penalties: np.ndarray, capacity: int) -> list[int]:
