@@ -37,6 +37,7 @@ STRETCH = 1 << 20  # tokens in memory before windows are given out
 TEXT_AT_ONCE = 1 << 19  # bytes
 REMEMBERED = 600_000  # words whose ids are kept
 _REMEMBER_EVERY = 8
+_MARKS = ".,!?#$%&*|"  # without the apostrophe, which may begin a token such as 's
 _BETWEEN, _TOGETHER = "\x01", 200
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -53,7 +54,7 @@ class WordTokenizer:
     """Ids of whole texts from a lower-casing byte-level BPE tokenizer that never joins tokens across blanks.
 
     A text is cut at blanks and line ends. The ids of frequent words are remembered; the other words of many texts go to
-    the tokenizer together. Words of Latin letters, with or without a final stop or comma, need none of its normalisation
+    the tokenizer together. Words of Latin letters, with or without marks after them, need none of its normalisation
     and patterns and go to the same BPE model directly.
     """
 
@@ -69,7 +70,7 @@ class WordTokenizer:
         self.sentence_end, self.word_end = np.zeros((2, max(vocabulary.values()) + 1), bool)
         self.sentence_end[[i for word, i in vocabulary.items() if re.search(r"[.!?](</w>)?$", word)]] = True
         self.word_end[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self.stops = {stop: self._one(stop) for stop in ("", ".", ",")}
+        self.marks: dict[str, bytes] = {}
         self.between, = self.whole.encode(_BETWEEN, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {"": b""}
         self.former: dict[str, bytes] = {}
@@ -109,12 +110,14 @@ class WordTokenizer:
         return iter([self._one(word) if _BETWEEN in word else next(found) for word in words])
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        stops = [word[-1] if word[-1] in ".," else "" for word in words]
-        cores = [(word[:-1] if stop else word).lower() for word, stop in zip(words, stops)]
+        cores = [word.rstrip(_MARKS) for word in words]
+        marks = [word[len(core):] for word, core in zip(words, cores)]
+        cores = [core.lower() for core in cores]
         easy = [core.isalpha() and (core.isascii() or max(core) < "\u0250") for core in cores]
         latin = self._of_letters([core for core, is_easy in zip(cores, easy) if is_easy])
         others = self._of_others([word for word, is_easy in zip(words, easy) if not is_easy])
-        return [next(latin) + self.stops[stop] if is_easy else next(others) for is_easy, stop in zip(easy, stops)]
+        self.marks = {mark: self.marks.get(mark) or self._one(mark) for mark in set(marks)}
+        return [next(latin) + self.marks[mark] if is_easy else next(others) for is_easy, mark in zip(easy, marks)]
 
     def _remember(self, words: list[str], ids: list[bytes]) -> None:
         """Frequent words soon turn up in one of the batches that are remembered; rare ones leave with their generation."""
