@@ -3,13 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from listing_analytics.llm import line_dedup, packing, quality_qda, simhash_bk
+from listing_analytics.llm.common import store, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality_qda.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go from all documents but the first; no document goes."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    kept = line_dedup.dedup_lines(docs, carry=others)
+    now = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return kept.select(*[now[c].alias(c) if c in now else F.col(f"carried.{c}") for c in docs.columns])
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return simhash_bk.keep_one(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, as pieces of training sequences with their token ids."""
+    return packing.pack(docs, with_ids=True)
+
+
+STAGES = [("quality", quality), ("lines", lines), ("near_copies", near_copies), ("sequences", sequences)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs, _ = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

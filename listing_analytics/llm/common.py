@@ -34,10 +34,13 @@ def discard(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id and whole text under fixed names; a null text is an empty one. All other columns stay behind."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"),
-                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Id and whole text under fixed names; a null text is an empty one.
+
+    Other columns stay behind, so their names cannot clash; those named in ``carry`` come along inside ``carried``.
+    """
+    more = [] if carry is None else [F.struct(*[F.col(c) for c in carry]).alias("carried")]
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
 
 
 def as_bytes(column: pa.Array) -> Iterator[bytes]:

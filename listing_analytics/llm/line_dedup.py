@@ -135,10 +135,10 @@ def repeated_lines(lines: DataFrame, runs: LineRuns) -> tuple[DataFrame, str]:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES, fanout: int = FANOUT,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Lines found in two documents or more stay only in the smallest id that holds them.
 
-    Returns doc_id, kept (text), n_lines, n_dropped, one row per input row. ``batches`` ranges of the id go through the
+    Returns doc_id, kept (text), n_lines, n_dropped (and carried, a struct of the columns in ``carry``) per input row. ``batches`` ranges of the id go through the
     runs in ascending order, so the owner found first is the smallest id. Keys shorter than ``min_chars`` code points
     are never dropped. A null or empty text is one empty line. Rows with the same id are one document: a line repeated
     inside it stays everywhere in it. Rows without an id keep all their lines and own none. An empty table gives an
@@ -146,9 +146,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATC
     """
     spark = docs.sparkSession
     prepare(spark)
-    source = texts(docs, id_col, text_col)
+    source = texts(docs, id_col, text_col, carry)
     cuts = source.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10000)).first()[0] or []
-    lines, lines_path = store(source.filter("doc_id is not null").mapInArrow(_line_hashes(sorted(set(cuts)), min_chars), LINES),
+    lines, lines_path = store(source.select("doc_id", "text").filter("doc_id is not null").mapInArrow(_line_hashes(sorted(set(cuts)), min_chars), LINES),
                               "lines", "batch")
     runs, gone = LineRuns(spark, fanout), []
     for number in range(len(set(cuts)) + 1):
@@ -165,7 +165,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATC
         F.array_except(F.sequence(F.lit(0), F.size(line) - 1), F.col("drops")), lambda i: F.get(line, i)), "\n"))
     return joined.select("doc_id", F.when(F.col("drops").isNull(), F.col("text")).otherwise(kept).alias("kept"),
                          n_lines.cast("long").alias("n_lines"),
-                         F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).cast("long").alias("n_dropped"))
+                         F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).cast("long").alias("n_dropped"),
+                         *([] if carry is None else ["carried"]))
 
 
 SQL = """

@@ -174,6 +174,15 @@ def train(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -> t
     return fit(stats.filter(~held_out(F.col("doc_id"))), labels, shrinkage), stats
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that a model trained on them scores at ``threshold`` or more."""
+    model, _ = train(docs, labels)
+    name = "_score"
+    while name in docs.columns:
+        name += "_"
+    return score_documents(docs, model, score_col=name).filter(F.col(name) >= threshold).drop(name)
+
+
 @query("op10_quality")
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its score, and whether it was held out."""

@@ -17,7 +17,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listing_analytics.llm.common import as_bytes, partitions, prepare, store, table, texts
@@ -52,14 +52,16 @@ def simhash(text: bytes, words: int = WORDS) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        marks = np.array([simhash(text) for text in as_bytes(batch.column(1))], dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks)], ["doc_id", "mark"])
+        some = list(as_bytes(batch.column(1)))
+        marks = np.array([simhash(text) for text in some], dtype=np.int64)
+        hashes = np.array([xxhash.xxh64_intdigest(text, SEED) for text in some], dtype=np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks), pa.array(hashes)], ["doc_id", "mark", "text_hash"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and mark (the fingerprint as a signed long) of every row; a null text counts as empty."""
+    """doc_id, mark (the fingerprint as a signed long) and text_hash (Spark's xxhash64) of every row; null is empty."""
     prepare(docs.sparkSession)
-    return texts(docs, id_col, text_col).mapInArrow(_fingerprints, "doc_id long, mark long")
+    return texts(docs, id_col, text_col).mapInArrow(_fingerprints, "doc_id long, mark long, text_hash long")
 
 
 class BKTree:
@@ -196,6 +198,15 @@ def near_links(marks: DataFrame, radius: int = RADIUS, blocks: int | None = None
     return dealt.mapInArrow(_links(radius), "a long, b long")
 
 
+def _named(rows: DataFrame, radius: int) -> DataFrame:
+    """(mark, root, component_id) for every mark of the stored ``rows``; root is the least mark of the component."""
+    marks, _ = store(rows.groupBy("mark").agg(F.min("doc_id").alias("first")), "marks")
+    roots = components(near_links(marks, radius)).withColumnRenamed("node", "mark")
+    rooted = marks.join(roots, "mark", "left").withColumn("root", F.coalesce("root", "mark"))
+    names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return store(rooted.join(names, "root").select("mark", "root", "component_id"), "mark-components")[0]
+
+
 def near_components(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row's fingerprint and the smallest id among all rows reachable over links of ``radius`` bits.
 
@@ -204,12 +215,24 @@ def near_components(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
     component, and a component of null ids only has a null name. An empty table gives an empty result.
     """
     rows, _ = store(fingerprints(docs, id_col, text_col), "fingerprints")
-    marks, _ = store(rows.groupBy("mark").agg(F.min("doc_id").alias("first")), "marks")
-    roots = components(near_links(marks, radius)).withColumnRenamed("node", "mark")
-    rooted = marks.join(roots, "mark", "left").withColumn("root", F.coalesce("root", "mark"))
-    names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named, _ = store(rooted.join(names, "root").select("mark", "component_id"), "mark-components")
-    return rows.join(named, "mark").select("doc_id", "mark", "component_id")
+    return rows.join(_named(rows, radius), "mark").select("doc_id", "mark", "component_id")
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, with all its columns: the smallest id, of repeated ids the smallest text hash.
+
+    A component of null ids only keeps one of its rows, too.
+    """
+    rows, _ = store(fingerprints(docs, id_col, text_col), "fingerprints")
+    best = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash")
+    least = F.lit(-(1 << 63))
+    kept = (rows.join(_named(rows, radius), "mark").withColumn("_place", F.row_number().over(best)).filter("_place = 1")
+            .select(F.coalesce("doc_id", least).alias("_id"), F.col("text_hash").alias("_hash")))
+    keyed = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(id_col).cast("long"), least).alias("_id"),
+                        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_hash"))
+    same = Window.partitionBy("_id", "_hash").orderBy("_id")
+    return (keyed.join(kept, ["_id", "_hash"], "left_semi").withColumn("_copy", F.row_number().over(same))
+            .filter("_copy = 1").select("_row.*"))
 
 
 @query("op6_simhash")
