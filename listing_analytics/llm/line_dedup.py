@@ -147,7 +147,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATC
     spark = docs.sparkSession
     prepare(spark)
     source = texts(docs, id_col, text_col, carry)
-    cuts = source.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10000)).first()[0] or []
+    parts = [i / batches for i in range(1, batches)]
+    cuts = (source.select(F.percentile_approx("doc_id", parts, 10000)).first()[0] or []) if parts else []
     lines, lines_path = store(source.select("doc_id", "text").filter("doc_id is not null").mapInArrow(_line_hashes(sorted(set(cuts)), min_chars), LINES),
                               "lines", "batch")
     runs, gone = LineRuns(spark, fanout), []
