@@ -57,11 +57,17 @@ def feistel(x: Column, n: int, seed: int, inverse: bool = False) -> Column:
 
 
 def passes(spark: SparkSession, n: int, seed: int) -> int:
-    """The most passes that any row number needs until it is below ``n``, found by walking the cells too many."""
+    """The most passes that any row number needs until it is below ``n``.
+
+    Walks leave the row numbers at cells too many that no such cell maps to; from there each is followed back. Cells too
+    many that only lead to each other are on nobody's way.
+    """
     a, b = sides(n)
-    outside, needed = spark.range(n, a * b), 1
-    while outside.count():
-        outside = outside.select(feistel(F.col("id"), n, seed).alias("id")).filter(F.col("id") >= n)
+    surplus, needed = spark.range(n, a * b), 1
+    step = lambda df: df.select(feistel(F.col("id"), n, seed).alias("id")).filter(F.col("id") >= n)
+    on_the_way = surplus.join(step(surplus), "id", "left_anti")
+    while on_the_way.count():
+        on_the_way = step(on_the_way)
         needed += 1
     return needed
 
