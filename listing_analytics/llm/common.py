@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listing_analytics.session import scratch_path, ship_package
+from listing_analytics.session import discard, scratch_path, ship_package  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,13 +27,6 @@ def store(df: DataFrame, name: str, *partition_by: str) -> tuple[DataFrame, str]
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def discard(spark: SparkSession, *paths: str) -> None:
-    """Delete intermediate tables that no later step reads."""
-    for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Id and whole text under fixed names; a null text is an empty one.
 
@@ -45,6 +38,8 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry:
 
 def as_bytes(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of a string column, one value at a time and without a copy of the whole column."""
+    if not len(column):
+        return
     column = column.cast(pa.large_binary())
     data, offsets = memoryview(column.buffers()[2] or b""), memoryview(column.buffers()[1]).cast("q")
     at = column.offset
