@@ -1,8 +1,7 @@
 """Challenge-page detection.
 
-The model is complement naive Bayes over word counts. It exists in two forms with the same result:
-a Spark ML pipeline whose scoring is narrow, for vocabularies that fit into a model, and a table of
-term weights whose scoring is a join, for any vocabulary.
+The model is complement naive Bayes over word counts. Pages are scored by a Spark ML pipeline, which is narrow. The
+same weights also exist as a table (:func:`term_weights`) whose scoring is a join; both keep every input row.
 """
 
 from __future__ import annotations
@@ -18,9 +17,8 @@ from pyspark.sql import functions as F
 
 from listing_analytics import fixed
 from listing_analytics.functions import text as tx
-from listing_analytics.operators.classify import MAX_MODEL_TERMS, count_terms, tokenizer
+from listing_analytics.operators.classify import MAX_LABELLED, bounded, count_terms, tokenizer
 from listing_analytics.sources.sinks import split_accept_reject
-from listing_analytics.session import broadcast_if_small
 
 CHALLENGE = "captcha"
 
@@ -52,17 +50,19 @@ def term_weights(corpus: DataFrame, smoothing: float = 1.0) -> DataFrame:
     return counts.select("token", weight("n_content").alias("w_challenge"), weight("n_challenge").alias("w_content"))
 
 
-def fit_challenge_model(corpus: DataFrame, max_terms: int = MAX_MODEL_TERMS) -> PipelineModel | None:
-    """The model as a pipeline (D2, D3); None when the vocabulary is too large for one."""
+def fit_challenge_model(corpus: DataFrame) -> PipelineModel:
+    """The model as a pipeline (D2, D3) over all words of the labelled corpus.
+
+    Model and vocabulary live on the driver and in every executor: their bound is that of the labelled corpus, see
+    :func:`~listing_analytics.operators.classify.bounded`.
+    """
     split = tokenizer("text", "tokens")
     label = F.when(F.col("label") == CHALLENGE, 0.0).otherwise(1.0).alias("label")
     # Tokenised once; counting, the vocabulary and the classifier all read the tokens.
     training = split.transform(corpus.select("text", label)).select("tokens", "label").persist()
     try:
-        n_terms = count_terms(training, "tokens")
-        if n_terms > max_terms:
-            return None
-        counts = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=max(n_terms, 1), minDF=1).fit(training)
+        counts = CountVectorizer(inputCol="tokens", outputCol="features",
+                                 vocabSize=max(count_terms(training, "tokens"), 1), minDF=1).fit(training)
         bayes = NaiveBayes(modelType="complement", smoothing=1.0).fit(counts.transform(training))
         return PipelineModel(stages=[split, counts, bayes])
     finally:
@@ -75,25 +75,24 @@ def score_challenge(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def score_by_weights(df: DataFrame, weights: DataFrame, key: str) -> DataFrame:
-    """(key, is_challenge) by joining words with their weights (D4, vocabulary of any size).
+    """(key, is_challenge) by joining words with their weights (D4): one row for each row of ``df``.
 
-    Words are counted within their page before the join. A small weight table is broadcast after
-    its size was checked; a large one is joined by shuffle, frequent words by the skew handling.
+    Rows are judged by their text, so repeated and null keys stay apart. Different texts are scored once each; their
+    words are counted before the join, whose large partitions adaptive execution splits.
     """
-    counts = word_counts(df, key)
-    weighed = counts.join(broadcast_if_small(weights), "token").groupBy(key).agg(
+    name = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    named = df.select(key, "text", name.alias("_name"))
+    distinct_texts = named.groupBy("_name").agg(F.first("text").alias("text"))
+    weighed = word_counts(distinct_texts, "_name").join(weights, "token").groupBy("_name").agg(
         F.sum(F.col("tf") * F.col("w_challenge")).alias("_c"),
         F.sum(F.col("tf") * F.col("w_content")).alias("_n"))
-    return df.select(key).join(weighed, key, "left").select(
+    return named.join(weighed, "_name", "left").select(
         key, (F.coalesce("_c", F.lit(0.0)) >= F.coalesce("_n", F.lit(0.0))).alias("is_challenge"))
 
 
-def detect(df: DataFrame, corpus: DataFrame, key: str, max_terms: int = MAX_MODEL_TERMS) -> DataFrame:
-    """Score rows with the form of the model that suits the corpus."""
-    model = fit_challenge_model(corpus, max_terms)
-    if model is not None:
-        return score_challenge(df, model)
-    return df.join(score_by_weights(df, term_weights(corpus), key), key)
+def detect(df: DataFrame, corpus: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """Score rows with the model of a labelled corpus, of which ``max_labelled`` rows at most are used."""
+    return score_challenge(df, fit_challenge_model(bounded(corpus, max_labelled)))
 
 
 def split_challenges(scored: DataFrame) -> tuple[DataFrame, DataFrame]:

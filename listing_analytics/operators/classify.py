@@ -7,29 +7,37 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
-    IDF, CountVectorizer, ElementwiseProduct, HashingTF, IndexToString, Normalizer, RegexTokenizer,
+    IDF, CountVectorizer, ElementwiseProduct, IndexToString, Normalizer, RegexTokenizer,
     StopWordsRemover, StringIndexer)
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listing_analytics.functions import text as tx
-from listing_analytics.session import broadcast_if_small
 
-# The vocabulary is part of the model, which lives on the driver and in every executor. Up to this
-# many terms it is kept exactly; beyond, terms are hashed into as many slots.
-MAX_MODEL_TERMS = 1 << 20
+# A model and its vocabulary live on the driver and in every executor. They are exact for the rows that a model is
+# fitted on, and bounded by the number of those rows.
+MAX_LABELLED = 1_000_000
+
+
+def bounded(labelled: DataFrame, max_rows: int = MAX_LABELLED) -> DataFrame:
+    """All labelled rows, or those ``max_rows`` whose contents have the smallest hashes."""
+    if labelled.limit(max_rows + 1).count() <= max_rows:
+        return labelled
+    return labelled.orderBy(F.xxhash64(*labelled.columns)).limit(max_rows)
 
 
 def map_category(df: DataFrame, mapping: DataFrame, category: str = "category") -> DataFrame:
     """Broad category by the title-cased category, null when unknown (F2).
 
-    Keys that are equal after title-casing count once; the last value in key order wins.
+    Keys that are equal after title-casing count once; the last value in key order wins. Different categories are
+    title-cased once each. The joins carry no hint: adaptive execution broadcasts a side that it has measured as small.
     """
     dim = (mapping.select(tx.title_case(F.col("key")).alias("_key"), "key", "value")
            .groupBy("_key").agg(F.max_by("value", "key").alias("broad_category")))
-    return df.withColumn("_key", tx.title_case(F.col(category))).join(
-        broadcast_if_small(dim), "_key", "left").drop("_key")
+    named = df.select(F.col(category).alias("_category")).filter("_category is not null").distinct().withColumn(
+        "_key", tx.title_case(F.col("_category"))).join(dim, "_key").select("_category", "broad_category")
+    return df.join(named, F.col(category) == F.col("_category"), "left").drop("_category")
 
 
 def split_labelled(df: DataFrame, label: str = "broad_category") -> tuple[DataFrame, DataFrame]:
@@ -46,8 +54,7 @@ def count_terms(tokenised: DataFrame, tokens: str) -> int:
     return tokenised.select(F.explode(F.array_distinct(tokens)).alias("term")).distinct().count()
 
 
-def tfidf_pipeline(training: DataFrame, text: str = "text", stop_words: Sequence[str] | None = None,
-                   max_terms: int = MAX_MODEL_TERMS) -> PipelineModel:
+def tfidf_pipeline(training: DataFrame, text: str = "text", stop_words: Sequence[str] | None = None) -> PipelineModel:
     """Fitted TF-IDF with idf = ln((1+n)/(1+df)) + 1 and rows of length one.
 
     Spark's own idf has no "+ 1", so its weights are raised and applied to the raw counts.
@@ -59,11 +66,7 @@ def tfidf_pipeline(training: DataFrame, text: str = "text", stop_words: Sequence
     # Tokenised once; the vocabulary and the document frequencies read the stored terms.
     terms = remove.transform(split.transform(training)).select("terms").persist()
     try:
-        n_terms = count_terms(terms, "terms")
-        if n_terms <= max_terms:
-            vectorise = CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=max(n_terms, 1), minDF=1).fit(terms)
-        else:
-            vectorise = HashingTF(inputCol="terms", outputCol="tf", numFeatures=max_terms)
+        vectorise = CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=max(count_terms(terms, "terms"), 1), minDF=1).fit(terms)
         idf = IDF(inputCol="tf", outputCol="idf").fit(vectorise.transform(terms)).idf
     finally:
         terms.unpersist()
@@ -73,11 +76,14 @@ def tfidf_pipeline(training: DataFrame, text: str = "text", stop_words: Sequence
 
 
 def fit_category_model(labelled: DataFrame, stop_words: Sequence[str] | None = None,
-                       text: str = "text", label: str = "broad_category") -> PipelineModel:
+                       text: str = "text", label: str = "broad_category", max_labelled: int = MAX_LABELLED,
+                       tol: float = 1e-4) -> PipelineModel:
     """TF-IDF and logistic regression with the same objective as C = 1.
 
-    Two categories give the binomial form, more the multinomial one.
+    Two categories give the binomial form, more the multinomial one. ``max_labelled`` bounds the rows that it is fitted
+    on, ``tol`` is the solver's.
     """
+    labelled = bounded(labelled, max_labelled)
     features = tfidf_pipeline(labelled, text, stop_words)
     index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(labelled)
     training = index.transform(features.transform(labelled)).select("features", "label").persist()
@@ -85,7 +91,7 @@ def fit_category_model(labelled: DataFrame, stop_words: Sequence[str] | None = N
         n = training.count()
         regression = LogisticRegression(
             family="auto", regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
-            maxIter=1000, tol=1e-4).fit(training)
+            maxIter=1000, tol=tol).fit(training)
     finally:
         training.unpersist()
     decode = IndexToString(inputCol="prediction", outputCol="predicted_broad_category", labels=index.labels)
@@ -97,6 +103,38 @@ def predict_category(df: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(df).select(*df.columns, "predicted_broad_category")
 
 
+def term_coefficients(df: DataFrame, model: PipelineModel) -> tuple[DataFrame, list[float], list[str]]:
+    """The model as a table (term, idf, coefficients per score), with the intercepts and the labels.
+
+    A binomial model has one score, that of its second label.
+    """
+    _, _, vectorise, weigh, _, regression, decode = model.stages
+    idf, coefficients = weigh.getScalingVec().toArray(), regression.coefficientMatrix.toArray().T
+    rows = [(term, float(i), [float(x) for x in c]) for term, i, c in zip(vectorise.vocabulary, idf, coefficients)]
+    return (df.sparkSession.createDataFrame(rows, "term string, idf double, coefficients array<double>"),
+            regression.interceptVector.toArray().tolist(), decode.getLabels())
+
+
+def predict_by_terms(df: DataFrame, model: PipelineModel, key: str) -> DataFrame:
+    """(key, predicted_broad_category) by joining terms with their coefficients: the model's prediction as a query.
+
+    ``key`` tells rows apart.
+    """
+    table, intercepts, labels = term_coefficients(df, model)
+    tf = model.stages[1].transform(model.stages[0].transform(df)).select(key, F.explode("terms").alias("term")).groupBy(
+        key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    weighed = tf.join(table, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    sums = weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"),
+                                    *[F.sum(F.col("w") * F.col("coefficients")[i]).alias(f"s{i}") for i in range(len(intercepts))])
+    scored = df.select(key).join(sums, key, "left")
+    score = [F.coalesce(F.col(f"s{i}") / F.col("length"), F.lit(0.0)) + b for i, b in enumerate(intercepts)]
+    if len(score) == 1:
+        best = F.when(score[0] > 0, labels[1]).otherwise(labels[0])
+    else:
+        best = F.element_at(F.array(*[F.lit(x) for x in labels]), F.array_position(F.array(*score), F.greatest(*score)).cast("int"))
+    return scored.select(key, best.alias("predicted_broad_category"))
+
+
 def classify(df: DataFrame, mapping: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
     """Every listing with its broad category and whether it was predicted."""
     mapped = map_category(df, mapping).withColumn(

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from listing_analytics import fixed
 from listing_analytics.functions import text as tx
-from listing_analytics.session import broadcast_if_small
 
 
 def normalise_nulls(df: DataFrame, tokens: Sequence[str] = tuple(fixed.NA_TOKENS),
@@ -59,17 +58,17 @@ def to_usd(df: DataFrame, price: str, currency: str, rates: DataFrame, out: str
     The conversion runs in decimals, because binary rounding differs between engines. A currency
     without a rate gives null, see :func:`unknown_currency`.
     """
-    per_eur = broadcast_if_small(
-        rates.select(F.col("currency").alias("_code"), F.col("per_eur").alias("_rate")))
+    per_eur = rates.select(F.col("currency").alias("_code"), F.col("per_eur").alias("_rate"))
     usd = rates.filter(F.col("currency") == "USD").select(F.max("per_eur")).scalar()
     value = F.col(price).try_cast("double")
     factor = F.try_divide(usd, F.col("_rate"))
-    cents = F.round(
-        (value.try_cast("decimal(18,4)") * factor.try_cast("decimal(18,12)")).try_cast("decimal(36,10)"), 2)
+    exact = F.round(value.try_cast("decimal(30,8)") * factor.try_cast("decimal(18,12)"), 2).cast("double")
+    # Beyond 10^22 a double has no cents left to round.
+    cents = F.coalesce(exact, value * factor)
     joined = df.withColumn("_cur", tx.strip(F.col(currency))).join(
         per_eur, F.col("_cur") == F.col("_code"), "left")
     return joined.withColumn(
-        out, F.when(F.col(currency) == "USD", value).otherwise(cents.cast("double"))
+        out, F.when(F.col(currency) == "USD", value).otherwise(cents)
     ).drop("_cur", "_code", "_rate")
 
 

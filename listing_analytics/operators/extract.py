@@ -18,7 +18,6 @@ from listing_analytics.functions import text as tx
 from listing_analytics.operators import nodes as nd
 from listing_analytics.operators.shred import shred
 from listing_analytics.rules.model import Field, Find, Site
-from listing_analytics.session import broadcast_if_small
 
 
 def _text() -> Column:
@@ -406,10 +405,10 @@ def run_extraction(pages: DataFrame, site: Site, path: str, mode: str = "overwri
 def with_original_url(pages: DataFrame, originals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """URL of each stored page by its hash, a default when unknown, and the unknown pages.
 
-    A small lookup table is broadcast. With a large one the pages are shuffled, so pass only the
-    columns that are needed, not the page bodies.
+    A lookup table that adaptive execution measures as small is broadcast. With a large one the pages are shuffled, so
+    pass only the columns that are needed, not the page bodies.
     """
-    joined = pages.join(broadcast_if_small(originals), "url_hash", "left")
+    joined = pages.join(originals, "url_hash", "left")
     missing = joined.filter("original is null").select("page_id", F.lit("no original URL").alias("reason"))
     return joined.withColumn("original", F.coalesce("original", F.lit("url-not-saved"))), missing
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listing_analytics.functions.urls import authority, resolve_links, url_key
 from listing_analytics.operators.clean import dedup_keep_first
-from listing_analytics.session import cut_lineage, ship_package
+from listing_analytics.session import discard, scratch_path, ship_package
 
 
 def resolved_links(shredded: DataFrame, url: str = "url") -> DataFrame:
@@ -71,25 +73,44 @@ def requeue(waiting: DataFrame, failed: DataFrame) -> DataFrame:
     return waiting.unionByName(failed.withColumn("queue_round", F.col("queue_round") + 1))
 
 
-def hop_levels(links: DataFrame, seeds: DataFrame, max_hops: int = 64) -> DataFrame:
+def requeue_challenged(waiting: DataFrame, challenged: DataFrame) -> DataFrame:
+    """Put pages that answered with a challenge back at the tail, each once (C10 for the diverted pages of A11).
+
+    ``challenged`` has the columns of the queue; a page that met a challenge in its second round is left out.
+    """
+    return requeue(waiting, challenged.filter(F.col("queue_round") == 0).select(*waiting.columns))
+
+
+def hop_levels(links: DataFrame, seeds: DataFrame, max_hops: int | None = None) -> DataFrame:
     """Breadth-first distance of every reachable page from the seeds.
 
-    ``links`` has (src_hash, dst_hash), ``seeds`` url_hash. Each hop is a semi join, a distinct and
-    an anti join; its result is checkpointed in the shared folder, which cuts the lineage and
-    survives lost executors. Store ``links`` as a table first: it is read once per hop.
+    ``links`` has (src_hash, dst_hash), ``seeds`` url_hash. The search goes on until no new page turns up; with
+    ``max_hops`` it raises when pages further away are left. The edges are bucketed by source once, so a hop shuffles
+    only its frontier; levels are written to the shared folder and the bucketed edges are deleted at the end.
     """
-    pairs = links.select("src_hash", "dst_hash").filter("dst_hash is not null")
-    current = cut_lineage(seeds.select("url_hash").distinct().withColumn("level", F.lit(0)))
-    reached = current
-    for level in range(1, max_hops + 1):
-        step = pairs.join(current.select(F.col("url_hash").alias("src_hash")), "src_hash", "left_semi")
-        fresh = step.select(F.col("dst_hash").alias("url_hash")).distinct()
-        current = cut_lineage(
-            fresh.join(reached.select("url_hash"), "url_hash", "left_anti").withColumn("level", F.lit(level)))
-        if current.isEmpty():
+    spark = links.sparkSession
+    name, edge_path, level_path = f"edges_{uuid.uuid4().hex}", scratch_path(spark, "edges"), scratch_path(spark, "levels")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (links.select("src_hash", "dst_hash").filter("dst_hash is not null").repartition(buckets, "src_hash")
+     .write.bucketBy(buckets, "src_hash").sortBy("src_hash").option("path", edge_path).saveAsTable(name))
+    schema = T.StructType([T.StructField("url_hash", links.schema["src_hash"].dataType), T.StructField("level", T.IntegerType())])
+    found = lambda path: spark.read.schema(schema).option("basePath", level_path).parquet(path)
+    level, fresh = 0, seeds.select("url_hash").distinct()
+    while True:
+        here = f"{level_path}/level={level}"
+        fresh.write.parquet(here)
+        if found(here).isEmpty():
             break
-        reached = reached.unionByName(current)
-    return reached
+        if max_hops is not None and level > max_hops:
+            raise ValueError(f"pages more than {max_hops} hops away are left")
+        frontier_pages = found(here).select(F.col("url_hash").alias("src_hash"))
+        step = spark.table(name).join(frontier_pages, "src_hash", "left_semi")
+        fresh = step.select(F.col("dst_hash").alias("url_hash")).distinct().join(
+            found(level_path).select("url_hash"), "url_hash", "left_anti")
+        level += 1
+    spark.sql(f"drop table {name}")
+    discard(spark, edge_path)
+    return found(level_path)
 
 
 def budget(levels: DataFrame, n: int, key: str = "url_hash") -> DataFrame:

@@ -70,15 +70,13 @@ def distinct_by(df: DataFrame, keys: Sequence[str], col: str, out: str = "n", ap
 
 
 def count_matrix(df: DataFrame, row: str, col: str, values: Sequence[str], total: str | None = None) -> DataFrame:
-    """Counts as a matrix with one column per known value, zero-filled (G3), with row total."""
-    matrix = (_known(df, [row, col]).filter(F.col(col).isin(*values))
-              .groupBy(row).pivot(col, list(values)).count().na.fill(0))
-    if total is None:
-        return matrix
-    row_total = F.lit(0).cast("bigint")
-    for value in values:
-        row_total = row_total + F.col(f"`{value}`")
-    return matrix.withColumn(total, row_total)
+    """Counts as a matrix with one column per listed value, zero-filled (G3); the row total counts all values.
+
+    A row whose values are all unlisted stays, with zeros.
+    """
+    counts = [F.count_if(F.col(col) == value).alias(value) for value in values]
+    every = [] if total is None else [F.count(F.lit(1)).alias(total)]
+    return _known(df, [row, col]).groupBy(row).agg(*counts, *every)
 
 
 def activity_flags(df: DataFrame, first: str = "Data", second: str = "Drug") -> DataFrame:
@@ -206,17 +204,19 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 def density(df: DataFrame, col: str, points: int = 200, bins: int | None = None) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth on an even grid from minimum to maximum.
 
-    Each row adds to every grid point inside its own task; only ``points`` partial sums per task
-    are shuffled. With ``bins`` the curve is also scaled to the counts of that histogram.
+    Equal values are counted first; then each task adds its values to ``points`` sums. No row is multiplied. With
+    ``bins`` the curve is also scaled to the counts of that histogram.
     """
     data = _finite(df, col)
     stat = lambda column: data.select(column).scalar()
     low, high, n = stat(F.min("_x")), stat(F.max("_x")), stat(F.count("_x").cast("double"))
     bandwidth = stat(F.stddev_samp("_x")) * F.pow(n, F.lit(-0.2))
     step = (high - low) / (points - 1)
-    spread = data.select("_x", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    distance = (low + F.col("point") * step - F.col("_x")) / bandwidth
-    summed = spread.groupBy("point").agg(F.sum(F.exp(distance * distance * -0.5)).alias("_s"))
+    scaled = data.groupBy("_x").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_n", ((F.col("_x") - low) / bandwidth).alias("_z"), (step / bandwidth).alias("_h"))
+    kernel = lambda i: F.exp(F.pow(F.col("_z") - F.lit(float(i)) * F.col("_h"), F.lit(2.0)) * -0.5)
+    sums = scaled.agg(F.array(*[F.sum(F.col("_n") * kernel(i)) for i in range(points)]).alias("_all"), F.count("_n").alias("_k"))
+    summed = sums.filter("_k > 0").select(F.posexplode("_all").alias("point", "_s"))
     value = F.col("_s") / (n * bandwidth * F.sqrt(2 * F.pi()))
     curve = summed.select("point", (low + F.col("point") * step).alias("x"), value.alias("density"))
     if bins is None:

@@ -153,6 +153,12 @@ def describe(df: DataFrame, descriptions: DataFrame, key: str = "category",
         "description", F.coalesce("_text", F.lit(default))).drop("_key", "_text")
 
 
+def describe_levels(df: DataFrame, descriptions: DataFrame, category: str = "main_business", subcategory: str = "category") -> DataFrame:
+    """Description texts of a category and of its subcategory, each with its own default."""
+    with_sub = describe(df, descriptions, subcategory, fixed.NO_SUBCATEGORY_TEXT).withColumnRenamed("description", "sub_description")
+    return describe(with_sub, descriptions, category)
+
+
 def business_summary(listings: DataFrame, first: str = "Data", second: str = "Drug") -> DataFrame:
     """Vendors per main business, those with the other business on the side, and their share."""
     both = marts.overlap(marts.activity_flags(listings, first, second)).scalar()

@@ -7,10 +7,12 @@ extraction needs no shuffle at all. :func:`node_table` gives the one-row-per-nod
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +24,8 @@ from listing_analytics.session import ship_package
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(("script", "style", "template"))
 
-_SLICE_PAGES = 128
+_SLICE_BYTES = 1 << 22  # of HTML that is shredded before its nodes leave the worker
+
 
 class _Shredder(HTMLParser):
     """Collects nodes. An end tag closes up to its nearest open match, an unmatched one is ignored,
@@ -49,6 +52,7 @@ class _Shredder(HTMLParser):
         self.buffer: list[str] = []
         # An open element: its row, children, elements among them, string of the last child.
         self.stack: list[list] = []
+        self.open_tags: Counter[str] = Counter()
         self._open("#document", ())
         self.feed(html)
         self.close()
@@ -81,11 +85,13 @@ class _Shredder(HTMLParser):
         self.rows.append(row)
         self.attr_ends.append(len(self.keys))
         self.stack.append([row, 0, 0, None])
+        self.open_tags[tag] += 1
         if tag in HIDDEN:
             self.hidden += 1
 
     def _close_top(self) -> None:
         row, children, _, string = self.stack.pop()
+        self.open_tags[row[self.TAG]] -= 1
         if row[self.TAG] in HIDDEN:
             self.hidden -= 1
         only = string if children == 1 else None
@@ -133,7 +139,7 @@ class _Shredder(HTMLParser):
     def handle_endtag(self, tag):
         self._flush()
         if self.stack[-1][0][self.TAG] != tag:
-            if tag in VOID or not any(entry[0][self.TAG] == tag for entry in self.stack):
+            if tag in VOID or not self.open_tags[tag]:
                 return
             while self.stack[-1][0][self.TAG] != tag:
                 self._close_top()
@@ -178,6 +184,17 @@ def _shred_slice(pages: list[str | None]) -> tuple[list, pa.ListArray, list]:
     return texts, nodes, problems
 
 
+def _slices(html: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, rows) of consecutive slices of about ``_SLICE_BYTES``, one page at least."""
+    lengths = pc.fill_null(pc.binary_length(html), 0).to_pylist()
+    start = size = 0
+    for row, length in enumerate(lengths):
+        size += length
+        if size >= _SLICE_BYTES or row == len(lengths) - 1:
+            yield start, row + 1 - start
+            start, size = row + 1, 0
+
+
 def shred(pages: DataFrame, html: str = "html", keep: Sequence[str] | None = None) -> DataFrame:
     """Nodes and visible text of each page, next to the kept columns (B1).
 
@@ -192,8 +209,8 @@ def shred(pages: DataFrame, html: str = "html", keep: Sequence[str] | None = Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, _SLICE_PAGES):
-                part = batch.slice(start, _SLICE_PAGES)
+            for start, size in _slices(batch.column(len(keep))):
+                part = batch.slice(start, size)
                 texts, nodes, problems = _shred_slice(part.column(len(keep)).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(len(keep))),

@@ -10,6 +10,7 @@ from listing_analytics.operators import classify, clean
 from listing_analytics.plans import roles
 from listing_analytics.plans.registry import query
 from listing_analytics.plans.roles import LISTING_SQL, REVIEW_SQL, VENDOR_SQL, table
+from listing_analytics.session import store
 
 
 @query("E1_normalise_nulls", """
@@ -191,7 +192,7 @@ def f3(spark, sf):
 @query("F4_split_labelled", f"""
   with {_MAPPED_SQL} select broad is not null as labelled, count(*) as n from mapped group by 1""")
 def f4(spark, sf):
-    mapped = classify.map_category(roles.listing(spark, sf).drop("broad_category"), _dictionary(spark, sf))
+    mapped = store(classify.map_category(roles.listing(spark, sf).drop("broad_category"), _dictionary(spark, sf)), "mapped")
     known, unknown = classify.split_labelled(mapped)
     count = lambda df, flag: df.groupBy(F.lit(flag).alias("labelled")).agg(F.count(F.lit(1)).alias("n"))
     return count(known, True).unionByName(count(unknown, False))

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listing_analytics.functions.urls import url_key
+from listing_analytics.operators import challenge
 from listing_analytics.operators import links as lk
 from listing_analytics.operators.shred import shred
 from listing_analytics.plans import roles
 from listing_analytics.plans.registry import query
 from listing_analytics.plans.roles import LISTING_SQL, table
-from listing_analytics.session import scratch_path
+from listing_analytics.session import scratch_path, store
+from listing_analytics.sources import sinks
 
 # Every link of the test pages starts at the root of its own host.
 _LINKS_SQL = """l as (select page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages),
@@ -122,3 +124,15 @@ def c10(spark, sf):
     waiting = queue.filter("o_orderstatus <> 'F'").drop("o_orderstatus")
     failed = queue.filter("o_orderstatus = 'F'").drop("o_orderstatus")
     return lk.requeue(waiting, failed)
+
+
+@query("C10_requeue_challenged", """
+  select page_id as queue_ord, url, cast(case when page_id % 3 = 0 or hit then 1 else 0 end as int) as queue_round
+  from (select *, lower(html) like '%www.%' as hit from pages) where not (page_id % 3 = 0 and hit)""")
+def c10_challenged(spark, sf):
+    """Pages that hold a phrase are diverted; every third one is in its second round already."""
+    flagged = challenge.match_phrases(table(spark, sf, "pages"), "html", ["www."]).withColumnRenamed("hit", "is_challenge")
+    queue = flagged.select(F.col("page_id").alias("queue_ord"), "url", F.when(F.col("page_id") % 3 == 0, 1).otherwise(0).alias("queue_round"),
+                           "is_challenge")
+    content, diverted = sinks.divert_challenges(store(queue, "queue"))
+    return lk.requeue_challenged(content.drop("is_challenge"), diverted)

@@ -110,14 +110,25 @@ def g10(spark, sf):
     return marts.histogram(roles.listing(spark, sf), "price_usd", 50)
 
 
-@query("G11_price_density", f"""{_L}, s as (select min(price_usd) as lo, max(price_usd) as hi, count(*)::double as n,
-    stddev_samp(price_usd) * pow(count(*)::double, -0.2) as h, (max(price_usd) - min(price_usd)) / 199 as w from listing),
+def _density_sql(source: str, col: str, bins: int) -> str:
+    return f"""s as (select min({col}) as lo, max({col}) as hi, count(*)::double as n,
+    stddev_samp({col}) * pow(count(*)::double, -0.2) as h, (max({col}) - min({col})) / 199 as w from {source}),
   g as (select i as point, lo + i * w as x, n, h, w, lo, hi from s, range(200) as r(i)),
   d as (select point, any_value(x) as x, any_value(n) as n, any_value(hi - lo) as span,
-          sum(exp(-0.5 * ((x - price_usd) / h) * ((x - price_usd) / h))) / any_value(n * h * sqrt(2 * pi())) as density
-        from g, listing group by 1)
+          sum(exp(-0.5 * ((x - {col}) / h) * ((x - {col}) / h))) / any_value(n * h * sqrt(2 * pi())) as density
+        from g, {source} group by 1)
   select cast(point as int) as point, round(x, 6) as x, round(density, 12) as density,
-         round(density * n * (span / 50), 6) as scaled from d""")
+         round(density * n * (span / {bins}), 6) as scaled from d"""
+
+
+@query("G11_review_density", f"with {VENDOR_SQL}, v as (select review_count::double as reviews from vendors), {_density_sql('v', 'reviews', 20)}")
+def g11_reviews(spark, sf):
+    curve = marts.density(roles.vendor(spark, sf), "review_count", 200, bins=20)
+    return curve.select("point", F.round("x", 6).alias("x"), F.round("density", 12).alias("density"),
+                        F.round("scaled", 6).alias("scaled"))
+
+
+@query("G11_price_density", f"{_L}, {_density_sql('listing', 'price_usd', 50)}")
 def g11(spark, sf):
     curve = marts.density(roles.listing(spark, sf), "price_usd", 200, bins=50)
     return curve.select("point", F.round("x", 6).alias("x"), F.round("density", 12).alias("density"),

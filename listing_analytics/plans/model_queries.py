@@ -14,6 +14,7 @@ from listing_analytics.plans.mart_queries import EVERYDAY_WORDS, _WORDS_SQL
 from listing_analytics.plans.page_queries import NORMAL_SQL, PAGE_TEXT_SQL
 from listing_analytics.plans.registry import query
 from listing_analytics.plans.roles import table
+from listing_analytics.session import store
 
 _PHRASES = ["token", "Password", "Stat"]
 _TOKENS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]{{2,}}')"
@@ -60,7 +61,7 @@ def _scored_sql(source: str, key: str, text: str) -> str:
 @query("D4_score_challenge", f"with {_scored_sql('documents', 'doc_id', _DOC_TEXT)} select * from scored")
 def d4(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", tx.normalise_text(F.col("text")).alias("text"))
-    return challenge.detect(docs, _corpus(spark, sf), "doc_id").select("doc_id", "is_challenge")
+    return challenge.detect(docs, _corpus(spark, sf)).select("doc_id", "is_challenge")
 
 
 @query("D4_score_by_weights", f"with {_scored_sql('documents', 'doc_id', _DOC_TEXT)} select * from scored")
@@ -76,7 +77,8 @@ _PAGE_SCORES = _scored_sql("pt", "page_id", NORMAL_SQL.format("ptext")).replace(
 @query("D5_split_challenges", f"with {_PAGE_SCORES} select page_id, case when is_challenge then 'challenge' else 'content' end as store from scored")
 def d5(spark, sf):
     pages = shred(table(spark, sf, "pages")).select("page_id", tx.normalise_text(F.col("text")).alias("text"))
-    content, rejected = challenge.split_challenges(challenge.detect(pages, _corpus(spark, sf), "page_id"))
+    scored = store(challenge.detect(pages, _corpus(spark, sf)), "scored-pages")  # shredded and scored once
+    content, rejected = challenge.split_challenges(scored)
     return content.select("page_id", F.lit("content").alias("store")).unionByName(
         rejected.select("page_id", F.lit("challenge").alias("store")))
 
@@ -110,20 +112,32 @@ def f6(spark, sf):
     return classify.tfidf_weights(labelled, "doc_id", "text", EVERYDAY_WORDS).withColumn("weight", F.round("weight", 9))
 
 
-@query("F7_fit_category_model")
+# Where the fit is at its optimum, the predicted probabilities of a class sum to its number of rows, as the intercept is
+# not regularised.
+@query("F7_fit_category_model", f"""select {_QUALITY_SQL} as broad_category, count(*) as n, count(*)::double as expected
+  from labels join documents using (doc_id) group by 1""")
 def f7(spark, sf):
     labelled = _labelled(spark, sf).filter("broad_category is not null")
-    model = classify.fit_category_model(labelled, EVERYDAY_WORDS)
-    return model.transform(labelled).select(
-        "doc_id", "broad_category", "predicted_broad_category",
-        F.round(F.array_max(vector_to_array("probability")), 3).alias("confidence"))
-
-
-@query("F8_predict_category")
+    model = classify.fit_category_model(labelled, EVERYDAY_WORDS, tol=1e-10)
+    labels = model.stages[-1].getLabels()
+    chances = model.transform(labelled).select(
+        "broad_category", F.posexplode(vector_to_array("probability")).alias("at", "p"))
+    name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("at") + 1)
+    return chances.withColumn("_class", name).groupBy(F.col("_class").alias("broad_category")).agg(
+        F.count_if(F.col("broad_category") == F.col("_class")).alias("n"), F.round(F.sum("p"), 1).alias("expected"))
+
+
+# Every unlabelled row is scored twice, by the fitted pipeline and by a join of its terms with the coefficients.
+@query("F8_predict_category", """select doc_id, true as is_known, true as both_agree
+  from documents left join labels using (doc_id) where quality is null""")
 def f8(spark, sf):
     known, unknown = classify.split_labelled(_labelled(spark, sf))
-    return classify.predict_category(unknown, classify.fit_category_model(known, EVERYDAY_WORDS)).select(
-        "doc_id", "predicted_broad_category")
+    model = classify.fit_category_model(known, EVERYDAY_WORDS)
+    first = classify.predict_category(unknown, model).select("doc_id", "predicted_broad_category")
+    second = classify.predict_by_terms(unknown, model, "doc_id").withColumnRenamed("predicted_broad_category", "by_terms")
+    return first.join(second, "doc_id").select(
+        "doc_id", F.col("predicted_broad_category").isin(*model.stages[-1].getLabels()).alias("is_known"),
+        (F.col("predicted_broad_category") == F.col("by_terms")).alias("both_agree"))
 
 
 @query("F9_classify", f"""select doc_id, {_QUALITY_SQL} as known, quality is null as is_predicted, true as has_category

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listing_analytics.functions import text as tx
@@ -15,7 +16,7 @@ from listing_analytics.plans.roles import LISTING_SQL, table
 from listing_analytics.rules.model import Find
 from listing_analytics.rules.site_n import site_n
 from listing_analytics.rules.site_w import site_w
-from listing_analytics.session import scratch_path
+from listing_analytics.session import scratch_path, store
 
 _L = f"with {LISTING_SQL}, a as (select *, cast(cast(floor(price_usd) as bigint) as varchar) as amount from listing)"
 _ROW = ["name", "vendor"]
@@ -185,9 +186,10 @@ def b20(spark, sf):
 
 @query("B21_vendor_w", f"""{_L} select split_part(vendor, ' ', 1) as name, 'sells ' || name as about_text,
   'face/' || category || '.png' as profile_picture, 'KEY ' || category as pgp_key, '' as wallet_address, amount as review_count,
-  '' as rating, '' as sale_count, '' as historic_sale_count, 'site-w' as marketplace from a""")
+  '' as rating, '' as sale_count, '' as historic_sale_count, 'site-w' as marketplace, '{{}}' as marketplace_history from a""")
 def b21(spark, sf):
-    return _records(spark, sf, rendered.w_vendor(), site_w(), "vendor").drop("marketplace_history")
+    return _records(spark, sf, rendered.w_vendor(), site_w(), "vendor").withColumn(
+        "marketplace_history", F.to_json("marketplace_history"))
 
 
 @query("B22_vendor_n", f"""{_L} select vendor as name, 'Sales of ' || name as about_text, 'NA' as profile_picture,
@@ -237,14 +239,37 @@ def b26(spark, sf):
     return joined.select("vendor", "text", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_")).drop("_")
 
 
-@query("B27_extract_all", f"""{_L}, n as (select count(*) filter (main_business = 'Digital') as d,
-    count(*) filter (main_business = 'Physical') as p, count(*) filter (main_business = 'Other') as o from a)
-  select unnest(['product', 'vendor', 'review', 'processed', 'rejects']) as output, unnest([d, p, 2 * p, d + p, o]) as n from n""")
+def output_rows(tables: dict[str, DataFrame], pages: DataFrame) -> DataFrame:
+    """All five outputs in one shape (output, name, vendor, a, b): what each record holds, or whose page a log row names.
+
+    ``pages`` (page_id, name, vendor) gives the names that the logs are checked by.
+    """
+    c, null = F.col, F.lit(None).cast("string")
+    row = lambda output, df, *values: df.select(F.lit(output).alias("output"), *[
+        v.alias(n) for n, v in zip(("name", "vendor", "a", "b"), values)])
+    parts = [
+        row("product", tables["product"], c("name"), c("vendor"), c("price"), c("picture")),
+        row("vendor", tables["vendor"], null, c("name"), c("sale_count"), c("pgp_key")),
+        row("review", tables["review"], c("product"), c("vendor"), c("price_paid"), c("text")),
+        row("processed", tables["processed"].join(pages, "page_id"), c("name"), c("vendor"), F.array_join("entities", ","), null),
+        row("rejects", tables["rejects"].join(pages, "page_id"), c("name"), c("vendor"), (F.length("reason") > 0).cast("string"), null)]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def output_rows_sql(source: str) -> str:
+    return f"""select 'product' as output, name, vendor, amount as a, 'img/' || category || '.png' as b from {source} where main_business = 'Digital'
+  union all select 'vendor', null, vendor, amount, 'KEY ' || category from {source} where main_business = 'Physical'
+  union all select 'review', name, vendor, amount, unnest(['fine', 'late']) from {source} where main_business = 'Physical'
+  union all select 'processed', name, vendor, case main_business when 'Digital' then 'product' else 'vendor,review' end, null
+    from {source} where main_business <> 'Other'
+  union all select 'rejects', name, vendor, 'true', null from {source} where main_business = 'Other'"""
+
+
+@query("B27_extract_all", f"{_L} {output_rows_sql('a')}")
 def b27(spark, sf):
-    pages = rendered.pages_of(spark, sf, rendered.mixed_n()).select("page_id", "html")
-    outputs = ex.run_extraction(pages, site_n(), scratch_path(spark, "extraction"))
-    counts = [t.groupBy(F.lit(name).alias("output")).agg(F.count(F.lit(1)).alias("n")) for name, t in outputs.items()]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+    pages = store(rendered.pages_of(spark, sf, rendered.mixed_n()).select("page_id", "name", "vendor", "html"), "pages")
+    outputs = ex.run_extraction(pages.select("page_id", "html"), site_n(), scratch_path(spark, "extraction"))
+    return output_rows(outputs, pages.select("page_id", "name", "vendor"))

@@ -1,4 +1,4 @@
-"""The order tables seen as listings, reviews and vendors."""
+"""The order tables seen as listings (odd line numbers), reviews (even ones) and vendors."""
 
 from __future__ import annotations
 
@@ -15,9 +15,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lines(spark: SparkSession, sf_dir: str, line_number: int) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, rest: int) -> DataFrame:
     t = lambda name: table(spark, sf_dir, name)
-    line = t("lineitem").filter(F.col("l_linenumber") == line_number)
+    line = t("lineitem").filter(F.col("l_linenumber") % 2 == rest)
     return (line.join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
             .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -39,7 +39,7 @@ def review(spark: SparkSession, sf_dir: str) -> DataFrame:
     rating = F.when(F.col("l_returnflag") == "A", "positive").when(F.col("l_returnflag") == "R", "negative")
     currency = (F.when(F.col("n_regionkey") == 0, "USD").when(F.col("n_regionkey") == 1, "CAD ")
                 .when(F.col("n_regionkey") == 2, "EUR").when(F.col("n_regionkey") == 3, "GBP").otherwise("XMR"))
-    return _lines(spark, sf_dir, 2).select(
+    return _lines(spark, sf_dir, 0).select(
         F.col("c_name").alias("vendor"), F.col("p_name").alias("product"), rating.alias("rating"),
         F.concat(F.floor("l_extendedprice").cast("int").cast("string"), F.lit(".5 cr")).alias("price_paid"),
         currency.alias("currency"))
@@ -71,7 +71,7 @@ LISTING_SQL = """listing as (
   from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
        join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
        join part on l_partkey = p_partkey
-  where l_linenumber = 1)"""
+  where l_linenumber % 2 = 1)"""
 
 REVIEW_SQL = """review as (
   select c_name as vendor, p_name as product,
@@ -82,7 +82,7 @@ REVIEW_SQL = """review as (
   from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
        join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
        join part on l_partkey = p_partkey
-  where l_linenumber = 2)"""
+  where l_linenumber % 2 = 0)"""
 
 VENDOR_SQL = REVIEW_SQL + """, vendors as (
   select c_name as name, c_mktsegment as about_text, coalesce(n, 0) as review_count, r_name as marketplace

@@ -81,6 +81,13 @@ def h9(spark, sf):
     return serve.log_ticks(roles.listing(spark, sf), "price_usd").withColumn("tick", F.round("tick", 9))
 
 
+@query("H9_review_ticks", f"""with {VENDOR_SQL}, b as (select log10(min(review_count) + 1) as lo, log10(max(review_count)) as hi from vendors)
+  select round(lo + i * 0.5, 9) as tick, cast(floor(pow(10.0, lo + i * 0.5)) as bigint) as label
+  from b, range(100) as r(i) where i < ceil((hi + 0.1 - lo) / 0.5)""")
+def h9_reviews(spark, sf):
+    return serve.log_ticks(roles.vendor(spark, sf), "review_count", shift=1).withColumn("tick", F.round("tick", 9))
+
+
 @query("H10_by_business", f"{_G} select main_business, cast(sum(product_count) as bigint) as product_count from grouped group by 1")
 def h10(spark, sf):
     return serve.by_business(grouped(spark, sf))
@@ -105,13 +112,15 @@ def h13(spark, sf):
 
 
 @query("H14_describe", f"""{_G}, d as (select p_type as category, 'sold as ' || min(p_brand) as description from part
-    where p_type <> 'SMALL' group by 1)
-  select g.*, coalesce(d.description, 'No specific information available for this category.') as description
-  from grouped g left join d on d.category = g.category""")
+    where p_type <> 'SMALL' group by 1 union all select 'Digital', 'sent by wire')
+  select g.*, coalesce(s.description, 'No specific information available for this subcategory.') as sub_description,
+         coalesce(d.description, 'No specific information available for this category.') as description
+  from grouped g left join d as s on s.category = g.category left join d on d.category = g.main_business""")
 def h14(spark, sf):
     texts = (table(spark, sf, "part").filter("p_type <> 'SMALL'").groupBy(F.col("p_type").alias("category"))
              .agg(F.concat(F.lit("sold as "), F.min("p_brand")).alias("description")))
-    return serve.describe(grouped(spark, sf), texts)
+    main = spark.range(1).select(F.lit("Digital").alias("category"), F.lit("sent by wire").alias("description"))
+    return serve.describe_levels(grouped(spark, sf), texts.unionByName(main))
 
 
 @query("H15_review_long", f"""{_MATRIX} select main_business, 'negative' as rating, negative as n from m""")

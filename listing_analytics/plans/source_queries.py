@@ -15,10 +15,11 @@ from listing_analytics.functions.urls import url_key
 from listing_analytics.operators import challenge
 from listing_analytics.plans import rendered, roles
 from listing_analytics.plans.link_queries import _EDGES_SQL, page_edges
+from listing_analytics.plans.page_queries import output_rows, output_rows_sql
 from listing_analytics.plans.registry import query
 from listing_analytics.plans.roles import LISTING_SQL, table
 from listing_analytics.rules.site_n import site_n
-from listing_analytics.session import scratch_path
+from listing_analytics.session import scratch_path, store
 from listing_analytics.sources import linkmap, pages, records, sinks
 from listing_analytics.streaming import ingest
 
@@ -109,23 +110,23 @@ def a9(spark, sf):
         F.size("page.children").cast("bigint").alias("n_children"))
 
 
-@query("A10_processed_and_rejects", f"""{_L} select case when price_usd < 2000 then '' else 'too dear' end as reason, count(*) as n from listing group by 1""")
+@query("A10_processed_and_rejects", f"""{_L} select name, vendor, price_usd,
+  case when price_usd < 2000 then null else 'too dear' end as reason from listing""")
 def a10(spark, sf):
-    rows = roles.listing(spark, sf)
+    rows = store(roles.listing(spark, sf), "listing")
     accepted, rejected = sinks.split_accept_reject(rows, F.col("price_usd") < 2000, "too dear")
-    both = accepted.select(F.lit("").alias("reason")).unionByName(rejected.select("reason"))
-    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    columns = ["name", "vendor", "price_usd", "reason"]
+    return accepted.withColumn("reason", F.lit(None).cast("string")).select(columns).unionByName(rejected.select(columns))
 
 
-@query("A11_divert_challenges", """select doc_id, 'challenge page' as reason, cast('2024-01-01 00:00:00' as timestamp) as detected_at
-  from documents where lower(text) like '%token%'""")
+@query("A11_divert_challenges", """select doc_id, case when hit then 'challenge page' end as reason,
+    case when hit then cast('2024-01-01 00:00:00' as timestamp) end as detected_at
+  from (select doc_id, lower(text) like '%token%' as hit from documents)""")
 def a11(spark, sf):
-    path = scratch_path(spark, "diverted")
-    scored = challenge.match_phrases(table(spark, sf, "documents"), "text", ["token"]).withColumnRenamed("hit", "is_challenge")
-    when = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
-    content, diverted = sinks.divert_challenges(scored, when)
-    diverted.write.parquet(path)
-    return spark.read.parquet(path).select("doc_id", "reason", "detected_at")
+    scored = store(challenge.match_phrases(table(spark, sf, "documents"), "text", ["token"]).withColumnRenamed("hit", "is_challenge"), "scored")
+    content, diverted = sinks.divert_challenges(scored, F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    diverted = store(diverted, "diverted").select("doc_id", "reason", "detected_at")
+    return diverted.unionByName(content.select("doc_id"), allowMissingColumns=True)
 
 
 def _arrivals(rows: DataFrame, path: str) -> str:
@@ -147,18 +148,20 @@ def i1(spark, sf):
         "page_id", "url", "url_hash", F.length("html").cast("bigint").alias("size"))
 
 
-@query("I2_ingest_records", f"""{_L}, p as (select distinct name, vendor, category, marketplace, main_business,
-    cast(floor(price_usd) as bigint) as amount from listing where main_business = 'Digital')
-  select name, vendor, category as picture, amount as price from p""")
+# Equal pages have one URL, so each is delivered once per delivery and extracted once overall.
+@query("I2_ingest_records", f"""{_L}, p as (select distinct vendor, marketplace, category, main_business,
+    case when main_business = 'Other' then null else name end as name,
+    case when main_business = 'Other' then null else cast(cast(floor(price_usd) as bigint) as varchar) end as amount from listing)
+  {output_rows_sql('p')}""")
 def i2(spark, sf):
     base = scratch_path(spark, "ingest")
-    # Equal pages have one URL, so each is delivered once per delivery and extracted once overall.
-    made = rendered.pages_of(spark, sf, rendered.mixed_n()).select("html").distinct().select(
-        F.xxhash64("html").alias("page_id"),
-        F.concat(F.when(F.xxhash64("html") > 0, "https").otherwise("http"), F.lit("://h.test/"), F.md5("html")).alias("url"), "html")
-    source = _arrivals(made, os.path.join(base, "in"))
+    shown = [F.when(F.col("main_business") != "Other", F.col("name")).alias("name"), "vendor", "html"]  # what a page shows
+    made = store(rendered.pages_of(spark, sf, rendered.mixed_n()).select(*shown).distinct().withColumn(
+        "page_id", F.xxhash64("html")), "pages")
+    delivered = made.select("page_id", F.concat(F.when(F.col("page_id") > 0, "https").otherwise("http"), F.lit("://h.test/"), F.md5("html"))
+                            .alias("url"), "html")
+    source = _arrivals(delivered, os.path.join(base, "in"))
     out = os.path.join(base, "out")
     ingest.ingest_records(spark, source, site_n(), out, os.path.join(base, "state"), files_per_batch=8).awaitTermination()
-    return ingest.read_ingested(spark, out, "product").select(
-        "name", "vendor", F.regexp_extract("picture", r"img/(.*)\.png", 1).alias("picture"),
-        F.col("price").cast("bigint").alias("price"))
+    tables = {t: ingest.read_ingested(spark, out, t) for t in ("product", "vendor", "review", "processed", "rejects")}
+    return output_rows(tables, made.select("page_id", "name", "vendor"))

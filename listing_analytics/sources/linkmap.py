@@ -8,13 +8,28 @@ from pyspark.sql import functions as F
 from listing_analytics import schemas
 
 
-def read_linkmap(spark: SparkSession, path: str) -> DataFrame:
-    """Edges of link-map JSON files, one map (or one line per parent) in each file part.
+def read_linkmap(spark: SparkSession, path: str, rejects: str | None = None) -> DataFrame:
+    """Edges of link-map JSON files, each a whole document (in lines of any kind) or one object per line.
 
-    A parent without links has one row with a null target, so no page is lost.
+    A parent without links has one row with a null target, so no page is lost. Text that is no link map goes to the
+    ``rejects`` folder as (source_file, value); without one the read fails. A document in several lines is read by one
+    task; :func:`write_linkmap` writes the line form, which is not.
     """
-    parsed = spark.read.text(path).select(F.from_json("value", schemas.LINK_MAP).alias("m"))
-    parents = parsed.select(F.explode("m").alias("src_hash", "page"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    parsed = lines.withColumn("m", F.from_json("value", schemas.LINK_MAP)).withColumn("blank", F.trim("value") == "")
+    odd = parsed.filter("m is null and not blank").select("source_file").distinct()
+    by_line = parsed.join(odd, "source_file", "left_anti").filter("not blank").select("source_file", "value", "m")
+    files = [r.source_file for r in odd.collect()]  # names of files only
+    if files:
+        whole = spark.read.text(files, wholetext=True).select(
+            F.col("_metadata.file_path").alias("source_file"), "value").withColumn("m", F.from_json("value", schemas.LINK_MAP))
+        bad = whole.filter("m is null").select("source_file", "value")
+        if rejects is not None:
+            bad.write.mode("append").parquet(rejects)
+        elif not bad.isEmpty():
+            raise ValueError(f"not a link map: {bad.first().source_file}")
+        by_line = by_line.unionByName(whole.filter("m is not null"))
+    parents = by_line.select(F.explode("m").alias("src_hash", "page"))
     return parents.select(
         "src_hash", F.col("page.original").alias("src_url"),
         F.explode_outer("page.children").alias("dst_hash", "dst_url"))
@@ -39,5 +54,5 @@ def write_linkmap(edges: DataFrame, path: str) -> None:
 
 
 def original_urls(edges: DataFrame) -> DataFrame:
-    """(url_hash, original) lookup table; first write per page wins."""
+    """(url_hash, original) lookup table; of several URLs for one hash the smallest is kept."""
     return edges.groupBy(F.col("src_hash").alias("url_hash")).agg(F.min("src_url").alias("original"))

@@ -20,7 +20,16 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
         F.monotonically_increasing_id().alias("row_ord"))
 
 
-def read_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """JSON object(s) of texts as (key, value) rows (A5)."""
-    parsed = spark.read.text(path, wholetext=True)
-    return parsed.select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "value"))
+def read_mapping(spark: SparkSession, path: str, rejects: str | None = None) -> DataFrame:
+    """JSON object(s) of texts as (key, value) rows (A5).
+
+    A file that holds no such object goes to the ``rejects`` folder; without one the read fails.
+    """
+    parsed = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("source_file")).withColumn(
+        "m", F.from_json("value", "map<string,string>"))
+    bad = parsed.filter("m is null").select("source_file", "value")
+    if rejects is not None:
+        bad.write.mode("append").parquet(rejects)
+    elif not bad.isEmpty():
+        raise ValueError(f"not a dictionary: {bad.first().source_file}")
+    return parsed.filter("m is not null").select(F.explode("m").alias("key", "value"))

@@ -21,28 +21,30 @@ def overwrite(df: DataFrame, path: str) -> None:
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Last row per key."""
-    return dedup_keep_first(df, keys, [F.col(order).desc()])
+    """Last row per key; of rows with equal ``order`` the one whose contents have the largest hash."""
+    return dedup_keep_first(df, keys, [F.col(order).desc(), F.xxhash64(*df.columns).desc()])
+
+
+def stored_splits(fresh: DataFrame, path: str) -> DataFrame:
+    """The stored rows of the splits that ``fresh`` touches; no other split is read."""
+    touched = [r.split for r in fresh.select("split").distinct().collect()]
+    stored = fresh.sparkSession.read.schema(fresh.schema).parquet(path)
+    return stored.filter(F.col("split").isin(touched)).select(*fresh.columns)
 
 
 def upsert_latest(df: DataFrame, keys: Sequence[str], order: str, path: str, buckets: int = 256) -> None:
     """Store rows by key; a later row of the same key replaces the stored one.
 
-    The table is split by a hash of the key, and only the splits that receive rows are read and
+    The table is split by a hash of the key into ``buckets`` folders; choose their number by the size of the table. Only
+    the splits that receive rows are read, by a partition filter on their numbers (``buckets`` numbers at most), and
     rewritten (dynamic partition overwrite).
     """
     spark = df.sparkSession
     split = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     fresh = df.withColumn("split", split)
-    try:
-        stored = spark.read.parquet(path)
-    except Exception as error:  # first write: nothing is stored yet
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
-        stored = None
-    if stored is not None:
-        touched = fresh.select("split").distinct()
-        fresh = fresh.unionByName(stored.join(touched, "split", "left_semi").select(*fresh.columns))
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        fresh = fresh.unionByName(stored_splits(fresh, path))
     # Rebalancing keeps a split together where it is small and cuts it where it is large.
     (latest(fresh, keys, order).hint("rebalance", "split").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("split").parquet(path))

@@ -56,13 +56,16 @@ def ingest_pages(spark: SparkSession, source: str, sink: str, checkpoint: str,
 
 
 def ingest_records(spark: SparkSession, source: str, site: Site, sink: str, checkpoint: str,
-                   schema: T.StructType = schemas.PAGE, key: str = "page_id",
+                   schema: T.StructType = schemas.PAGE, key: str = "page_id", identity: str = "url",
                    files_per_batch: int = 1000) -> StreamingQuery:
     """Extract the records of arriving pages, each page once, with done and error logs.
 
-    Pages are shredded once per batch into ``sink/extracted``; the five tables are derived from it.
+    Pages are shredded once per batch into ``sink/extracted``; the five tables are derived from it. A page is known by
+    the 128-bit key of its ``identity`` column (a URL or path); pages without one are known by ``key``.
     """
-    fresh = _arrivals(spark, source, schema, files_per_batch).dropDuplicates([key])
+    fresh = _arrivals(spark, source, schema, files_per_batch)
+    known_by = F.coalesce(url_key(F.col(identity)), F.col(key).cast("string")) if identity in schema.fieldNames() else F.col(key).cast("string")
+    fresh = fresh.withColumn("_known_by", known_by).dropDuplicates(["_known_by"]).drop("_known_by")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         staged = _batch_path(sink, "extracted", batch_id)

@@ -36,6 +36,15 @@ def test_to_usd(spark):
     assert [tuple(r) for r in clean.unknown_currency(done, "p", "c").collect()] == [("XMR", 1)]
 
 
+def test_to_usd_of_small_and_large_amounts(spark):
+    df = spark.createDataFrame([("0.00004", "CAD"), ("1e15", "CAD"), ("1e30", "CAD"), ("0.0123", "CAD ")], "p string, c string")
+    done = clean.to_usd(df, "p", "c", rates(spark))
+    got = {r.p: r.price_usd for r in done.collect()}
+    assert got["0.00004"] == 0.0 and got["0.0123"] == 0.01
+    assert abs(got["1e15"] / (1e15 * 1.08 / 1.47) - 1) < 1e-9 and abs(got["1e30"] / (1e30 * 1.08 / 1.47) - 1) < 1e-9
+    assert clean.unknown_currency(done, "p", "c").count() == 0
+
+
 def test_min_max(spark):
     scaled = lambda vs: [r.s for r in clean.min_max(spark.createDataFrame([(v,) for v in vs], "v long"), "v", "s").collect()]
     assert scaled([0, 5, 10]) == [0.0, 0.5, 1.0]

@@ -5,6 +5,7 @@ from urllib.parse import urljoin
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from listing_analytics.functions.urls import authority, resolve_links, url_key
@@ -88,3 +89,13 @@ def test_content_types(spark):
 
 def test_url_key(spark):
     assert spark.range(1).select(url_key(F.lit("http://ü")).alias("k")).first().k == hashlib.md5("http://ü".encode()).hexdigest()
+
+
+def test_hops_have_no_bound_of_their_own(spark):
+    chain = spark.range(90).selectExpr("cast(id as string) as src_hash", "cast(id + 1 as string) as dst_hash")
+    seed = spark.createDataFrame([("0",)], "url_hash string")
+    got = {r.url_hash: r.level for r in lk.hop_levels(chain.filter("cast(src_hash as int) < 70"), seed).collect()}
+    assert got == {str(i): i for i in range(71)}
+    assert lk.hop_levels(chain.limit(3), seed, max_hops=3).count() == 4
+    with pytest.raises(ValueError):
+        lk.hop_levels(chain, seed, max_hops=3)

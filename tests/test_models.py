@@ -36,8 +36,8 @@ def test_weights(corpus):
 
 
 def test_both_forms_agree(corpus, cases):
-    narrow = challenge.detect(cases, corpus, "id")
-    joined = challenge.detect(cases, corpus, "id", max_terms=3)
+    narrow = challenge.detect(cases, corpus)
+    joined = challenge.score_by_weights(cases, challenge.term_weights(corpus), "id")
     expected = {i: e for i, (_, e) in enumerate(CASES)}
     assert {r.id: r.is_challenge for r in narrow.collect()} == expected
     assert {r.id: r.is_challenge for r in joined.collect()} == expected
@@ -45,8 +45,16 @@ def test_both_forms_agree(corpus, cases):
     assert (content.count(), diverted.count()) == (3, 4)
 
 
+def test_every_row_is_scored_once(spark, corpus, cases):
+    rows = cases.unionByName(cases).withColumn("id", F.when(F.col("id") > 1, F.col("id")))
+    narrow = challenge.detect(rows, corpus).select("id", "is_challenge").collect()
+    joined = challenge.score_by_weights(rows, challenge.term_weights(corpus), "id").collect()
+    order = lambda found: sorted((-1 if r.id is None else r.id, r.is_challenge) for r in found)
+    assert len(narrow) == 2 * len(CASES) and order(narrow) == order(joined)
+
+
 def test_scoring_moves_no_page(corpus, cases):
-    plan = challenge.detect(cases, corpus, "id")._jdf.queryExecution().executedPlan().toString()
+    plan = challenge.detect(cases, corpus)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
 
@@ -99,9 +107,10 @@ def test_tfidf_three_ways(spark):
     assert np.allclose([[r.f[words.index(t)] for t in vocab] for r in rows], x)
 
 
-def test_hashed_terms_beyond_the_limit(spark):
-    df = spark.createDataFrame([("a1 b1 c1 d1",)], "text string")
-    assert classify.tfidf_pipeline(df, "text", [], max_terms=2).transform(df).first().features.size == 2
+def test_bounded_fit(spark):
+    df = spark.createDataFrame([(f"a{i}", "x" if i % 2 else "y") for i in range(30)], "text string, broad_category string")
+    assert classify.bounded(df, 30).count() == 30 and classify.bounded(df, 7).count() == 7
+    assert {r.text for r in classify.bounded(df, 7).collect()} == {r.text for r in classify.bounded(df.repartition(3), 7).collect()}
 
 
 def test_classify(listings, mapping):

@@ -26,7 +26,7 @@ def test_every_operator_has_a_query():
     counts = dict(A=11, B=27, C=10, D=5, E=14, F=9, G=28, H=16, I=2)
     ids = {name.split("_")[0] for name in QUERIES}
     assert {f"{k}{i}" for k, n in counts.items() for i in range(1, n + 1)} <= ids
-    assert set(ORACLES) <= set(QUERIES) and {q for q in QUERIES if q not in ORACLES} == {"F7_fit_category_model", "F8_predict_category"}
+    assert set(ORACLES) <= set(QUERIES) and not {q for q in QUERIES if q not in ORACLES and not q.startswith(("op", "pipeline"))}
 
 
 def test_entry(spark):

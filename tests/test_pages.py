@@ -190,3 +190,21 @@ def test_run_extraction_writes_once(spark, tmp_path):
 def test_extraction_does_not_shuffle(spark):
     plan = ex.extract_pages(table(spark, [N_PRODUCT]), site_n())._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "MapInArrow" in plan
+
+
+def test_unmatched_end_tags_take_linear_time():
+    import time
+
+    from listing_analytics.operators.shred import _Shredder
+    start = time.process_time()
+    _Shredder().page("<p>x" * 100_000 + "</x>" * 100_000)
+    assert time.process_time() - start < 20
+
+
+def test_slices_are_bounded_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    from listing_analytics.operators import shred as sh
+    monkeypatch.setattr(sh, "_SLICE_BYTES", 10)
+    assert list(sh._slices(pa.array(["aaaa", None, "b" * 30, "c", "d"]))) == [(0, 3), (3, 2)]
+    assert list(sh._slices(pa.array([], pa.string()))) == []

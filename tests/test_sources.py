@@ -1,6 +1,8 @@
 import csv
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from listing_analytics import schemas
@@ -51,6 +53,26 @@ def test_mapping_and_linkmap(spark, tmp_path):
     assert {tuple(r) for r in linkmap.original_urls(edges).collect()} == {("h1", "u1"), ("h4", "u4")}
 
 
+def test_whole_documents_and_rejects(spark, tmp_path):
+    whole = {"h1": {"original": "u1", "children": {"h2": "u2"}}, "h4": {"original": "u4", "children": {}}}
+    folder = tmp_path / "maps"
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps(whole, indent=4))
+    (folder / "b.json").write_text(json.dumps({"h9": {"original": "u9", "children": {}}}) + "\n\n")
+    want = {("h1", "u1", "h2", "u2"), ("h4", "u4", None, None), ("h9", "u9", None, None)}
+    assert {tuple(r) for r in linkmap.read_linkmap(spark, str(folder)).collect()} == want
+    (folder / "c.json").write_text("no map\nat all")
+    with pytest.raises(ValueError):
+        linkmap.read_linkmap(spark, str(folder))
+    assert {tuple(r) for r in linkmap.read_linkmap(spark, str(folder), str(tmp_path / "rejects")).collect()} == want
+    assert [r.value for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == ["no map\nat all"]
+    (tmp_path / "bad.json").write_text("[1")
+    with pytest.raises(ValueError):
+        records.read_mapping(spark, str(tmp_path / "bad.json"))
+    assert records.read_mapping(spark, str(tmp_path / "bad.json"), str(tmp_path / "r2")).count() == 0
+    assert spark.read.parquet(str(tmp_path / "r2")).count() == 1
+
+
 def test_append_and_overwrite(spark, tmp_path):
     df = spark.createDataFrame([("a", "W"), ("b", "N")], "name string, marketplace string")
     path = str(tmp_path / "t")
@@ -71,6 +93,22 @@ def test_upsert(spark, tmp_path):
     assert {r.k: r.v for r in spark.read.parquet(path).collect()} == {"a": "1", "b": "2", "c": "2"}
 
 
+def test_upsert_reads_touched_splits_only(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = lambda ks: spark.createDataFrame([(k, "1", 1) for k in ks], "k string, v string, at int")
+    sinks.upsert_latest(rows("abcdefgh"), ["k"], "at", path, 8)
+    fresh = rows("a").withColumn("split", F.pmod(F.xxhash64("k"), F.lit(8)).cast("int"))
+    plan = sinks.stored_splits(fresh, path)._jdf.queryExecution().executedPlan().toString()
+    number = fresh.first().split
+    assert f"(split#" in plan.split("PartitionFilters: [")[1].split("]")[0] and f"= {number})" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_upsert_ties(spark, tmp_path):
+    rows = [("a", str(i), 1) for i in range(5)]
+    kept = {sinks.latest(spark.createDataFrame(some, "k string, v string, at int"), ["k"], "at").first().v for some in (rows, rows[::-1])}
+    assert len(kept) == 1
+
+
 def test_accept_reject(spark):
     df = spark.createDataFrame([(1,), (5,), (None,)], "n int")
     accepted, rejected = sinks.split_accept_reject(df, F.col("n") > 2, "small")
@@ -78,11 +116,3 @@ def test_accept_reject(spark):
     scored = spark.createDataFrame([(1, True), (2, False)], "n int, is_challenge boolean")
     content, diverted = sinks.divert_challenges(scored)
     assert content.first().n == 2 and diverted.first().detected_at is not None
-
-
-def test_broadcast_is_size_checked(spark):
-    from listing_analytics.session import broadcast_if_small
-    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(broadcast_if_small(spark.range(10)))
-    assert not hinted(broadcast_if_small(spark.range(10), max_rows=9))
-    assert not hinted(broadcast_if_small(spark.range(10), max_bytes=20))
