@@ -98,7 +98,63 @@ def judge(pages: DataFrame, links: DataFrame | None = None, rules: list[tuple[st
                     F.coalesce("_own.verdict", "theirs", F.lit(default)).alias("verdict"), "key", "alias_of"))
 
 
-@query("op7_url_filter")
+def _host_sql(url: str) -> str:
+    return f"coalesce(translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '')"
+
+
+def _path_sql(url: str) -> str:
+    return f"coalesce(regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+
+
+def _key_sql(url: str) -> str:
+    parts = f"string_split(regexp_extract(regexp_replace(trim({url}), '#.*$', ''), '\\?(.*)$', 1), '&')"
+    kept = f"array_to_string(list_filter({parts}, lambda x: x <> '' and not starts_with(x, 'utm_')), '&')"
+    return (f"case when contains({url}, '://') then regexp_replace(regexp_replace({_host_sql(url)}, ':(80|443)$', '') || "
+            f"{_path_sql(url)}, '/+$', '') || case when {kept} <> '' then '?' || {kept} else '' end end")
+
+
+def _rule_sql(url: str, rules: list[tuple[str, str, str]], verdict: bool) -> str:
+    ordered = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[0] != "allow", r[1], r[2]))
+    whens = " ".join(
+        f"when ({_host_sql(url)} = '{name}' or ends_with({_host_sql(url)}, '.{name}')) and starts_with({_path_sql(url)}, '{prefix}') "
+        f"then '{kind if verdict else name + prefix}'" for kind, name, prefix in ordered)
+    return f"case {whens} end"
+
+
+SQL = f"""
+with recursive tag as (
+  select url as source, unnest(regexp_extract_all(coalesce(html, ''), '(?is)<(?:link|meta)\\b[^>]*>')) as tag from pages),
+aim as (
+  select source, trim(coalesce(nullif(regexp_extract(tag, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1), ''),
+                               regexp_extract(tag, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1))) as aim,
+         regexp_extract(source, '^(.*?://)', 1) as scheme
+  from tag where regexp_matches(tag, '(?is)rel\\s*=\\s*["'']?[^"''>]*\\bcanonical\\b|http-equiv\\s*=\\s*["'']?refresh')),
+link as (
+  select source, case when contains(aim, '://') then aim when starts_with(aim, '//') then regexp_replace(scheme, '//$', '') || aim
+                      when starts_with(aim, '/') then scheme || {_host_sql('source')} || aim end as target from aim),
+known as (
+  select url from pages union all select source from link where target is not null
+  union all select target from link where target is not null),
+said as (
+  select key, coalesce(bool_or(verdict = 'allow'), false) as allows, coalesce(bool_or(verdict = 'block'), false) as blocks
+  from (select {_key_sql('url')} as key, {_rule_sql('url', RULES, True)} as verdict from known) where key is not null group by 1),
+edge as (
+  select {_key_sql('source')} as a, {_key_sql('target')} as b from link where target is not null),
+reach as (
+  select key, key as other from said
+  union select reach.key, e.b from reach join (select a, b from edge union select b, a from edge) e on reach.other = e.a
+  where e.b is not null),
+root as (select key, min(other) as alias_of from reach group by 1),
+theirs as (
+  select alias_of, bool_or(allows) as allows, bool_or(blocks) as blocks from root join said using (key) group by 1)
+select page_id, p.host, p.path, p.rule,
+       coalesce(p.verdict, case when t.allows then 'allow' when t.blocks then 'block' end, 'allow') as verdict, p.key, r.alias_of
+from (select page_id, {_host_sql('url')} as host, {_path_sql('url')} as path, {_key_sql('url')} as key,
+             {_rule_sql('url', RULES, False)} as rule, {_rule_sql('url', RULES, True)} as verdict from pages) p
+left join root r on r.key = p.key left join theirs t on t.alias_of = r.alias_of"""
+
+
+@query("op7_url_filter", SQL)
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page."""
     return judge(table(spark, sf_dir, "pages"))
