@@ -59,9 +59,14 @@ def has_style(value: str) -> Test:
     return attribute("style", value)
 
 
+def only_string(n: Column, nodes: Column | None = None) -> Column:
+    """The only text inside an element of the page whose node array is ``nodes``, null when there is more or none."""
+    return F.get(F.col("nodes") if nodes is None else nodes, n["only"])["string"]
+
+
 def string_is(value: str) -> Test:
     """The only text inside an element equals a value."""
-    return lambda n: n["string"] == value
+    return lambda n: only_string(n) == value
 
 
 def text_matches(pattern: str) -> Test:
@@ -71,7 +76,7 @@ def text_matches(pattern: str) -> Test:
 
 def string_contains(value: str) -> Test:
     """An element whose only text contains a value."""
-    return lambda n: is_element(n) & n["string"].contains(value)
+    return lambda n: is_element(n) & only_string(n).contains(value)
 
 
 def all_of(nodes: Column, test: Test) -> Column:

@@ -31,7 +31,7 @@ class _Shredder(HTMLParser):
     """Collects nodes. An end tag closes up to its nearest open match, an unmatched one is ignored,
     what is still open closes at the end of the page."""
 
-    PRE, POST, PARENT, LEVEL, SIB_ORD, TAG, CLS, STRING, START, END = range(10)
+    PRE, POST, PARENT, LEVEL, SIB_ORD, TAG, CLS, STRING, START, END, ONLY = range(11)
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -50,7 +50,7 @@ class _Shredder(HTMLParser):
         self.posts = self.chars = self.hidden = 0
         self.pieces: list[str] = []
         self.buffer: list[str] = []
-        # An open element: its row, children, elements among them, string of the last child.
+        # An open element: its row, children, elements among them, the node with the only string of the last child.
         self.stack: list[list] = []
         self.open_tags: Counter[str] = Counter()
         self._open("#document", ())
@@ -81,7 +81,7 @@ class _Shredder(HTMLParser):
                 self.values.append("" if value is None else value)
                 if key == "class" and value:
                     cls = " " + " ".join(value.split()) + " "
-        row = [len(self.rows) - self.first, -1, at, len(self.stack), sib_ord, tag, cls, None, self.chars, self.chars]
+        row = [len(self.rows) - self.first, -1, at, len(self.stack), sib_ord, tag, cls, None, self.chars, self.chars, None]
         self.rows.append(row)
         self.attr_ends.append(len(self.keys))
         self.stack.append([row, 0, 0, None])
@@ -90,12 +90,15 @@ class _Shredder(HTMLParser):
             self.hidden += 1
 
     def _close_top(self) -> None:
-        row, children, _, string = self.stack.pop()
+        row, children, _, holder = self.stack.pop()
         self.open_tags[row[self.TAG]] -= 1
         if row[self.TAG] in HIDDEN:
             self.hidden -= 1
-        only = string if children == 1 else None
-        row[self.STRING] = only
+        if isinstance(holder, str):  # a comment: its parent holds it
+            row[self.STRING] = holder if children == 1 else None
+            holder = row[self.PRE]
+        only = holder if children == 1 else None
+        row[self.ONLY] = only
         row[self.END] = self.chars
         row[self.POST] = self.posts
         self.posts += 1
@@ -116,10 +119,9 @@ class _Shredder(HTMLParser):
             return
         if data.isspace() and not data.strip(" \n\t\f\r"):
             data = "\n" if "\n" in data else " "
-        top[3] = data
+        top[3] = at = len(self.rows) - self.first
         end = self.chars + len(data)
-        self.rows.append([len(self.rows) - self.first, self.posts, top[0][0], len(self.stack), None, "#text", None,
-                          data, self.chars, end])
+        self.rows.append([at, self.posts, top[0][0], len(self.stack), None, "#text", None, data, self.chars, end, at])
         self.attr_ends.append(len(self.keys))
         self.posts += 1
         self.pieces.append(data)
@@ -154,10 +156,10 @@ class _Shredder(HTMLParser):
         self.stack[-1][3] = data
 
     def node_arrays(self) -> pa.StructArray:
-        columns = list(zip(*self.rows)) or [()] * 10
+        columns = list(zip(*self.rows)) or [()] * 11
         fields = {"attrs": pa.MapArray.from_arrays(
             pa.array(self.attr_ends, pa.int32()), pa.array(self.keys, pa.string()), pa.array(self.values, pa.string()))}
-        names = ("pre", "post", "parent", "level", "sib_ord", "tag", "cls", "string", "start", "end")
+        names = ("pre", "post", "parent", "level", "sib_ord", "tag", "cls", "string", "start", "end", "only")
         for name, values in zip(names, columns):
             kind = pa.string() if name in ("tag", "cls", "string") else pa.int32()
             fields[name] = pa.array(values, kind)
@@ -221,8 +223,12 @@ def shred(pages: DataFrame, html: str = "html", keep: Sequence[str] | None = Non
 
 
 def node_table(shredded: DataFrame, key: str = "page_id") -> DataFrame:
-    """One row per node: the ``dom_nodes`` table with the text of each element (B1)."""
-    return shredded.select(key, "text", F.explode("nodes").alias("n")).select(
+    """One row per node: the ``dom_nodes`` table with the text of each element (B1).
+
+    ``string`` is the only text of a node, at whatever depth it stands.
+    """
+    whole = F.transform("nodes", lambda n: n.withField("string", F.get(F.col("nodes"), n["only"])["string"]).dropFields("only"))
+    return shredded.select(key, "text", F.explode(whole).alias("n")).select(
         key, "n.*", F.expr("substring(text, n.start + 1, n.`end` - n.start)").alias("full_text"))
 
 

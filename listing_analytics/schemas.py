@@ -52,7 +52,10 @@ NODE = T.StructType([
     # Class names with one blank before, between and after them.
     T.StructField("cls", T.StringType()),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
+    # The text of a text node, or the comment that is all an element holds.
     T.StructField("string", T.StringType()),
+    # Where an element holds nothing but one text, at any depth: the node whose ``string`` that is.
+    T.StructField("only", T.IntegerType()),
     T.StructField("start", T.IntegerType()),
     T.StructField("end", T.IntegerType()),
 ])

@@ -169,7 +169,7 @@ def test_selection(spark):
     row = pages.select(
         nd.next_element(nodes, second)["tag"].alias("a"), nd.next_sibling(nodes, first_li)["attrs"]["class"].alias("b"),
         nd.next_sibling(nodes, second).isNull().alias("c"), nd.text_without(F.col("text"), second, nd.next_element(nodes, second)).alias("d"),
-        nd.next_element(nodes, second, nd.tag_is("p"))["string"].alias("e")).first()
+        nd.only_string(nd.next_element(nodes, second, nd.tag_is("p"))).alias("e")).first()
     assert tuple(row) == ("i", "b", True, "2", "3")
 
 
@@ -208,3 +208,13 @@ def test_slices_are_bounded_by_bytes(monkeypatch):
     monkeypatch.setattr(sh, "_SLICE_BYTES", 10)
     assert list(sh._slices(pa.array(["aaaa", None, "b" * 30, "c", "d"]))) == [(0, 3), (3, 2)]
     assert list(sh._slices(pa.array([], pa.string()))) == []
+
+
+def test_nodes_do_not_grow_with_depth():
+    from listing_analytics.operators.shred import _Shredder
+    stored = []
+    for depth in (1, 200):
+        shredder = _Shredder()
+        shredder.page("<div>" * depth + "x" * 100_000 + "</div>" * depth)
+        stored.append(sum(len(row[shredder.STRING] or "") for row in shredder.rows))
+    assert stored == [100_000, 100_000]
