@@ -176,6 +176,25 @@ def b19(spark, sf):
     return _records(spark, sf, rendered.w_product(), site_w(), "product")
 
 
+@query("B19_product_w_variants", f"""{_L} select 'product' as kind, name, category, main_business as shipped_from, vendor,
+    2::bigint as n_reviews from a where main_business = 'Digital'
+  union all select 'product', name, '', '', '', 0 from a where main_business = 'Physical'
+  union all select 'reject', name, 'review is incomplete', null, null, 0 from a where main_business = 'Other'""")
+def b19_variants(spark, sf):
+    """Missing cells blank their group, the name has a second place, a gate of zero means no reviews, an incomplete review
+    rejects the page."""
+    pages = store(rendered.pages_of(spark, sf, rendered.variants_w()).select("page_id", F.col("name").alias("page_name"), "html"), "pages")
+    tables = ex.run_extraction(pages.select("page_id", "html"), site_w(), scratch_path(spark, "extraction"))
+    reviews = tables["review"].groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None).cast("string")
+    products = tables["product"].join(reviews, "page_id", "left").select(
+        F.lit("product").alias("kind"), "name", "category", "shipped_from", "vendor", F.coalesce("n", F.lit(0)).alias("n_reviews"))
+    rejects = tables["rejects"].join(pages, "page_id").select(
+        F.lit("reject").alias("kind"), F.col("page_name").alias("name"), F.col("reason").alias("category"),
+        none.alias("shipped_from"), none.alias("vendor"), F.lit(0).cast("bigint").alias("n_reviews"))
+    return products.unionByName(rejects)
+
+
 @query("B20_product_n", f"""{_L} select name, main_business || ' ' || category || ' ' as category, 'img/' || category || '.png' as picture,
   'not-on-nexus' as sold_since, 'not-on-nexus' as sold_count, amount as price, 'CAD' as currency,
   'about ' || name || ' ©' as description, 'not-on-nexus' as shipped_from, 'not-on-nexus' as shipped_to, vendor,

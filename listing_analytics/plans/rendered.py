@@ -107,3 +107,13 @@ def mixed_w() -> Column:
 def mixed_n() -> Column:
     return (F.when(F.col("main_business") == "Digital", n_product())
             .when(F.col("main_business") == "Physical", n_vendor()).otherwise(n_missing()))
+
+
+def variants_w() -> Column:
+    """Product pages of site W: whole ones; ones without reviews, a labelled cell and the usual place of the name, with
+    end tags too many and too few; and ones with an incomplete review."""
+    bare = _page('<p id="desc_prod">x</b></p></td><h2 style="margin:0px;"><i> ', F.col("name"), " </h2>",
+                 "<table><tr><td>Product Class</td><td> ", F.col("category"), "</td></tr><tr><td>Ships to</td><td>",
+                 F.col("marketplace"), '</table></span><p class="boldstats">0 of 0')
+    return (F.when(F.col("main_business") == "Digital", w_product()).when(F.col("main_business") == "Physical", bare)
+            .otherwise(F.replace(w_product(), F.lit("<p>yesterday</p>"), F.lit(""))))
