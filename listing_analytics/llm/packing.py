@@ -34,7 +34,7 @@ SENTENCE_PENALTY = 16  # in tokens of padding
 INNER_PENALTY = 64
 INNER_STEP = 256  # places for cuts in a sentence longer than this
 STRETCH = 1 << 20  # tokens in memory before windows are given out
-TEXT_AT_ONCE = 1 << 19  # bytes
+TEXT_AT_ONCE = 1 << 21  # bytes
 REMEMBERED = 600_000  # words whose ids are kept
 _REMEMBER_EVERY = 8
 _MARKS = ".,!?#$%&*|"  # without the apostrophe, which may begin a token such as 's
@@ -119,26 +119,26 @@ class WordTokenizer:
         self.marks = {mark: self.marks.get(mark) or self._one(mark) for mark in set(marks)}
         return [next(latin) + self.marks[mark] if is_easy else next(others) for is_easy, mark in zip(easy, marks)]
 
-    def _remember(self, words: list[str], ids: list[bytes]) -> None:
+    def _remember(self, fresh: dict[str, bytes]) -> None:
         """Frequent words soon turn up in one of the batches that are remembered; rare ones leave with their generation."""
         if len(self.known) > REMEMBERED // 2:
             self.former, self.known = self.known, {"": b""}
-        self.known.update(zip(words, ids))
+        self.known.update(fresh)
 
     def encode(self, some: list[str]) -> list[np.ndarray]:
         split = [text.replace("\n", " ").split(" ") for text in some]
         words = list(chain.from_iterable(split))
         found = list(map(self.known.get, words))
-        unknown = [word for word, ids in zip(words, found) if ids is None]
-        ids = list(map(self.former.get, unknown))
-        asked = [word for word, known in zip(unknown, ids) if known is None]
-        answers = iter(self._ids(asked))
-        ids = [next(answers) if known is None else known for known in ids]
+        holes = [at for at, ids in enumerate(found) if ids is None]
+        fresh = dict.fromkeys([words[at] for at in holes])
+        fresh.update([(word, self.former[word]) for word in fresh if word in self.former])
+        asked = [word for word, ids in fresh.items() if ids is None]
+        fresh.update(zip(asked, self._ids(asked)))
         if self.calls % _REMEMBER_EVERY == 0 or len(self.known) < REMEMBERED // 8:
-            self._remember(unknown, ids)
+            self._remember(fresh)
         self.calls += 1
-        answers = iter(ids)
-        found = [next(answers) if known is None else known for known in found]
+        for at in holes:
+            found[at] = fresh[words[at]]
         ends = np.cumsum([len(line) for line in split]).tolist()
         return [np.frombuffer(b"".join(found[s:e]), dtype=self.kind) for s, e in zip([0, *ends], ends)]
 
