@@ -10,6 +10,7 @@ license" does not also count as the plain one.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -25,8 +26,8 @@ from listing_analytics.llm.registry import query
 # Phrases whose words are counted wherever they stand in a row, and their labels.
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
 
-# label, pattern of the name, pattern of the identifier, keywords (one of them occurs wherever a pattern can match a
-# text in which white space is single blanks). Special licenses stand before general ones.
+# label, pattern of the name, pattern of the identifier, keywords (every match of either pattern in a text in which white
+# space is single blanks contains one of them). Special licenses stand before general ones.
 _V = r",?\s+(?:version\s+|v\.?\s*)?"
 _CC = r"(?:creative\s+commons|cc)[\s-]+"
 LICENSES = [
@@ -44,15 +45,15 @@ LICENSES = [
     ("mit-0", r"mit\s+no\s+attribution(?:\s+license)?", r"mit-0", "mit no|mit-0"),
     ("mit", r"(?:mit|expat|x11)\s+license", r"(?:mit-licensed|(?<=identifier: )mit|(?<=license: )mit)",
      "mit license|mit-licensed|identifier: mit|license: mit|expat|x11"),
-    ("bsd-4-clause", r"(?:original|4[\s-]clause|four[\s-]clause)\s+bsd(?:\s+license)?", r"bsd[\s-]4(?:[\s-]clause)?", "bsd licen|bsd-|bsd 2|bsd 3|bsd 4|0bsd|clause bsd|new bsd|modified bsd|revised bsd|original bsd|simplified bsd|freebsd bsd|public bsd"),
-    ("bsd-3-clause", r"(?:new|modified|revised|3[\s-]clause|three[\s-]clause)\s+bsd(?:\s+license)?", r"bsd[\s-]3(?:[\s-]clause)?", "bsd licen|bsd-|bsd 2|bsd 3|bsd 4|0bsd|clause bsd|new bsd|modified bsd|revised bsd|original bsd|simplified bsd|freebsd bsd|public bsd"),
-    ("bsd-2-clause", r"(?:simplified|freebsd|2[\s-]clause|two[\s-]clause)\s+bsd(?:\s+license)?", r"bsd[\s-]2(?:[\s-]clause)?", "bsd licen|bsd-|bsd 2|bsd 3|bsd 4|0bsd|clause bsd|new bsd|modified bsd|revised bsd|original bsd|simplified bsd|freebsd bsd|public bsd"),
-    ("0bsd", r"(?:zero[\s-]clause|free\s+public)\s+bsd(?:\s+license)?", r"0bsd", "bsd licen|bsd-|bsd 2|bsd 3|bsd 4|0bsd|clause bsd|new bsd|modified bsd|revised bsd|original bsd|simplified bsd|freebsd bsd|public bsd"),
-    ("bsd", r"bsd(?:[\s-]style)?\s+license", r"bsd-licensed", "bsd licen|bsd-|bsd 2|bsd 3|bsd 4|0bsd|clause bsd|new bsd|modified bsd|revised bsd|original bsd|simplified bsd|freebsd bsd|public bsd"),
-    ("mpl-2.0", rf"mozilla\s+public\s+license(?:{_V}2(?:\.0)?)?", r"mpl[\s-]*v?2(?:\.0)?", "mozilla public|mpl-|mpl 1|mpl 2|mpl v|mpl1|mpl2"),
-    ("mpl-1.1", rf"mozilla\s+public\s+license{_V}1\.[01]", r"mpl[\s-]*v?1\.[01]", "mozilla public|mpl-|mpl 1|mpl 2|mpl v|mpl1|mpl2"),
-    ("epl-2.0", rf"eclipse\s+public\s+license(?:{_V}2(?:\.0)?)?", r"epl[\s-]*v?2(?:\.0)?", "eclipse public|epl-|epl 1|epl 2|epl v|epl1|epl2"),
-    ("epl-1.0", rf"eclipse\s+public\s+license{_V}1(?:\.0)?", r"epl[\s-]*v?1(?:\.0)?", "eclipse public|epl-|epl 1|epl 2|epl v|epl1|epl2"),
+    ("bsd-4-clause", r"(?:original|4[\s-]clause|four[\s-]clause)\s+bsd(?:\s+license)?", r"bsd[\s-]4(?:[\s-]clause)?", "bsd"),
+    ("bsd-3-clause", r"(?:new|modified|revised|3[\s-]clause|three[\s-]clause)\s+bsd(?:\s+license)?", r"bsd[\s-]3(?:[\s-]clause)?", "bsd"),
+    ("bsd-2-clause", r"(?:simplified|freebsd|2[\s-]clause|two[\s-]clause)\s+bsd(?:\s+license)?", r"bsd[\s-]2(?:[\s-]clause)?", "bsd"),
+    ("0bsd", r"(?:zero[\s-]clause|free\s+public)\s+bsd(?:\s+license)?", r"0bsd", "bsd"),
+    ("bsd", r"bsd(?:[\s-]style)?\s+license", r"bsd-licensed", "bsd"),
+    ("mpl-2.0", rf"mozilla\s+public\s+license(?:{_V}2(?:\.0)?)?", r"mpl[\s-]*v?2(?:\.0)?", "mozilla public|mpl-|mpl |mplv|mpl1|mpl2"),
+    ("mpl-1.1", rf"mozilla\s+public\s+license{_V}1\.[01]", r"mpl[\s-]*v?1\.[01]", "mozilla public|mpl-|mpl |mplv|mpl1|mpl2"),
+    ("epl-2.0", rf"eclipse\s+public\s+license(?:{_V}2(?:\.0)?)?", r"epl[\s-]*v?2(?:\.0)?", "eclipse public|epl-|epl |eplv|epl1|epl2"),
+    ("epl-1.0", rf"eclipse\s+public\s+license{_V}1(?:\.0)?", r"epl[\s-]*v?1(?:\.0)?", "eclipse public|epl-|epl |eplv|epl1|epl2"),
     ("cddl", rf"common\s+development\s+and\s+distribution\s+license(?:{_V}1\.[01])?", r"cddl(?:-1\.[01])?", "development and distribution|cddl"),
     ("cpl-1.0", r"common\s+public\s+license(?:,?\s+version\s+1\.0)?", r"cpl-1\.0", "common public|cpl-"),
     ("eupl", rf"european\s+union\s+public\s+licen[cs]e(?:{_V}1\.[0-2])?", r"eupl(?:-1\.[0-2])?", "european|eupl"),
@@ -69,13 +70,13 @@ LICENSES = [
     ("ms-rl", r"microsoft\s+reciprocal\s+license", r"ms-rl", "microsoft|ms-rl"),
     ("ofl-1.1", rf"(?:sil\s+)?open\s+font\s+license(?:{_V}1\.[01])?", r"ofl(?:-1\.[01])", "font license|ofl-"),
     ("odbl", rf"open\s+(?:data\s+commons\s+open\s+)?database\s+license(?:{_V}1\.0)?", r"odbl(?:-1\.0)?", "database license|odbl"),
-    ("cc0-1.0", rf"{_CC}(?:zero|0)(?:\s+1\.0)?(?:\s+universal)?", r"cc0(?:-1\.0)?", "commons zero|cc zero|cc0|cc-0"),
-    ("cc-by-nc-nd", rf"{_CC}attribution[\s-]+non-?commercial[\s-]+no-?deriv(?:ative)?s?", r"cc[\s-]by[\s-]nc[\s-]nd(?:[\s-][1-4]\.[05])?", "creative|cc by|cc-by|cc attribution"),
-    ("cc-by-nc-sa", rf"{_CC}attribution[\s-]+non-?commercial[\s-]+share-?alike", r"cc[\s-]by[\s-]nc[\s-]sa(?:[\s-][1-4]\.[05])?", "creative|cc by|cc-by|cc attribution"),
-    ("cc-by-nc", rf"{_CC}attribution[\s-]+non-?commercial", r"cc[\s-]by[\s-]nc(?:[\s-][1-4]\.[05])?", "creative|cc by|cc-by|cc attribution"),
-    ("cc-by-nd", rf"{_CC}attribution[\s-]+no-?deriv(?:ative)?s?", r"cc[\s-]by[\s-]nd(?:[\s-][1-4]\.[05])?", "creative|cc by|cc-by|cc attribution"),
-    ("cc-by-sa", rf"{_CC}attribution[\s-]+share-?alike", r"cc[\s-]by[\s-]sa(?:[\s-][1-4]\.[05])?", "creative|cc by|cc-by|cc attribution"),
-    ("cc-by", rf"{_CC}attribution(?:\s+license)?", r"cc[\s-]by(?:[\s-][1-4]\.[05])?", "creative|cc by|cc-by|cc attribution"),
+    ("cc0-1.0", rf"{_CC}(?:zero|0)(?:\s+1\.0)?(?:\s+universal)?", r"cc0(?:-1\.0)?", "creative|cc0|cc |cc-"),
+    ("cc-by-nc-nd", rf"{_CC}attribution[\s-]+non-?commercial[\s-]+no-?deriv(?:ative)?s?", r"cc[\s-]by[\s-]nc[\s-]nd(?:[\s-][1-4]\.[05])?", "creative|cc |cc-"),
+    ("cc-by-nc-sa", rf"{_CC}attribution[\s-]+non-?commercial[\s-]+share-?alike", r"cc[\s-]by[\s-]nc[\s-]sa(?:[\s-][1-4]\.[05])?", "creative|cc |cc-"),
+    ("cc-by-nc", rf"{_CC}attribution[\s-]+non-?commercial", r"cc[\s-]by[\s-]nc(?:[\s-][1-4]\.[05])?", "creative|cc |cc-"),
+    ("cc-by-nd", rf"{_CC}attribution[\s-]+no-?deriv(?:ative)?s?", r"cc[\s-]by[\s-]nd(?:[\s-][1-4]\.[05])?", "creative|cc |cc-"),
+    ("cc-by-sa", rf"{_CC}attribution[\s-]+share-?alike", r"cc[\s-]by[\s-]sa(?:[\s-][1-4]\.[05])?", "creative|cc |cc-"),
+    ("cc-by", rf"{_CC}attribution(?:\s+license)?", r"cc[\s-]by(?:[\s-][1-4]\.[05])?", "creative|cc |cc-"),
     ("public-domain", r"(?:dedicated\s+to|released\s+into|placed\s+in)\s+the\s+public\s+domain", r"public-domain", "public domain|public-domain"),
     ("all-rights-reserved", r"all\s+rights\s+reserved", r"\(c\)\s+all\s+rights", "rights reserved|all rights"),
 ]
@@ -118,20 +119,38 @@ def rules() -> tuple[list[Rule], ahocorasick.Automaton]:
     return made, automaton
 
 
+_RUN = re.compile(r"\s\s+")
+
+
+def _offsets(text: str, places: list[int]) -> list[int]:
+    """Where characters of the text with single blanks stand in ``text`` itself."""
+    begin = len(text) - len(text.lstrip())
+    at, gone = [0], [begin]  # from position at[i] of the plain text on, gone[i] characters of the text are missing
+    for run in _RUN.finditer(text, begin):
+        at.append(run.start() - gone[-1] + 1)
+        gone.append(gone[-1] + run.end() - run.start() - 1)
+    return [place + gone[bisect_right(at, place) - 1] for place in places]
+
+
 def detections(text: str) -> list[tuple[int, int, Rule]]:
     """(start, end, rule) of what remains in a lower-cased text, by priority.
 
+    Keywords and patterns read the text with each run of white space as one blank; places are those in the text itself.
     Of rules that find the same place the first in order stays; so does the outer one where it comes first.
     """
     made, automaton = rules()
+    plain = " ".join(text.split())
     kept: list[tuple[int, int, Rule]] = []
-    for number in sorted({k for _, numbers in automaton.iter(text) for k in numbers}):
+    for number in sorted({k for _, numbers in automaton.iter(plain) for k in numbers}):
         rule = made[number]
-        for hit in rule.pattern.finditer(text):
+        for hit in rule.pattern.finditer(plain):
             start, end = hit.span()
             if not any(s <= start and end <= e for s, e, _ in kept):
                 kept.append((start, end, rule))
-    return kept
+    if not kept or len(plain) == len(text):
+        return kept
+    starts, lasts = _offsets(text, [s for s, _, _ in kept]), _offsets(text, [e - 1 for _, e, _ in kept])
+    return [(start, last + 1, rule) for start, last, (_, _, rule) in zip(starts, lasts, kept)]
 
 
 # Words are runs of 0-9, a-z (after lower-casing A-Z) and whatever is not ASCII; the rest separates them.

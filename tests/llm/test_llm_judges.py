@@ -175,6 +175,65 @@ def test_license_rules(text, labels):
     assert len(license_rules.rules()[0]) == len(license_rules.LICENSES) * len(license_rules.CONTEXTS)
 
 
+def written(pattern, rng):
+    """A text that the parsed pattern matches, at least without its look-arounds."""
+    out = ""
+    for op, arg in pattern:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            out += rng.choice([" ", "\n  ", "\r\n", "  ", "-"] if any(str(v) == "CATEGORY_SPACE" for _, v in arg) and len(arg) > 1
+                              else [" ", " \n ", "\xa0"] if any(str(v) == "CATEGORY_SPACE" for _, v in arg)
+                              else ["fun"] if any(str(v) == "CATEGORY_WORD" for _, v in arg)
+                              else [chr(c) for k, v in arg for c in ([v] if str(k) == "LITERAL" else range(v[0], v[1] + 1))])
+        elif name == "MAX_REPEAT":
+            low, high, body = arg
+            out += "".join(written(body, rng) for _ in range(rng.randint(low, min(high, low + 1))))
+        elif name == "SUBPATTERN":
+            out += written(arg[3], rng)
+        elif name == "BRANCH":
+            out += written(rng.choice(arg[1]), rng)
+        elif name == "ASSERT" and arg[0] < 0:
+            out += written(arg[1], rng)
+        else:
+            assert name in ("ASSERT_NOT",), name
+    return out
+
+
+def ungated(text):
+    """Detections of all rules on the text with single blanks, placed character by character."""
+    place = [i for i, c in enumerate(text) if not c.isspace() or i and not text[i - 1].isspace()]
+    while place and text[place[-1]].isspace():
+        place.pop()
+    plain = "".join(" " if text[i].isspace() else text[i] for i in place)
+    kept = []
+    for rule in license_rules.rules()[0]:
+        for hit in rule.pattern.finditer(plain):
+            if not any(s <= hit.start() and hit.end() <= e for s, e, _ in kept):
+                kept.append((*hit.span(), rule))
+    return [(place[s], place[e - 1] + 1, rule) for s, e, rule in kept]
+
+
+def test_keywords_drop_no_detection():
+    rng, matched = random.Random(8), Counter()
+    for rule in license_rules.rules()[0]:
+        parsed = re._parser.parse(rule.pattern.pattern)
+        for _ in range(12):
+            text = rng.choice(["", "\n  ", "see  the\t"]) + written(parsed, rng) + rng.choice(["", " \n", ".  end"])
+            found = license_rules.detections(text)
+            assert found == ungated(text), text
+            matched[rule.priority] += bool(found)
+    assert len(matched) == len(license_rules.rules()[0]) and min(matched.values()) > 0
+
+
+@pytest.mark.parametrize("text, spans", [
+    ("  see mozilla\n public license.", ["mpl-2.0:6-29"]), ("GNU Lesser\r\n General Public License", ["lgpl-2.1:0-35"]),
+    ("a BSD style license", ["bsd:2-19"]), ("MPLv2", ["mpl-2.0:0-5"]), ("creative commons-zero", ["cc0-1.0:0-21"]), ("x\n\ncc - 0", ["cc0-1.0:3-9"])])
+def test_wrapped_and_spelled_licenses(text, spans):
+    assert license_rules.scan_text(text.encode())[-1] == spans
+
+
 def test_discriminant_against_plain_formulas():
     rng = np.random.default_rng(3)
     x = [rng.normal(size=(400, quality_qda.D)), rng.normal(size=(900, quality_qda.D)) * 1.5 + 0.4]
