@@ -24,6 +24,7 @@ from listing_analytics.llm.registry import query
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 REMEMBERED = 700_000
+LONGEST_REMEMBERED = 48  # characters; longer stretches are encoded each time, so what is remembered is bounded in bytes
 
 
 class Pieces:
@@ -148,14 +149,20 @@ class Pieces:
 
     def _learn(self, part: str) -> bytes:
         ids = self.known.get(part) or self.former.get(part)
-        if ids is None and len(part) > 1 and part[0] != "\n" and " " not in part[-2:] and part[-2:] not in self.joined:
-            ids = self._learn(part[:-1]) + self._learn("\n" + part[-1])[self.line_end:]
-        elif ids is None:
-            escaped = part if part[:1] == "\n" else SPACE + part.replace(" ", SPACE)
-            ids = np.fromiter(self.stream(escaped), dtype=self.kind).tobytes()
-        if len(self.known) > REMEMBERED // 2:
-            self.former, self.known = self.known, {}
-        self.known[part] = ids
+        if ids is None:
+            # No piece holds two characters that are not joined in any: what follows such a place is cut off one by one.
+            end = len(part)
+            while end > 1 and part[0] != "\n" and " " not in part[end - 2:end] and part[end - 2:end] not in self.joined:
+                end -= 1
+            if end < len(part):
+                ids = self._learn(part[:end]) + b"".join([self._learn("\n" + char)[self.line_end:] for char in part[end:]])
+            else:
+                escaped = part if part[:1] == "\n" else SPACE + part.replace(" ", SPACE)
+                ids = np.fromiter(self.stream(escaped), dtype=self.kind).tobytes()
+        if len(part) <= LONGEST_REMEMBERED:
+            if len(self.known) > REMEMBERED // 2:
+                self.former, self.known = self.known, {}
+            self.known[part] = ids
         return ids
 
     def decode(self, ids: np.ndarray) -> bytes:

@@ -86,6 +86,17 @@ def test_window_commits_early(model_path):
     assert first == next(model.stream("internationalization" * 400)) and max(read) < 500
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789", "漢字日本語中文国的是", "0a1b漢", "🙂🙃é"])
+def test_long_runs_without_blanks(model_path, alphabet):
+    model, rng = sentence_pieces.Pieces(model_path), random.Random(9)
+    text = "".join(rng.choices(alphabet, k=100_000))
+    for whole in (text, "see " + text + "th of\n" + text[:5000] + " x", "\n" + text):
+        ids = model.encode(whole)
+        assert model.decode(ids).decode() == whole
+        assert ids.tolist() == list(model.stream("▁" + whole.replace(" ", "▁")))
+    assert max(map(len, [*model.known, *model.former])) <= sentence_pieces.LONGEST_REMEMBERED
+
+
 def test_encode_frames(spark):
     rows = [(1, "Hello  world\n x", "n"), (2, None, "n"), (3, "", None), (None, "tail ", "n"), (1, "Hello  world\n x", "n"), (4, "a b " * 50000, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, ids string")
