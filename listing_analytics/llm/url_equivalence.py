@@ -7,10 +7,15 @@ components of the link edges, found by Spark rounds over the edges (``components
 
 from __future__ import annotations
 
+import html as html_text
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listing_analytics.llm.common import store, table
+from listing_analytics.llm.common import prepare, store, table
 from listing_analytics.llm.components import components
 from listing_analytics.llm.registry import query
 
@@ -51,19 +56,92 @@ def canonical_key(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.concat(bare, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise("")))
 
 
+_URL = re.compile(r"(?s)(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?")
+_ATTRIBUTE = re.compile(r"""(?s)([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
+_REFRESH = re.compile(r"""(?is)\s*[\d.]*\s*[;,]?\s*(?:url\s*=\s*)?(?:"([^"]*)|'([^']*)|(.*))""")
+
+
+def _without_dots(path: str) -> str:
+    """RFC 3986, 5.2.4."""
+    out: list[str] = []
+    parts = path.split("/")
+    for number, part in enumerate(parts):
+        if part in (".", ".."):
+            if part == ".." and len(out) > (path[:1] == "/"):
+                out.pop()
+            if number == len(parts) - 1:
+                out.append("")
+        else:
+            out.append(part)
+    return "/".join(out)
+
+
+def resolve(base: str, reference: str) -> str | None:
+    """The URL that a reference on a page names (RFC 3986, 5.2); null if it is none with a host.
+
+    A reference with the base's own scheme and no host counts as relative, as in browsers.
+    """
+    scheme, has_host, rest = base.strip().partition("://")
+    authority, path, search = re.match(r"(?s)([^/?#]*)([^?#]*)(?:\?([^#]*))?", rest).groups()
+    to_scheme, to_authority, to_path, to_search, to_fragment = _URL.match(reference).groups()
+    if to_scheme is not None and to_authority is None and to_scheme.lower() == scheme.lower():
+        to_scheme = None
+    if to_scheme is not None and to_authority is None or to_scheme is None and not has_host:
+        return None
+    if to_authority is not None:
+        scheme, authority, path, search = to_scheme or scheme, to_authority, _without_dots(to_path), to_search
+    elif to_path:
+        path = _without_dots(to_path if to_path[0] == "/" else (path[:path.rfind("/") + 1] or "/") + to_path)
+        search = to_search
+    elif to_search is not None:
+        search = to_search
+    return (f"{scheme}://{authority}{path}" + ("" if search is None else f"?{search}")
+            + ("" if to_fragment is None else f"#{to_fragment}"))
+
+
+def _attributes(tag: str) -> dict[str, str]:
+    """Attributes of a tag, entities decoded; of repeated names the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(tag, 5):
+        found.setdefault(name.lower(), re.sub(r"[\t\n\r]", "", html_text.unescape("".join(values))).strip())
+    return found
+
+
+def targets(url: str, tags: list[str]) -> list[str]:
+    """Targets of the canonical links and refreshes among a page's link, meta and base tags."""
+    base, named = None, []
+    for tag in tags:
+        has = _attributes(tag)
+        kind = tag[1:5].lower()
+        if kind == "base":
+            base = has.get("href") if base is None else base
+        elif kind == "link" and "canonical" in has.get("rel", "").lower().split():
+            named.append(has.get("href", ""))
+        elif kind == "meta" and has.get("http-equiv", "").lower() == "refresh":
+            named.append("".join(v or "" for v in _REFRESH.match(has.get("content", "")).groups()).strip())
+    start = resolve(url, base) or url if base else url
+    return [t for t in (resolve(start, n) for n in named if n) if t]
+
+
+def _targets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = [(url, to) for url, tags in zip(*(c.to_pylist() for c in batch.columns)) for to in targets(url, tags)]
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.string()) for k in (0, 1)], ["source", "target"])
+
+
 def declared_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(source, target) URLs of canonical links and of refreshes in the pages; a target without a host is on the page's."""
+    """(source, target) URLs of canonical links and of refreshes in the pages.
+
+    Targets are resolved against the page's URL or its first base tag after decoding entities. Only the tags of pages
+    that may declare a link leave Spark.
+    """
+    prepare(pages.sparkSession)
     html = F.coalesce(F.col(html_col), F.lit(""))
-    tags = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
-    useful = F.filter(tags, lambda t: F.rlike(t, F.lit(r"(?is)rel\s*=\s*[\"']?[^\"'>]*\bcanonical\b|http-equiv\s*=\s*[\"']?refresh")))
-    found = pages.select(F.col(url_col).alias("source"), F.explode(useful).alias("_tag")).select(
-        "source", F.trim(F.coalesce(F.nullif(F.regexp_extract("_tag", r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1), F.lit("")),
-                                    F.regexp_extract("_tag", r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1))).alias("_to"))
-    scheme = F.regexp_extract("source", r"^(.*?://)", 1)
-    target = (F.when(F.contains("_to", F.lit("://")), F.col("_to"))
-              .when(F.startswith("_to", F.lit("//")), F.concat(F.regexp_replace(scheme, "//$", ""), F.col("_to")))
-              .when(F.startswith("_to", F.lit("/")), F.concat(scheme, host(F.col("source")), F.col("_to"))))
-    return found.select("source", target.alias("target")).filter("target is not null and source is not null")
+    tags = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta|base)\b[^>]*>"), F.lit(0))
+    # Letters of the two words may themselves be entities.
+    useful = lambda t: F.rlike(t, F.lit(r"(?is)canonical|refresh|&"))
+    found = pages.select(F.col(url_col).alias("source"), tags.alias("tags")).filter(F.col("source").isNotNull() & F.exists("tags", useful))
+    return found.mapInArrow(_targets, "source string, target string")
 
 
 def judge(pages: DataFrame, links: DataFrame | None = None, rules: list[tuple[str, str, str]] = RULES,

@@ -53,6 +53,32 @@ def test_url_rules_and_aliases(spark):
     assert url_equivalence.judge(spark.createDataFrame([], PAGE_SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("reference, want", [
+    ("g", "http://a/b/c/g"), ("./g/", "http://a/b/c/g/"), ("/g", "http://a/g"), ("//g", "http://g"), ("?y", "http://a/b/c/d;p?y"), ("g?y/./x", "http://a/b/c/g?y/./x"),
+    ("#s", "http://a/b/c/d;p?q#s"), ("..", "http://a/b/"), ("../../../g", "http://a/g"), ("g;x=1/../y", "http://a/b/c/y"), ("/./g", "http://a/g"), (".", "http://a/b/c/"),
+    ("HTTP:g", "http://a/b/c/g"), ("mailto:x@y", None), ("login?next=http://z/", "http://a/b/c/login?next=http://z/"), ("https://z/x/../y", "https://z/y")])
+def test_references(reference, want):
+    assert url_equivalence.resolve("http://a/b/c/d;p?q", reference) == want
+
+
+RELATIVE = [
+    (1, "http://p.com/de/a/b.html", "<link rel=canonical href=../../plain/x>", "block"), (2, "http://p.com/plain/x", "", "block"),
+    (3, "http://q.net/s/t?id=1", "<link rel='canonical' href='?id=2'>", "block"), (4, "http://q.net/s/t?id=2", "<meta content='0; url=next.html' http-equiv=Refresh>", "block"),
+    (5, "http://q.net/s/next.html", "<base href=http://o.com/de/><link href='c' rel='x CANONICAL'>", "block"),
+    (6, "http://u.net/", "<link rel=canonical href=/a?x=1&amp;y=2>", "block"), (7, "http://u.net/a?x=1&y=2", "<meta http-equiv=refresh content=\"1;URL='http://v.com/de/'\">", "block"),
+    (8, "http://w.net/d", "<link rel=canonical href='go?to=http://v.com/de/'>", "allow"), (9, "http://w.net/go?to=http://v.com/de/", None, "allow"),
+    (10, "http://example.org/en/1/x/", "<link rel=canonical href=../../../home/>", "block"), (11, "http://example.org/home", "", "allow"),
+    (12, "http://w.net/e", "<link rel=alternate href=http://v.com/de/ title=canonical><meta http-equiv=refresh content=5><link rel=canonical href=''>", "allow")]
+
+
+def test_relative_links(spark):
+    got = {r.page_id: r for r in url_equivalence.judge(spark.createDataFrame(RELATIVE, PAGE_SCHEMA)).collect()}
+    assert {i: r.verdict for i, r in got.items()} == {i: v for i, _, _, v in RELATIVE}
+    for some in ((1, 2), (3, 4, 5), (6, 7), (8, 9), (10, 11)):
+        assert len({got[i].alias_of for i in some}) == 1
+    assert url_equivalence.declared_links(spark.createDataFrame(RELATIVE[11:], PAGE_SCHEMA)).count() == 0
+
+
 def test_sql_of_awkward_pages(spark):
     db = duckdb.connect()
     db.execute("create table pages (page_id bigint, url varchar, html varchar)")
