@@ -37,7 +37,11 @@ def signatures(text: Column, anchors: list[str] = ANCHORS, chain: int = CHAIN) -
     """
     words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     anchor = "(?:" + "|".join(sorted(set(anchors))) + ")"
-    glued = F.regexp_replace(words, rf"(?<= )(?:{anchor} ){{0,20}}({anchor}) (?=[^ ])(?!{anchor} )", "$1:")
+    # The last anchor of a run is glued first; whatever anchors are left in front of a glued one go, one match each, so
+    # that runs of any length need no stack. Those behind the last glued one end the text and stay.
+    marked = F.regexp_replace(words, rf"(?<= )({anchor}) (?=[^ ])(?!{anchor} )", "$1:")
+    glued = let(marked, lambda m: let(F.substring_index(m, ":", -1), lambda tail: F.concat(
+        F.regexp_replace(F.substring(m, F.lit(1), F.length(m) - F.length(tail)), rf"(?<= ){anchor} ", ""), tail)))
     spots = F.regexp_extract_all(glued, F.lit(rf"(?<= )(?=([^ :]+:[^ ]+(?: [^ ]+){{0,{chain - 1}}} ))"), F.lit(1))
     found = let(spots, lambda some: F.when(F.size(some) > 0, some).otherwise(F.array(words)))
     return F.sort_array(F.array_distinct(F.transform(found, lambda spot: F.xxhash64(F.regexp_replace(spot, " [^ :]+:", " ")))))

@@ -125,6 +125,17 @@ def test_signatures(spark):
             assert {h % (1 << 64) for h in got[i]} == hashes
 
 
+def test_signatures_of_long_anchor_runs(spark):
+    texts = ["of dog " + "the " * n + end for n in (1, 2, 20, 21, 22, 50, 100_000) for end in ("cat", "cat of the", "")] + ["the " * 50, "the " * 50 + "cat"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: r.s for r in rows.select("i", spotsigs.signatures(F.col("text")).alias("s")).collect()}
+    for i, text in enumerate(texts):
+        want = brute_signatures(text)
+        assert len(got[i]) == (len(want) if want else 1)
+        if want:
+            assert {h % (1 << 64) for h in got[i]} == {xxhash.xxh64_intdigest(s.encode(), 42) for s in want}
+
+
 @pytest.mark.parametrize("per_bucket", [1, 3, 1000])
 def test_fingerprints_and_edits(spark, monkeypatch, per_bucket):
     monkeypatch.setattr(spotsigs, "ROWS_PER_BUCKET", per_bucket)
