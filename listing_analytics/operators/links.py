@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from listing_analytics.functions.urls import authority, resolve_links, url_key
 from listing_analytics.operators.clean import dedup_keep_first
-from listing_analytics.session import discard, scratch_path, ship_package
+from listing_analytics.operators.order import ROW_IN_PART, part_starts, place, store_in_order
+from listing_analytics.operators.visited import VisitedRuns
+from listing_analytics.session import scratch_path, ship_package
 
 
 def resolved_links(shredded: DataFrame, url: str = "url") -> DataFrame:
@@ -81,41 +81,63 @@ def requeue_challenged(waiting: DataFrame, challenged: DataFrame) -> DataFrame:
     return requeue(waiting, challenged.filter(F.col("queue_round") == 0).select(*waiting.columns))
 
 
-def hop_levels(links: DataFrame, seeds: DataFrame, max_hops: int | None = None) -> DataFrame:
-    """Breadth-first distance of every reachable page from the seeds.
+def hop_levels(links: DataFrame, seeds: DataFrame, max_hops: int | None = None, order: str | None = None,
+               seed_order: str | None = None, visited: DataFrame | None = None) -> DataFrame:
+    """Breadth-first search from the seeds (C7): (url_hash, level, position) of every page it reaches.
 
-    ``links`` has (src_hash, dst_hash), ``seeds`` url_hash. The search goes on until no new page turns up; with
-    ``max_hops`` it raises when pages further away are left. The edges are bucketed by source once, so a hop shuffles
-    only its frontier; levels are written to the shared folder and the bucketed edges are deleted at the end.
+    ``links`` has (src_hash, dst_hash) and, named by ``order``, the place of a link on its page; ``seeds`` has url_hash and
+    maybe ``seed_order``. Pages queue up first seen, first served: ``position`` (0, 1, 2, ...) follows the position of the
+    first page that links there, then the place of the link, then the key. Pages in ``visited`` (url_hash) are neither
+    listed nor followed. Null ends are ignored. The search goes on until no new page turns up; with ``max_hops`` it raises
+    when pages further away are left.
+
+    Links are hashed by source once and visited pages lie in levelled runs, so a hop shuffles only its frontier and
+    its candidates, which are combined per task first. Positions are prefix sums of counts per partition.
     """
     spark = links.sparkSession
-    name, edge_path, level_path = f"edges_{uuid.uuid4().hex}", scratch_path(spark, "edges"), scratch_path(spark, "levels")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (links.select("src_hash", "dst_hash").filter("dst_hash is not null").repartition(buckets, "src_hash")
-     .write.bucketBy(buckets, "src_hash").sortBy("src_hash").option("path", edge_path).saveAsTable(name))
-    schema = T.StructType([T.StructField("url_hash", links.schema["src_hash"].dataType), T.StructField("level", T.IntegerType())])
-    found = lambda path: spark.read.schema(schema).option("basePath", level_path).parquet(path)
-    level, fresh = 0, seeds.select("url_hash").distinct()
-    while True:
-        here = f"{level_path}/level={level}"
-        fresh.write.parquet(here)
-        if found(here).isEmpty():
-            break
-        if max_hops is not None and level > max_hops:
-            raise ValueError(f"pages more than {max_hops} hops away are left")
-        frontier_pages = found(here).select(F.col("url_hash").alias("src_hash"))
-        step = spark.table(name).join(frontier_pages, "src_hash", "left_semi")
-        fresh = step.select(F.col("dst_hash").alias("url_hash")).distinct().join(
-            found(level_path).select("url_hash"), "url_hash", "left_anti")
-        level += 1
-    spark.sql(f"drop table {name}")
-    discard(spark, edge_path)
-    return found(level_path)
-
-
-def budget(levels: DataFrame, n: int, key: str = "url_hash") -> DataFrame:
-    """Pages of one session: nearest first, ``n`` at most, which is the feature."""
-    return levels.orderBy("level", key).limit(n)
+    level_path = scratch_path(spark, "levels")
+    level, start, starts = 0, 0, []
+    with VisitedRuns(spark) as runs:
+        # A link that a page repeats counts where it comes first.
+        dealt = links.filter("src_hash is not null and dst_hash is not null").select(
+            "src_hash", "dst_hash", (F.col(order) if order else F.lit(0)).alias("ord")).repartition(runs.buckets, "src_hash")
+        name, _ = runs.hashed(dealt.groupBy("src_hash", "dst_hash").agg(F.min("ord").alias("ord")), "src_hash", name="edges")
+        if visited is not None:
+            runs.add(visited.filter("url_hash is not null").select("url_hash").distinct())
+        fresh = seeds.filter("url_hash is not null").groupBy("url_hash").agg(
+            F.lit(0).cast("long").alias("parent"), F.min(seed_order or F.lit(0)).alias("ord"))
+        while True:
+            found = runs.add(runs.missing(fresh, "parent"), dealt=True)
+            path, counts = store_in_order(found.select("url_hash", "parent", "ord"), "parent", "ord", "url_hash",
+                                          path=f"{level_path}/level={level}")
+            runs.release()
+            if not counts:
+                break
+            if max_hops is not None and level > max_hops:
+                raise ValueError(f"pages more than {max_hops} hops away are left")
+            begins = part_starts(counts, start)
+            starts += [(level, part, before) for part, before in begins]
+            frontier_pages = spark.read.schema(f"url_hash {_kind(links)}, row_id long").parquet(path).select(
+                F.col("url_hash").alias("src_hash"), place(begins).alias("position"))
+            step = spark.table(name).join(frontier_pages, "src_hash")
+            # A page links to another once, so the least position also has the link's place.
+            fresh = step.groupBy(F.col("dst_hash").alias("url_hash")).agg(
+                F.min("position").alias("parent"), F.min_by("ord", "position").alias("ord"))
+            level, start = level + 1, start + sum(n for _, n in counts)
+    # One row per partition of a level that has pages.
+    offsets = spark.createDataFrame(starts, "level int, part long, before long")
+    pages = spark.read.schema(f"url_hash {_kind(links)}, row_id long, level int").parquet(level_path)
+    return (pages.withColumn("part", F.shiftright("row_id", 33)).join(F.broadcast(offsets), ["level", "part"])
+            .select("url_hash", "level", (F.col("before") + F.col("row_id").bitwiseAND(F.lit(ROW_IN_PART))).alias("position")))
+
+
+def _kind(links: DataFrame) -> str:
+    return links.schema["src_hash"].dataType.simpleString()
+
+
+def budget(levels: DataFrame, n: int) -> DataFrame:
+    """Pages of one session: the first ``n`` of the queue, which is the feature (C8). Narrow: positions have no gaps."""
+    return levels.filter(F.col("position") < n)
 
 
 def extension(content_type: Column) -> Column:

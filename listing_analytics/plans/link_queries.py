@@ -12,7 +12,7 @@ from listing_analytics.operators.shred import shred
 from listing_analytics.plans import roles
 from listing_analytics.plans.registry import query
 from listing_analytics.plans.roles import LISTING_SQL, table
-from listing_analytics.session import scratch_path, store
+from listing_analytics.session import store
 from listing_analytics.sources import sinks
 
 # Every link of the test pages starts at the root of its own host.
@@ -21,13 +21,22 @@ _LINKS_SQL = """l as (select page_id, url, unnest(regexp_extract_all(html, '<a h
 _EDGES_SQL = f"""{_LINKS_SQL}, e as (select distinct md5(url) as src_hash, url as src_url, md5(target) as dst_hash,
   target as dst_url from t)"""
 
-# The graph of vendors and the products they list, in both directions. Nothing is 12 hops away; the
-# bound only ends the recursion, which would go round in circles.
-_GRAPH_SQL = f"""{LISTING_SQL}, g as (select distinct md5('v:' || vendor) as src, md5('p:' || name) as dst from listing
-    union select distinct md5('p:' || name), md5('v:' || vendor) from listing),
+# The graph of vendors and the products they list, in both directions; a page's links are in the order of the listings'
+# lines. Nothing is 12 hops away; the bound only ends the recursion, which would go round in circles. A page is queued by
+# the place of the first page that links to it, then by the place of that link.
+_LINE_SQL = "cast(l_orderkey * 8 + l_linenumber as bigint) as line"
+_GRAPH_SQL = f"""{LISTING_SQL.replace("as main_business", f"as main_business, {_LINE_SQL}")},
+  g as (select md5('v:' || vendor) as src, md5('p:' || name) as dst, min(line) as ord from listing group by 1, 2
+    union all select md5('p:' || name), md5('v:' || vendor), min(line) from listing group by 1, 2),
   w as (select src, level from (select md5('v:' || min(vendor)) as src, 0 as level from listing) s
     union select g.dst, level + 1 from w join g on g.src = w.src where level < 12),
-  h as (select src as url_hash, min(level) as level from w group by 1)"""
+  h as (select src as url_hash, min(level) as level from w group by 1),
+  b as (select level, sum(count(*)) over (order by level) as before from h group by 1),
+  q as (select url_hash, level, 0::bigint as position from h where level = 0
+    union all select dst, level + 1, cast(before + row_number() over (order by parent, ord, dst) - 1 as bigint)
+    from (select g.dst, q.level, any_value(b.before) as before, min(q.position) as parent, arg_min(g.ord, q.position) as ord
+          from q join g on g.src = q.url_hash join h on h.url_hash = g.dst and h.level = q.level + 1 join b on b.level = q.level
+          group by 1, 2))"""
 
 
 def _linked(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,13 +68,13 @@ def c4(spark, sf):
 
 
 def _vendor_graph(spark: SparkSession, sf: str) -> DataFrame:
-    rows = roles.listing(spark, sf).select(
-        F.concat(F.lit("v:"), "vendor").alias("v"), F.concat(F.lit("p:"), "name").alias("p"), "price_usd")
-    both = rows.select(F.inline(F.array(
+    rows = roles.listing(spark, sf, F.expr(_LINE_SQL)).select(
+        F.concat(F.lit("v:"), "vendor").alias("v"), F.concat(F.lit("p:"), "name").alias("p"), "price_usd", "line")
+    both = rows.select("line", F.inline(F.array(
         F.struct(F.col("v").alias("src"), F.col("p").alias("dst"), F.col("price_usd").alias("seen")),
         F.struct(F.col("p").alias("src"), F.col("v").alias("dst"), F.col("price_usd").alias("seen")))))
     return both.select(url_key(F.col("src")).alias("src_hash"), F.col("src").alias("src_url"),
-                       url_key(F.col("dst")).alias("dst_hash"), F.col("dst").alias("dst_url"), "seen")
+                       url_key(F.col("dst")).alias("dst_hash"), F.col("dst").alias("dst_url"), "seen", "line")
 
 
 @query("C5_unvisited", f"""with {LISTING_SQL} select distinct md5('v:' || vendor) as url_hash from listing
@@ -88,20 +97,16 @@ def c6(spark, sf):
 
 
 def _levels(spark: SparkSession, sf: str) -> DataFrame:
-    # The edges are stored once; every hop reads the stored table.
-    path = scratch_path(spark, "edges")
-    graph = _vendor_graph(spark, sf)
-    graph.select("src_hash", "dst_hash").distinct().write.parquet(path)
     seed = roles.listing(spark, sf).agg(url_key(F.concat(F.lit("v:"), F.min("vendor"))).alias("url_hash"))
-    return lk.hop_levels(spark.read.parquet(path), seed)
+    return lk.hop_levels(_vendor_graph(spark, sf).select("src_hash", "dst_hash", "line"), seed, order="line")
 
 
-@query("C7_hop_levels", f"with recursive {_GRAPH_SQL} select * from h")
+@query("C7_hop_levels", f"with recursive {_GRAPH_SQL} select * from q")
 def c7(spark, sf):
     return _levels(spark, sf)
 
 
-@query("C8_budget", f"with recursive {_GRAPH_SQL} select * from h order by level, url_hash limit 200")
+@query("C8_budget", f"with recursive {_GRAPH_SQL} select * from q where position < 200")
 def c8(spark, sf):
     return lk.budget(_levels(spark, sf), 200)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GROUPS = {"Digital": ["PROMO", "STANDARD"], "Physical": ["SMALL", "MEDIUM", "LARGE"]}
@@ -25,14 +25,15 @@ def _lines(spark: SparkSession, sf_dir: str, rest: int) -> DataFrame:
             .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")))
 
 
-def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """The listings; ``more`` are further columns over the order tables."""
     kind = F.col("p_type")
     return _lines(spark, sf_dir, 1).select(
         F.col("p_name").alias("name"), kind.alias("category"), kind.alias("broad_category"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price_usd"),
         F.col("c_name").alias("vendor"), F.col("r_name").alias("marketplace"),
         F.when(kind.isin(*GROUPS["Digital"]), "Digital").when(kind.isin(*GROUPS["Physical"]), "Physical")
-        .otherwise("Other").alias("main_business"))
+        .otherwise("Other").alias("main_business"), *more)
 
 
 def review(spark: SparkSession, sf_dir: str) -> DataFrame:
