@@ -1,6 +1,6 @@
 """Site rules evaluated over shredded pages: routing and record extraction.
 
-All rules of a page are column expressions over its node array, so extraction is one map-only
+All rules of a page are column expressions over its nodes and their index, so extraction is one map-only
 stage after the shredder, whatever the number of rules.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from listing_analytics import schemas
 from listing_analytics.functions import text as tx
+from listing_analytics.operators import node_index as ni
 from listing_analytics.operators import nodes as nd
 from listing_analytics.operators.shred import shred
 from listing_analytics.rules.model import Field, Find, Site
@@ -28,40 +29,27 @@ def _nodes() -> Column:
     return F.col("nodes")
 
 
-def test_of(find: Find) -> nd.Test:
-    """The conditions of a step as a node test."""
-    if find.like is not None:
-        return nd.text_matches(find.like)
-    tests: list[nd.Test] = []
-    if find.tag is not None:
-        tests.append(nd.tag_is(find.tag))
-    if find.cls is not None:
-        tests.append(nd.has_class(find.cls))
-    if find.id is not None:
-        tests.append(nd.has_id(find.id))
-    if find.style is not None:
-        tests.append(nd.has_style(find.style))
-    if find.string is not None:
-        tests.append(nd.string_is(find.string))
-    if find.contains is not None:
-        tests.append(nd.string_contains(find.contains))
-    return nd.every(*tests) if tests else nd.is_element
-
-
-def step_from(node: Column | None, step: Find, nodes: Column) -> Column:
-    """Node one step further; null when it finds nothing."""
-    test = test_of(step)
+def step_from(before: Column | None, step: Find) -> Column:
+    """Position of the node one step further; null when it finds nothing."""
     if step.axis == "page":
-        return nd.first_of(nodes, test)
+        return ni.first_position(step)
     if step.axis == "inside":
-        return nd.first_inside(_nodes(), node, test)
+        return ni.first_inside(before, step)
     if step.axis == "next":
-        return nd.next_element(_nodes(), node, test)
-    return nd.next_sibling(_nodes(), node)
+        return ni.first_after(before, step)
+    return ni.sibling(before)
+
+
+def site_keys(site: Site) -> list[str]:
+    """Keys that the rules of a site look up in the index of a page."""
+    steps = [step for path in Page(site).names for step in path]
+    steps += [Find(id=route.id) for route in site.routes if route.id is not None]
+    steps += [site.extra["history"]] if "history" in site.extra else []
+    return sorted({ni.key_of(step) for step in steps if step.axis != "sibling"})
 
 
 class Page:
-    """The nodes that the paths of a site end at, each found once and kept in a column."""
+    """The positions of the nodes that the paths of a site end at, each found once and kept in a column."""
 
     def __init__(self, site: Site) -> None:
         users: dict[tuple[Find, ...], set[str]] = {}
@@ -82,45 +70,49 @@ class Page:
         self.users = users
         self.names = {path: f"_p{i}" for i, path in enumerate(users)}
 
-    def select(self, path: Sequence[Find]) -> Column:
+    def position(self, path: Sequence[Find]) -> Column:
         return F.col(self.names[tuple(path)])
 
+    def select(self, path: Sequence[Find]) -> Column:
+        return ni.node_at(self.position(path))
+
     def stage(self, routed: DataFrame) -> DataFrame:
         """Add the found nodes, step by step; a path is only followed on pages that need it."""
         by_label = lambda path: path[0].contains is not None
         plain = [p for p in self.names if not by_label(p)]
         labels = [p for p in self.names if by_label(p)]
-        df = self._steps(routed, plain, _nodes())
-        if not labels:
-            return df
+        df = self._steps(routed, plain)
         if "about" not in self.site.extra:
-            return self._steps(df, labels, _nodes())
+            return self._steps(df, labels)
         # The vendor's own text is taken out before labels are searched: only nodes that neither
         # lie inside it nor contain it remain.
         about = self.select(self.site.extra["about"])
-        rest = nd.let(F.struct(about.alias("a")), lambda s: F.filter(
-            _nodes(), lambda n: s["a"].isNull() | ((n["pre"] < s["a"]["pre"]) == (n["post"] < s["a"]["post"]))
-            & (n["pre"] != s["a"]["pre"])))
-        return self._steps(df.withColumn("_searched", rest), labels, F.col("_searched"))
+        apart = lambda found: nd.let(F.struct(about.alias("a")), lambda s: F.filter(found, lambda p: nd.let(
+            ni.node_at(p), lambda n: s["a"].isNull() | ((n["pre"] < s["a"]["pre"]) == (n["post"] < s["a"]["post"]))
+            & (n["pre"] != s["a"]["pre"]))))
+        return self._steps(df, labels, apart)
 
-    def _steps(self, df: DataFrame, paths: list[tuple[Find, ...]], nodes: Column) -> DataFrame:
+    def _steps(self, df: DataFrame, paths: list[tuple[Find, ...]], apart: Callable[[Column], Column] | None = None) -> DataFrame:
         for depth in range(1, max(map(len, paths), default=0) + 1):
             added = {}
             for path in paths:
                 if len(path) == depth:
-                    before = self.select(path[:-1]) if depth > 1 else None
                     needed = F.arrays_overlap("entities", F.array(*[F.lit(e) for e in sorted(self.users[path])]))
-                    added[self.names[path]] = F.when(needed, step_from(before, path[-1], nodes))
+                    if depth == 1 and apart is not None:
+                        found = F.get(apart(ni.positions(path[0])), F.lit(0))
+                    else:
+                        found = step_from(self.position(path[:-1]) if depth > 1 else None, path[-1])
+                    added[self.names[path]] = F.when(needed, found)
             df = df.withColumns(added)
         return df
 
 
 def select_nodes(shredded: DataFrame, find: Find, first: bool = True,
                  key: Sequence[str] = ("page_id",)) -> DataFrame:
-    """Matches of one rule as rows (B4-B11), with their text."""
-    found = F.filter(_nodes(), test_of(find))
+    """Matches of one rule as rows (B4-B11), with their text. The pages must be shredded with the rule's key."""
+    found = ni.positions(find)
     chosen = F.slice(found, 1, 1) if first else found
-    rows = shredded.select(*key, "text", F.explode(chosen).alias("n"))
+    rows = shredded.select(*key, "text", F.explode(F.transform(chosen, ni.node_at)).alias("n"))
     return rows.select(*key, "n.*", nd.text_of(_text(), F.col("n")).alias("full_text"))
 
 
@@ -140,14 +132,13 @@ def _ratio(field: Field, node: Column) -> Column:
 
 
 def _second_of_two(field: Field, node: Column) -> Column:
-    found = F.filter(_nodes(), test_of(field.path[-1]))
-    return F.when(F.size(found) == 2, nd.text_of(_text(), F.get(found, F.lit(1))))
+    found = ni.positions(field.path[-1])
+    return F.when(F.size(found) == 2, nd.text_of(_text(), ni.node_at(F.get(found, F.lit(1)))))
 
 
 def _joined(field: Field, node: Column) -> Column:
-    found = F.filter(_nodes(), test_of(field.path[-1]))
     return F.array_join(F.transform(
-        found, lambda n: F.concat(tx.strip(nd.text_of(_text(), n)), F.lit(" "))), "")
+        ni.positions(field.path[-1]), lambda p: F.concat(tx.strip(nd.text_of(_text(), ni.node_at(p))), F.lit(" "))), "")
 
 
 # What can be read from the node at the end of a path.
@@ -242,7 +233,7 @@ def _history(site: Site) -> Column:
         tx.strip(nd.text_of(_text(), nd.first_inside(_nodes(), card, nd.tag_is("h3")))).alias("key"),
         F.struct(tx.strip(nd.text_of(_text(), F.get(s, F.lit(0)))).alias("sales"),
                  tx.strip(nd.text_of(_text(), F.get(s, F.lit(1)))).alias("rating")).alias("value"))))
-    entries = F.filter(F.transform(F.filter(_nodes(), test_of(site.extra["history"])), entry),
+    entries = F.filter(F.transform(ni.positions(site.extra["history"]), lambda p: entry(ni.node_at(p))),
                        lambda e: e.isNotNull() & e["key"].isNotNull())
     # A market listed twice keeps its last card.
     last = nd.let(entries, lambda all_: F.filter(all_, lambda e, i: ~F.exists(
@@ -297,6 +288,12 @@ def _card_review(site: Site, page: Column, card: Column) -> Column:
             (F.size(x["s"]) > 0).alias("complete"))))
 
 
+def _item_tests(find: Find) -> list[nd.Test]:
+    """The tests of a step inside a review container, whose own nodes are all that is looked at."""
+    tests = ([nd.tag_is(find.tag)] if find.tag else []) + ([nd.has_class(find.cls)] if find.cls else [])
+    return tests + ([nd.has_id(find.id)] if find.id else []) + ([nd.has_style(find.style)] if find.style else [])
+
+
 def review_structs(page: Page) -> Column:
     """All reviews of a page in order (B23, B24), with the vendor of the page."""
     site, rules = page.site, page.site.reviews
@@ -308,7 +305,7 @@ def review_structs(page: Page) -> Column:
             # Without the marker in front of the name, the vendor of the page is taken.
             shared["vendor"] = F.when(page.select(f.path[:1]).isNull(), owner).otherwise(shared["vendor"])
     build = {"table_row": _table_row_review, "card": _card_review}[rules.layout]
-    items = nd.inside(_nodes(), page.select((rules.container,)), test_of(rules.item))
+    items = nd.inside(_nodes(), page.select((rules.container,)), nd.every(nd.is_element, *_item_tests(rules.item)))
     found = nd.let(F.struct(*[v.alias(k) for k, v in shared.items()]), lambda p: F.filter(
         F.transform(items, lambda item: build(site, p, item)), lambda r: r.isNotNull()))
     if rules.gate is None:
@@ -322,7 +319,7 @@ def page_entities(site: Site) -> Column:
     rule = None
     for route in site.routes:
         if route.id is not None:
-            marker = F.exists(_nodes(), nd.has_id(route.id))
+            marker = F.size(ni.positions(Find(id=route.id))) > 0
         else:
             marker = _text().contains(route.text)
         marker = F.coalesce(marker, F.lit(False))
@@ -332,7 +329,7 @@ def page_entities(site: Site) -> Column:
 
 
 def route_pages(shredded: DataFrame, site: Site) -> DataFrame:
-    """B18."""
+    """B18. The pages must be shredded with the keys of the site."""
     return shredded.withColumn("entities", page_entities(site))
 
 
@@ -350,7 +347,7 @@ def extract_pages(pages: DataFrame, site: Site) -> DataFrame:
     keep = [c for c in pages.columns if c != "html"]
     page = Page(site)
     has = lambda entity: F.array_contains("entities", entity)
-    routed = route_pages(shred(pages), site).withColumn("entities", F.when(
+    routed = route_pages(shred(pages, index=site_keys(site)), site).withColumn("entities", F.when(
         F.col("problem").isNull() & valid_page(site), F.col("entities")))
     groups = {name: F.when(has("product"), struct) for name, struct in _group_structs(page, site.product).items()}
     staged = page.stage(routed)
@@ -370,7 +367,10 @@ def extract_pages(pages: DataFrame, site: Site) -> DataFrame:
         checked("vendor", _problems(page, site.vendor, "vendor")),
         checked("review", [*_problems(page, site.reviews.page_fields, "review"), incomplete]),
     )
-    return built.select(*keep, "entities", problem.alias("problem"), "product", "vendor", "reviews")
+    # Where only some records are read, Spark would move the test for problems to the shredded pages and work out all that
+    # it depends on a second time; it doesn't do so with what depends on the partition, which is always there.
+    once = F.when(F.spark_partition_id() >= 0, problem)
+    return built.select(*keep, "entities", once.alias("problem"), "product", "vendor", "reviews")
 
 
 def split_records(extracted: DataFrame, key: Sequence[str] = ("page_id",)) -> dict[str, DataFrame]:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from listing_analytics.functions import text as tx
 from listing_analytics.functions.urls import url_key
 from listing_analytics.operators import extract as ex
+from listing_analytics.operators import node_index as ni
 from listing_analytics.operators import nodes as nd
+from listing_analytics.operators.node_index import key_of
 from listing_analytics.operators.shred import node_table, shred, visible_text
 from listing_analytics.plans import rendered, roles
 from listing_analytics.plans.registry import query
@@ -25,16 +27,20 @@ PAGE_TEXT_SQL = """regexp_replace(replace(replace(replace(regexp_replace(regexp_
     '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;?', '&', 'g')"""
 
 
-def _pages(spark, sf):
-    return shred(table(spark, sf, "pages"))
+def _pages(spark, sf, *finds):
+    return shred(table(spark, sf, "pages"), index=[key_of(f) for f in finds] or None)
 
 
-def _w(spark, sf):
-    return shred(rendered.pages_of(spark, sf, rendered.w_product()))
+def _w(spark, sf, *finds):
+    return shred(rendered.pages_of(spark, sf, rendered.w_product()), index=[key_of(f) for f in finds] or None)
 
 
-def _n(spark, sf):
-    return shred(rendered.pages_of(spark, sf, rendered.n_vendor()))
+def _n(spark, sf, *finds):
+    return shred(rendered.pages_of(spark, sf, rendered.n_vendor()), index=[key_of(f) for f in finds] or None)
+
+
+def _select(pages, spark, sf, find, **how):
+    return ex.select_nodes(pages(spark, sf, find), find, **how)
 
 
 def _text(node):
@@ -66,102 +72,105 @@ def b3(spark, sf):
 @query("B4_by_class", """select page_id, regexp_replace(regexp_extract(html, '<div class="ad">([^<]*)</div>', 1), '&amp;?', '&', 'g') as ad
   from pages where html like '%<div class="ad">%'""")
 def b4(spark, sf):
-    return ex.select_nodes(_pages(spark, sf), Find(tag="div", cls="ad")).select(
+    return _select(_pages, spark, sf, Find(tag="div", cls="ad")).select(
         "page_id", F.col("full_text").alias("ad"))
 
 
 @query("B5_by_id", f"{_L} select name, vendor, 'General ' || vendor || ' ' as found from a")
 def b5(spark, sf):
-    found = ex.select_nodes(_w(spark, sf), Find(id="desc_prod"), key=_ROW)
+    found = _select(_w, spark, sf, Find(id="desc_prod"), key=_ROW)
     return found.select(*_ROW, F.col("full_text").alias("found"))
 
 
 @query("B6_by_style", f"{_L} select name, vendor, ' Salt & ' || name || chr(10) || 'second line ' as found from a")
 def b6(spark, sf):
     style = Find(tag="p", style="word-wrap: break-word; white-space: pre-wrap;")
-    return ex.select_nodes(_w(spark, sf), style, key=_ROW).select(*_ROW, F.col("full_text").alias("found"))
+    return _select(_w, spark, sf, style, key=_ROW).select(*_ROW, F.col("full_text").alias("found"))
 
 
-@query("B7_by_exact_text", f"{_L} select name, vendor, 'td' as tag, 'Ships to' as found from a")
+@query("B7_by_exact_text", f"{_L} select name, vendor, 'td' as tag, 'EUROPE' as found from a where marketplace = 'EUROPE'")
 def b7(spark, sf):
-    return ex.select_nodes(_w(spark, sf), Find(tag="td", string="Ships to"), key=_ROW).select(
+    return _select(_w, spark, sf, Find(tag="td", string="EUROPE"), key=_ROW).select(
         *_ROW, "tag", F.col("full_text").alias("found"))
 
 
 @query("B8_by_pattern", f"{_L} select name, vendor, amount || ' sold since ' || main_business as found from a")
 def b8(spark, sf):
-    return ex.select_nodes(_w(spark, sf), Find(like="sold since"), key=_ROW).select(
+    return _select(_w, spark, sf, Find(like="sold since"), key=_ROW).select(
         *_ROW, F.col("full_text").alias("found"))
 
 
 @query("B9_by_predicate", f"{_L} select name, vendor, unnest(['Sales of ' || name, 'Sales of ' || name, 'Sales', 'Historical Sales']) as found from a")
 def b9(spark, sf):
-    return ex.select_nodes(_n(spark, sf), Find(contains="Sales"), first=False, key=_ROW).select(
+    return _select(_n, spark, sf, Find(contains="Sales"), first=False, key=_ROW).select(
         *_ROW, F.col("full_text").alias("found"))
 
 
 @query("B10_first_match", """select page_id, regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;?', '&', 'g') as title,
   regexp_replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;?', '&', 'g') as h1 from pages""")
 def b10(spark, sf):
-    first = lambda tag: _text(nd.first_of(F.col("nodes"), nd.tag_is(tag)))
-    return _pages(spark, sf).select("page_id", first("title").alias("title"), first("h1").alias("h1"))
+    finds = {tag: Find(tag=tag) for tag in ("title", "h1")}
+    return _pages(spark, sf, *finds.values()).select("page_id", *[
+        _text(ni.node_at(ni.first_position(find))).alias(tag) for tag, find in finds.items()])
 
 
 @query("B11_all_matches", """select page_id, i - 1 as position, regexp_replace(items[i], '&amp;?', '&', 'g') as item
   from (select page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) as items from pages), range(1, 1000) as r(i)
   where i <= len(items)""")
 def b11(spark, sf):
-    items = F.transform(nd.all_of(F.col("nodes"), nd.tag_is("li")), lambda n: _text(n))
-    return _pages(spark, sf).select("page_id", F.posexplode(items).alias("position", "item")).select(
+    find = Find(tag="li")
+    items = F.transform(ni.positions(find), lambda p: _text(ni.node_at(p)))
+    return _pages(spark, sf, find).select("page_id", F.posexplode(items).alias("position", "item")).select(
         "page_id", F.col("position").cast("bigint").alias("position"), "item")
 
 
 @query("B12_next_element", r"""select page_id, regexp_extract(html, '</h1>\s*<([a-z0-9]+)', 1) as tag from pages""")
 def b12(spark, sf):
-    heading = nd.first_of(F.col("nodes"), nd.tag_is("h1"))
-    return _pages(spark, sf).select("page_id", nd.next_element(F.col("nodes"), heading)["tag"].alias("tag"))
+    heading, following = Find(tag="h1"), Find("next")
+    found = ni.first_after(ni.first_position(heading), following)
+    return _pages(spark, sf, heading, following).select("page_id", ni.node_at(found)["tag"].alias("tag"))
 
 
 @query("B13_next_sibling", f"{_L} select name, vendor, ' ' || category || ' ' as found from a")
 def b13(spark, sf):
-    label = nd.first_of(F.col("nodes"), nd.every(nd.tag_is("td"), nd.string_is("Product Class")))
-    return _w(spark, sf).select(*_ROW, _text(nd.next_sibling(F.col("nodes"), label)).alias("found"))
+    label = Find(tag="td", string="Product Class")
+    cell = ni.sibling(ni.first_position(label))
+    return _w(spark, sf, label).select(*_ROW, _text(ni.node_at(cell)).alias("found"))
 
 
 @query("B14_inside", """select page_id, cast(len(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<a ')) as bigint) as links
   from pages""")
 def b14(spark, sf):
-    nodes = F.col("nodes")
-    links = nd.inside(nodes, nd.first_of(nodes, nd.tag_is("nav")), nd.tag_is("a"))
-    return _pages(spark, sf).select("page_id", F.coalesce(F.size(links), F.lit(0)).cast("bigint").alias("links"))
+    menu, link = Find(tag="nav"), Find("inside", tag="a")
+    links = ni.positions_inside(ni.first_position(menu), link)
+    return _pages(spark, sf, menu, link).select("page_id", F.coalesce(F.size(links), F.lit(0)).cast("bigint").alias("links"))
 
 
 @query("B15_attributes", """select page_id, replace(unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)), '&amp;', '&') as href from pages""")
 def b15(spark, sf):
-    return ex.select_nodes(_pages(spark, sf), Find(tag="a"), first=False).select(
+    return _select(_pages, spark, sf, Find(tag="a"), first=False).select(
         "page_id", F.col("attrs")["href"].alias("href"))
 
 
-@query("B16_text_without", f"{_L} select name, vendor, '4.5 ' as found from a")
+@query("B16_text_without", f"{_L} select name, vendor, (cast(amount as bigint) % 5) || '.5 ' as found from a")
 def b16(spark, sf):
-    nodes = F.col("nodes")
-    whole = nd.first_of(nodes, nd.has_class("text-xs text-gray-400/80 hover:text-gray-400 font-semibold"))
-    rest = nd.text_without(F.col("text"), whole, nd.first_inside(nodes, whole, nd.tag_is("span")))
-    return _n(spark, sf).select(*_ROW, rest.alias("found"))
+    whole, part = Find(cls="text-xs text-gray-400/80 hover:text-gray-400 font-semibold"), Find("inside", tag="span")
+    at = ni.first_position(whole)
+    rest = nd.text_without(F.col("text"), ni.node_at(at), ni.node_at(ni.first_inside(at, part)))
+    return _n(spark, sf, whole, part).select(*_ROW, rest.alias("found"))
 
 
-@query("B17_valid_pages", f"{_L} select main_business, main_business <> 'Other' as valid, count(*) as n from a group by 1")
+@query("B17_valid_pages", f"{_L} select name, vendor, main_business <> 'Other' as valid from a")
 def b17(spark, sf):
     shredded = shred(rendered.pages_of(spark, sf, rendered.mixed_n()))
-    return shredded.groupBy("main_business", ex.valid_page(site_n()).alias("valid")).agg(F.count(F.lit(1)).alias("n"))
+    return shredded.select(*_ROW, ex.valid_page(site_n()).alias("valid"))
 
 
-@query("B18_route_pages", f"""{_L} select main_business, case main_business when 'Digital' then 'product,review'
-  when 'Physical' then 'vendor' else '' end as entities, count(*) as n from a group by 1""")
+@query("B18_route_pages", f"""{_L} select name, vendor, case main_business when 'Digital' then 'product,review'
+  when 'Physical' then 'vendor' else '' end as entities from a""")
 def b18(spark, sf):
-    routed = ex.route_pages(shred(rendered.pages_of(spark, sf, rendered.mixed_w())), site_w())
-    return routed.groupBy("main_business", F.array_join("entities", ",").alias("entities")).agg(
-        F.count(F.lit(1)).alias("n"))
+    routed = ex.route_pages(shred(rendered.pages_of(spark, sf, rendered.mixed_w()), index=ex.site_keys(site_w())), site_w())
+    return routed.select(*_ROW, F.array_join("entities", ",").alias("entities"))
 
 
 def _records(spark, sf, html, site, table_name):
@@ -212,7 +221,8 @@ def b21(spark, sf):
 
 
 @query("B22_vendor_n", f"""{_L} select vendor as name, 'Sales of ' || name as about_text, 'NA' as profile_picture,
-  'KEY ' || category as pgp_key, 'NA' as wallet_address, amount || ' | 4' as review_count, '0.9' as rating,
+  'KEY ' || category as pgp_key, 'NA' as wallet_address, amount || ' | 4' as review_count,
+  cast(cast(cast(amount as bigint) % 5 + 0.5 as double) / 5 as varchar) as rating,
   amount as sale_count, '9' as historic_sale_count, 'site-n' as marketplace,
   '{{"' || marketplace || '":{{"sales":"' || amount || '","rating":"4.9"}}}}' as marketplace_history from a""")
 def b22(spark, sf):

@@ -77,7 +77,8 @@ def n_vendor() -> Column:
         "<h4>Public key</h4><code>id</code><code>KEY ", F.col("category"), "</code>",
         "<dl><dt>Sales</dt> <dd>", _amount(), "</dd><dt>Historical Sales</dt><dd>9</dd><dt>Reviews</dt><dd> ",
         _amount(), " | 4 </dd></dl>",
-        '<div class="text-xs text-gray-400/80 hover:text-gray-400 font-semibold">4.5 <span>/ 5</span></div>',
+        '<div class="text-xs text-gray-400/80 hover:text-gray-400 font-semibold">',
+        (F.floor("price_usd").cast("bigint") % 5).cast("string"), '.5 <span>/ 5</span></div>',
         '<div class="px-4 text-gray-700"><h3> ', F.col("marketplace"), "</h3><span>", _amount(),
         "</span><span> 4.9</span></div>",
         '<div class="px-4 text-gray-700"><h3>empty</h3><span>1</span></div>',

@@ -58,4 +58,6 @@ NODE = T.StructType([
     T.StructField("only", T.IntegerType()),
     T.StructField("start", T.IntegerType()),
     T.StructField("end", T.IntegerType()),
+    # The next element with the same parent.
+    T.StructField("next", T.IntegerType()),
 ])

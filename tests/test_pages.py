@@ -1,12 +1,16 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from listing_analytics.operators import extract as ex
+from listing_analytics.operators import node_index as ni
 from listing_analytics.operators import nodes as nd
 from listing_analytics.operators.shred import node_table, shred
 from listing_analytics.rules.model import Find
 from listing_analytics.rules.site_n import site_n
 from listing_analytics.rules.site_w import site_w
+from listing_analytics.session import store
 
 W_PRODUCT = """<html><head><script>var a = "</p><p>x";</script><style>p{}</style></head><body>
 <p id="desc_prod">General <a href="/v/mia"> mia </a></p>
@@ -150,7 +154,7 @@ def test_failed_page_leaves_no_nodes(spark, monkeypatch):
             raise ValueError("boom")
 
     monkeypatch.setattr(module._Shredder, "feed", fail)
-    texts, nodes, problems = module._shred_slice(["<p a=1>x</p>", "<p b=2>boom</p>", "<i c=3>y</i>"])
+    texts, nodes, problems, _ = module._shred_slice(["<p a=1>x</p>", "<p b=2>boom</p>", "<i c=3>y</i>"])
     assert texts == ["x", None, "y"] and problems[1] == "page cannot be parsed: boom"
     assert [len(n) for n in nodes.to_pylist()] == [3, 0, 3]
     assert [n["attrs"] for n in nodes.to_pylist()[2]] == [[], [("c", "3")], []]
@@ -158,21 +162,79 @@ def test_failed_page_leaves_no_nodes(spark, monkeypatch):
 
 def test_selection(spark):
     html = '<ul id="m"><li class="a  b">1</li><li class="b">2<i>x</i></li></ul><p style="s">3</p>'
-    pages = shred(table(spark, [html]))
+    finds = [Find(tag="li", cls="b"), Find(cls="a b"), Find(tag="li"), Find(style="s"), Find(id="m"), Find(tag="li", string="1"),
+             Find(like="[23]"), Find(contains="3"), Find()]
+    pages = shred(table(spark, [html, None]), index=[ni.key_of(f) for f in finds])
     found = lambda find, first=False: [r.full_text for r in ex.select_nodes(pages, find, first).orderBy("pre").collect()]
     assert found(Find(tag="li", cls="b")) == ["1", "2x"] and found(Find(cls="a b")) == ["1"]
     assert found(Find(tag="li"), True) == ["1"] and found(Find(style="s")) == ["3"] and found(Find(id="m")) == ["12x"]
     assert found(Find(tag="li", string="1")) == ["1"] and found(Find(like="[23]")) == ["2", "3"]
+    assert found(Find(contains="3")) == ["3"] and found(Find()) == ["12x", "1", "2x", "x", "3"]
     nodes = F.col("nodes")
     second = F.get(nd.all_of(nodes, nd.tag_is("li")), F.lit(1))
     first_li = nd.first_of(nodes, nd.tag_is("li"))
-    row = pages.select(
+    row = pages.filter("page_id = 0").select(
         nd.next_element(nodes, second)["tag"].alias("a"), nd.next_sibling(nodes, first_li)["attrs"]["class"].alias("b"),
         nd.next_sibling(nodes, second).isNull().alias("c"), nd.text_without(F.col("text"), second, nd.next_element(nodes, second)).alias("d"),
         nd.only_string(nd.next_element(nodes, second, nd.tag_is("p"))).alias("e")).first()
     assert tuple(row) == ("i", "b", True, "2", "3")
 
 
+TESTS = {"tag": nd.tag_is, "cls": nd.has_class, "id": nd.has_id, "style": nd.has_style, "string": nd.string_is,
+         "contains": nd.string_contains, "like": nd.text_matches}
+
+
+def test_lookups_are_what_testing_all_nodes_finds(spark):
+    """Every step over many pages, from every node: by the index and by a test of each node."""
+    rng = random.Random(12)
+    piece = lambda: rng.choice(["<p>", "</p>", '<p class="a b">', "<b class='b'>", "</b>", "<i id=x>", "<i style='s' class=a>", "</i>", "x", " y ",
+                                "xy", "<br>", "<!-- x -->", "</u>"])
+    pages = table(spark, ["".join(piece() for _ in range(rng.randint(0, 40))) for _ in range(60)])
+    finds = [Find(tag="p"), Find(tag="p", cls="a"), Find(cls="b"), Find(cls="a b"), Find(tag="i", id="x"), Find(tag="i", style="s", cls="a"),
+             Find(tag="b", string="x"), Find(contains="x"), Find(tag="p", contains="y"), Find(like="^x"), Find()]
+    shredded = store(shred(pages, index=[ni.key_of(f) for f in finds]), "pages")
+    nodes, wrong = F.col("nodes"), []
+    for find in finds:
+        given = {k: v for k, v in vars(find).items() if v is not None and k != "axis"}
+        tests = [TESTS[k](v) for k, v in given.items()]
+        # A text alone on a page is not an element of it.
+        test = nd.every(lambda n: n["tag"] != "#document", *tests) if tests else nd.is_element
+        at = lambda found: F.transform(found, lambda n: n["pre"])
+        each = F.sequence(F.lit(0), F.size("nodes") - 1)
+        pairs = [(ni.positions(find), at(nd.all_of(nodes, test))), (ni.first_position(find), nd.first_of(nodes, test)["pre"])]
+        pairs += [(F.transform(each, lambda p: f(p)), F.transform(each, lambda p: g(ni.node_at(p)))) for f, g in (
+            (lambda p: ni.first_inside(p, find), lambda n: nd.first_inside(nodes, n, test)["pre"]),
+            (lambda p: ni.first_after(p, find), lambda n: nd.next_element(nodes, n, test)["pre"]))]
+        wrong += shredded.filter(F.size("nodes") > 0).select("page_id", *[a.eqNullSafe(b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]).filter(
+            "not (c0 and c1 and c2 and c3)").collect()
+    elements = F.transform(F.filter(nodes, nd.is_element), lambda n: F.struct(n["next"], nd.next_sibling(nodes, n)["pre"].alias("b")))
+    assert wrong == [] and shredded.filter(F.exists(elements, lambda e: ~e["next"].eqNullSafe(e["b"]))).count() == 0
+
+
+def test_plain_pages_are_read_as_the_parser_reads_them(monkeypatch):
+    """Pages of usual markup, odd markup and both, with and without the short way."""
+    from listing_analytics.operators import shred as module
+    rng = random.Random(5)
+    usual = ["<p>", "</p>", '<A href="/x?a=1&amp;b=2&c" Title=\'q>"\'>', "</a >", "<br/>", "<hr />", "text &amp; &lt;more&gt; &eacute ", "\n ",
+             "<script>var a = '<p></p>';</script>", "<STYLE>p{}</style>", "<!-- note -->", "<!DOCTYPE html>", "<title>A &amp; B</title>", "<x1>", "</x1>",
+             '<img src="" alt="a">', "<template>t</template>"]
+    odd = ["<p a>", "<p a=b>", "< b", "<!-- a -- b -->", "<!-->", "<script>'</ script>", "<script><!-- </script>", "<script>", "<?php x ?>", "<p a='1'b='2'>", "</p x>", "<a.b>",
+           "<![CDATA[x]]>", "&", "&#65", "<", "</>", "<!x>", "<p / a='1'>", "<p a = 'b'>", "<script/>"]
+    pages = ["".join(rng.choice(usual if rng.random() < 0.95 or i % 2 else odd) for _ in range(rng.randint(0, 25))) for i in range(3000)]
+    pages += [W_PRODUCT, W_VENDOR, N_PRODUCT, N_VENDOR]
+    plain = 0
+
+    def rows(page):
+        shredder = module._Shredder()
+        return shredder.page(page), shredder.rows, shredder.keys, shredder.values, shredder.attr_ends
+
+    short = [rows(p) for p in pages]
+    feed = module._Shredder._feed_plain
+    plain = sum(feed(s, p) for p in pages if (s := module._Shredder())._begin() is None)
+    monkeypatch.setattr(module._Shredder, "_feed_plain", lambda self, html: False)
+    assert [rows(p) for p in pages] == short and plain > 1500
+
+
 def test_original_url_and_owner(spark):
     pages = spark.createDataFrame([(1, "h1"), (2, "h2")], "page_id long, url_hash string")
     known = spark.createDataFrame([("h1", "http://a")], "url_hash string, original string")
