@@ -1,7 +1,6 @@
 """Challenge-page detection.
 
-The model is complement naive Bayes over word counts. Pages are scored by a Spark ML pipeline, which is narrow. The
-same weights also exist as a table (:func:`term_weights`) whose scoring is a join; both keep every input row.
+The model is complement naive Bayes over word counts: a table of weights per word, with which pages are scored by a join.
 """
 
 from __future__ import annotations
@@ -9,15 +8,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listing_analytics import fixed
 from listing_analytics.functions import text as tx
-from listing_analytics.operators.classify import MAX_LABELLED, bounded, count_terms, tokenizer
+from listing_analytics.operators.term_scores import score_texts, terms_of
+from listing_analytics.session import store
 from listing_analytics.sources.sinks import split_accept_reject
 
 CHALLENGE = "captcha"
@@ -32,67 +29,36 @@ def match_phrases(df: DataFrame, col: str, phrases: Sequence[str] = tuple(fixed.
 
 def word_counts(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Bag of words per row as (key, token, tf)."""
-    return (df.select(key, F.explode(tx.tokens(F.col(text))).alias("token"))
-            .groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")))
+    return terms_of(df, [key], text).withColumnRenamed("term", "token")
 
 
 def term_weights(corpus: DataFrame, smoothing: float = 1.0) -> DataFrame:
-    """Complement naive Bayes weights (token, w_challenge, w_content) of a labelled corpus (D3).
+    """Complement naive Bayes weights (term, w_challenge, w_content) of a labelled corpus (D3).
 
     The weight of a class is ``-ln`` of the smoothed share a word has in the *other* class.
     """
     is_challenge = (F.col("label") == CHALLENGE).cast("bigint")
-    counts = corpus.select(is_challenge.alias("_c"), F.explode(tx.tokens(F.col("text"))).alias("token")).groupBy(
-        "token").agg(F.sum("_c").alias("n_challenge"), F.sum(1 - F.col("_c")).alias("n_content"))
+    counts = corpus.select(is_challenge.alias("_c"), F.explode(tx.tokens(F.col("text"))).alias("term")).groupBy(
+        "term").agg(F.sum("_c").alias("n_challenge"), F.sum(1 - F.col("_c")).alias("n_content"))
     total = lambda col: counts.select(
         F.sum(col).cast("double") + smoothing * F.count(F.lit(1)).cast("double")).scalar()
     weight = lambda col: -F.log((F.col(col).cast("double") + smoothing) / total(col))
-    return counts.select("token", weight("n_content").alias("w_challenge"), weight("n_challenge").alias("w_content"))
+    return counts.select("term", weight("n_content").alias("w_challenge"), weight("n_challenge").alias("w_content"))
 
 
-def fit_challenge_model(corpus: DataFrame) -> PipelineModel:
-    """The model as a pipeline (D2, D3) over all words of the labelled corpus.
+def score_by_weights(df: DataFrame, weights: DataFrame, text: str = "text") -> DataFrame:
+    """Add ``is_challenge`` (D4): the columns of ``df`` and one row for each of its rows.
 
-    Model and vocabulary live on the driver and in every executor: their bound is that of the labelled corpus, see
-    :func:`~listing_analytics.operators.classify.bounded`.
+    Rows are judged by their text, so repeated and null keys stay apart. Without any known word it is true.
     """
-    split = tokenizer("text", "tokens")
-    label = F.when(F.col("label") == CHALLENGE, 0.0).otherwise(1.0).alias("label")
-    # Tokenised once; counting, the vocabulary and the classifier all read the tokens.
-    training = split.transform(corpus.select("text", label)).select("tokens", "label").persist()
-    try:
-        counts = CountVectorizer(inputCol="tokens", outputCol="features",
-                                 vocabSize=max(count_terms(training, "tokens"), 1), minDF=1).fit(training)
-        bayes = NaiveBayes(modelType="complement", smoothing=1.0).fit(counts.transform(training))
-        return PipelineModel(stages=[split, counts, bayes])
-    finally:
-        training.unpersist()
+    sums = {"_c": F.sum(F.col("tf") * F.col("w_challenge")), "_n": F.sum(F.col("tf") * F.col("w_content"))}
+    scored = score_texts(df, weights, sums, text)
+    return scored.withColumn("is_challenge", F.coalesce("_c", F.lit(0.0)) >= F.coalesce("_n", F.lit(0.0))).drop("_c", "_n")
 
 
-def score_challenge(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Add ``is_challenge`` (D4). Narrow: no page is moved. Without any known word it is true."""
-    return model.transform(df).select(*df.columns, (F.col("prediction") == 0.0).alias("is_challenge"))
-
-
-def score_by_weights(df: DataFrame, weights: DataFrame, key: str) -> DataFrame:
-    """(key, is_challenge) by joining words with their weights (D4): one row for each row of ``df``.
-
-    Rows are judged by their text, so repeated and null keys stay apart. Different texts are scored once each; their
-    words are counted before the join, whose large partitions adaptive execution splits.
-    """
-    name = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    named = df.select(key, "text", name.alias("_name"))
-    distinct_texts = named.groupBy("_name").agg(F.first("text").alias("text"))
-    weighed = word_counts(distinct_texts, "_name").join(weights, "token").groupBy("_name").agg(
-        F.sum(F.col("tf") * F.col("w_challenge")).alias("_c"),
-        F.sum(F.col("tf") * F.col("w_content")).alias("_n"))
-    return named.join(weighed, "_name", "left").select(
-        key, (F.coalesce("_c", F.lit(0.0)) >= F.coalesce("_n", F.lit(0.0))).alias("is_challenge"))
-
-
-def detect(df: DataFrame, corpus: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """Score rows with the model of a labelled corpus, of which ``max_labelled`` rows at most are used."""
-    return score_challenge(df, fit_challenge_model(bounded(corpus, max_labelled)))
+def detect(df: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Score rows with the weights of a labelled corpus, all of whose rows and words count."""
+    return score_by_weights(df, store(term_weights(corpus), "term-weights"))
 
 
 def split_challenges(scored: DataFrame) -> tuple[DataFrame, DataFrame]:

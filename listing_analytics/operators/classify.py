@@ -3,28 +3,46 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (
-    IDF, CountVectorizer, ElementwiseProduct, IndexToString, Normalizer, RegexTokenizer,
-    StopWordsRemover, StringIndexer)
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.ml.feature import StopWordsRemover
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listing_analytics.functions import text as tx
+from listing_analytics.operators.order import in_order
+from listing_analytics.operators.regression import TermMatrix, fit_by_rows
+from listing_analytics.operators.term_scores import score_texts, terms_of
+from listing_analytics.session import store
 
-# A model and its vocabulary live on the driver and in every executor. They are exact for the rows that a model is
-# fitted on, and bounded by the number of those rows.
-MAX_LABELLED = 1_000_000
+# Rows that a model is fitted on. The driver holds some numbers for each of them and every category.
+MAX_LABELLED = 200_000
 
 
 def bounded(labelled: DataFrame, max_rows: int = MAX_LABELLED) -> DataFrame:
-    """All labelled rows, or those ``max_rows`` whose contents have the smallest hashes."""
-    if labelled.limit(max_rows + 1).count() <= max_rows:
+    """All labelled rows, or those ``max_rows`` whose contents have the smallest hashes.
+
+    The greatest hash that stays is found digit by digit, by counts of at most 65,536 groups; rows of that one hash are
+    copies of each other, of which as many stay as are wanted.
+    """
+    order = F.xxhash64(*labelled.columns).bitwiseXOR(F.lit(-(1 << 63)))  # ascending as an unsigned number
+    hashes = store(labelled.select(order.alias("h")), "label-hashes")
+    if hashes.count() <= max_rows:
         return labelled
-    return labelled.orderBy(F.xxhash64(*labelled.columns)).limit(max_rows)
+    digit = lambda level: F.shiftrightunsigned("h", 48 - 16 * level).bitwiseAND(F.lit(0xFFFF))
+    cut, wanted, left = 0, max_rows, hashes
+    for level in range(4):
+        counts = left.groupBy(digit(level).alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for d, n in sorted((r["d"], r["n"]) for r in counts):
+            if wanted <= n:
+                break
+            wanted -= n
+        left, cut = left.filter(digit(level) == d), cut << 16 | d
+    last = F.lit(cut - (1 << 64) if cut >> 63 else cut)
+    signed = lambda h: h.bitwiseXOR(F.lit(-(1 << 63)))
+    copies = labelled.filter(order == last).limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(wanted)))).drop("_copy")
+    return labelled.filter(signed(order) < signed(last)).unionByName(copies)
 
 
 def map_category(df: DataFrame, mapping: DataFrame, category: str = "category") -> DataFrame:
@@ -45,115 +63,89 @@ def split_labelled(df: DataFrame, label: str = "broad_category") -> tuple[DataFr
     return df.filter(F.col(label).isNotNull()), df.filter(F.col(label).isNull())
 
 
-def tokenizer(text: str, out: str) -> RegexTokenizer:
-    return RegexTokenizer(inputCol=text, outputCol=out, pattern=tx.TOKEN, gaps=False, toLowercase=True)
+@dataclass(frozen=True)
+class CategoryModel:
+    """Labels in order, an intercept per score and a stored table (term, idf, coefficients) with a coefficient per score.
+
+    Two labels have one score, that of the second; one label has none.
+    """
 
+    labels: list[str]
+    intercepts: list[float]
+    terms: DataFrame
+    stop_words: tuple[str, ...]
 
-def count_terms(tokenised: DataFrame, tokens: str) -> int:
-    """Size of the vocabulary, counted before a model is fitted."""
-    return tokenised.select(F.explode(F.array_distinct(tokens)).alias("term")).distinct().count()
 
+def _weighed(tf: DataFrame, n: Column, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(keys, term, weight) and (term, idf) of term counts, with idf = ln((1+n)/(1+df)) + 1 and rows of length one."""
+    idf = tf.groupBy("term").agg((F.log((n + 1) / (F.count(F.lit(1)) + 1)) + 1).alias("idf"))
+    raw = tf.join(idf, "term").select(*keys, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    length = raw.groupBy(*keys).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
+    return raw.join(length, list(keys)).select(*keys, "term", (F.col("raw") / F.col("length")).alias("weight")), idf
 
-def tfidf_pipeline(training: DataFrame, text: str = "text", stop_words: Sequence[str] | None = None) -> PipelineModel:
-    """Fitted TF-IDF with idf = ln((1+n)/(1+df)) + 1 and rows of length one.
 
-    Spark's own idf has no "+ 1", so its weights are raised and applied to the raw counts.
-    """
-    if stop_words is None:
-        stop_words = StopWordsRemover.loadDefaultStopWords("english")
-    split = tokenizer(text, "tokens")
-    remove = StopWordsRemover(inputCol="tokens", outputCol="terms", stopWords=list(stop_words) or [""], caseSensitive=True)
-    # Tokenised once; the vocabulary and the document frequencies read the stored terms.
-    terms = remove.transform(split.transform(training)).select("terms").persist()
-    try:
-        vectorise = CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=max(count_terms(terms, "terms"), 1), minDF=1).fit(terms)
-        idf = IDF(inputCol="tf", outputCol="idf").fit(vectorise.transform(terms)).idf
-    finally:
-        terms.unpersist()
-    weigh = ElementwiseProduct(inputCol="tf", outputCol="weighted", scalingVec=Vectors.dense(idf.toArray() + 1.0))
-    unit = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
-    return PipelineModel(stages=[split, remove, vectorise, weigh, unit])
+def default_stop_words() -> list[str]:
+    return StopWordsRemover.loadDefaultStopWords("english")
 
 
 def fit_category_model(labelled: DataFrame, stop_words: Sequence[str] | None = None,
                        text: str = "text", label: str = "broad_category", max_labelled: int = MAX_LABELLED,
-                       tol: float = 1e-4) -> PipelineModel:
-    """TF-IDF and logistic regression with the same objective as C = 1.
+                       tol: float = 1e-7, max_passes: int = 1000) -> CategoryModel:
+    """TF-IDF and logistic regression with the same objective as C = 1.
 
-    Two categories give the binomial form, more the multinomial one. ``max_labelled`` bounds the rows that it is fitted
-    on, ``tol`` is the solver's.
+    Two categories give the binomial form, more the multinomial one. ``max_labelled`` bounds the rows that it is fitted on,
+    and with them the state of the driver: some vectors of that length for each category. The vocabulary has no bound; it
+    stays in tables. The search ends when the mean gradient is no longer than ``tol``.
     """
-    labelled = bounded(labelled, max_labelled)
-    features = tfidf_pipeline(labelled, text, stop_words)
-    index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(labelled)
-    training = index.transform(features.transform(labelled)).select("features", "label").persist()
-    try:
-        n = training.count()
-        regression = LogisticRegression(
-            family="auto", regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
-            maxIter=1000, tol=tol).fit(training)
-    finally:
-        training.unpersist()
-    decode = IndexToString(inputCol="prediction", outputCol="predicted_broad_category", labels=index.labels)
-    return PipelineModel(stages=[*features.stages, regression, decode])
-
-
-def predict_category(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Add ``predicted_broad_category``; a narrow pass, nothing is shuffled (F8)."""
-    return model.transform(df).select(*df.columns, "predicted_broad_category")
-
-
-def term_coefficients(df: DataFrame, model: PipelineModel) -> tuple[DataFrame, list[float], list[str]]:
-    """The model as a table (term, idf, coefficients per score), with the intercepts and the labels.
-
-    A binomial model has one score, that of its second label.
-    """
-    _, _, vectorise, weigh, _, regression, decode = model.stages
-    idf, coefficients = weigh.getScalingVec().toArray(), regression.coefficientMatrix.toArray().T
-    rows = [(term, float(i), [float(x) for x in c]) for term, i, c in zip(vectorise.vocabulary, idf, coefficients)]
-    return (df.sparkSession.createDataFrame(rows, "term string, idf double, coefficients array<double>"),
-            regression.interceptVector.toArray().tolist(), decode.getLabels())
-
-
-def predict_by_terms(df: DataFrame, model: PipelineModel, key: str) -> DataFrame:
-    """(key, predicted_broad_category) by joining terms with their coefficients: the model's prediction as a query.
-
-    ``key`` tells rows apart.
-    """
-    table, intercepts, labels = term_coefficients(df, model)
-    tf = model.stages[1].transform(model.stages[0].transform(df)).select(key, F.explode("terms").alias("term")).groupBy(
-        key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    weighed = tf.join(table, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    sums = weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"),
-                                    *[F.sum(F.col("w") * F.col("coefficients")[i]).alias(f"s{i}") for i in range(len(intercepts))])
-    scored = df.select(key).join(sums, key, "left")
-    score = [F.coalesce(F.col(f"s{i}") / F.col("length"), F.lit(0.0)) + b for i, b in enumerate(intercepts)]
-    if len(score) == 1:
-        best = F.when(score[0] > 0, labels[1]).otherwise(labels[0])
-    else:
-        best = F.element_at(F.array(*[F.lit(x) for x in labels]), F.array_position(F.array(*score), F.greatest(*score)).cast("int"))
-    return scored.select(key, best.alias("predicted_broad_category"))
+    stop_words = default_stop_words() if stop_words is None else list(stop_words)
+    chosen = bounded(labelled.select(F.col(label).alias("label"), F.col(text).alias("text")).filter("label is not null"), max_labelled)
+    rows = in_order(chosen.withColumn("h", F.xxhash64("label", "text")), "h", name="row").select("row", "label", "text")
+    kinds = rows.select("row", "label").toPandas().sort_values("row")
+    if kinds.empty:
+        raise ValueError("no labelled rows")
+    labels = sorted(kinds["label"].unique())
+    at = np.searchsorted(np.array(labels, dtype=object), kinds["label"].to_numpy())
+    y = (at[:, None] == np.arange(len(labels))).astype(np.float64)
+    tf = store(terms_of(rows, ["row"], "text", stop_words), "training-terms")
+    weights, idf = _weighed(tf, F.lit(float(len(at))), ["row"])
+    vocabulary = in_order(idf, "term", name="term_id")
+    with TermMatrix(weights.join(vocabulary, "term").select("term_id", "row", "weight"), len(at)) as matrix:
+        alpha, intercepts = fit_by_rows(matrix.product, y if len(labels) > 2 else y[:, 1:], tol, max_passes)
+        coefficients = matrix.transposed(alpha)
+        terms = store(vocabulary.join(coefficients, "term_id").select("term", "idf", "coefficients"), "category-terms")
+    return CategoryModel(labels, intercepts.tolist(), terms, tuple(stop_words))
+
+
+def category_scores(df: DataFrame, model: CategoryModel, text: str = "text", out: str = "scores") -> DataFrame:
+    """``df`` with its scores per label, null terms and unknown words counting nothing (F8)."""
+    w = F.col("tf") * F.col("idf")
+    sums = {"_length": F.sqrt(F.sum(w * w))} | {
+        f"_s{i}": F.sum(w * F.col("coefficients")[i]) for i in range(len(model.intercepts))}
+    scored = score_texts(df, model.terms, sums, text, model.stop_words)
+    score = [F.coalesce(F.col(f"_s{i}") / F.col("_length"), F.lit(0.0)) + b for i, b in enumerate(model.intercepts)]
+    score = [F.lit(0.0)] * (len(model.labels) - len(score)) + score
+    return scored.withColumn(out, F.array(*score)).drop(*sums)
+
+
+def predict_category(df: DataFrame, model: CategoryModel, text: str = "text") -> DataFrame:
+    """Add ``predicted_broad_category``, the first label with the greatest score (F8)."""
+    name = F.array(*[F.lit(x) for x in model.labels])
+    best = F.array_position("_scores", F.array_max("_scores")).cast("int")
+    return category_scores(df, model, text, "_scores").withColumn("predicted_broad_category", F.element_at(name, best)).drop("_scores")
 
 
 def classify(df: DataFrame, mapping: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
-    """Every listing with its broad category and whether it was predicted."""
+    """Every listing with its broad category and whether it was predicted (F9). ``df`` is read more than once."""
     mapped = map_category(df, mapping).withColumn(
         "text", tx.listing_text(F.col("name"), F.col("description")))
     model = fit_category_model(split_labelled(mapped)[0], stop_words)
     return predict_category(mapped, model).select(
-        *df.columns,
+        *[c for c in df.columns if c != "broad_category"],
         F.coalesce("broad_category", "predicted_broad_category").alias("broad_category"),
         F.col("broad_category").isNull().alias("is_predicted"))
 
 
 def tfidf_weights(df: DataFrame, key: str, text: str = "text", stop_words: Sequence[str] = ()) -> DataFrame:
-    """The weights of :func:`tfidf_pipeline` as (key, term, weight), for a vocabulary of any size."""
-    terms = df.select(key, F.explode(tx.tokens(F.col(text))).alias("term"))
-    if stop_words:
-        terms = terms.filter(~F.col("term").isin(*stop_words))
-    tf = terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """TF-IDF weights as (key, term, weight), for a vocabulary of any size."""
     n = df.select(F.count(F.lit(1)).cast("double")).scalar()
-    idf = tf.groupBy("term").agg((F.log((n + 1) / (F.count(F.lit(1)) + 1)) + 1).alias("idf"))
-    raw = tf.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw"))
-    length = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    return raw.join(length, key).select(key, "term", (F.col("raw") / F.col("length")).alias("weight"))
+    return _weighed(terms_of(df, [key], text, stop_words), n, [key])[0]

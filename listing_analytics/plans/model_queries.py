@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import IndexToString, StringIndexer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +11,9 @@ from listing_analytics.operators import challenge, classify
 from listing_analytics.operators.shred import shred
 from listing_analytics.plans.mart_queries import EVERYDAY_WORDS, _WORDS_SQL
 from listing_analytics.plans.page_queries import NORMAL_SQL, PAGE_TEXT_SQL
+from listing_analytics.plans import roles
 from listing_analytics.plans.registry import query
-from listing_analytics.plans.roles import table
+from listing_analytics.plans.roles import LISTING_SQL, table
 from listing_analytics.session import store
 
 _PHRASES = ["token", "Password", "Stat"]
@@ -49,7 +49,7 @@ def _corpus(spark: SparkSession, sf: str) -> DataFrame:
 @query("D3_term_weights", f"with {_WEIGHTS_SQL} select token, round(w_challenge, 9) as w_challenge, round(w_content, 9) as w_content from wt")
 def d3(spark, sf):
     weights = challenge.term_weights(_corpus(spark, sf))
-    return weights.select("token", F.round("w_challenge", 9).alias("w_challenge"), F.round("w_content", 9).alias("w_content"))
+    return weights.select(F.col("term").alias("token"), F.round("w_challenge", 9).alias("w_challenge"), F.round("w_content", 9).alias("w_content"))
 
 
 def _scored_sql(source: str, key: str, text: str) -> str:
@@ -67,7 +67,8 @@ def d4(spark, sf):
 @query("D4_score_by_weights", f"with {_scored_sql('documents', 'doc_id', _DOC_TEXT)} select * from scored")
 def d4_join(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", tx.normalise_text(F.col("text")).alias("text"))
-    return challenge.score_by_weights(docs, challenge.term_weights(_corpus(spark, sf)), "doc_id")
+    weights = store(challenge.term_weights(_corpus(spark, sf)), "weights")
+    return challenge.score_by_weights(docs, weights).select("doc_id", "is_challenge")
 
 
 _PAGE_SCORES = _scored_sql("pt", "page_id", NORMAL_SQL.format("ptext")).replace(
@@ -77,7 +78,8 @@ _PAGE_SCORES = _scored_sql("pt", "page_id", NORMAL_SQL.format("ptext")).replace(
 @query("D5_split_challenges", f"with {_PAGE_SCORES} select page_id, case when is_challenge then 'challenge' else 'content' end as store from scored")
 def d5(spark, sf):
     pages = shred(table(spark, sf, "pages")).select("page_id", tx.normalise_text(F.col("text")).alias("text"))
-    scored = store(challenge.detect(pages, _corpus(spark, sf)), "scored-pages")  # shredded and scored once
+    pages = store(pages, "page-texts")  # shredded once
+    scored = store(challenge.detect(pages, _corpus(spark, sf)).drop("text"), "scored-pages")
     content, rejected = challenge.split_challenges(scored)
     return content.select("page_id", F.lit("content").alias("store")).unionByName(
         rejected.select("page_id", F.lit("challenge").alias("store")))
@@ -114,35 +116,58 @@ def f6(spark, sf):
 
 # Where the fit is at its optimum, the predicted probabilities of a class sum to its number of rows, as the intercept is
 # not regularised.
-@query("F7_fit_category_model", f"""select {_QUALITY_SQL} as broad_category, count(*) as n, count(*)::double as expected
+@query("F7_fit_category_model", f"""select {_QUALITY_SQL} as broad_category, count(*) as n, round(count(*)::double, 6) as expected
   from labels join documents using (doc_id) group by 1""")
 def f7(spark, sf):
-    labelled = _labelled(spark, sf).filter("broad_category is not null")
-    model = classify.fit_category_model(labelled, EVERYDAY_WORDS, tol=1e-10)
-    labels = model.stages[-1].getLabels()
-    chances = model.transform(labelled).select(
-        "broad_category", F.posexplode(vector_to_array("probability")).alias("at", "p"))
-    name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("at") + 1)
+    labelled = store(_labelled(spark, sf).filter("broad_category is not null"), "labelled")
+    model = classify.fit_category_model(labelled, EVERYDAY_WORDS, tol=1e-11)
+    scored = classify.category_scores(labelled, model)
+    # The probabilities of the labels, in their order.
+    exps = F.transform("scores", lambda s: F.exp(s - F.array_max("scores")))
+    chances = scored.withColumn("e", exps).select("broad_category", F.posexplode("e").alias("at", "e1"), F.aggregate(
+        "e", F.lit(0.0), lambda a, b: a + b).alias("whole"))
+    name = F.element_at(F.array(*[F.lit(x) for x in model.labels]), F.col("at") + 1)
     return chances.withColumn("_class", name).groupBy(F.col("_class").alias("broad_category")).agg(
-        F.count_if(F.col("broad_category") == F.col("_class")).alias("n"), F.round(F.sum("p"), 1).alias("expected"))
+        F.count_if(F.col("broad_category") == F.col("_class")).alias("n"),
+        F.round(F.sum(F.col("e1") / F.col("whole")), 6).alias("expected"))
+
+
+# Listings whose text holds words that only listings of one business have: their prediction can be stated. Of every five
+# lines one has no category of the dictionary.
+_SHOP_SQL = f"""{LISTING_SQL.replace("as main_business", "as main_business, cast(l_orderkey * 8 + l_linenumber as bigint) as line")},
+  shop as (select line, name, main_business, line % 5 = 0 as unknown from listing)"""
+
+
+def _shop(spark: SparkSession, sf: str) -> DataFrame:
+    rows = roles.listing(spark, sf, F.expr("cast(l_orderkey * 8 + l_linenumber as bigint) as line"))
+    return rows.select(
+        "line", "name", F.concat_ws(" ", F.lit("The best offer of"), "marketplace", "category", F.lit("type")).alias("description"),
+        F.when(F.col("line") % 5 != 0, F.concat(F.lit(" "), F.upper("main_business"))).alias("category"))
+
 
+def _dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """Written forms of the businesses that the listings have, with the name that all of them stand for."""
+    return roles.listing(spark, sf).select(F.concat(F.lower("main_business"), F.lit(" ")).alias("key"), F.col("main_business").alias("value")).distinct()
 
-# Every unlabelled row is scored twice, by the fitted pipeline and by a join of its terms with the coefficients.
-@query("F8_predict_category", """select doc_id, true as is_known, true as both_agree
-  from documents left join labels using (doc_id) where quality is null""")
+
+@query("F8_predict_category", f"with {_SHOP_SQL} select line, main_business as predicted_broad_category from shop where unknown")
 def f8(spark, sf):
-    known, unknown = classify.split_labelled(_labelled(spark, sf))
-    model = classify.fit_category_model(known, EVERYDAY_WORDS)
-    first = classify.predict_category(unknown, model).select("doc_id", "predicted_broad_category")
-    second = classify.predict_by_terms(unknown, model, "doc_id").withColumnRenamed("predicted_broad_category", "by_terms")
-    return first.join(second, "doc_id").select(
-        "doc_id", F.col("predicted_broad_category").isin(*model.stages[-1].getLabels()).alias("is_known"),
-        (F.col("predicted_broad_category") == F.col("by_terms")).alias("both_agree"))
+    mapped = classify.map_category(_shop(spark, sf), _dictionary(spark, sf)).withColumn(
+        "text", tx.listing_text(F.col("name"), F.col("description")))
+    mapped = store(mapped.select("line", "text", "broad_category"), "shop")
+    known, unknown = classify.split_labelled(mapped)
+    return classify.predict_category(unknown, classify.fit_category_model(known, EVERYDAY_WORDS)).select("line", "predicted_broad_category")
 
 
-@query("F9_classify", f"""select doc_id, {_QUALITY_SQL} as known, quality is null as is_predicted, true as has_category
-  from documents left join labels using (doc_id)""")
+@query("F9_classify", f"with {_SHOP_SQL} select line, name, main_business as broad_category, unknown as is_predicted from shop")
 def f9(spark, sf):
+    shop = store(_shop(spark, sf), "shop")
+    return classify.classify(shop, _dictionary(spark, sf), EVERYDAY_WORDS).select("line", "name", "broad_category", "is_predicted")
+
+
+@query("F9_classify_documents", f"""select doc_id, {_QUALITY_SQL} as known, quality is null as is_predicted, true as has_category
+  from documents left join labels using (doc_id)""")
+def f9_documents(spark, sf):
     docs = _labelled(spark, sf).select("doc_id", F.lit("").alias("name"), F.col("text").alias("description"),
                                        F.coalesce("broad_category", F.lit("no idea")).alias("category"))
     dictionary = docs.filter("category <> 'no idea'").select(

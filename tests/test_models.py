@@ -1,9 +1,9 @@
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from listing_analytics.operators import challenge, classify
+from listing_analytics.operators import challenge, classify, term_scores
+from listing_analytics.operators.regression import chances, fit_by_rows
 
 CORPUS = [("solve the captcha image now", "captcha"), ("captcha code wrong try again", "captcha"), ("enter code captcha", "captcha"),
           ("welcome to the market rules", "non-captcha"), ("vendor rules and market info pages", "non-captcha"),
@@ -30,38 +30,43 @@ def brute_weights():
 
 def test_weights(corpus):
     vocab, w_challenge, w_content = brute_weights()
-    got = {r.token: (r.w_challenge, r.w_content) for r in challenge.term_weights(corpus).collect()}
+    got = {r.term: (r.w_challenge, r.w_content) for r in challenge.term_weights(corpus).collect()}
     assert sorted(got) == vocab
     assert np.allclose([got[t] for t in vocab], np.stack([w_challenge, w_content], 1))
 
 
-def test_both_forms_agree(corpus, cases):
-    narrow = challenge.detect(cases, corpus)
-    joined = challenge.score_by_weights(cases, challenge.term_weights(corpus), "id")
-    expected = {i: e for i, (_, e) in enumerate(CASES)}
-    assert {r.id: r.is_challenge for r in narrow.collect()} == expected
-    assert {r.id: r.is_challenge for r in joined.collect()} == expected
-    content, diverted = challenge.split_challenges(narrow)
+def test_scoring(corpus, cases):
+    scored = challenge.detect(cases, corpus)
+    assert scored.columns == ["id", "text", "expected", "is_challenge"]
+    assert {r.id: r.is_challenge for r in scored.collect()} == {i: e for i, (_, e) in enumerate(CASES)}
+    content, diverted = challenge.split_challenges(scored)
     assert (content.count(), diverted.count()) == (3, 4)
 
 
-def test_every_row_is_scored_once(spark, corpus, cases):
-    rows = cases.unionByName(cases).withColumn("id", F.when(F.col("id") > 1, F.col("id")))
-    narrow = challenge.detect(rows, corpus).select("id", "is_challenge").collect()
-    joined = challenge.score_by_weights(rows, challenge.term_weights(corpus), "id").collect()
-    order = lambda found: sorted((-1 if r.id is None else r.id, r.is_challenge) for r in found)
-    assert len(narrow) == 2 * len(CASES) and order(narrow) == order(joined)
+@pytest.mark.parametrize("heavy", [1, 7, 1 << 40])
+def test_every_row_is_scored_once(spark, monkeypatch, corpus, cases, heavy):
+    """Whatever words are heavy, and with repeated rows, null keys and null texts."""
+    monkeypatch.setattr(term_scores, "HEAVY", heavy)
+    rows = cases.unionByName(cases).withColumn("id", F.when(F.col("id") > 1, F.col("id"))).unionByName(
+        spark.createDataFrame([(99, None, True)], "id int, text string, expected boolean"))
+    scored = challenge.detect(rows, corpus)
+    assert scored.count() == 2 * len(CASES) + 1 and scored.filter("is_challenge <> expected").count() == 0
 
 
-def test_scoring_moves_no_page(corpus, cases):
-    plan = challenge.detect(cases, corpus)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+def test_heavy_words_are_few_and_no_vocabulary_meets_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(term_scores, "HEAVY", 5)
+    texts = spark.range(300).select(F.concat(F.lit("the same word"), F.col("id")).alias("text"))
+    weights = spark.range(300).select(F.concat(F.lit("word"), F.col("id")).alias("term"), F.lit(1.0).alias("w")).unionByName(
+        spark.createDataFrame([("the", 2.0), ("same", 3.0)], "term string, w double"))
+    scored = term_scores.score_texts(texts, weights, {"s": F.sum(F.col("tf") * F.col("w"))})
+    assert {r.s for r in scored.collect()} == {6.0}
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "CountVectorizer" not in plan and "vector" not in plan and plan.count("broadcast") == 2
 
 
-def test_model_survives_storage(corpus, cases, tmp_path):
-    from pyspark.ml import PipelineModel
-    challenge.fit_challenge_model(corpus).write().overwrite().save(str(tmp_path))
-    scored = challenge.score_challenge(cases, PipelineModel.load(str(tmp_path)))
+def test_weights_survive_storage(spark, corpus, cases, tmp_path):
+    challenge.term_weights(corpus).write.parquet(str(tmp_path / "weights"))
+    scored = challenge.score_by_weights(cases, spark.read.parquet(str(tmp_path / "weights")))
     assert scored.filter("is_challenge = expected").count() == len(CASES)
 
 
@@ -94,23 +99,30 @@ def brute_tfidf(texts, stop):
     return vocab, x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-300)
 
 
-def test_tfidf_three_ways(spark):
+def test_tfidf(spark):
     texts = ["wood chair chair", "the wood lamp", "lamp light of lamp"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
     stop = ["the", "of"]
     vocab, x = brute_tfidf(texts, stop)
     joined = {(r.id, r.term): r.weight for r in classify.tfidf_weights(df, "id", "text", stop).collect()}
     assert np.allclose([[joined.get((i, t), 0.0) for t in vocab] for i in range(3)], x)
-    model = classify.tfidf_pipeline(df, "text", stop)
-    words = model.stages[2].vocabulary
-    rows = model.transform(df).select("id", vector_to_array("features").alias("f")).orderBy("id").collect()
-    assert np.allclose([[r.f[words.index(t)] for t in vocab] for r in rows], x)
 
 
 def test_bounded_fit(spark):
-    df = spark.createDataFrame([(f"a{i}", "x" if i % 2 else "y") for i in range(30)], "text string, broad_category string")
-    assert classify.bounded(df, 30).count() == 30 and classify.bounded(df, 7).count() == 7
-    assert {r.text for r in classify.bounded(df, 7).collect()} == {r.text for r in classify.bounded(df.repartition(3), 7).collect()}
+    df = spark.createDataFrame([(f"a{i}", "x" if i % 2 else "y") for i in range(300)], "text string, broad_category string").repartition(5)
+    assert classify.bounded(df, 300).count() == 300
+    hashes = sorted(r.h for r in df.select(F.xxhash64("text", "broad_category").alias("h")).collect())
+    for n in (1, 7, 299):
+        kept = classify.bounded(df, n)
+        assert sorted(r.h for r in kept.select(F.xxhash64("text", "broad_category").alias("h")).collect()) == hashes[:n]
+        assert "TakeOrdered" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounded_fit_of_copies(spark):
+    copies = spark.range(400).select(F.lit("same").alias("text"), F.lit("x").alias("broad_category"))
+    few = spark.createDataFrame([(f"b{i}", "y") for i in range(20)], "text string, broad_category string")
+    assert classify.bounded(copies, 30).count() == 30
+    assert 30 >= classify.bounded(copies.unionByName(few), 30).filter("text = 'same'").count() >= 10
 
 
 def test_classify(listings, mapping):
@@ -121,18 +133,62 @@ def test_classify(listings, mapping):
     assert rows[8].broad_category in ("House", "Paper", "Fun")
 
 
+def fitted(model, vocab):
+    rows = {r.term: r.coefficients for r in model.terms.collect()}
+    assert sorted(rows) == sorted(vocab)
+    return np.array([rows[t] for t in vocab]).T, np.array(model.intercepts)
+
+
 def test_regression_is_at_the_optimum(listings, mapping):
     """The gradient of the C = 1 objective vanishes at the fitted coefficients."""
     mapped = classify.map_category(listings, mapping).withColumn("text", F.concat_ws(" ", "name", "description"))
     known = classify.split_labelled(mapped)[0]
-    model = classify.fit_category_model(known, [])
-    regression = model.stages[-2]
-    rows = model.transform(known).select(vector_to_array("features").alias("f"), "broad_category").collect()
-    x = np.array([r.f for r in rows])
+    model = classify.fit_category_model(known, [], tol=1e-9)
+    rows = known.select("text", "broad_category").collect()
+    vocab, x = brute_tfidf([r.text for r in rows], [])
     y = np.array([[r.broad_category == c for c in ("Fun", "House", "Paper")] for r in rows], float)
-    w, b = regression.coefficientMatrix.toArray(), regression.interceptVector.toArray()
+    w, b = fitted(model, vocab)
     z = x @ w.T + b
     p = np.exp(z - z.max(1, keepdims=True))
     p /= p.sum(1, keepdims=True)
-    assert np.abs((p - y).T @ x / len(x) + w / len(x)).max() < 2e-3
-    assert np.abs((p - y).mean(0)).max() < 2e-3
+    assert model.labels == ["Fun", "House", "Paper"]
+    assert np.abs((p - y).T @ x + w).max() < 1e-6 and np.abs((p - y).sum(0)).max() < 1e-6
+    scores = {r.text: r.scores for r in classify.category_scores(known, model).collect()}
+    assert np.allclose([scores[r.text] for r in rows], z)
+
+
+def test_regression_equals_the_library(spark):
+    """Two labels, against Spark's solver on the same features."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(rng.choice(words[:20] if i % 3 else words[10:], 6)) for i in range(90)]
+    labelled = spark.createDataFrame([(t, "yes" if i % 3 else "no") for i, t in enumerate(texts)], "text string, broad_category string")
+    model = classify.fit_category_model(labelled, [], tol=1e-10)
+    vocab, x = brute_tfidf(texts, [])
+    w, b = fitted(model, vocab)
+    frame = spark.createDataFrame([(Vectors.dense(row), float(i % 3 > 0)) for i, row in enumerate(x)], ["features", "label"])
+    theirs = LogisticRegression(regParam=1 / 90, standardization=False, tol=1e-12, maxIter=1000).fit(frame)
+    assert np.allclose(w[0], theirs.coefficients.toArray(), atol=1e-4) and np.allclose(b[0], theirs.intercept, atol=1e-4)
+
+
+def test_one_label_or_none(spark):
+    one = spark.createDataFrame([("a word", "only"), ("other word", "only")], "text string, broad_category string")
+    model = classify.fit_category_model(one, [])
+    assert {r.predicted_broad_category for r in classify.predict_category(one, model).collect()} == {"only"}
+    with pytest.raises(ValueError):
+        classify.fit_category_model(one.filter("text = ''"), [])
+
+
+def test_search_ends_in_few_passes():
+    """Against the coefficients themselves: a dense matrix as the product, both forms of the objective."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(200, 40)) * (rng.random((200, 40)) < 0.2)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    for y in ((rng.random((200, 1)) < 0.2).astype(float), np.eye(4)[rng.integers(0, 4, 200)]):
+        passes = []
+        alpha, free = fit_by_rows(lambda v: passes.append(1) or x @ (x.T @ v), y, 1e-10, 1000)
+        error = chances(x @ (x.T @ alpha) + free) - y
+        assert len(passes) < 120
+        assert np.abs(x.T @ error + x.T @ alpha).max() < 1e-6 and np.abs(error.sum(0)).max() < 1e-6
