@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from listing_analytics.operators import marts, serve
@@ -36,14 +37,22 @@ def test_histogram_is_numpy(spark):
     assert [r.n for r in marts.histogram(df, "x", 30).orderBy("bin").collect()] == list(np.histogram(values, 30)[0])
 
 
-def test_density(spark):
-    values = np.random.default_rng(2).normal(10, 3, 150)
-    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+@pytest.mark.parametrize("kind", ["normal", "outlier", "two", "copies"])
+def test_density(spark, kind):
+    rng = np.random.default_rng(2)
+    values = {"normal": rng.normal(10, 3, 150), "outlier": np.r_[rng.normal(10, 3, 400), 5e4, -3e3], "two": np.array([1.0, 2.0]),
+              "copies": np.r_[np.full(300, 7.0), rng.gamma(2.0, 50.0, 200)]}[kind]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),), (float("inf"),)], "x double")
     rows = marts.density(df, "x", 50).orderBy("point").collect()
     h = values.std(ddof=1) * len(values) ** -0.2
     grid = np.linspace(values.min(), values.max(), 50)
     brute = np.exp(-0.5 * ((grid[:, None] - values) / h) ** 2).sum(1) / (len(values) * h * np.sqrt(2 * np.pi))
-    assert np.allclose([r.density for r in rows], brute)
+    assert np.allclose([r.x for r in rows], grid) and np.abs(np.array([r.density for r in rows]) - brute).max() < 1e-14 / h
+
+
+def test_density_of_one_value_is_empty(spark):
+    assert marts.density(spark.createDataFrame([(3.0,), (3.0,)], "x double"), "x").collect() == []
+    assert marts.density(spark.createDataFrame([], "x double"), "x").collect() == []
 
 
 def test_terms_use_default_stop_words(spark):
