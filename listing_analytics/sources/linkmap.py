@@ -2,34 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listing_analytics import schemas
+from listing_analytics.sources.pieces import Step, read_groups
+
+
+def _objects(value: Column) -> Step:
+    """What stands before a closing bracket: quotes that no backslash precedes, and opening brackets outside of them."""
+    plain = F.regexp_replace(value, r"\\.", "")
+    odd = (F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))) % 2
+    opened = lambda text: F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+    outside = F.regexp_replace(plain, r'"[^"]*(?:"|\z)', "")
+    after = F.regexp_replace(F.regexp_replace(plain, r'\A[^"]*(?:"|\z)', ""), r'"[^"]*(?:"|\z)', "")
+    # The bracket that ends the piece closes one unless it is in quotes itself.
+    return Step(odd == 1, odd == 0, opened(outside) - F.when(odd == 0, 1).otherwise(0), opened(after) - F.when(odd == 1, 1).otherwise(0))
 
 
 def read_linkmap(spark: SparkSession, path: str, rejects: str | None = None) -> DataFrame:
-    """Edges of link-map JSON files, each a whole document (in lines of any kind) or one object per line.
+    """Edges of link-map JSON files: one object in lines of any kind or in a single one, or one object per line.
 
-    A parent without links has one row with a null target, so no page is lost. Text that is no link map goes to the
-    ``rejects`` folder as (source_file, value); without one the read fails. A document in several lines is read by one
-    task; :func:`write_linkmap` writes the line form, which is not.
+    A parent without links has one row with a null target, so no page is lost. Text that is no entry of a link map goes to
+    the ``rejects`` folder as (source_file, value); without one the read fails. Files are cut at closing brackets, so one
+    of any size is read by many tasks; an entry is what lies between two places at the depth of entries.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
-    parsed = lines.withColumn("m", F.from_json("value", schemas.LINK_MAP)).withColumn("blank", F.trim("value") == "")
-    odd = parsed.filter("m is null and not blank").select("source_file").distinct()
-    by_line = parsed.join(odd, "source_file", "left_anti").filter("not blank").select("source_file", "value", "m")
-    files = [r.source_file for r in odd.collect()]  # names of files only
-    if files:
-        whole = spark.read.text(files, wholetext=True).select(
-            F.col("_metadata.file_path").alias("source_file"), "value").withColumn("m", F.from_json("value", schemas.LINK_MAP))
-        bad = whole.filter("m is null").select("source_file", "value")
-        if rejects is not None:
-            bad.write.mode("append").parquet(rejects)
-        elif not bad.isEmpty():
-            raise ValueError(f"not a link map: {bad.first().source_file}")
-        by_line = by_line.unionByName(whole.filter("m is not null"))
-    parents = by_line.select(F.explode("m").alias("src_hash", "page"))
+    groups = read_groups(spark, path, "}", _objects, lambda state, depth: (state == 0) & (depth <= 1))
+    # Between entries there are commas, blanks and the brackets of the objects that hold them.
+    entries = groups.withColumn("value", F.regexp_replace("value", r"\A[\s,{}]+", "")).filter("value <> ''")
+    parsed = entries.withColumn("m", F.from_json(F.concat(F.lit("{"), "value", F.lit("}}")), schemas.LINK_MAP))
+    # A cut entry is read as far as it goes: as a page of which nothing is known.
+    whole = F.col("m").isNotNull() & ~F.exists(F.map_values("m"), lambda p: p["original"].isNull() & p["children"].isNull())
+    bad = parsed.filter(~F.coalesce(whole, F.lit(False))).select("source_file", F.regexp_replace("value", r"\s+\z", "").alias("value"))
+    if rejects is not None:
+        bad.write.mode("append").parquet(rejects)
+    elif not bad.isEmpty():
+        raise ValueError(f"not a link map: {bad.first().source_file}")
+    parents = parsed.filter(whole).select(F.explode("m").alias("src_hash", "page"))
     return parents.select(
         "src_hash", F.col("page.original").alias("src_url"),
         F.explode_outer("page.children").alias("dst_hash", "dst_url"))

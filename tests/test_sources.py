@@ -1,5 +1,7 @@
 import csv
 import json
+import random
+from collections import defaultdict
 
 import pytest
 
@@ -39,6 +41,90 @@ def test_csv_dialect_and_order(spark, tmp_path):
     assert {r.n for r in dedup_keep_first(df, ["name"], ["source_file", "row_ord"]).collect()} == {"1", "2"}
 
 
+def builtin_rows(spark, path, schema):
+    return (spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path))
+
+
+@pytest.fixture(params=["17", "64", "1000000"])
+def block_bytes(spark, request):
+    """Files in so small blocks that rows, cells and entries lie across several."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum"]
+    old = {n: spark.conf.get(n, None) for n in names}
+    for n, v in zip(names, (request.param, "1", "1")):
+        spark.conf.set(n, v)
+    yield int(request.param)
+    for n, v in old.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+CELLS = ["a", "", "two\nlines", 'say "hi"', 'x,y', '"', '""', "\n\n", "é日\n", "a\r\nb", ",\n\"", "plain text", "1.5", " lead", "tail ", "n\n,\n"]
+
+
+def test_csv_is_read_by_many_tasks_as_the_builtin_reader_reads_it(spark, tmp_path, block_bytes):
+    rng = random.Random(3)
+    schema = schemas._strings("name", "text", "n")
+    for i, ending in enumerate(("\n", "\r\n")):
+        for k in range(3):
+            with open(tmp_path / f"{i}{k}.csv", "w", newline="", encoding="utf-8") as f:
+                writer = csv.writer(f, lineterminator=ending, quoting=csv.QUOTE_ALL if k == 1 else csv.QUOTE_MINIMAL)
+                writer.writerow(["name", "text" if i else "te\nxt", "n"])  # the built-in reader takes its line end from the first one
+                for row in range(14):
+                    # In files with carriage returns the built-in reader takes them out of cells, too.
+                    cells = [c for c in CELLS if not (i and "\r" in c)]
+                    writer.writerow([rng.choice(cells) for _ in range(3 if k != 2 else rng.randint(1, 4))])
+    got = records.read_records(spark, str(tmp_path), schema)
+    rows = lambda df: sorted((r.source_file.rsplit("/")[-1], r.row_ord, r.name, r.text, r.n) for r in df.collect())
+    mine = defaultdict(list)
+    for name, _, *cells in sorted(rows(got), key=lambda r: r[:2]):
+        mine[name].append(tuple(cells))
+    for file in sorted(tmp_path.iterdir()):
+        assert mine[file.name] == [tuple(r) for r in builtin_rows(spark, str(file), schema).collect()], file.name
+
+
+@pytest.mark.parametrize("text", [
+    'n,t,x\na,"never closed\nb,c,d', 'n,t,x\na,b"c,d\ne"f,g,h\n', '\n\nn,t,x\n\na,b,c\n\n\nd,e,f', 'n,t,x\n"a"b"c,d,e\nf,g,h\n', "n,t,x",
+    'n,t,x\n"a\nb""",""",\n""",c\nx,,\n,,\n', ""])
+def test_csv_with_odd_quotes_and_ends(spark, tmp_path, text):
+    (tmp_path / "x.csv").write_text(text)
+    schema = schemas._strings("n", "t", "x")
+    want = [tuple(r) for r in builtin_rows(spark, str(tmp_path / "x.csv"), schema).collect()]
+    for size in ("5", "1000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = records.read_records(spark, str(tmp_path / "x.csv"), schema).orderBy("row_ord").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert [tuple(r)[:3] for r in got] == want
+
+
+def test_large_csv_is_split(spark, tmp_path, block_bytes):
+    (tmp_path / "x.csv").write_text("n\n" + '"a\nb"\n' * 60)
+    rows = records.read_records(spark, str(tmp_path / "x.csv"), schemas._strings("n"))
+    assert rows.count() == 60 and {r.n for r in rows.collect()} == {"a\nb"}
+    tasks = spark.read.text(str(tmp_path / "x.csv")).rdd.getNumPartitions()
+    assert tasks >= 360 // block_bytes
+
+
+def test_linkmap_in_blocks(spark, tmp_path, block_bytes):
+    """URLs with brackets, quotes and backslashes, in all written forms."""
+    rng = random.Random(9)
+    odd = ["u", "http://h/{x}", 'q"uote', "back\\slash", "}}{{", '\\"}', "é日", "a,b:c", "", "tab\t"]
+    url = lambda: rng.choice(odd) + str(rng.randrange(100))
+    whole = {f"h{i}": {"original": url(), "children": {f"c{j}": url() for j in range(rng.randint(0, 4))}} for i in range(16)}
+    want = {(h, p["original"], c, u) for h, p in whole.items() for c, u in (p["children"] or {None: None}).items()}
+    for name, text in {"one": json.dumps(whole), "indent": json.dumps(whole, indent=3), "raw": json.dumps(whole, ensure_ascii=False) + "\n",
+                       "lines": "\n".join(json.dumps({k: v}) for k, v in whole.items()),
+                       "pairs": "\n".join(json.dumps(dict(list(whole.items())[i:i + 2])) for i in range(0, 16, 2)) + "\n\n"}.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+        edges = linkmap.read_linkmap(spark, str(tmp_path / name)).collect()
+        assert {tuple(r) for r in edges} == want and len(edges) == len(want), name
+    (tmp_path / "empty").write_text("{}\n")
+    assert linkmap.read_linkmap(spark, str(tmp_path / "empty")).collect() == []
+    (tmp_path / "cut").write_text(json.dumps(whole)[:-60])
+    cut = linkmap.read_linkmap(spark, str(tmp_path / "cut"), str(tmp_path / "rejects"))
+    assert {tuple(r) for r in cut.collect()} < want and spark.read.parquet(str(tmp_path / "rejects")).count() == 1
+
+
 def test_mapping_and_linkmap(spark, tmp_path):
     (tmp_path / "m.json").write_text(json.dumps({"x": "1", "y": "2"}, indent=2))
     assert {tuple(r) for r in records.read_mapping(spark, str(tmp_path / "m.json")).collect()} == {("x", "1"), ("y", "2")}
