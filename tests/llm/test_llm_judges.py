@@ -96,11 +96,11 @@ def test_redirect_chains(spark):
     assert len({r.alias_of for r in got}) == n + 1 - 41
 
 
-def brute_nearest(rows, k):
+def brute_nearest(rows, k, kind=np.float32):
     good = {}
     for i, v in rows:
-        if i is not None and v is not None and len(v) == 8 and all(x is not None and math.isfinite(x) for x in v) and any(v):
-            good.setdefault(i, []).append(np.array(v, np.float32).astype(float))
+        if i is not None and v is not None and len(v) == 8 and not any(x is None for x in v) and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            good.setdefault(i, []).append(np.array(v, kind).astype(float))
     out = {}
     for i, vs in good.items():
         if i % 5 == 0:
@@ -117,18 +117,42 @@ def vectors(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("block, chunk", [(4096, 1024), (16, 7)])
-def test_nearest_with_everything_probed(spark, block, chunk):
-    rows = vectors(np.random.default_rng(1), 150)
-    frame, _ = store(imi.usable(spark.createDataFrame(rows, "vec_id long, embedding array<float>")), "vectors")
+def assert_nearest(spark, rows, kind, block, **how):
+    frame, _ = store(imi.usable(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")), "vectors")
     got = defaultdict(list)
-    for r in imi.search(frame, frame.filter("vec_id % 5 = 0"), 5, 1.0, 4, block, chunk).orderBy("query_id", "rank").collect():
+    for r in imi.search(frame, frame.filter("vec_id % 5 = 0"), 5, 1.0, 4, block, **how).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
-    want = brute_nearest(rows, 5)
+    want = brute_nearest(rows, 5, np.float32 if kind == "float" else np.float64)
     assert set(got) == set(want)
     for i, best in want.items():
         assert [v for v, _ in got[i]] == [j for _, j in best]
-        assert [s for _, s in got[i]] == pytest.approx([-s for s, _ in best], abs=1e-12)
+        assert [x for _, x in got[i]] == pytest.approx([-x for x, _ in best], rel=1e-14, abs=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+@pytest.mark.parametrize("block", [imi.BLOCK, 16])
+def test_nearest_with_everything_probed(spark, block, kind):
+    assert_nearest(spark, vectors(np.random.default_rng(1), 150), kind, block)
+
+
+def test_doubles_keep_their_digits(spark):
+    """Numbers that floats cannot tell apart or hold, and lengths from 1e-3 to 1e60."""
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.normal(size=8) * 10.0 ** rng.integers(-3, 4)]) for i in range(120)]
+    rows += [(200 + i, [x + i * 1e-12 for x in rows[4][1]]) for i in range(12)] + [(300 + i, rows[5][1]) for i in range(8)]
+    assert_nearest(spark, rows, "double", 16)
+    long_rows = rows + [(400 + i, [float(x) for x in rng.normal(size=8) * 1e60]) for i in range(9)] + [(500 + i, [1e60] * 8) for i in range(7)]
+    frame, _ = store(imi.usable(spark.createDataFrame(long_rows, "vec_id long, embedding array<double>")), "vectors")
+    assert frame.count() == len(long_rows)
+    best = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in imi.search(frame, frame.filter("vec_id = 500"), 5, 1.0, 4).collect()}
+    # Equal candidates by their ids, though their products are of the size 1e121.
+    assert [best[500, rank][0] for rank in range(1, 6)] == [501, 502, 503, 504, 505]
+
+
+def test_every_block_has_a_task_of_its_own(spark):
+    for n in (1, 5, 37):
+        dealt = imi._keys(spark, n).repartition(n, "key").select("block", F.spark_partition_id().alias("p")).collect()
+        assert len({r.p for r in dealt}) == n and {r.block for r in dealt} == set(range(n))
 
 
 def test_nearest_recall_and_small_tables(spark, sf_dir):
