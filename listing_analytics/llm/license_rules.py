@@ -1,8 +1,8 @@
 """License scans: ordered signature rules behind a keyword prefilter.
 
-Rules are the product of a table of licenses (a pattern for the name, one for the identifier, keywords) and a list of
-contexts in which a license is named, from a tag that leaves no doubt to a bare identifier. Their order is their
-priority. One automaton over all keywords reads each text once; only rules of licenses whose keyword occurs run their
+First come rules for what stands in license texts and notices, and for addresses of licenses. The others are the product
+of a table of licenses (a pattern for the name, one for the identifier, keywords) and a list of contexts in which a
+license is named, from a tag that leaves no doubt to a bare identifier. Their order is their priority. One automaton over all keywords reads each text once; only rules of licenses whose keyword occurs run their
 pattern. A detection inside the interval of one with a higher priority is suppressed, so "gnu lesser general public
 license" does not also count as the plain one.
 """
@@ -14,6 +14,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -26,6 +27,72 @@ from listing_analytics.llm.registry import query
 # Phrases whose words are counted wherever they stand in a row, and their labels.
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
 
+# Label, confidence, pattern, keywords. Sentences of license texts and notices, then addresses.
+BODIES = [
+    ("boost-1.0", 0.95, r"permission is hereby granted, free of charge, to any person or organi[sz]ation obtaining a copy", "free of charge, to any person or"),
+    ("mit", 0.95, r"permission is hereby granted, free of charge, to any person obtaining a copy", "free of charge, to any person obtaining"),
+    ("isc", 0.95, r"permission to use, copy, modify,? and(?:/or)? distribute this software for any purpose with or without fee", "with or without fee"),
+    ("bsd-4-clause", 0.95, r"all advertising materials mentioning features or use of this software must display", "advertising materials"),
+    ("bsd-3-clause", 0.9, r"neither the names? of (?:[a-z0-9,&<>]+ ){1,20}may be used to endorse or promote products", "endorse or promote products"),
+    ("bsd", 0.9, r"redistribution and use in source and binary forms", "source and binary forms"),
+    ("agpl-3.0", 0.95, r"gnu affero general public license as published by the free software foundation[,;] either version 3", "affero general public license as published"),
+    ("lgpl-3.0", 0.95, r"gnu lesser general public license as published by the free software foundation[,;] either version 3", "lesser general public license as published"),
+    ("lgpl-2.1", 0.95, r"gnu lesser general public license as published by the free software foundation[,;] either version 2\.1", "lesser general public license as published"),
+    ("lgpl-2.0", 0.95, r"gnu library general public license as published by the free software foundation[,;] either version 2", "library general public license as published"),
+    ("gpl-3.0", 0.95, r"gnu general public license as published by the free software foundation[,;] either version 3", "general public license as published"),
+    ("gpl-2.0", 0.95, r"gnu general public license as published by the free software foundation[,;] either version 2", "general public license as published"),
+    ("gpl", 0.9, r"this program is free software[:;,] you can redistribute it and/or modify", "program is free software"),
+    ("lgpl-2.1", 0.8, r"this library is free software[:;,] you can redistribute it and/or modify", "library is free software"),
+    ("gpl", 0.9, r"copy and distribute verbatim copies of this license document, but changing it is not allowed", "verbatim copies"),
+    ("wtfpl", 0.95, r"copy and distribute verbatim or modified copies of this license document, and changing it is allowed", "verbatim or modified copies"),
+    ("gfdl", 0.95, r"copy, distribute and/or modify this document under the terms of the gnu free documentation license", "gnu free documentation"),
+    ("apache-2.0", 0.95, r"licensed under the apache license, version 2\.0 \(the \"license\"\)", "apache license, version"),
+    ("apache-2.0", 0.9, r"unless required by applicable law or agreed to in writing, software distributed under the license is distributed", "required by applicable law"),
+    ("mpl-2.0", 0.95, r"this source code form is subject to the terms of the mozilla public license, v\. 2\.0", "source code form"),
+    ("mpl-1.1", 0.95, r"the contents of this file are subject to the mozilla public license version 1\.1", "contents of this file"),
+    ("epl-2.0", 0.95, r"the accompanying materials are made available under the terms of the eclipse public license(?: v(?:ersion)? ?2(?:\.0)?| 2\.0)", "accompanying materials"),
+    ("epl-1.0", 0.95, r"the accompanying materials are made available under the terms of the eclipse public license v(?:ersion)? ?1(?:\.0)?", "accompanying materials"),
+    ("cddl", 0.95, r"subject to the terms of the common development and distribution license", "development and distribution"),
+    ("zlib", 0.9, r"this software is provided 'as-is', without any express or implied warranty", "'as-is'"),
+    ("unlicense", 0.95, r"this is free and unencumbered software released into the public domain", "unencumbered"),
+    ("cc0-1.0", 0.95, r"waived all copyright and related (?:or|and) neighbou?ring rights", "waived all copyright"),
+    ("public-domain", 0.9, r"this (?:work|file|software|document) is in the public domain", "the public domain"),
+    ("ofl-1.1", 0.95, r"this font software is licensed under the sil open font license", "font software"),
+    ("artistic-2.0", 0.9, r"the artistic license 2\.0 copyright \(c\) 2000-2006, the perl foundation", "perl foundation"),
+    ("psf", 0.9, r"psf is making python available to licensee on an \"as is\" basis", "psf is making"),
+    ("all-rights-reserved", 0.7, r"no part of this (?:publication|book|work|document|website) may be (?:copied|reproduced)", "no part of this"),
+    ("no-warranty", 0.4, r"(?:is|are) provided (?:\"as is\"|'as is'|as is|“as is”)", "as is"),
+    ("cc-by-nc-nd", 0.95, r"creativecommons\.org/licenses/by-nc-nd/[1-4]\.[05]", "creativecommons.org/licenses/by-nc-nd"),
+    ("cc-by-nc-sa", 0.95, r"creativecommons\.org/licenses/by-nc-sa/[1-4]\.[05]", "creativecommons.org/licenses/by-nc-sa"),
+    ("cc-by-nc", 0.95, r"creativecommons\.org/licenses/by-nc/[1-4]\.[05]", "creativecommons.org/licenses/by-nc/"),
+    ("cc-by-nd", 0.95, r"creativecommons\.org/licenses/by-nd/[1-4]\.[05]", "creativecommons.org/licenses/by-nd"),
+    ("cc-by-sa", 0.95, r"creativecommons\.org/licenses/by-sa/[1-4]\.[05]", "creativecommons.org/licenses/by-sa"),
+    ("cc-by", 0.95, r"creativecommons\.org/licenses/by/[1-4]\.[05]", "creativecommons.org/licenses/by/"),
+    ("cc0-1.0", 0.95, r"creativecommons\.org/publicdomain/zero/1\.0", "creativecommons.org/publicdomain/zero"),
+    ("public-domain", 0.9, r"creativecommons\.org/publicdomain/mark/1\.0", "creativecommons.org/publicdomain/mark"),
+    ("apache-2.0", 0.95, r"apache\.org/licenses/license-2\.0", "apache.org/licenses"),
+    ("mit", 0.95, r"opensource\.org/licenses?/mit(?:-license)?", "opensource.org/license"),
+    ("bsd-3-clause", 0.95, r"opensource\.org/licenses?/bsd-3-clause", "opensource.org/license"),
+    ("bsd-2-clause", 0.95, r"opensource\.org/licenses?/bsd-2-clause", "opensource.org/license"),
+    ("isc", 0.95, r"opensource\.org/licenses?/isc", "opensource.org/license"),
+    ("gpl-3.0", 0.95, r"gnu\.org/licenses/(?:old-licenses/)?gpl-3\.0", "gnu.org/licenses"),
+    ("gpl-2.0", 0.95, r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0", "gnu.org/licenses"),
+    ("lgpl-3.0", 0.95, r"gnu\.org/licenses/lgpl-3\.0", "gnu.org/licenses"),
+    ("lgpl-2.1", 0.95, r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1", "gnu.org/licenses"),
+    ("agpl-3.0", 0.95, r"gnu\.org/licenses/agpl-3\.0", "gnu.org/licenses"),
+    ("gfdl", 0.95, r"gnu\.org/(?:licenses|copyleft)/fdl(?:-1\.[1-3])?", "gnu.org/licenses|gnu.org/copyleft"),
+    ("gpl", 0.8, r"gnu\.org/(?:licenses|copyleft)(?:/gpl)?", "gnu.org/licenses|gnu.org/copyleft"),
+    ("mpl-2.0", 0.95, r"mozilla\.org/(?:en-us/)?mpl/2\.0", "mozilla.org"),
+    ("mpl-1.1", 0.95, r"mozilla\.org/mpl/(?:mpl-)?1\.1", "mozilla.org"),
+    ("epl-2.0", 0.95, r"eclipse\.org/legal/epl-(?:2\.0|v20)", "eclipse.org/legal"),
+    ("epl-1.0", 0.95, r"eclipse\.org/legal/epl-(?:1\.0|v10)", "eclipse.org/legal"),
+    ("boost-1.0", 0.95, r"boost\.org/license_1_0", "boost.org/license"),
+    ("unlicense", 0.95, r"unlicense\.org", "unlicense.org"),
+    ("ofl-1.1", 0.95, r"scripts\.sil\.org/ofl", "scripts.sil.org"),
+    ("wtfpl", 0.95, r"wtfpl\.net", "wtfpl.net"),
+    ("odbl", 0.95, r"opendatacommons\.org/licenses/odbl", "opendatacommons.org"),
+]
+
 # label, pattern of the name, pattern of the identifier, keywords (every match of either pattern in a text in which white
 # space is single blanks contains one of them). Special licenses stand before general ones.
 _V = r",?\s+(?:version\s+|v\.?\s*)?"
@@ -43,8 +110,8 @@ LICENSES = [
     ("apache-1.1", rf"apache\s+(?:software\s+)?license(?:{_V}1\.[01])", r"apache-1\.[01]", "apache"),
     ("apache", r"apache\s+(?:software\s+|public\s+)?license", r"apache-licensed", "apache"),
     ("mit-0", r"mit\s+no\s+attribution(?:\s+license)?", r"mit-0", "mit no|mit-0"),
-    ("mit", r"(?:mit|expat|x11)\s+license", r"(?:mit-licensed|(?<=identifier: )mit|(?<=license: )mit)",
-     "mit license|mit-licensed|identifier: mit|license: mit|expat|x11"),
+    ("mit", r"(?:mit|expat|x11)\s+license", r"(?:mit-licensed|(?<=identifier: )mit|(?<=license: )mit|(?<=under )mit|(?<=under the )mit)",
+     "mit license|mit-licensed|identifier: mit|license: mit|under mit|under the mit|expat|x11"),
     ("bsd-4-clause", r"(?:original|4[\s-]clause|four[\s-]clause)\s+bsd(?:\s+license)?", r"bsd[\s-]4(?:[\s-]clause)?", "bsd"),
     ("bsd-3-clause", r"(?:new|modified|revised|3[\s-]clause|three[\s-]clause)\s+bsd(?:\s+license)?", r"bsd[\s-]3(?:[\s-]clause)?", "bsd"),
     ("bsd-2-clause", r"(?:simplified|freebsd|2[\s-]clause|two[\s-]clause)\s+bsd(?:\s+license)?", r"bsd[\s-]2(?:[\s-]clause)?", "bsd"),
@@ -84,7 +151,7 @@ LICENSES = [
 # How a license is named, surest first, with the confidence of such a detection. {n}: name, {i}: identifier.
 CONTEXTS = [
     (r"spdx-license-identifier\s*:\s*(?:{i}|{n})", 0.99),
-    (r"(?:licensed|sublicensed)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+|an?\s+)?(?:{n}|{i})", 0.95),
+    (r"(?:sub)?licen[cs]ed\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+|an?\s+)?(?:{n}|{i})", 0.95),
     (r"(?:released|distributed|available|provided|published|redistributed)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+|an?\s+)?(?:{n}|{i})", 0.9),
     (r"licen[cs]e\s*[:=]\s*[\"']?(?:{n}|{i})", 0.8),
     (r"{n}", 0.7),
@@ -101,17 +168,23 @@ class Rule:
     confidence: float
 
 
+def _both(text: str, spelling: str) -> str:
+    """Licence is spelt both ways."""
+    return text.replace("license", spelling)
+
+
 @lru_cache(maxsize=1)
 def rules() -> tuple[list[Rule], ahocorasick.Automaton]:
     """All rules in order of priority, and the automaton from keyword to the rules that it opens."""
+    written = [(label, confidence, body, keywords) for label, confidence, body, keywords in BODIES]
+    written += [(label, confidence, template.replace("{n}", _both(name, "licen[cs]e")).replace("{i}", identifier), keywords)
+                for template, confidence in CONTEXTS for label, name, identifier, keywords in LICENSES]
     made, by_keyword = [], {}
-    for template, confidence in CONTEXTS:
-        for label, name, identifier, keywords in LICENSES:
-            body = template.replace("{n}", name).replace("{i}", identifier)
-            rule = Rule(len(made), label, re.compile(rf"(?<![a-z0-9]){body}(?![a-z0-9])"), confidence)
-            made.append(rule)
-            for word in keywords.split("|"):
-                by_keyword.setdefault(word, []).append(rule.priority)
+    for label, confidence, body, keywords in written:
+        rule = Rule(len(made), label, re.compile(rf"(?<![a-z0-9]){body}(?![a-z0-9])"), confidence)
+        made.append(rule)
+        for word in {*keywords.split("|"), *_both(keywords, "licence").split("|")}:
+            by_keyword.setdefault(word, []).append(rule.priority)
     automaton = ahocorasick.Automaton()
     for word, numbers in by_keyword.items():
         automaton.add_word(word, tuple(numbers))
@@ -141,12 +214,19 @@ def detections(text: str) -> list[tuple[int, int, Rule]]:
     made, automaton = rules()
     plain = " ".join(text.split())
     kept: list[tuple[int, int, Rule]] = []
+    starts: list[int] = []  # of what is kept, ascending, and the furthest end up to each
+    reach: list[int] = []
     for number in sorted({k for _, numbers in automaton.iter(plain) for k in numbers}):
-        rule = made[number]
+        rule, fresh = made[number], []
         for hit in rule.pattern.finditer(plain):
             start, end = hit.span()
-            if not any(s <= start and end <= e for s, e, _ in kept):
-                kept.append((start, end, rule))
+            before = bisect_right(starts, start) - 1
+            if before < 0 or reach[before] < end:
+                fresh.append((start, end, rule))  # hits of one rule never overlap
+        if fresh:
+            kept += fresh
+            order = sorted((start, end) for start, end, _ in kept)
+            starts, reach = [start for start, _ in order], list(accumulate((end for _, end in order), max))
     if not kept or len(plain) == len(text):
         return kept
     starts, lasts = _offsets(text, [s for s, _, _ in kept]), _offsets(text, [e - 1 for _, e, _ in kept])
@@ -166,10 +246,12 @@ def places(text: bytes) -> tuple[int, list[tuple[int, str]]]:
     filled = np.frombuffer(plain, dtype=np.uint8) != 32
     starts = filled.copy()
     starts[1:] &= ~filled[:-1]
-    found = [(int(np.count_nonzero(starts[:hit.start()])), label)
-             for pattern, label in _PHRASES for hit in pattern.finditer(plain)
-             ] if b"license" in plain or b"cc" in plain else []
-    return int(np.count_nonzero(starts)), found
+    hits = [(hit.start(), label) for pattern, label in _PHRASES for hit in pattern.finditer(plain)
+            ] if b"license" in plain or b"cc" in plain else []
+    if not hits:
+        return int(np.count_nonzero(starts)), []
+    number = np.cumsum(starts)  # of the word that a byte is in, from 1
+    return int(number[-1]), [(int(number[at]) - 1, label) for at, label in hits]
 
 
 SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "

@@ -222,7 +222,7 @@ def test_license_rules(text, labels):
     assert {rule.label for _, _, rule in found} == labels - ({"cc-by"} if "NC" in text else set())
     spans = [(s, e) for s, e, _ in found]
     assert not any(a != b and a[0] <= b[0] and b[1] <= a[1] for i, a in enumerate(spans) for b in spans[i + 1:])
-    assert len(license_rules.rules()[0]) == len(license_rules.LICENSES) * len(license_rules.CONTEXTS)
+    assert len(license_rules.rules()[0]) == len(license_rules.LICENSES) * len(license_rules.CONTEXTS) + len(license_rules.BODIES)
 
 
 def written(pattern, rng):
@@ -284,6 +284,40 @@ def test_wrapped_and_spelled_licenses(text, spans):
     assert license_rules.scan_text(text.encode())[-1] == spans
 
 
+@pytest.mark.parametrize("text, label", [
+    ("Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software", "mit"),
+    ("Redistribution and use in source and binary forms, with or without modification", "bsd"),
+    ("Neither the name of the Example Group may be used to endorse or promote products", "bsd-3-clause"),
+    ("This program is free software: you can redistribute it and/or modify it", "gpl"),
+    ("the GNU General Public License as published by the Free Software Foundation; either version 2", "gpl-2.0"),
+    ("This file is provided \"as is\" with no support", "no-warranty"), ("see https://creativecommons.org/licenses/by/4.0/", "cc-by"),
+    ("http://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"), ("the MIT licence", "mit"), ("Licensed under MIT.", "mit"), ("licenced under the MIT", "mit"),
+    ("Apache Licence, Version 2.0", "apache-2.0"), ("BSD-style licence", "bsd"), ("https://www.gnu.org/licenses/gpl-3.0.html", "gpl-3.0"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense")])
+def test_license_texts_notices_and_addresses(text, label):
+    assert label in {rule.label for _, _, rule in license_rules.detections(text.lower())}
+
+
+@pytest.mark.parametrize("text", [
+    "permission is granted to any person", "use in source and binary form", "the name of the group may be used", "this program is not free software",
+    "as is usual", "creativecommons.org/about", "apache.org/foundation", "understood mit anderen", "the licence of a driver", "gnu.org", "publication may be copied"])
+def test_other_texts_name_no_license(text):
+    assert license_rules.detections(text) == []
+
+
+@pytest.mark.parametrize("phrase", ["mit license ", "cc by ", "gpl ", "apache license, version 2.0 "])
+def test_time_grows_with_the_text(phrase):
+    import time
+    spent = []
+    for size in (1 << 18, 1 << 20):
+        text = (phrase * (size // len(phrase))).encode()
+        start = time.process_time()
+        row = license_rules.scan_text(text)
+        spent.append(time.process_time() - start)
+        assert row[7] == size // len(phrase)
+    assert spent[1] < 12 * spent[0]
+
+
 def test_discriminant_against_plain_formulas():
     rng = np.random.default_rng(3)
     x = [rng.normal(size=(400, quality_qda.D)), rng.normal(size=(900, quality_qda.D)) * 1.5 + 0.4]
