@@ -20,13 +20,27 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+_MADE: list[str] = []
+
+
 def store(df: DataFrame, name: str, *partition_by: str) -> tuple[DataFrame, str]:
     """Write ``df`` below the shared folder and read it back: a cut in the lineage that outlives any executor."""
     path = scratch_path(df.sparkSession, name)
+    _MADE.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def made_so_far() -> int:
+    return len(_MADE)
+
+
+def sweep(spark: SparkSession, since: int, *keep: str) -> None:
+    """Delete the intermediate tables made since ``since`` but those in ``keep``. What reads them must have been stored."""
+    discard(spark, *[path for path in _MADE[since:] if path not in keep])
+    _MADE[since:] = [path for path in _MADE[since:] if path in keep]
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Id and whole text under fixed names; a null text is an empty one.
 

@@ -152,10 +152,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATC
     lines, lines_path = store(source.select("doc_id", "text").filter("doc_id is not null").mapInArrow(_line_hashes(sorted(set(cuts)), min_chars), LINES),
                               "lines", "batch")
     runs, gone = LineRuns(spark, fanout), []
-    for number in range(len(set(cuts)) + 1):
-        gone.append(repeated_lines(lines.filter(F.col("batch") == number).drop("batch"), runs)[0])
-    runs.close()
-    discard(spark, lines_path)
+    try:
+        for number in range(len(set(cuts)) + 1):
+            gone.append(repeated_lines(lines.filter(F.col("batch") == number).drop("batch"), runs)[0])
+    finally:
+        runs.close()
+        discard(spark, lines_path)
     drops = gone[0]
     for more in gone[1:]:
         drops = drops.union(more)

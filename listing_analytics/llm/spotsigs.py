@@ -13,13 +13,12 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from listing_analytics.llm.common import let, store, table
+from listing_analytics.llm.common import let, partitions, store, table
 from listing_analytics.llm.registry import query
 
 CHAIN = 3
 THRESHOLD = 0.8
-ROWS_PER_BUCKET = 1000
-MAX_BUCKETS = 1 << 16  # bounds the list of bucket limits that is part of the plan
+BUCKETS_PER_PARTITION = 4  # ranges of ids for each shuffle partition
 
 # Common words of the languages in the corpus; they are the anchors, and chains leave them out.
 ANCHORS = """
@@ -93,19 +92,19 @@ def fingerprint(signature_set: Column) -> Column:
     return F.sha2(F.concat_ws(",", signature_set.cast("array<string>")), 256)
 
 
-def _buckets(ids: DataFrame) -> list[tuple[int, int]]:
-    """(least, greatest) id of each range of about ROWS_PER_BUCKET rows, ascending; at most MAX_BUCKETS."""
-    wanted = max(1, min(MAX_BUCKETS, math.ceil(ids.count() / ROWS_PER_BUCKET)))
-    found = (ids.repartitionByRange(wanted, "_id").select("_id", F.spark_partition_id().alias("_part"))
-             .groupBy("_part").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).collect())
-    return sorted((r["low"], r["high"]) for r in found)
+def _starts(keys: DataFrame) -> list[tuple[int, int]]:
+    """First key (a, b) of each of the ranges that ``keys`` falls into, ascending; some for each shuffle partition."""
+    found = (keys.repartitionByRange(BUCKETS_PER_PARTITION * partitions(keys.sparkSession), "a", "b")
+             .groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct("a", "b")).alias("low")).collect())
+    return sorted((r["low"]["a"], r["low"]["b"]) for r in found)
 
 
-def _position(value: Column, lows: Column, n: int) -> Column:
-    """Zero-based number of the last of ``n`` ascending lows that ``value`` reaches, by bisection."""
+def _position(a: Column, b: Column, starts: tuple[Column, Column], n: int) -> Column:
+    """Zero-based number of the last of ``n`` ascending starts that the key reaches, by bisection."""
     def halve(at: Column, _: Column) -> Column:
         middle = F.floor((at["l"] + at["h"] + 1) / 2).cast("int")
-        reached = F.get(lows, middle) <= value
+        x, y = (F.get(s, middle) for s in starts)
+        reached = (x < a) | ((x == a) & (y <= b))
         return F.struct(F.when(reached, middle).otherwise(at["l"]).alias("l"),
                         F.when(reached, at["h"]).otherwise(middle - 1).alias("h"))
 
@@ -121,25 +120,23 @@ def fingerprints_and_edits(docs: DataFrame, anchors: list[str] = ANCHORS, chain:
     next smaller id (after the smallest: the greatest); equal ids follow each other by a hash of the text, null ids come
     last. A null text counts as empty. A single row is its own next. An empty table gives an empty result.
 
-    Texts are shuffled once: to buckets of neighbouring ids, each of which also receives the row with which the next
-    bucket begins.
+    Texts are shuffled once: to ranges of neighbouring ids (and texts, so that one id may have any number of rows), each
+    of which also receives the row with which the next range begins. The driver sees one key per range.
     """
-    least = -(1 << 63)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("_id"))
-    ranges = _buckets(rows.select("_id")) or [(0, 0)]
-    n = len(ranges)
-    bounds = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
-    lows, highs = bounds([low for low, _ in ranges]), bounds([high for _, high in ranges])
-    placed = rows.withColumn("_own", _position(F.col("_id"), lows, n))
-    first = F.get(highs, F.col("_own")) == F.col("_id")  # begins its bucket, as ids descend
-    own, guest = F.struct(F.col("_own").alias("bucket"), F.lit(0).alias("guest")), F.struct(
-        F.pmod(F.col("_own") + 1, F.lit(n)).alias("bucket"), F.lit(1).alias("guest"))
-    dealt = (placed.select("doc_id", "text", "_id", F.xxhash64("text").alias("_hash"),
-                           F.explode(F.when(first, F.array(own, guest)).otherwise(F.array(own))).alias("_to"))
-             .select("doc_id", "text", "_id", "_hash", F.col("_to.bucket").alias("_bucket"), F.col("_to.guest").alias("_guest"))
-             .repartition("_bucket").sortWithinPartitions("_bucket", "_guest", F.col("_id").desc(), "_hash"))
-    order = Window.partitionBy("_bucket").orderBy("_guest", F.col("_id").desc(), "_hash")
+    # Ascending keys are descending ids; null ids come last.
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(
+        "doc_id", "text", F.bitwise_not(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("a"), F.xxhash64("text").alias("b"))
+    found = _starts(rows.select("a", "b")) or [(0, 0)]
+    n = len(found)
+    starts = tuple(F.split(F.lit(",".join(str(key[i]) for key in found)), ",").cast("array<bigint>") for i in (0, 1))
+    placed = rows.withColumn("_own", _position(F.col("a"), F.col("b"), starts, n))
+    first = (F.get(starts[0], F.col("_own")) == F.col("a")) & (F.get(starts[1], F.col("_own")) == F.col("b"))
+    own, guest = F.struct(F.col("_own").alias("range"), F.lit(0).alias("guest")), F.struct(
+        F.pmod(F.col("_own") - 1, F.lit(n)).alias("range"), F.lit(1).alias("guest"))
+    dealt = (placed.select("doc_id", "text", "a", "b", F.explode(F.when(first, F.array(own, guest)).otherwise(F.array(own))).alias("_to"))
+             .select("doc_id", "text", "a", "b", F.col("_to.range").alias("_range"), F.col("_to.guest").alias("_guest"))
+             .repartition("_range").sortWithinPartitions("_range", "_guest", "a", "b"))
+    order = Window.partitionBy("_range").orderBy("_guest", "a", "b")
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("_next", F.lit(1), half))
     return (dealt.withColumn("signatures", signatures(F.col("text"), anchors, chain))

@@ -136,9 +136,9 @@ def test_signatures_of_long_anchor_runs(spark):
             assert {h % (1 << 64) for h in got[i]} == {xxhash.xxh64_intdigest(s.encode(), 42) for s in want}
 
 
-@pytest.mark.parametrize("per_bucket", [1, 3, 1000])
-def test_fingerprints_and_edits(spark, monkeypatch, per_bucket):
-    monkeypatch.setattr(spotsigs, "ROWS_PER_BUCKET", per_bucket)
+@pytest.mark.parametrize("per_partition", [1, 4, 50])
+def test_fingerprints_and_edits(spark, monkeypatch, per_partition):
+    monkeypatch.setattr(spotsigs, "BUCKETS_PER_PARTITION", per_partition)
     rows = [r for r in ROWS if r[1] != LONG] + [(20 + i, f"the word{i} and of thing{i % 3} x", *[None] * 5) for i in range(12)]
     got = spotsigs.fingerprints_and_edits(docs(spark, rows)).collect()
     assert len(got) == len(rows)
@@ -155,6 +155,19 @@ def test_fingerprints_and_edits(spark, monkeypatch, per_bucket):
     assert one.edited == "abcabc"
 
 
+def test_one_id_may_have_any_number_of_rows(spark):
+    """Null ids with many texts lie in many ranges, and each row's next is the next text by hash."""
+    rows = [(None, f"the text{i} of a{i % 7} kind" * 3, *[None] * 5) for i in range(400)] + [(5, "the first of all", *[None] * 5)]
+    placed = spotsigs._starts(docs(spark, rows).select(F.lit(1).alias("a"), F.xxhash64("text").alias("b")))
+    assert len(placed) > 8
+    got = spotsigs.fingerprints_and_edits(docs(spark, rows)).collect()
+    assert len(got) == 401
+    hashes = {r.text: r.h for r in docs(spark, rows).select("text", F.xxhash64("text").alias("h")).collect()}
+    ordered = ["the first of all", *sorted((t for t in hashes if t != "the first of all"), key=hashes.get)]
+    want = Counter(t[:len(t) - len(t) // 2] + ordered[(i + 1) % 401][:len(t) // 2] for i, t in enumerate(ordered))
+    assert Counter(r.edited for r in got) == want
+
+
 def test_near_pairs(spark):
     rng = random.Random(3)
     base = [[rng.getrandbits(40) for _ in range(rng.randint(1, 60))] for _ in range(12)]
