@@ -16,7 +16,6 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,11 +188,13 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     if not model.means:
         return rich.drop(name)
 
-    @F.pandas_udf("double")
-    def score(found: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack(found.to_numpy())) if len(found) else [], dtype="float64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False)
+            good = batch.filter(pa.array(model.score(flat.reshape(-1, D)) >= threshold))
+            yield pa.RecordBatch.from_arrays(good.columns[:-1], good.schema.names[:-1])
 
-    return rich.filter(score(F.col(name)) >= threshold).drop(name)
+    return rich.mapInArrow(run, docs.schema)
 
 
 @query("op10_quality")
