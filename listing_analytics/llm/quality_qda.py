@@ -148,6 +148,21 @@ def score_statistics(stats: DataFrame, model: Discriminant) -> DataFrame:
     return stats.select("doc_id", "stats").mapInArrow(run, "doc_id long, score double")
 
 
+def score_documents(docs: DataFrame, model: Discriminant, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """All columns of ``docs`` plus the score, in one pass without a shuffle."""
+    prepare(docs.sparkSession)
+    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(at).fill_null("")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(_matrix(text)))],
+                                             [*batch.schema.names, score_col])
+
+    return docs.mapInArrow(run, schema)
+
+
 def held_out(doc_id) -> "F.Column":
     """Rows that no label may be learnt from: crc32 of the id's decimal text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -159,42 +174,19 @@ def train(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -> t
     return fit(stats.filter(~held_out(F.col("doc_id"))), labels, shrinkage), stats
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text", stats_col: str = "stats") -> DataFrame:
-    """All columns of ``docs`` plus the statistics of the text, in one pass without a shuffle."""
-    prepare(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, T.StructField(stats_col, T.ArrayType(T.DoubleType()))])
-    at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = batch.column(at).fill_null("")
-            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(_matrix(text))], [*batch.schema.names, stats_col])
-
-    return docs.mapInArrow(run, schema)
-
-
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that a model trained on them scores at ``threshold`` or more.
 
-    Statistics are computed once and stored with the rows. Without labels of both classes nothing separates good from bad,
-    and all rows stay.
+    Without labels of both classes nothing separates good from bad, and all rows stay. Statistics are computed a second
+    time for scoring: storing them with the texts took more of an executor's memory than it saved time.
     """
-    name = "_stats"
+    model, _ = train(docs, labels)
+    if not model.means:
+        return docs
+    name = "_score"
     while name in docs.columns:
         name += "_"
-    rich, _ = store(with_statistics(docs, stats_col=name), "documents-with-statistics")
-    stats = rich.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(name).alias("stats"))
-    model = fit(stats.filter(~held_out(F.col("doc_id"))), labels)
-    if not model.means:
-        return rich.drop(name)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False)
-            good = batch.filter(pa.array(model.score(flat.reshape(-1, D)) >= threshold))
-            yield pa.RecordBatch.from_arrays(good.columns[:-1], good.schema.names[:-1])
-
-    return rich.mapInArrow(run, docs.schema)
+    return score_documents(docs, model, score_col=name).filter(F.col(name) >= threshold).drop(name)
 
 
 @query("op10_quality")
