@@ -23,6 +23,7 @@ from listing_analytics.llm.registry import query
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
+_NONE = float("-inf")
 REMEMBERED = 700_000
 LONGEST_REMEMBERED = 48  # characters; longer stretches are encoded each time, so what is remembered is bounded in bytes
 
@@ -51,8 +52,10 @@ class Pieces:
         self.bytes = {int(model.id_to_piece(i)[3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.unknown_id = model.unk_id()
         self.longest = max(map(len, self.pieces), default=1)
+        self.begins = {piece[:i] for piece in self.pieces for i in range(1, len(piece))}  # what a longer piece begins with
         self.unknown = min((score for _, score in self.pieces.values()), default=0.0) - UNKNOWN_PENALTY
         self.kind = np.dtype("<u2" if n <= 1 << 16 else "<i4")
+        self.packed = [i.tobytes() for i in np.arange(n, dtype=self.kind)]
         self.spelled = [b""] * n
         for piece, (i, _) in self.pieces.items():
             self.spelled[i] = piece.replace(SPACE, " ").encode()
@@ -69,32 +72,66 @@ class Pieces:
     def _char_ids(self, char: str) -> list[int]:
         return [self.bytes.get(b, self.unknown_id) for b in char.encode()] if self.bytes else [self.unknown_id]
 
+    def short(self, text: str) -> list[int]:
+        """What :meth:`stream` gives for a text that fits into its window, so that nothing is committed before the end."""
+        get, begins, size, unknown = self.pieces.get, self.begins, len(text), self.unknown
+        score, back, ids = [_NONE] * (size + 1), [0] * (size + 1), [-1] * (size + 1)
+        score[0] = 0.0
+        for start in range(size):
+            here, end = score[start], start + 1
+            part = text[start:end]
+            found = get(part)
+            value = here + (unknown if found is None else found[1])
+            if value > score[end]:
+                score[end], back[end], ids[end] = value, start, -1 if found is None else found[0]
+            while part in begins and end < size:
+                end += 1
+                part = text[start:end]
+                found = get(part)
+                if found is not None and here + found[1] > score[end]:
+                    score[end], back[end], ids[end] = here + found[1], start, found[0]
+        return self._path(text, back, ids, 0, size)
+
     def stream(self, text: str) -> Iterator[int]:
         """Ids of the best path of an escaped text; of equal paths the one with the earlier last boundary."""
-        get, longest, base = self.pieces.get, self.longest, 0
-        score, back, ids = [0.0], [0], [0]  # by position, from the committed boundary on
-        for end in range(1, len(text) + 1):
-            best, found = None, None
-            for start in range(end - longest if end - longest > base else base, end):
-                found = get(text[start:end])
-                if found is not None:
-                    value = score[start - base] + found[1]
-                    if best is None or value > best:
-                        best, begin, number = value, start, found[0]
-            if found is None:  # the character alone is no piece
-                value = score[end - 1 - base] + self.unknown
-                if best is None or value > best:
-                    best, begin, number = value, end - 1, -1
-            score.append(best)
-            back.append(begin)
-            ids.append(number)
-            if end - base >= 2 * longest and end < len(text):
-                shared = self._shared(back, base, end - longest + 1, end)
+        get, begins, longest, base, size = self.pieces.get, self.begins, self.longest, 0, len(text)
+        # By position, from the committed boundary on; those ahead hold the best of the pieces that have begun so far.
+        score, back, ids = [0.0], [0], [0]
+        for start in range(size):
+            here, at = score[start - base], start - base + 1
+            for end in range(start + 1, min(start + longest, size) + 1):
+                part = text[start:end]
+                found = get(part)
+                if found is None:
+                    if end == start + 1:  # the character alone is no piece
+                        found = -1, self.unknown
+                    elif part not in begins:
+                        break
+                    else:
+                        if at == len(score):
+                            score.append(_NONE)
+                            back.append(start)
+                            ids.append(-1)
+                        at += 1
+                        continue
+                value = here + found[1]
+                if at == len(score):
+                    score.append(value)
+                    back.append(start)
+                    ids.append(found[0])
+                elif value > score[at]:
+                    score[at], back[at], ids[at] = value, start, found[0]
+                if part not in begins:
+                    break
+                at += 1
+            done = start + 1
+            if done - base >= 2 * longest and done < size:
+                shared = self._shared(back, base, done - longest + 1, done)
                 if shared > base:
                     yield from self._path(text, back, ids, base, shared)
                     gone = shared - base
                     score, back, ids, base = score[gone:], back[gone:], ids[gone:], shared
-        yield from self._path(text, back, ids, base, len(text))
+        yield from self._path(text, back, ids, base, size)
 
     @staticmethod
     def _shared(back: list[int], base: int, first: int, last: int) -> int:
@@ -158,7 +195,7 @@ class Pieces:
                 ids = self._learn(part[:end]) + b"".join([self._learn("\n" + char)[self.line_end:] for char in part[end:]])
             else:
                 escaped = part if part[:1] == "\n" else SPACE + part.replace(" ", SPACE)
-                ids = np.fromiter(self.stream(escaped), dtype=self.kind).tobytes()
+                ids = b"".join(map(self.packed.__getitem__, self.short(escaped) if len(escaped) < 2 * self.longest else self.stream(escaped)))
         if len(part) <= LONGEST_REMEMBERED:
             if len(self.known) > REMEMBERED // 2:
                 self.former, self.known = self.known, {}

@@ -184,3 +184,12 @@ def test_pack(spark, word_path, monkeypatch, capacity, stretch):
     padding = sum(0 if n & (n - 1) == 0 else capacity - n for n in (sum(p.length for p in own) for own in sequences.values()))
     assert padding < 0.15 * sum(p.length for p in pieces)
     assert packing.pack(frame.limit(0)).count() == 0
+
+
+def test_short_and_streamed_texts_agree():
+    model = sentence_pieces.pieces(sentence_pieces._default(None))
+    rng = random.Random(21)
+    signs = ["the", "ing", "▁", "a", "é", "日", "0", "1", "\n", "zz", "Q", "tion", "▁of"]
+    for _ in range(3000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(1, 9)))[:2 * model.longest]
+        assert model.short(text) == list(model.stream(text)), text
