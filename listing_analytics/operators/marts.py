@@ -105,20 +105,14 @@ def overlap_share(flags: DataFrame) -> DataFrame:
     return counted.withColumns({"pct_first": share("n_first"), "pct_second": share("n_second")})
 
 
-def statements(shares: DataFrame, first: str = "data", second: str = "drug") -> DataFrame:
-    """The overlap summary as sentences, one row each."""
-    side = lambda a, b: f"Percentage of {a}-related vendors with a side business in {b}"
+def statements(shares: DataFrame, first: str, second: str) -> DataFrame:
+    """The overlap summary as sentences, one row each (G7). ``first`` and ``second`` name the products of the businesses."""
     lines = {
-        f"Total {first.title()} Vendors": F.format_string(
-            f"Total vendors primarily dealing with {first}-related products: %d", "n_first"),
-        f"Total {second.title()} Vendors": F.format_string(
-            f"Total vendors primarily dealing with {second}-related products: %d", "n_second"),
-        "Total Side Business Vendors": F.format_string(
-            "Total vendors with side businesses in both domains: %d", "n_both"),
-        f"Percentage {first.title()} Side Business": F.format_string(
-            f"{side(first, second + 's' if second == 'drug' else second)}: %.2f%%", "pct_first"),
-        f"Percentage {second.title()} Side Business": F.format_string(
-            f"{side(second, first)}: %.2f%%", "pct_second"),
+        f"{first} vendors": F.format_string(f"%d vendors mainly sell {first} products", "n_first"),
+        f"{second} vendors": F.format_string(f"%d vendors mainly sell {second} products", "n_second"),
+        "vendors of both": F.format_string("%d vendors sell both kinds of products", "n_both"),
+        f"share of {first} vendors": F.format_string(f"%.2f%% of the vendors of {first} products sell {second} products, too", "pct_first"),
+        f"share of {second} vendors": F.format_string(f"%.2f%% of the vendors of {second} products sell {first} products, too", "pct_second"),
     }
     rows = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("statement")) for k, v in lines.items()])
     return shares.select(F.inline(rows))

@@ -14,12 +14,14 @@ from listing_analytics.session import store
 
 
 @query("E1_normalise_nulls", """
-  select case l_returnflag when 'A' then 'A' end as flag, count(*) as n from lineitem group by 1""")
+  select l_orderkey, l_linenumber, case l_returnflag when 'A' then 'A' end as flag,
+         case when l_tax > 0.04 then l_tax end as tax from lineitem""")
 def e1(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.col("l_returnflag")
     raw = table(spark, sf, "lineitem").select(
-        F.when(flag == "N", "NA").when(flag == "R", "").otherwise(flag).alias("flag"))
-    return clean.normalise_nulls(raw).groupBy("flag").agg(F.count(F.lit(1)).alias("n"))
+        "l_orderkey", "l_linenumber", F.when(flag == "N", "NA").when(flag == "R", "").otherwise(flag).alias("flag"),
+        F.when(F.col("l_tax") > 0.04, F.col("l_tax")).otherwise(float("nan")).alias("tax"))
+    return clean.normalise_nulls(raw)
 
 
 @query("E2_dedup_keep_first", """
@@ -190,9 +192,9 @@ def f3(spark, sf):
 
 
 @query("F4_split_labelled", f"""
-  with {_MAPPED_SQL} select broad is not null as labelled, count(*) as n from mapped group by 1""")
+  with {_MAPPED_SQL} select name, vendor, price_usd, broad is not null as labelled, broad as broad_category from mapped""")
 def f4(spark, sf):
     mapped = store(classify.map_category(roles.listing(spark, sf).drop("broad_category"), _dictionary(spark, sf)), "mapped")
     known, unknown = classify.split_labelled(mapped)
-    count = lambda df, flag: df.groupBy(F.lit(flag).alias("labelled")).agg(F.count(F.lit(1)).alias("n"))
-    return count(known, True).unionByName(count(unknown, False))
+    row = lambda df, flag: df.select("name", "vendor", "price_usd", F.lit(flag).alias("labelled"), "broad_category")
+    return row(known, True).unionByName(row(unknown, False))

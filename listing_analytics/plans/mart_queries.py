@@ -72,14 +72,11 @@ def g6(spark, sf):
 
 
 @query("G7_statements", f"""{_SHARES}
-  select unnest(['Total Digital Vendors', 'Total Physical Vendors', 'Total Side Business Vendors',
-                 'Percentage Digital Side Business', 'Percentage Physical Side Business']) as key,
-         unnest(['Total vendors primarily dealing with digital-related products: ' || n_first,
-                 'Total vendors primarily dealing with physical-related products: ' || n_second,
-                 'Total vendors with side businesses in both domains: ' || n_both,
-                 'Percentage of digital-related vendors with a side business in physical: ' || printf('%.2f%%', pct_first),
-                 'Percentage of physical-related vendors with a side business in digital: ' || printf('%.2f%%', pct_second)
-                ]) as statement from s""")
+  select unnest(['digital vendors', 'physical vendors', 'vendors of both', 'share of digital vendors', 'share of physical vendors']) as key,
+         unnest([n_first || ' vendors mainly sell digital products', n_second || ' vendors mainly sell physical products',
+                 n_both || ' vendors sell both kinds of products',
+                 printf('%.2f%%', pct_first) || ' of the vendors of digital products sell physical products, too',
+                 printf('%.2f%%', pct_second) || ' of the vendors of physical products sell digital products, too']) as statement from s""")
 def g7(spark, sf):
     return marts.statements(marts.overlap_share(_flags(spark, sf)), "digital", "physical")
 

@@ -113,8 +113,8 @@ def test_overlap_of_vendors(spark):
     df = marts.main_business(spark.createDataFrame(rows, "vendor string, broad_category string"))
     shares = marts.overlap_share(marts.activity_flags(df))
     assert tuple(shares.first()) == (2, 1, 1, 50.0, 100.0)
-    lines = {r.key: r.statement for r in marts.statements(shares).collect()}
-    assert lines["Percentage Data Side Business"] == "Percentage of data-related vendors with a side business in drugs: 50.00%"
-    assert lines["Total Drug Vendors"] == "Total vendors primarily dealing with drug-related products: 1"
+    lines = {r.key: r.statement for r in marts.statements(shares, "data", "drug").collect()}
+    assert lines["share of data vendors"] == "50.00% of the vendors of data products sell drug products, too"
+    assert lines["drug vendors"] == "1 vendors mainly sell drug products"
     summary = {r.main_business: (r.n_vendors, r.side_count) for r in serve.business_summary(df).collect()}
     assert summary == {"Data": (2, 1), "Drug": (1, 1), "Other": (1, None)}
