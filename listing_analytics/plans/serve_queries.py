@@ -9,6 +9,7 @@ from listing_analytics.plans import roles
 from listing_analytics.plans.mart_queries import GROUPED_SQL, grouped
 from listing_analytics.plans.registry import query
 from listing_analytics.plans.roles import BANDS, LISTING_SQL, REVIEW_SQL, VENDOR_SQL, table
+from listing_analytics.session import scratch_path
 
 _L = f"with {LISTING_SQL}"
 _V = f"with {VENDOR_SQL}"
@@ -69,6 +70,26 @@ def h7(spark, sf):
     return serve.find_vendors(roles.vendor(spark, sf), "ASIA", (0.5, 1.5), 10, ["name"])
 
 
+def _clustered(spark, rows, by, value, wanted):
+    path = scratch_path(spark, "mart")
+    serve.write_mart(rows, path, by, value)
+    return serve.read_mart(spark, path, rows.schema, by, wanted)
+
+
+@query("H6_find_in_mart", f"""{_L} select * from listing where broad_category = 'PROMO'
+  and price_usd between {10.0 ** 2.5!r} and {10.0 ** 3.5!r} order by price_usd, vendor, name, marketplace limit 10""")
+def h6_mart(spark, sf):
+    rows = _clustered(spark, roles.listing(spark, sf), "broad_category", "price_usd", "PROMO")
+    return serve.find_listings(rows, "PROMO", (2.5, 3.5), 10, _FULL_ORDER)
+
+
+@query("H7_find_in_mart", f"""{_V} select name, about_text, review_count, marketplace from vendors
+  where marketplace = 'ASIA' and review_count between {10.0 ** 0.5!r} and {10.0 ** 1.5!r} order by name limit 10""")
+def h7_mart(spark, sf):
+    rows = _clustered(spark, roles.vendor(spark, sf), "marketplace", "review_count", "ASIA")
+    return serve.find_vendors(rows, "ASIA", (0.5, 1.5), 10, ["name"])
+
+
 @query("H8_choices", f"{_L} select distinct broad_category from listing")
 def h8(spark, sf):
     return serve.choices(roles.listing(spark, sf), "broad_category")

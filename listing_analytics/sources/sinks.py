@@ -37,7 +37,9 @@ def upsert_latest(df: DataFrame, keys: Sequence[str], order: str, path: str, buc
 
     The table is split by a hash of the key into ``buckets`` folders; choose their number by the size of the table. Only
     the splits that receive rows are read, by a partition filter on their numbers (``buckets`` numbers at most), and
-    rewritten (dynamic partition overwrite).
+    rewritten (dynamic partition overwrite). Until its commit a job writes beside the table: one that is lost before
+    leaves what readers see as it was. The commit moves split after split; one lost in its middle leaves some splits old and
+    some new, each whole, and running it again mends that.
     """
     spark = df.sparkSession
     split = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")

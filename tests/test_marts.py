@@ -118,3 +118,28 @@ def test_overlap_of_vendors(spark):
     assert lines["drug vendors"] == "1 vendors mainly sell drug products"
     summary = {r.main_business: (r.n_vendors, r.side_count) for r in serve.business_summary(df).collect()}
     assert summary == {"Data": (2, 1), "Drug": (1, 1), "Other": (1, None)}
+
+
+def test_lookups_in_a_mart_open_the_files_of_one_category(spark, tmp_path):
+    rows = spark.range(4000).select(
+        F.col("id").alias("row_ord"), F.when(F.col("id") % 5 < 4, F.concat(F.lit("0"), F.col("id") % 5)).alias("broad_category"),
+        (F.col("id") * 37 % 4000 + 1).cast("double").alias("price_usd"))
+    path = str(tmp_path / "mart")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        serve.write_mart(rows, path, "broad_category", "price_usd")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    whole = serve.read_mart(spark, path, rows.schema, "broad_category", None)
+    assert whole.count() == 4000 and whole.filter("broad_category is null").count() == 800
+    for category, n in (("02", 800), ("2", 0), ("none", 0)):
+        one = serve.read_mart(spark, path, rows.schema, "broad_category", category)
+        assert one.count() == n and (n or one.isEmpty())
+        found = serve.find_listings(one, category, (2.0, 2.5), 5, ["price_usd"])
+        plain = serve.find_listings(rows, category, (2.0, 2.5), 5, ["price_usd"])
+        assert found.collect() == plain.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(" in plan.split("PushedFilters: [")[1].split("]")[0]
+        assert f"= {category})" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    files = lambda df: len(df.inputFiles())
+    assert 0 < files(serve.read_mart(spark, path, rows.schema, "broad_category", "02")) < files(whole)

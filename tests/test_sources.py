@@ -179,6 +179,19 @@ def test_upsert(spark, tmp_path):
     assert {r.k: r.v for r in spark.read.parquet(path).collect()} == {"a": "1", "b": "2", "c": "2"}
 
 
+def test_upsert_that_is_lost_leaves_the_old_rows(spark, tmp_path):
+    path, schema = str(tmp_path / "store"), "k string, v string, at int"
+    rows = [(f"k{i}", "old", 1) for i in range(40)]
+    sinks.upsert_latest(spark.createDataFrame(rows, schema), ["k"], "at", path, 4)
+    fresh = spark.createDataFrame([(f"k{i}", "new", 2) for i in range(40)], schema).repartition(4)
+    dying = fresh.withColumn("v", F.when(F.col("k") == "k7", F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.upsert_latest(dying, ["k"], "at", path, 4)
+    assert {tuple(r) for r in spark.read.parquet(path).select("k", "v", "at").collect()} == set(rows)
+    sinks.upsert_latest(fresh, ["k"], "at", path, 4)
+    assert {r.v for r in spark.read.parquet(path).collect()} == {"new"} and spark.read.parquet(path).count() == 40
+
+
 def test_upsert_reads_touched_splits_only(spark, tmp_path):
     path = str(tmp_path / "store")
     rows = lambda ks: spark.createDataFrame([(k, "1", 1) for k in ks], "k string, v string, at int")
