@@ -152,7 +152,7 @@ def judge(pages: DataFrame, links: DataFrame | None = None, rules: list[tuple[st
     always used. Returns page_id, host, path, rule (null if none fits), verdict, key, alias_of (least key of the
     component). Aliases need not be pages themselves: rules are also matched on URLs that only occur in links. A null
     URL or one without ``://`` has an empty host and path and no aliases. Repeated rows get the same verdict each; an
-    empty table gives an empty result.
+    empty table gives an empty result. Only the three named columns are read, so others cannot clash with the result's.
     """
     url = F.col(url_col)
     rows = pages.select(F.col(id_col).alias("page_id"), url.alias("url"), host(url).alias("host"), path(url).alias("path"),
