@@ -61,6 +61,7 @@ def b2(spark, sf):
     return visible_text(_pages(spark, sf))
 
 
+# Fixed values in the SQL below: defaults that the rules of the sites put where a page has nothing.
 NORMAL_SQL = r"""trim(replace(replace(lower(trim(regexp_replace({0}, '[\n ]+', ' ', 'g'))), chr(9), ''), '\', ''))"""
 
 

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from listing_analytics.plans import roles
 
 
+# Fixed values, here and in the tests of pages: class names, styles, ids and labels of both layouts, as in ``rules``.
+
+
 def _page(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 

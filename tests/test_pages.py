@@ -12,6 +12,7 @@ from listing_analytics.rules.site_n import site_n
 from listing_analytics.rules.site_w import site_w
 from listing_analytics.session import store
 
+# Class names, styles, ids and labels of both page layouts, as in the rules.
 W_PRODUCT = """<html><head><script>var a = "</p><p>x";</script><style>p{}</style></head><body>
 <p id="desc_prod">General <a href="/v/mia"> mia </a></p>
 <div class="big tabcontent"><h3> Blue lamp </h3></div><div class="bigimage"><img src="lamp.png"></div>
