@@ -281,3 +281,53 @@ def test_nodes_do_not_grow_with_depth():
         shredder.page("<div>" * depth + "x" * 100_000 + "</div>" * depth)
         stored.append(sum(len(row[shredder.STRING] or "") for row in shredder.rows))
     assert stored == [100_000, 100_000]
+
+
+def _nested(pick, depth=0):
+    """A page whose elements nest, of random content."""
+    out = ""
+    for _ in range(pick.randrange(4)):
+        if pick.random() < .45 or depth > 5:
+            out += pick.choice([" ", "x", "&amp;", "\n", '<i id="m"/>', "<!--c-->", "Sales", "\xe9", "<br>", "&#1;", "Product Class", ">"])
+            continue
+        tag, attr = pick.choice(["p", "b", "td", "template", "script"]), pick.choice(["", ' class="a  b"', ' class="a"', ' style="s"', " id='m'"])
+        inside = pick.choice(["", "x", '"<p>"', "<b>x</b>", "&#1;", "a<b"]) if tag == "script" else _nested(pick, depth + 1)
+        out += f"<{tag}{attr}>{inside}</{tag}>"
+    return out
+
+
+def test_pages_read_together_are_as_those_read_alone():
+    import random
+
+    import pyarrow as pa
+    from listing_analytics.operators import shred as sh
+    from listing_analytics.operators import shred_slice as sl
+    from listing_analytics.operators.node_index import Wanted
+    pick = random.Random(3)
+    pieces = ["<p>", "</p>", "<b class='a b'>", "</b>", "<br>", " ", "x", "&amp;", "\n", "<!--c-->", "<td>", "</td>", "Sales", "\xe9",
+              "<script>", "</script>", "<template>", "</template>", ">", "<!DOCTYPE html>", "&#1;", "<p title='a>b'>", "</br>", "<p CLASS=x>"]
+    pages = [W_PRODUCT, W_FALLBACK, W_VENDOR, N_PRODUCT, N_VENDOR, None, "", "a &lt; b", "<!DOCTYPE html>\n<p>x</p>", "a<!DOCTYPE html>b",
+             '<script>a</script>b<script>"</scriptx>"</script>', "<u><i><!--z--></i></u>", '<a x="1" x="2">t</a>', "<style></style >"]
+    pages += ["".join(pick.choice(pieces) for _ in range(pick.randrange(12))) for _ in range(1000)] + [_nested(pick) for _ in range(3000)]
+    pick.shuffle(pages)
+    html = pa.array(["before"] + pages, pa.string()).slice(1)
+    keys = ["element:", "text:", "tag:p", "class:\na", "class:b\na b", "id:m", "style:s", "string:Product Class", "string:c", "contains:Sales", "contains:c"]
+    for wanted in (None, keys):
+        texts, nodes, problems, indexed = sh._shred_slice(pages, wanted and Wanted(wanted))
+        tags = sl.Tags(sh._parse_tag, wanted and Wanted(wanted))
+        found = sh._shred_pages(html, tags)
+        assert found[0].to_pylist() == texts and found[1].to_pylist() == nodes.to_pylist() and found[2].to_pylist() == problems
+        assert wanted is None or [dict(m) for m in found[3].to_pylist()] == indexed
+    read = sl.shred_columns(html, tags, sh._RAW_END, sh._RAW_ODD, sh.HIDDEN)[0]
+    assert len(read) > 0.6 * len(pages)  # most are read together
+    usual = pa.array([W_PRODUCT, N_PRODUCT, N_VENDOR] * 5)
+    assert len(sl.shred_columns(usual, tags, sh._RAW_END, sh._RAW_ODD, sh.HIDDEN)[0]) >= 10
+    none = sh._shred_pages(pa.array([None, "<p>"], pa.string()), tags)
+    assert none[2].to_pylist() == ["page is not valid text", None]
+
+
+def test_exact_text_is_found_on_every_page(spark, sf_dir):
+    from listing_analytics.plans import page_queries, roles
+    found = page_queries.b7(spark, sf_dir)
+    assert found.filter("found = 'Ships to'").count() == roles.listing(spark, sf_dir).count()
+    assert found.filter("found = 'EUROPE'").count() == roles.listing(spark, sf_dir).filter("marketplace = 'EUROPE'").count()
