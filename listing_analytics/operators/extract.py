@@ -107,11 +107,14 @@ class Page:
         return df
 
 
-def select_nodes(shredded: DataFrame, find: Find, first: bool = True,
+def select_nodes(shredded: DataFrame, find: Find | Sequence[Find], first: bool = True,
                  key: Sequence[str] = ("page_id",)) -> DataFrame:
-    """Matches of one rule as rows (B4-B11), with their text. The pages must be shredded with the rule's key."""
-    found = ni.positions(find)
-    chosen = F.slice(found, 1, 1) if first else found
+    """Matches of one rule as rows (B4-B11), with their text; of several rules, those of each in turn.
+
+    The pages must be shredded with the keys of the rules.
+    """
+    found = [ni.positions(f) for f in ([find] if isinstance(find, Find) else find)]
+    chosen = F.concat(*[F.slice(f, 1, 1) if first else f for f in found])
     rows = shredded.select(*key, "text", F.explode(F.transform(chosen, ni.node_at)).alias("n"))
     return rows.select(*key, "n.*", nd.text_of(_text(), F.col("n")).alias("full_text"))
 
