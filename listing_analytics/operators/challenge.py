@@ -38,8 +38,8 @@ def term_weights(corpus: DataFrame, smoothing: float = 1.0) -> DataFrame:
     The weight of a class is ``-ln`` of the smoothed share a word has in the *other* class.
     """
     is_challenge = (F.col("label") == CHALLENGE).cast("bigint")
-    counts = corpus.select(is_challenge.alias("_c"), F.explode(tx.tokens(F.col("text"))).alias("term")).groupBy(
-        "term").agg(F.sum("_c").alias("n_challenge"), F.sum(1 - F.col("_c")).alias("n_content"))
+    counts = store(corpus.select(is_challenge.alias("_c"), F.explode(tx.tokens(F.col("text"))).alias("term")).groupBy(
+        "term").agg(F.sum("_c").alias("n_challenge"), F.sum(1 - F.col("_c")).alias("n_content")), "term-counts")
     total = lambda col: counts.select(
         F.sum(col).cast("double") + smoothing * F.count(F.lit(1)).cast("double")).scalar()
     weight = lambda col: -F.log((F.col(col).cast("double") + smoothing) / total(col))
