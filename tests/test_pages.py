@@ -331,3 +331,10 @@ def test_exact_text_is_found_on_every_page(spark, sf_dir):
     found = page_queries.b7(spark, sf_dir)
     assert found.filter("found = 'Ships to'").count() == roles.listing(spark, sf_dir).count()
     assert found.filter("found = 'EUROPE'").count() == roles.listing(spark, sf_dir).filter("marketplace = 'EUROPE'").count()
+
+
+def test_page_vendor_needs_no_pages_shuffled(spark, sf_dir):
+    from listing_analytics.plans import page_queries, roles
+    found = page_queries.b26(spark, sf_dir)
+    assert "html" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 2 * roles.listing(spark, sf_dir).count()
