@@ -192,3 +192,28 @@ def test_search_ends_in_few_passes():
         error = chances(x @ (x.T @ alpha) + free) - y
         assert len(passes) < 120
         assert np.abs(x.T @ error + x.T @ alpha).max() < 1e-6 and np.abs(error.sum(0)).max() < 1e-6
+
+
+def test_terms_are_counted_where_a_text_is_read(spark):
+    rows = spark.createDataFrame([(1, "wood wood the chair"), (1, "the lamp"), (2, None), (None, "")], "id int, text string").coalesce(1)
+    lists = term_scores.term_lists(rows, ["id"], "text", ["the"])
+    assert "Exchange" not in lists._jdf.queryExecution().executedPlan().toString()
+    found = [(r.id, {(t.term, t.tf) for t in r.terms}) for r in lists.collect()]
+    assert found == [(1, {("wood", 2), ("chair", 1)}), (1, {("lamp", 1)}), (2, set()), (None, set())]
+
+
+def test_matrix_of_terms_in_blocks(spark, monkeypatch):
+    """Products with all rows, whatever the size of the blocks."""
+    from listing_analytics.operators import regression
+    texts = ["wood chair chair", "the wood lamp", "lamp light of lamp", "", "chair"]
+    vocab, x = brute_tfidf(texts, [])
+    rows = spark.createDataFrame(list(enumerate(texts)), "row int, text string")
+    entries = term_scores.term_lists(rows, ["row"], "text").select("row", F.inline("terms"))
+    vector = np.arange(10.0).reshape(5, 2)
+    for block, chunk in ((1 << 18, 1 << 14), (1, 2)):
+        monkeypatch.setattr(regression, "_BLOCK", block)
+        monkeypatch.setattr(regression, "_CHUNK", chunk)
+        with regression.TermMatrix(entries, len(texts)) as matrix:
+            assert np.allclose(matrix.product(vector), x @ (x.T @ vector))
+            found = {r.term: r.coefficients for r in matrix.transposed(vector).collect()}
+        assert np.allclose([found[t] for t in vocab], x.T @ vector)
