@@ -338,3 +338,15 @@ def test_page_vendor_needs_no_pages_shuffled(spark, sf_dir):
     found = page_queries.b26(spark, sf_dir)
     assert "html" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.count() == 2 * roles.listing(spark, sf_dir).count()
+
+
+def test_slices_that_cannot_be_read_together_are_not_tried_again_at_once(monkeypatch):
+    import pyarrow as pa
+    from listing_analytics.operators import shred as sh
+    from listing_analytics.operators import shred_slice as sl
+    tags, tried, read = sl.Tags(sh._parse_tag, None), [], sl.shred_columns
+    monkeypatch.setattr(sl, "shred_columns", lambda *a: tried.append(1) or read(*a))
+    for i in range(18):
+        texts, nodes, problems, index = sh._shred_pages(pa.array(["<p>x", "<b>y"] if i < 16 else ["<p>x</p>", "<b>y</b>"]), tags)
+        assert texts.to_pylist() == ["x", "y"] and problems.null_count == 2 and index is None and len(nodes) == 2
+    assert len(tried) == 3  # the first, and those after 15 others
