@@ -217,3 +217,14 @@ def test_matrix_of_terms_in_blocks(spark, monkeypatch):
             assert np.allclose(matrix.product(vector), x @ (x.T @ vector))
             found = {r.term: r.coefficients for r in matrix.transposed(vector).collect()}
         assert np.allclose([found[t] for t in vocab], x.T @ vector)
+
+
+def test_pairs_are_moved_without_names(spark, monkeypatch):
+    """What is joined with the weights holds a number per row, not the name of its text; equal and null texts keep their sums."""
+    moved, join = [], term_scores.join_weights
+    monkeypatch.setattr(term_scores, "join_weights", lambda terms, weights: moved.append(terms.columns) or join(terms, weights))
+    texts = spark.createDataFrame([(1, "red red blue"), (1, "red red blue"), (2, None), (3, "unknown")], "id int, text string")
+    weights = spark.createDataFrame([("red", 1.0), ("blue", 10.0)], "term string, w double")
+    scored = term_scores.score_texts(texts, weights, {"s": F.sum(F.col("tf") * F.col("w"))})
+    assert sorted((r.id, r.s) for r in scored.collect()) == [(1, 12.0), (1, 12.0), (2, None), (3, None)]
+    assert moved == [["row", "term", "tf"]]
