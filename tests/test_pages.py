@@ -350,3 +350,31 @@ def test_slices_that_cannot_be_read_together_are_not_tried_again_at_once(monkeyp
         texts, nodes, problems, index = sh._shred_pages(pa.array(["<p>x", "<b>y"] if i < 16 else ["<p>x</p>", "<b>y</b>"]), tags)
         assert texts.to_pylist() == ["x", "y"] and problems.null_count == 2 and index is None and len(nodes) == 2
     assert len(tried) == 3  # the first, and those after 15 others
+
+
+def test_pages_reduced_to_found_nodes(spark):
+    """Rules read the same from the nodes that the index names as from whole pages; other nodes do not leave the pass."""
+    pages = [
+        '<div id="a"><p>x<b>Total</b></p><span>1</span></div><dl><dt>Sales</dt><dd>7</dd><dd>8</dd></dl><h3>About</h3><i>me</i>',
+        '<div id="a"><p>x<span>2</span></div></b><h3>About</h3><p><dt>Sales</dt><dd>9', "<p>no</p>", "", None]
+    label, about, box = Find(contains="Sales"), Find(tag="h3", string="About"), Find(tag="div", id="a")
+    following, span = Find("next"), Find("inside", tag="span")
+    paths = [(label, Find("sibling")), (label, Find("sibling"), Find("sibling")), (about, following), (box, span), (box, Find("inside", tag="p"))]
+    keys = [ni.key_of(f) for f in (label, about, following, box, span, Find(tag="p"))]
+    text = lambda p: nd.text_of(F.col("text"), ni.node_at(p))
+
+    def found(**how):
+        df = shred(table(spark, pages), index=keys, **how)
+        values = [text(ex.step_from(ex.step_from(None, p[0]), p[1]) if len(p) == 2 else ni.sibling(ni.sibling(ni.first_position(label)))) for p in paths]
+        inner = F.transform(ni.inside(ni.node_at(ni.first_position(box)), Find(tag="p")), lambda n: nd.text_of(F.col("text"), n))
+        rows = df.select("page_id", "text", F.transform(ni.positions(label), text).alias("labels"), inner.alias("inner"),
+                         *[v.alias(f"v{i}") for i, v in enumerate(values)], F.size("nodes").alias("n"))
+        return sorted(rows.collect(), key=lambda r: r.page_id)
+
+    whole, reduced = found(), found(nodes="found", onward=ex.onward_keys(paths))
+    assert [r[:-1] for r in whole] == [r[:-1] for r in reduced]
+    assert [r.v1 for r in reduced] == ["8", None, None, None, None]
+    assert [r.n for r in whole[:3]] != [r.n for r in reduced[:3]] and all(a.n >= b.n for a, b in zip(whole, reduced))
+    texts = shred(table(spark, pages), nodes="none")
+    assert texts.columns == ["page_id", "text", "problem"]
+    assert sorted(r.text or "" for r in texts.collect()) == sorted(r.text or "" for r in whole)
