@@ -73,15 +73,18 @@ class _Cut:
         self.bytes = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
         here = self.bytes[edges[0]:edges[-1]]
         opens, closes = (np.flatnonzero(here == sign) + edges[0] for sign in (60, 62))
-        page = np.searchsorted(edges, opens, "right") - 1
-        nearest = np.searchsorted(closes, opens)
-        end = np.r_[closes, edges[-1] + 1][nearest] + 1
+        page = np.repeat(np.arange(n), np.diff(np.searchsorted(opens, edges)))
+        if len(opens) == len(closes) and (opens < closes).all() and (closes[:-1] < opens[1:]).all():  # in turn, as nearly always
+            end = closes + 1
+        else:
+            end = np.r_[closes, edges[-1] + 1][np.searchsorted(closes, opens)] + 1
         bad = end > edges[page + 1]
         bad[:-1] |= (opens[1:] < end[:-1]) & (page[1:] == page[:-1])
         self.good = np.ones(n, bool)
         self.good[page[bad]] = False
-        keep = self.good[page]
-        opens, end, page = opens[keep], end[keep], page[keep]
+        if bad.any():
+            keep = self.good[page]
+            opens, end, page = opens[keep], end[keep], page[keep]
 
         # Alternating texts and tags: tag k of page p is segment 2k + p + 1.
         self.last = _offsets(np.bincount(page, minlength=n))
@@ -105,7 +108,7 @@ class _Cut:
         self.raw = np.zeros(len(self.segments), bool)
         stays = np.ones(len(code), bool)
         name = self.name_of[code]
-        raw_starts = np.flatnonzero((kind == START) & np.isin(name, list(raw_names)))
+        raw_starts = np.flatnonzero(((self.kind_of == START) & np.isin(self.name_of, list(raw_names)))[code]) if raw_names else np.zeros(0, np.int64)
         after = -1
         for i in raw_starts.tolist():
             if i < after:
@@ -123,32 +126,41 @@ class _Cut:
             self.raw[at[j] - 1] = bool(inside)
             after = j
         # A doctype with nothing before it; its text would go on behind it.
-        doctype = stays & (kind == DOCTYPE)
-        self.good[page[doctype & (self.lengths[at - 1] > 0)]] = False
-        stays &= ~doctype
-        self.good[page[stays & (kind == ODD)]] = False
-        self.good[html.is_null().to_numpy(zero_copy_only=False)] = False
-        stays &= self.good[page]
+        if (self.kind_of == DOCTYPE).any():
+            doctype = stays & (kind == DOCTYPE)
+            self.good[page[doctype & (self.lengths[at - 1] > 0)]] = False
+            stays &= ~doctype
+        if (self.kind_of == ODD).any():
+            self.good[page[stays & (kind == ODD)]] = False
+        if html.null_count:
+            self.good[html.is_null().to_numpy(zero_copy_only=False)] = False
+        if not self.good.all():
+            stays &= self.good[page]
 
         # Elements that do not nest.
-        se = stays & ((kind == START) | (kind == END))
-        p, k, m = page[se], kind[se], name[se]
-        step = np.where(k == START, 1, -1)
-        depth = np.cumsum(step)
+        p, k, m = page, kind, name
+        se = stays & (kind <= END)
+        if not se.all():
+            p, k, m = p[se], k[se], m[se]
+        depth = np.cumsum(1 - 2 * k, dtype=np.int64)
         count = np.bincount(p, minlength=n)
-        base = np.r_[0, depth][_offsets(count)[:-1]]
-        depth -= base[p]
+        opened = np.r_[0, depth][_offsets(count)]
+        depth -= opened[p]
         self.good[p[depth < 0]] = False
-        closing = np.bincount(p, weights=step, minlength=n)
-        self.good[closing != 0] = False
-        ok = self.good[p]
-        p, m, level = p[ok], m[ok], np.where(k == START, depth, depth + 1)[ok]
+        self.good[np.diff(opened) != 0] = False
+        level = depth + k
+        if not self.good.all():
+            ok = self.good[p]
+            p, m, level = p[ok], m[ok], level[ok]
         order = _by_depth(level)
         starts, ends = order[::2], order[1::2]
         self.good[p[starts[m[starts] != m[ends]]]] = False
 
-        stays &= self.good[page]
-        self.code, self.at, self.page, self.kind = code[stays], at[stays], page[stays], kind[stays]
+        if not self.good.all():
+            stays &= self.good[page]
+        if not stays.all():
+            code, at, page, kind = code[stays], at[stays], page[stays], kind[stays]
+        self.code, self.at, self.page, self.kind = code, at, page, kind
         self.names = names
 
 
@@ -157,9 +169,9 @@ def _by_depth(depth: np.ndarray) -> np.ndarray:
 
 
 def shred_columns(html: pa.StringArray, tags: Tags, raw_ends: dict, raw_odd: dict, hidden_names: frozenset[str],
-                  only_text: bool = False) -> tuple:
+                  only_text: bool = False, onward: dict[str, int] | None = None) -> tuple:
     """(which pages were read, their texts, nodes and index) of a slice; the index is null where none was asked for, the
-    nodes where only texts were."""
+    nodes where only texts were. With ``onward`` pages come as :func:`found_nodes` reduces them."""
     cut = _Cut(html, tags, raw_ends, raw_odd)
     good = np.flatnonzero(cut.good)
     number = np.cumsum(cut.good) - 1
@@ -173,8 +185,8 @@ def shred_columns(html: pa.StringArray, tags: Tags, raw_ends: dict, raw_odd: dic
     base = _offsets(sizes)[:n]
     events = int(sizes.sum())
     kind = np.full(events, WORDS, np.int8)
-    coded = np.full(events, -1, np.int64)
-    segment = np.full(events, -1, np.int64)
+    coded = np.full(events, -1, np.int32)
+    segment = np.full(events, -1, np.int32)
     place = base[page] + 2 + 2 * (np.arange(len(page)) - _offsets(of_page)[:n][page])
     kind[place], coded[place] = cut.kind, code
     segment[place - 1] = at - 1
@@ -185,13 +197,14 @@ def shred_columns(html: pa.StringArray, tags: Tags, raw_ends: dict, raw_odd: dic
     filled[where] = (cut.lengths[segment[where]] > 0) | cut.raw[segment[where]]
     kept = np.flatnonzero(filled)
     kind, coded, segment = kind[kept], coded[kept], segment[kept]
-    page = np.searchsorted(base, kept, "right") - 1
+    page = np.repeat(np.arange(n), sizes)[kept]
 
     # Entities stand for characters, or for none.
     words = np.flatnonzero(kind == WORDS)
     texts = cut.segments.take(pa.array(segment[words]))
-    raw = cut.raw[segment[words]]
-    entity = pc.match_substring(texts, "&").to_numpy(zero_copy_only=False) & ~raw
+    entity = pc.match_substring(texts, "&").to_numpy(zero_copy_only=False)
+    if entity.any():
+        entity &= ~cut.raw[segment[words]]
     if entity.any():
         which = np.flatnonzero(entity)
         plain = [unescape(t) for t in texts.take(pa.array(which)).to_pylist()]
@@ -204,11 +217,13 @@ def shred_columns(html: pa.StringArray, tags: Tags, raw_ends: dict, raw_odd: dic
             kind, coded, segment, page = kind[stay], coded[stay], segment[stay], page[stay]
             words = np.flatnonzero(kind == WORDS)
 
-    secret = np.array([t[1] in hidden_names for t in cut.tags] + [False], bool)[coded]
-    covered = np.cumsum(np.where(secret & (kind == START), 1, 0) - np.where(secret & (kind == END), 1, 0))
-    shown = covered[words] == 0
-    kind[words[~shown]] = HIDDEN_WORDS
-    texts, words = texts.filter(pa.array(shown)), words[shown]
+    hidden = np.array([t[1] in hidden_names for t in cut.tags] + [False], bool)
+    if hidden.any():
+        secret = hidden[coded]
+        covered = np.cumsum(np.where(secret & (kind == START), 1, 0) - np.where(secret & (kind == END), 1, 0))
+        shown = covered[words] == 0
+        kind[words[~shown]] = HIDDEN_WORDS
+        texts, words = texts.filter(pa.array(shown)), words[shown]
     blank = pc.equal(pc.binary_length(pc.ascii_trim(texts, characters=" \n\t\f\r")), 0)
     if pc.any(blank).as_py():
         texts = pc.if_else(blank, pc.if_else(pc.match_substring(texts, "\n"), "\n", " "), texts)
@@ -216,6 +231,8 @@ def shred_columns(html: pa.StringArray, tags: Tags, raw_ends: dict, raw_odd: dic
     whole = pc.binary_join(_list(np.bincount(page[words], minlength=n), _whole(texts)), "")
     if only_text:
         return good, whole, None, None
+    if onward is not None:
+        return good, whole, *_reduced(cut, kind, coded, page, n, words, _whole(texts), tags.wanted, onward)
 
     # Nodes, numbered by where they begin and where they end.
     is_start, is_end, is_void, is_words = kind == START, kind == END, kind == VOID, kind == WORDS
@@ -339,6 +356,158 @@ def shred_columns(html: pa.StringArray, tags: Tags, raw_ends: dict, raw_odd: dic
         for part, key in wanted.parts:
             has = pc.match_substring(strings, part).to_numpy(zero_copy_only=False)
             note(key, held[has[held_no]])
+    return good, whole, nodes, _index(keys, found_key, found_at, page, n, lambda which: pre[which])
+
+
+class _Places:
+    """Where some events lie in a slice: they are found by their depth, and those of one depth by their number."""
+
+    def __init__(self, events: np.ndarray, depth: np.ndarray) -> None:
+        self.events = events[_by_depth(depth[events])]
+        self.width = len(depth) + 1
+        self.keys = depth[self.events] * self.width + self.events
+
+    def from_on(self, depth: np.ndarray, event: np.ndarray) -> np.ndarray:
+        """Place of the first of a depth that is not before an event."""
+        return np.searchsorted(self.keys, depth * self.width + event)
+
+
+def _reduced(cut: _Cut, kind: np.ndarray, coded: np.ndarray, page: np.ndarray, n: int, words: np.ndarray, texts: pa.StringArray,
+             wanted: Wanted, onward: dict[str, int]) -> tuple[pa.ListArray, pa.MapArray]:
+    """Nodes and index of pages as :func:`found_nodes` would reduce them; columns are only made of the nodes that stay."""
+    is_start, is_end = kind == START, kind == END
+    step = is_start.astype(np.int64) - is_end
+    depth = np.cumsum(step) - step
+    opened = np.flatnonzero(is_start | (kind == VOID))
+    elements = opened[coded[opened] != -1]
+    no_start, no_end = np.flatnonzero(~is_start), np.r_[np.flatnonzero(~is_end), len(kind)]
+
+    def holding(inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The elements in which a text or comment is all there is, and which of ``inner`` that is."""
+        before = np.r_[-1, no_start][np.searchsorted(no_start, inner)]
+        around = np.minimum(inner - before, no_end[np.searchsorted(no_end, inner) + 1] - inner) - 1
+        which = np.repeat(np.arange(len(inner)), around)
+        found = _ranges(inner - around, around)
+        inside = coded[found] != -1
+        return found[inside], which[inside]
+
+    # Positions by key.
+    keys: dict[str, int] = {}
+    found_key, found_at = [], []
+
+    def note(key: str, events: np.ndarray) -> None:
+        found_key.append(np.full(len(events), keys.setdefault(key, len(keys))))
+        found_at.append(events)
+
+    keyed: dict[str, list[int]] = {}
+    for c, t in enumerate(cut.tags):
+        for key in t[4]:
+            if key != FOLLOWING:
+                keyed.setdefault(key, []).append(c)
+    having = np.zeros(len(cut.tags), bool)
+    having[[c for codes in keyed.values() for c in codes]] = True
+    had = elements[having[coded[elements]]]
+    for key, codes in keyed.items():
+        has = np.zeros(len(cut.tags), bool)
+        has[codes] = True
+        note(key, had[has[coded[had]]])
+    if wanted.texts:
+        note(TEXT, words)
+    for part, key in wanted.likes:
+        note(key, words[pc.match_substring(texts, part).to_numpy(zero_copy_only=False)])
+    comments = np.flatnonzero(kind == COMMENT)
+    said = pa.array([cut.tags[c][2][""] for c in coded[comments].tolist()], pa.string())
+    if wanted.strings:
+        for strings, at, shown in ((texts, words, True), (said, comments, False)):
+            for value, key in wanted.exact.items():
+                same = at[pc.equal(strings, value).to_numpy(zero_copy_only=False)]
+                if shown:
+                    note(key, same)
+                note(key, holding(same)[0])
+            for part, key in wanted.parts:
+                note(key, holding(at[pc.match_substring(strings, part).to_numpy(zero_copy_only=False)])[0])
+
+    # Which nodes stay, and where paths go on.
+    need = np.zeros(len(kind), bool)
+    for events in found_at:
+        need[events] = True
+    placed = _Places(opened, depth)
+
+    def around(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number among the elements of the same parent, parent and next such element (or -1) of elements."""
+        deep = depth[at]
+        up = lambda events: placed.events[placed.from_on(deep - 1, events) - 1]
+        parent, own = up(at), placed.from_on(deep, at)
+        then = np.r_[placed.events, 0][own + 1]
+        return own - placed.from_on(deep, parent), parent, np.where((then > at) & (depth[then] == deep) & (up(then) == parent), then, -1)
+
+    followed = np.zeros(len(kind), bool)
+    reached = np.zeros(0, np.int64)
+    follows = FOLLOWING in wanted.all
+    for hop in range(max(onward.values(), default=0)):
+        chosen = [a for k, a in zip(found_key, found_at) for key, times in onward.items() if times > hop and len(a) and keys.get(key) == k[0]]
+        now = np.unique(np.concatenate([*chosen, reached]))
+        to = np.zeros(0, np.int64)
+        if follows:
+            to = np.r_[elements, len(kind)][np.searchsorted(elements, now, "right")]
+            to = to[np.r_[page, n][to] == page[now]]
+            followed[to] = True
+        sibling = around(now[kind[now] != WORDS])[2]
+        reached = np.r_[to, sibling[sibling >= 0]]
+        need[reached] = True
+    if follows:
+        note(FOLLOWING, np.flatnonzero(followed))
+
+    # The nodes that stay, numbered by where they begin and where they end.
+    kept = np.flatnonzero(need)
+    of_page, here = np.bincount(page[kept], minlength=n), np.arange(len(kept))
+    place = here - _offsets(of_page)[:-1][page[kept]]
+    starts, words_here = is_start[kept], kind[kept] == WORDS
+    ends = kept.copy()
+    closed = _Places(np.flatnonzero(is_end), depth)
+    ends[starts] = closed.events[closed.from_on(depth[kept[starts]] + 1, kept[starts])]
+    level = here - np.searchsorted(np.sort(ends), kept)
+    post = place + np.searchsorted(kept, ends, "right") - here - 1 - level
+    by_level = np.argsort(level, kind="stable")
+    above = np.searchsorted(level[by_level] * (len(kept) + 1) + by_level, (level - 1) * (len(kept) + 1) + here) - 1
+    parent = np.where(level > 0, place[by_level[above]], -1)
+    moved = lambda to: np.where((to >= 0) & need[to], place[np.minimum(np.searchsorted(kept, to), max(len(kept) - 1, 0))], -1) if len(kept) else to
+    sib_ord, next_at, holder = np.zeros(len(kept), np.int64), np.full(len(kept), -1), np.where(words_here, kept, -1)
+    sib_ord[~words_here], _, next_at[~words_here] = around(kept[~words_here])
+    opening = kept[starts]
+    inner = no_start[np.searchsorted(no_start, opening)]
+    alone = no_end[np.searchsorted(no_end, inner, "right")] - inner > inner - opening
+    holder[starts] = np.where(alone & (kind[inner] == WORDS), inner, np.where(alone & (kind[inner] == COMMENT), inner - 1, -1))
+    only, next_at = moved(holder), moved(next_at)
+
+    # Their columns.
+    chars = _offsets(pc.utf8_length(texts).to_numpy())
+    first = chars[_offsets(np.bincount(page[words], minlength=n))[:-1]][page[kept]]
+    names = pa.array([*cut.names, "#text"], pa.string())
+    slot = np.where(words_here, len(cut.tags), coded[kept])
+    classes = pa.array([*(t[3] for t in cut.tags), None], pa.string())
+    string_no = np.where(words_here, np.searchsorted(words, kept), -1)
+    if len(comments):
+        # An element with a comment alone holds it as its string.
+        own = starts & (holder == kept)
+        string_no[own] = len(words) + np.searchsorted(comments, kept[own])
+    attrs = [list(t[2].items()) if t[0] in (START, VOID) else [] for t in cut.tags] + [[]]
+    counts = np.array([len(a) for a in attrs], np.int64)
+    flat = pa.array(_ranges(_offsets(counts)[:-1][slot], counts[slot]))
+    fields = {
+        "pre": _ints(place), "post": _ints(post), "parent": _ints(parent), "level": _ints(level), "sib_ord": _ints(sib_ord, ~words_here),
+        "tag": names.take(pa.array(np.r_[cut.name_of, len(cut.names)][slot])), "cls": classes.take(pa.array(slot)),
+        "string": pa.concat_arrays([texts, said]).take(_ints(string_no, string_no >= 0)),
+        "start": _ints(chars[np.searchsorted(words, kept)] - first), "end": _ints(chars[np.searchsorted(words, ends, "right")] - first),
+        "only": _ints(only, only >= 0), "next": _ints(next_at, next_at >= 0),
+        "attrs": pa.MapArray.from_arrays(_ints(_offsets(counts[slot])), pa.array([k for a in attrs for k, _ in a], pa.string()).take(flat),
+                                         pa.array([v for a in attrs for _, v in a], pa.string()).take(flat))}
+    nodes = _list(of_page, pa.StructArray.from_arrays([fields[f.name] for f in schemas.NODE.fields], schemas.NODE.fieldNames()))
+    return nodes, _index(keys, found_key, found_at, page, n, lambda which: place[np.searchsorted(kept, which)])
+
+
+def _index(keys: dict[str, int], found_key: list, found_at: list, page: np.ndarray, n: int, position: Callable) -> pa.MapArray:
+    """The positions of events by page and key."""
     which = np.concatenate(found_at) if found_at else np.zeros(0, np.int64)
     key = np.concatenate(found_key).astype(np.int64) if found_key else which
     order = np.lexsort((which, key, page[which]))
@@ -346,10 +515,9 @@ def shred_columns(html: pa.StringArray, tags: Tags, raw_ends: dict, raw_odd: dic
     entry = page[which] * max(len(keys), 1) + key
     new = np.r_[True, entry[1:] != entry[:-1]] if len(entry) else np.zeros(0, bool)
     first = np.flatnonzero(new)
-    lists = _list(np.diff(np.r_[first, len(entry)]), _ints(pre[which]))
-    index = pa.MapArray.from_arrays(
+    lists = _list(np.diff(np.r_[first, len(entry)]), _ints(position(which)))
+    return pa.MapArray.from_arrays(
         _ints(_offsets(np.bincount(page[which[first]], minlength=n))), pa.array(list(keys), pa.string()).take(pa.array(key[first])), lists)
-    return good, whole, nodes, index
 
 
 def found_nodes(nodes: pa.ListArray, index: pa.MapArray, onward: dict[str, int]) -> tuple[pa.ListArray, pa.MapArray]:

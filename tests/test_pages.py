@@ -378,3 +378,30 @@ def test_pages_reduced_to_found_nodes(spark):
     texts = shred(table(spark, pages), nodes="none")
     assert texts.columns == ["page_id", "text", "problem"]
     assert sorted(r.text or "" for r in texts.collect()) == sorted(r.text or "" for r in whole)
+
+
+def test_pages_read_together_make_only_nodes_that_stay(monkeypatch):
+    """What the index doesn't name is left out before any column of nodes is made, with the same result as afterwards."""
+    import random
+
+    import pyarrow as pa
+    from listing_analytics.operators import shred as sh
+    from listing_analytics.operators import shred_slice as sl
+    from listing_analytics.operators.node_index import Wanted
+    pick = random.Random(5)
+    pages = pa.array([W_PRODUCT, W_VENDOR, N_PRODUCT, N_VENDOR] + [_nested(pick) for _ in range(1500)], pa.string())
+    keys = ["following:", "text:", "tag:p", "class:\na", "id:m", "style:s", "string:Product Class", "string:c", "contains:Sales", "contains:c", "like:x"]
+    filled = lambda index: [[(k, v) for k, v in page if v] for page in index.to_pylist()]
+    for wanted in [[k] for k in keys] + [pick.sample(keys, 4) for _ in range(8)]:
+        onward = {k: pick.randrange(1, 4) for k in wanted[::2] if k != "following:"}
+        read = lambda *more: sl.shred_columns(pages, sl.Tags(sh._parse_tag, Wanted(wanted)), sh._RAW_END, sh._RAW_ODD, sh.HIDDEN, *more)
+        good, texts, nodes, index = read()
+        after = sl.found_nodes(nodes, index, onward)
+        at_once = read(False, onward)
+        assert len(good) > 1000 and at_once[0].tolist() == good.tolist() and at_once[1].equals(texts)
+        assert at_once[2].to_pylist() == after[0].to_pylist()
+        assert [dict(p) for p in filled(at_once[3])] == [dict(p) for p in filled(after[1])]
+    monkeypatch.setattr(sl, "found_nodes", None)
+    usual = pa.array([W_PRODUCT, N_PRODUCT, N_VENDOR] * 5)
+    readable = usual.take(pa.array(sl.shred_columns(usual, sl.Tags(sh._parse_tag, None), sh._RAW_END, sh._RAW_ODD, sh.HIDDEN)[0]))
+    assert len(sh._shred_pages(readable, sl.Tags(sh._parse_tag, Wanted(["tag:p"])), False, {})[1]) >= 10
