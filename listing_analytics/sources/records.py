@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from listing_analytics.session import store
 from listing_analytics.sources.pieces import Step, read_groups
 
 # A cell: in quotes with doubled quotes inside (what follows the last quote belongs to it), plain, or empty. All loops
@@ -32,7 +33,7 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     """
     groups = read_groups(spark, path, "\n", _lines, lambda state, depth: state == 0)
     rows = groups.withColumn("value", F.regexp_replace("value", r"\r\z", "")).filter("value <> ''")
-    header = rows.groupBy("source_file").agg(F.min("row_ord").alias("row_ord"))
+    header = F.broadcast(store(rows.groupBy("source_file").agg(F.min("row_ord").alias("row_ord")), "headers"))  # a row per file
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = F.from_csv("value", ddl, {"quote": '"', "escape": '"', "multiLine": "true"})
     return rows.join(header, ["source_file", "row_ord"], "left_anti").select(

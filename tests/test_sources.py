@@ -215,3 +215,26 @@ def test_accept_reject(spark):
     scored = spark.createDataFrame([(1, True), (2, False)], "n int, is_challenge boolean")
     content, diverted = sinks.divert_challenges(scored)
     assert content.first().n == 2 and diverted.first().detected_at is not None
+
+
+def test_records_are_joined_inside_their_blocks(spark, tmp_path, monkeypatch):
+    """Stored are a row per block or file and the parts of rows that lie across blocks, no whole rows; those are not shuffled."""
+    from listing_analytics.sources import pieces
+    stored = {}
+
+    def store(df, name, keep=pieces.store):
+        stored[name] = kept = keep(df, name)
+        return kept
+
+    monkeypatch.setattr(pieces, "store", store)
+    (tmp_path / "x.csv").write_text("n,t\n" + '"a\nb",c\n' * 300)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = records.read_records(spark, str(tmp_path / "x.csv"), schemas._strings("n", "t"))
+        assert {tuple(r) for r in got.select("n", "t").collect()} == {("a\nb", "c")} and got.count() == 300
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    blocks = stored["blocks"].count()
+    assert blocks > 1 and set(stored) == {"blocks", "parts"} and stored["parts"].count() <= 2 * blocks
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(source_file") and "SortMergeJoin" not in plan.split("MapInArrow")[0]
