@@ -25,6 +25,11 @@ def _text() -> Column:
     return F.col("text")
 
 
+def _cut(node: Column) -> Column:
+    """Text of a node that is at hand or just looked up: cheaper than to keep it for reading its members."""
+    return F.substring(_text(), node["start"] + 1, node["end"] - node["start"])
+
+
 def _inside(node: Column, tag: str) -> Column:
     return ni.inside(node, Find(tag=tag))
 
@@ -38,6 +43,11 @@ _PARTS = {"table_row": ("img", "p"), "card": ("a", "span", "p")}
 _HISTORY_PARTS = ("h3", "span")
 
 
+def holds(entity: str) -> Column:
+    """Whether a page holds an entity, as ``extract_pages`` keeps it."""
+    return F.col(f"_has_{entity}")
+
+
 def step_from(before: Column | None, step: Find) -> Column:
     """Position of the node one step further; null when it finds nothing."""
     if step.axis == "page":
@@ -49,14 +59,24 @@ def step_from(before: Column | None, step: Find) -> Column:
     return ni.sibling(before)
 
 
-def site_keys(site: Site) -> list[str]:
-    """Keys that the rules of a site look up in the index of a page."""
+def _site_steps(site: Site) -> list[Find]:
     steps = [step for path in Page(site).names for step in path]
     steps += [Find(id=route.id) for route in site.routes if route.id is not None]
     steps += [site.reviews.item, *(Find(tag=tag) for tag in _PARTS[site.reviews.layout])]
     steps += [Find(tag=f.arg) for f in (*site.product, *site.vendor, *site.reviews.page_fields) if f.take in ("without", "ratio")]
     steps += [site.extra["history"], *(Find(tag=tag) for tag in _HISTORY_PARTS)] if "history" in site.extra else []
-    return sorted({ni.key_of(step) for step in steps if step.axis != "sibling"})
+    return [step for step in steps if step.axis != "sibling"]
+
+
+def site_keys(site: Site) -> list[str]:
+    """Keys that the rules of a site look up in the index of a page."""
+    return sorted({ni.key_of(step) for step in _site_steps(site)})
+
+
+def site_fields(site: Site) -> list[str]:
+    """Members of a node that the rules of a site read."""
+    read = {"pre", "post", "level", "attrs", "start", "end", "next"}.union(*map(ni.fields_of, _site_steps(site)))
+    return [name for name in schemas.NODE.names if name in read]
 
 
 def onward_keys(paths: Iterable[Sequence[Find]]) -> dict[str, int]:
@@ -122,7 +142,7 @@ class Page:
             added = {}
             for path in paths:
                 if len(path) == depth:
-                    needed = F.arrays_overlap("entities", F.array(*[F.lit(e) for e in sorted(self.users[path])]))
+                    needed = reduce(lambda a, b: a | b, [holds(e) for e in sorted(self.users[path])])
                     if depth == 1 and apart is not None:
                         found = F.get(apart(ni.positions(path[0])), F.lit(0))
                     else:
@@ -154,31 +174,31 @@ def _two(text: Column, sep: str, at: int) -> Column:
 
 
 def _ratio(field: Field, node: Column) -> Column:
-    scale = _first_inside(node, field.arg)
-    value = tx.strip(nd.text_without(_text(), node, scale)).try_cast("double")
-    return F.try_divide(value, tx.all_digits(nd.text_of(_text(), scale)).cast("double")).cast("string")
+    value = lambda scale: tx.strip(nd.text_without(_text(), node, scale)).try_cast("double")
+    return nd.let(_first_inside(node, field.arg), lambda scale: F.try_divide(
+        value(scale), tx.all_digits(_cut(scale)).cast("double")).cast("string"))
 
 
 def _second_of_two(field: Field, node: Column) -> Column:
     found = ni.positions(field.path[-1])
-    return F.when(F.size(found) == 2, nd.text_of(_text(), ni.node_at(F.get(found, F.lit(1)))))
+    return F.when(F.size(found) == 2, _cut(ni.node_at(F.get(found, F.lit(1)))))
 
 
 def _joined(field: Field, node: Column) -> Column:
     return F.array_join(F.transform(
-        ni.positions(field.path[-1]), lambda p: F.concat(tx.strip(nd.text_of(_text(), ni.node_at(p))), F.lit(" "))), "")
+        ni.positions(field.path[-1]), lambda p: F.concat(tx.strip(_cut(ni.node_at(p))), F.lit(" "))), "")
 
 
 # What can be read from the node at the end of a path.
 TAKE: dict[str, Callable[[Field, Column], Column]] = {
-    "text": lambda f, n: nd.text_of(_text(), n),
-    "strip": lambda f, n: tx.strip(nd.text_of(_text(), n)),
+    "text": lambda f, n: _cut(n),
+    "strip": lambda f, n: tx.strip(_cut(n)),
     "attr": lambda f, n: nd.read_attr(n, f.arg),
     "link": lambda f, n: nd.read_attr(n, f.arg),
-    "before": lambda f, n: _two(nd.text_of(_text(), n), f.arg, 0),
-    "after": lambda f, n: _two(nd.text_of(_text(), n), f.arg, 1),
-    "first_word": lambda f, n: tx.split_first(nd.text_of(_text(), n), " "),
-    "number_word": lambda f, n: tx.first_number_word(nd.text_of(_text(), n)),
+    "before": lambda f, n: _two(_cut(n), f.arg, 0),
+    "after": lambda f, n: _two(_cut(n), f.arg, 1),
+    "first_word": lambda f, n: tx.split_first(_cut(n), " "),
+    "number_word": lambda f, n: tx.first_number_word(_cut(n)),
     "without": lambda f, n: tx.strip(nd.text_without(_text(), n, _first_inside(n, f.arg))),
     "ratio": _ratio,
     "second_of_two": _second_of_two,
@@ -235,7 +255,7 @@ def _problems(page: Page, fields: Sequence[Field], entity: str) -> list[Column]:
             found.append(F.when(node.isNotNull() & nd.read_attr(node, f.arg).isNull(), message))
         if f.take == "before":
             node = page.select(f.path)
-            parts = F.size(_parts(nd.text_of(_text(), node), f.arg))
+            parts = F.size(_parts(_cut(node), f.arg))
             found.append(F.when(node.isNotNull() & (parts != 2), F.lit(f"{entity}.{f.name} cannot be split")))
     return found
 
@@ -259,8 +279,8 @@ def _history(site: Site) -> Column:
     spans = lambda card: _inside(card, "span")
     entry = lambda card: nd.let(spans(card), lambda s: F.when(F.size(s) == 2, F.struct(
         tx.strip(nd.text_of(_text(), _first_inside(card, "h3"))).alias("key"),
-        F.struct(tx.strip(nd.text_of(_text(), F.get(s, F.lit(0)))).alias("sales"),
-                 tx.strip(nd.text_of(_text(), F.get(s, F.lit(1)))).alias("rating")).alias("value"))))
+        F.struct(tx.strip(_cut(F.get(s, F.lit(0)))).alias("sales"),
+                 tx.strip(_cut(F.get(s, F.lit(1)))).alias("rating")).alias("value"))))
     entries = F.filter(F.transform(ni.positions(site.extra["history"]), lambda p: entry(ni.node_at(p))),
                        lambda e: e.isNotNull() & e["key"].isNotNull())
     # A market listed twice keeps its last card.
@@ -287,22 +307,27 @@ def _table_row_review(site: Site, page: Column, row: Column) -> Column:
     image = _first_inside(row, "img")
     rating = (F.when(image.isNull(), "")
               .when(nd.read_attr(image, "src") == site.positive_icon, "positive").otherwise("negative"))
-    part = lambda ps, i: tx.strip(nd.text_of(_text(), F.get(ps, F.lit(i))))
+    part = lambda ps, i: tx.strip(_cut(F.get(ps, F.lit(i))))
     return nd.let(_inside(row, "p"), lambda ps: F.when(F.size(ps) > 0, nd.let(
         F.struct(ps.alias("p"), tx.words(part(ps, 2)).alias("w")), lambda x: F.struct(
             page["vendor"].alias("vendor"), page["product"].alias("product"),
             page["product_link"].alias("product_link"), part(x["p"], 3).alias("datetime"),
             F.get(x["w"], F.lit(0)).alias("author"), rating.alias("rating"), part(x["p"], 0).alias("text"),
-            F.get(x["w"], F.lit(2)).alias("price_paid"), F.get(x["w"], F.lit(1)).alias("currency"),
-            ((F.size(x["p"]) == 4) & (F.size(x["w"]) == 3)).alias("complete")))))
+            F.get(x["w"], F.lit(2)).alias("price_paid"), F.get(x["w"], F.lit(1)).alias("currency")))))
+
+
+def _table_row_complete(row: Column) -> Column:
+    """Null for a row that is no review."""
+    words = lambda ps: tx.words(tx.strip(_cut(F.get(ps, F.lit(2)))))
+    return nd.let(_inside(row, "p"), lambda ps: F.when(F.size(ps) > 0, (F.size(ps) == 4) & (F.size(words(ps)) == 3)))
 
 
 def _card_review(site: Site, page: Column, card: Column) -> Column:
     """First span is the date, last span "price currency", paragraphs are rating and text."""
-    text = lambda n: tx.strip(nd.text_of(_text(), n))
+    text = lambda n: tx.strip(_cut(n))
     parts = F.struct(_inside(card, "span").alias("s"), _inside(card, "p").alias("p"), _first_inside(card, "a").alias("a"))
     return nd.let(parts, lambda x: nd.let(
-        F.struct(tx.words(text(F.element_at(x["s"], -1))).alias("w")), lambda y: F.struct(
+        F.struct(tx.words(text(F.try_element_at(x["s"], F.lit(-1)))).alias("w")), lambda y: F.struct(
             page["vendor"].alias("vendor"),
             F.when(x["a"].isNull(), "").otherwise(text(x["a"])).alias("product"),
             F.when(x["a"].isNull(), "").otherwise(nd.read_attr(x["a"], "href")).alias("product_link"),
@@ -310,8 +335,31 @@ def _card_review(site: Site, page: Column, card: Column) -> Column:
             F.coalesce(text(F.get(x["p"], F.lit(0))), F.lit("")).alias("rating"),
             F.coalesce(text(F.get(x["p"], F.lit(1))), F.lit("")).alias("text"),
             F.coalesce(F.get(y["w"], F.lit(0)), F.lit("")).alias("price_paid"),
-            F.coalesce(F.get(y["w"], F.lit(1)), F.lit("")).alias("currency"),
-            (F.size(x["s"]) > 0).alias("complete"))))
+            F.coalesce(F.get(y["w"], F.lit(1)), F.lit("")).alias("currency"))))
+
+
+def _card_complete(card: Column) -> Column:
+    return F.exists(ni.positions(Find(tag="span")), lambda p: ni.lies_in(p, card))
+
+
+def _reviews(page: Page, of_items: Column) -> Column:
+    """What is read from the reviews of a page, null where its gate says that there are none."""
+    rules = page.site.reviews
+    if rules.gate is None:
+        return of_items
+    gate = _cut(page.select((rules.gate,)))
+    return F.when(F.coalesce(tx.digit_sum(gate), F.lit(0)) > 0, of_items)
+
+
+def _review_items(page: Page) -> Column:
+    return ni.inside(page.select((page.site.reviews.container,)), page.site.reviews.item)
+
+
+def incomplete_review(page: Page) -> Column:
+    """Whether a part is missing of some review of a page. No review is worked out for that, so tables of other records
+    don't need any."""
+    complete = {"table_row": _table_row_complete, "card": _card_complete}[page.site.reviews.layout]
+    return _reviews(page, F.exists(_review_items(page), lambda item: ~complete(item)))
 
 
 def review_structs(page: Page) -> Column:
@@ -325,13 +373,8 @@ def review_structs(page: Page) -> Column:
             # Without the marker in front of the name, the vendor of the page is taken.
             shared["vendor"] = F.when(page.select(f.path[:1]).isNull(), owner).otherwise(shared["vendor"])
     build = {"table_row": _table_row_review, "card": _card_review}[rules.layout]
-    items = ni.inside(page.select((rules.container,)), rules.item)
-    found = nd.let(F.struct(*[v.alias(k) for k, v in shared.items()]), lambda p: F.filter(
-        F.transform(items, lambda item: build(site, p, item)), lambda r: r.isNotNull()))
-    if rules.gate is None:
-        return found
-    gate = nd.text_of(_text(), page.select((rules.gate,)))
-    return F.when(F.coalesce(tx.digit_sum(gate), F.lit(0)) > 0, found)
+    return _reviews(page, nd.let(F.struct(*[v.alias(k) for k, v in shared.items()]), lambda p: F.filter(
+        F.transform(_review_items(page), lambda item: build(site, p, item)), lambda r: r.isNotNull())))
 
 
 def page_entities(site: Site) -> Column:
@@ -366,20 +409,20 @@ def extract_pages(pages: DataFrame, site: Site) -> DataFrame:
     """
     keep = [c for c in pages.columns if c != "html"]
     page = Page(site)
-    has = lambda entity: F.array_contains("entities", entity)
-    routed = route_pages(shred(pages, index=site_keys(site), nodes="found", onward=onward_keys(page.names)), site).withColumn("entities", F.when(
-        F.col("problem").isNull() & valid_page(site), F.col("entities")))
-    groups = {name: F.when(has("product"), struct) for name, struct in _group_structs(page, site.product).items()}
+    routed = route_pages(shred(pages, index=site_keys(site), nodes="found", onward=onward_keys(page.names), fields=site_fields(site)), site).withColumn("entities", F.when(
+        F.col("problem").isNull() & valid_page(site), F.col("entities"))).withColumns(
+        {f"_has_{entity}": F.array_contains("entities", entity) for entity in schemas.RECORDS})
+    groups = {name: F.when(holds("product"), struct) for name, struct in _group_structs(page, site.product).items()}
     staged = page.stage(routed)
     built = (staged.withColumns(groups) if groups else staged).withColumns({
-        "product": F.when(has("product"), product_struct(page)),
-        "vendor": F.when(has("vendor"), vendor_struct(page)),
-    }).withColumn("reviews", F.when(has("review"), review_structs(page)))
+        "product": F.when(holds("product"), product_struct(page)),
+        "vendor": F.when(holds("vendor"), vendor_struct(page)),
+    }).withColumn("reviews", F.when(holds("review"), review_structs(page)))
 
     def checked(entity: str, checks: list[Column]) -> Column:
-        return F.when(has(entity), F.coalesce(*checks)) if checks else F.lit(None).cast("string")
+        return F.when(holds(entity), F.coalesce(*checks)) if checks else F.lit(None).cast("string")
 
-    incomplete = F.when(F.exists("reviews", lambda r: ~r["complete"]), "review is incomplete")
+    incomplete = F.when(incomplete_review(page), "review is incomplete")
     problem = F.coalesce(
         F.col("problem"),
         F.when(~valid_page(site), "page is not valid for extraction"),

@@ -64,6 +64,21 @@ def rest_of(find: Find) -> list[nd.Test]:
     return tests
 
 
+def fields_of(find: Find) -> set[str]:
+    """What the tests of ``rest_of`` look at of a node."""
+    key = key_of(find)
+    if find.like is not None:
+        return {"tag", "string"} if key == TEXT else set()
+    fields = {"tag"} if find.tag is not None and not key.startswith(("tag:", "class:")) else set()
+    if find.cls is not None and not key.startswith("class:"):
+        fields.add("cls")
+    if find.style is not None and not key.startswith("style:") or find.id is not None and not key.startswith("id:"):
+        fields.add("attrs")
+    if find.contains is not None and not key.startswith("contains:"):
+        fields |= {"tag", "string", "only"}
+    return fields
+
+
 class Wanted:
     """Collects the positions of one page at a time for the keys asked for."""
 
@@ -167,16 +182,20 @@ def first_position(find: Find) -> Column:
     return F.get(positions(find), F.lit(0))
 
 
+def lies_in(position: Column, node: Column) -> Column:
+    """Whether a position is one of those inside a node: they follow it directly."""
+    return (position > node["pre"]) & (position <= node["post"] + node["level"])
+
+
 def positions_inside(anchor: Column, find: Find) -> Column:
-    """Matches inside an element (B14): they follow it directly."""
-    return nd.let(node_at(anchor), lambda a: F.filter(
-        positions(find), lambda p: (p > a["pre"]) & (p <= a["pre"] + nd.descendants(a))))
+    """Matches inside an element."""
+    return nd.let(node_at(anchor), lambda a: F.filter(positions(find), lambda p: lies_in(p, a)))
 
 
 def inside(node: Column, find: Find) -> Column:
     """Matches inside a node, as nodes; null without one."""
     return nd.let(node, lambda a: F.when(a.isNotNull(), F.transform(
-        F.filter(positions(find), lambda p: (p > a["pre"]) & (p <= a["pre"] + nd.descendants(a))), node_at)))
+        F.filter(positions(find), lambda p: lies_in(p, a)), node_at)))
 
 
 def first_inside(anchor: Column, find: Find) -> Column:

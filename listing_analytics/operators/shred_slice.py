@@ -8,7 +8,7 @@ of speed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from html import unescape
 
 import numpy as np
@@ -169,9 +169,9 @@ def _by_depth(depth: np.ndarray) -> np.ndarray:
 
 
 def shred_columns(html: pa.StringArray, tags: Tags, raw_ends: dict, raw_odd: dict, hidden_names: frozenset[str],
-                  only_text: bool = False, onward: dict[str, int] | None = None) -> tuple:
+                  only_text: bool = False, onward: dict[str, int] | None = None, fields: Sequence[str] = schemas.NODE.names) -> tuple:
     """(which pages were read, their texts, nodes and index) of a slice; the index is null where none was asked for, the
-    nodes where only texts were. With ``onward`` pages come as :func:`found_nodes` reduces them."""
+    nodes where only texts were. With ``onward`` pages come as :func:`found_nodes` reduces them, nodes with these ``fields``."""
     cut = _Cut(html, tags, raw_ends, raw_odd)
     good = np.flatnonzero(cut.good)
     number = np.cumsum(cut.good) - 1
@@ -232,7 +232,7 @@ def shred_columns(html: pa.StringArray, tags: Tags, raw_ends: dict, raw_odd: dic
     if only_text:
         return good, whole, None, None
     if onward is not None:
-        return good, whole, *_reduced(cut, kind, coded, page, n, words, _whole(texts), tags.wanted, onward)
+        return good, whole, *_reduced(cut, kind, coded, page, n, words, _whole(texts), tags.wanted, onward, fields)
 
     # Nodes, numbered by where they begin and where they end.
     is_start, is_end, is_void, is_words = kind == START, kind == END, kind == VOID, kind == WORDS
@@ -359,27 +359,34 @@ def shred_columns(html: pa.StringArray, tags: Tags, raw_ends: dict, raw_odd: dic
     return good, whole, nodes, _index(keys, found_key, found_at, page, n, lambda which: pre[which])
 
 
-class _Places:
-    """Where some events lie in a slice: they are found by their depth, and those of one depth by their number."""
-
-    def __init__(self, events: np.ndarray, depth: np.ndarray) -> None:
-        self.events = events[_by_depth(depth[events])]
-        self.width = len(depth) + 1
-        self.keys = depth[self.events] * self.width + self.events
-
-    def from_on(self, depth: np.ndarray, event: np.ndarray) -> np.ndarray:
-        """Place of the first of a depth that is not before an event."""
-        return np.searchsorted(self.keys, depth * self.width + event)
+def _family(kind: np.ndarray, depth: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number among the elements of the same parent, next such element (or -1) and end of every element."""
+    tags = np.flatnonzero(kind <= VOID)
+    event = np.repeat(tags, 1 + (kind[tags] == START))
+    opener = np.zeros(len(event), bool)
+    opener[1:] = event[1:] == event[:-1]
+    # Sorted by depth, an element is followed by the elements right inside it and its end.
+    order = _by_depth(depth[event] + opener)[n:]
+    event, opener = event[order], opener[order]
+    closing = kind[event] == END
+    end = np.arange(len(kind))
+    end[event[opener]] = event[closing]
+    child = ~opener & ~closing
+    event, group = event[child], (np.cumsum(opener) - 1)[child]
+    number, following = np.zeros(len(kind), np.int64), np.full(len(kind), -1)
+    same = group[1:] == group[:-1]
+    number[event] = np.arange(len(event)) - np.flatnonzero(np.r_[True, ~same])[np.cumsum(np.r_[0, ~same])] if len(event) else 0
+    following[event[:-1][same]] = event[1:][same]
+    return number, following, end
 
 
 def _reduced(cut: _Cut, kind: np.ndarray, coded: np.ndarray, page: np.ndarray, n: int, words: np.ndarray, texts: pa.StringArray,
-             wanted: Wanted, onward: dict[str, int]) -> tuple[pa.ListArray, pa.MapArray]:
+             wanted: Wanted, onward: dict[str, int], fields: Sequence[str]) -> tuple[pa.ListArray, pa.MapArray]:
     """Nodes and index of pages as :func:`found_nodes` would reduce them; columns are only made of the nodes that stay."""
     is_start, is_end = kind == START, kind == END
     step = is_start.astype(np.int64) - is_end
     depth = np.cumsum(step) - step
-    opened = np.flatnonzero(is_start | (kind == VOID))
-    elements = opened[coded[opened] != -1]
+    elements = np.flatnonzero((is_start & (coded != -1)) | (kind == VOID))
     no_start, no_end = np.flatnonzero(~is_start), np.r_[np.flatnonzero(~is_end), len(kind)]
 
     def holding(inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -431,16 +438,7 @@ def _reduced(cut: _Cut, kind: np.ndarray, coded: np.ndarray, page: np.ndarray, n
     need = np.zeros(len(kind), bool)
     for events in found_at:
         need[events] = True
-    placed = _Places(opened, depth)
-
-    def around(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number among the elements of the same parent, parent and next such element (or -1) of elements."""
-        deep = depth[at]
-        up = lambda events: placed.events[placed.from_on(deep - 1, events) - 1]
-        parent, own = up(at), placed.from_on(deep, at)
-        then = np.r_[placed.events, 0][own + 1]
-        return own - placed.from_on(deep, parent), parent, np.where((then > at) & (depth[then] == deep) & (up(then) == parent), then, -1)
-
+    number, following, end_of = _family(kind, depth, n)
     followed = np.zeros(len(kind), bool)
     reached = np.zeros(0, np.int64)
     follows = FOLLOWING in wanted.all
@@ -452,7 +450,7 @@ def _reduced(cut: _Cut, kind: np.ndarray, coded: np.ndarray, page: np.ndarray, n
             to = np.r_[elements, len(kind)][np.searchsorted(elements, now, "right")]
             to = to[np.r_[page, n][to] == page[now]]
             followed[to] = True
-        sibling = around(now[kind[now] != WORDS])[2]
+        sibling = following[now]
         reached = np.r_[to, sibling[sibling >= 0]]
         need[reached] = True
     if follows:
@@ -463,56 +461,84 @@ def _reduced(cut: _Cut, kind: np.ndarray, coded: np.ndarray, page: np.ndarray, n
     of_page, here = np.bincount(page[kept], minlength=n), np.arange(len(kept))
     place = here - _offsets(of_page)[:-1][page[kept]]
     starts, words_here = is_start[kept], kind[kept] == WORDS
-    ends = kept.copy()
-    closed = _Places(np.flatnonzero(is_end), depth)
-    ends[starts] = closed.events[closed.from_on(depth[kept[starts]] + 1, kept[starts])]
-    level = here - np.searchsorted(np.sort(ends), kept)
-    post = place + np.searchsorted(kept, ends, "right") - here - 1 - level
-    by_level = np.argsort(level, kind="stable")
-    above = np.searchsorted(level[by_level] * (len(kept) + 1) + by_level, (level - 1) * (len(kept) + 1) + here) - 1
-    parent = np.where(level > 0, place[by_level[above]], -1)
-    moved = lambda to: np.where((to >= 0) & need[to], place[np.minimum(np.searchsorted(kept, to), max(len(kept) - 1, 0))], -1) if len(kept) else to
-    sib_ord, next_at, holder = np.zeros(len(kept), np.int64), np.full(len(kept), -1), np.where(words_here, kept, -1)
-    sib_ord[~words_here], _, next_at[~words_here] = around(kept[~words_here])
-    opening = kept[starts]
-    inner = no_start[np.searchsorted(no_start, opening)]
-    alone = no_end[np.searchsorted(no_end, inner, "right")] - inner > inner - opening
-    holder[starts] = np.where(alone & (kind[inner] == WORDS), inner, np.where(alone & (kind[inner] == COMMENT), inner - 1, -1))
-    only, next_at = moved(holder), moved(next_at)
+    ends = end_of[kept]
+    upto = np.cumsum(need)  # nodes that stay up to an event
+    level = here - _offsets(np.bincount(ends, minlength=len(kind)))[kept]
+    moved = lambda to: np.where((to >= 0) & need[to], place[upto[to] - 1], -1) if len(kept) else to
+    word = _offsets(kind == WORDS)  # texts before an event
+    slot = np.where(words_here, len(cut.tags), coded[kept])
 
     # Their columns.
+    made: dict[str, Callable[[], pa.Array]] = {}
+    made["pre"] = lambda: _ints(place)
+    made["post"] = lambda: _ints(place + upto[ends] - here - 1 - level)
+    made["level"] = lambda: _ints(level)
+    made["sib_ord"] = lambda: _ints(number[kept], ~words_here)
+    made["tag"] = lambda: pa.array([*cut.names, "#text"], pa.string()).take(pa.array(np.r_[cut.name_of, len(cut.names)][slot]))
+    made["cls"] = lambda: pa.array([*(t[3] for t in cut.tags), None], pa.string()).take(pa.array(slot))
+
+    def parent() -> pa.Array:
+        by_level = np.argsort(level, kind="stable")
+        above = np.searchsorted(level[by_level] * (len(kept) + 1) + by_level, (level - 1) * (len(kept) + 1) + here) - 1
+        return _ints(np.where(level > 0, place[by_level[above]], -1))
+
+    made["parent"] = parent
+
+    def next_element() -> pa.Array:
+        to = moved(following[kept])
+        return _ints(to, to >= 0)
+
+    made["next"] = next_element
+
+    def holders() -> np.ndarray:
+        """The text that is all a node holds, itself where that is a comment, -1 for others."""
+        holder = np.where(words_here, kept, -1)
+        opening = kept[starts]
+        inner = no_start[np.searchsorted(no_start, opening)]
+        alone = no_end[np.searchsorted(no_end, inner, "right")] - inner > inner - opening
+        holder[starts] = np.where(alone & (kind[inner] == WORDS), inner, np.where(alone & (kind[inner] == COMMENT), inner - 1, -1))
+        return holder
+
+    def only() -> pa.Array:
+        to = moved(holders())
+        return _ints(to, to >= 0)
+
+    made["only"] = only
+
+    def string() -> pa.Array:
+        string_no = np.where(words_here, word[kept], -1)
+        if len(comments):
+            # An element with a comment alone holds it as its string.
+            own = starts & (holders() == kept)
+            string_no[own] = len(words) + np.searchsorted(comments, kept[own])
+        return pa.concat_arrays([texts, said]).take(_ints(string_no, string_no >= 0))
+
+    made["string"] = string
+
+    def attrs() -> pa.Array:
+        pairs = [list(t[2].items()) if t[0] in (START, VOID) else [] for t in cut.tags] + [[]]
+        counts = np.array([len(a) for a in pairs], np.int64)
+        flat = pa.array(_ranges(_offsets(counts)[:-1][slot], counts[slot]))
+        return pa.MapArray.from_arrays(_ints(_offsets(counts[slot])), pa.array([k for a in pairs for k, _ in a], pa.string()).take(flat),
+                                       pa.array([v for a in pairs for _, v in a], pa.string()).take(flat))
+
+    made["attrs"] = attrs
     chars = _offsets(pc.utf8_length(texts).to_numpy())
     first = chars[_offsets(np.bincount(page[words], minlength=n))[:-1]][page[kept]]
-    names = pa.array([*cut.names, "#text"], pa.string())
-    slot = np.where(words_here, len(cut.tags), coded[kept])
-    classes = pa.array([*(t[3] for t in cut.tags), None], pa.string())
-    string_no = np.where(words_here, np.searchsorted(words, kept), -1)
-    if len(comments):
-        # An element with a comment alone holds it as its string.
-        own = starts & (holder == kept)
-        string_no[own] = len(words) + np.searchsorted(comments, kept[own])
-    attrs = [list(t[2].items()) if t[0] in (START, VOID) else [] for t in cut.tags] + [[]]
-    counts = np.array([len(a) for a in attrs], np.int64)
-    flat = pa.array(_ranges(_offsets(counts)[:-1][slot], counts[slot]))
-    fields = {
-        "pre": _ints(place), "post": _ints(post), "parent": _ints(parent), "level": _ints(level), "sib_ord": _ints(sib_ord, ~words_here),
-        "tag": names.take(pa.array(np.r_[cut.name_of, len(cut.names)][slot])), "cls": classes.take(pa.array(slot)),
-        "string": pa.concat_arrays([texts, said]).take(_ints(string_no, string_no >= 0)),
-        "start": _ints(chars[np.searchsorted(words, kept)] - first), "end": _ints(chars[np.searchsorted(words, ends, "right")] - first),
-        "only": _ints(only, only >= 0), "next": _ints(next_at, next_at >= 0),
-        "attrs": pa.MapArray.from_arrays(_ints(_offsets(counts[slot])), pa.array([k for a in attrs for k, _ in a], pa.string()).take(flat),
-                                         pa.array([v for a in attrs for _, v in a], pa.string()).take(flat))}
-    nodes = _list(of_page, pa.StructArray.from_arrays([fields[f.name] for f in schemas.NODE.fields], schemas.NODE.fieldNames()))
-    return nodes, _index(keys, found_key, found_at, page, n, lambda which: place[np.searchsorted(kept, which)])
+    made["start"] = lambda: _ints(chars[word[kept]] - first)
+    made["end"] = lambda: _ints(chars[word[ends + 1]] - first)
+    nodes = _list(of_page, pa.StructArray.from_arrays([made[name]() for name in fields], list(fields)))
+    return nodes, _index(keys, found_key, found_at, page, n, lambda which: place[upto[which] - 1])
 
 
 def _index(keys: dict[str, int], found_key: list, found_at: list, page: np.ndarray, n: int, position: Callable) -> pa.MapArray:
     """The positions of events by page and key."""
     which = np.concatenate(found_at) if found_at else np.zeros(0, np.int64)
     key = np.concatenate(found_key).astype(np.int64) if found_key else which
-    order = np.lexsort((which, key, page[which]))
-    which, key = which[order], key[order]
-    entry = page[which] * max(len(keys), 1) + key
+    many, width = max(len(keys), 1), len(page)
+    sorted_by = np.sort((page[which] * many + key) * width + which)
+    entry, which = sorted_by // max(width, 1), sorted_by % max(width, 1)
+    key = entry % many
     new = np.r_[True, entry[1:] != entry[:-1]] if len(entry) else np.zeros(0, bool)
     first = np.flatnonzero(new)
     lists = _list(np.diff(np.r_[first, len(entry)]), _ints(position(which)))
@@ -520,7 +546,8 @@ def _index(keys: dict[str, int], found_key: list, found_at: list, page: np.ndarr
         _ints(_offsets(np.bincount(page[which[first]], minlength=n))), pa.array(list(keys), pa.string()).take(pa.array(key[first])), lists)
 
 
-def found_nodes(nodes: pa.ListArray, index: pa.MapArray, onward: dict[str, int]) -> tuple[pa.ListArray, pa.MapArray]:
+def found_nodes(nodes: pa.ListArray, index: pa.MapArray, onward: dict[str, int],
+                fields: Sequence[str] = schemas.NODE.names) -> tuple[pa.ListArray, pa.MapArray]:
     """Pages reduced to the nodes that the index names.
 
     They are numbered, and lie inside each other, as if the other elements were not there; the index names their new
@@ -579,12 +606,11 @@ def found_nodes(nodes: pa.ListArray, index: pa.MapArray, onward: dict[str, int])
     new = {"pre": place[kept], "post": place[kept] + rank[last[kept]] - rank[kept] - level[kept], "level": level[kept],
            "parent": moved(parent)}
     rows = values.take(pa.array(kept))
-    fields = {name: _ints(to) for name, to in new.items()}
+    made = {name: _ints(to) for name, to in new.items()}
     holder = holder[kept]
     for name, to in (("next", next_at), ("only", np.where((holder >= 0) & need[holder], holder, -1))):
-        fields[name] = _ints(moved(to), to >= 0)
-    reduced = pa.StructArray.from_arrays(
-        [fields.get(f.name, rows.field(f.name)) for f in schemas.NODE.fields], schemas.NODE.fieldNames())
+        made[name] = _ints(moved(to), to >= 0)
+    reduced = pa.StructArray.from_arrays([made.get(name, rows.field(name)) for name in fields], list(fields))
 
     stays = ~following | followed[named]
     entry = np.repeat(np.arange(len(lists)), per_entry)[stays]

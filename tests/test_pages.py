@@ -405,3 +405,26 @@ def test_pages_read_together_make_only_nodes_that_stay(monkeypatch):
     usual = pa.array([W_PRODUCT, N_PRODUCT, N_VENDOR] * 5)
     readable = usual.take(pa.array(sl.shred_columns(usual, sl.Tags(sh._parse_tag, None), sh._RAW_END, sh._RAW_ODD, sh.HIDDEN)[0]))
     assert len(sh._shred_pages(readable, sl.Tags(sh._parse_tag, Wanted(["tag:p"])), False, {})[1]) >= 10
+
+
+def test_records_need_no_reviews_to_be_worked_out(spark):
+    """Whether reviews are whole is seen from their nodes: tables of other records hold no part of a review."""
+    bare = N_VENDOR.replace("<span>June</span>", "")
+    none = N_VENDOR.replace('<div class="p-4 flex flex-col h-full"><span>June</span><p>1 star</p></div>', "")
+    out = ex.extract_all(table(spark, [N_VENDOR, bare, none, N_VENDOR.replace("p-4", "p-5")]), site_n())
+    assert "price_paid" not in out["vendor"]._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.page_id for r in out["vendor"].select("page_id").collect()) == [0, 2, 3]
+    assert [tuple(r) for r in out["rejects"].collect()] == [(1, "review is incomplete")]
+    assert sorted(r.page_id for r in out["review"].collect()) == [0, 0, 2]
+
+
+def test_found_nodes_with_the_members_that_rules_read(spark):
+    """Pages of both ways of reading give nodes with the members asked for alone, otherwise as those with all."""
+    pages = [N_VENDOR, N_PRODUCT, W_PRODUCT, "<p>x", None, '<div id="about-data"><p>a<p>b</div></i>']
+    keys, names = ex.site_keys(site_n()), ex.site_fields(site_n())
+    rows = lambda *more: sorted(map(tuple, shred(table(spark, pages), index=keys, nodes="found", **dict(more)).select(
+        "page_id", "text", "index", F.to_json(F.transform("nodes", lambda n: F.struct(*[n[f] for f in names])))).collect()))
+    assert {"parent", "sib_ord", "cls", "string", "only"}.isdisjoint(names)
+    assert rows(("fields", names)) == rows()
+    with pytest.raises(ValueError):
+        shred(table(spark, pages), fields=["pre"])
