@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from listing_analytics.operators import challenge, classify, term_scores
-from listing_analytics.operators.regression import chances, fit_by_rows
+from listing_analytics.operators.regression import chances, fit_by_rows, fit_by_terms, idf_of
 
 CORPUS = [("solve the captcha image now", "captcha"), ("captcha code wrong try again", "captcha"), ("enter code captcha", "captcha"),
           ("welcome to the market rules", "non-captcha"), ("vendor rules and market info pages", "non-captcha"),
@@ -228,3 +228,81 @@ def test_pairs_are_moved_without_names(spark, monkeypatch):
     scored = term_scores.score_texts(texts, weights, {"s": F.sum(F.col("tf") * F.col("w"))})
     assert sorted((r.id, r.s) for r in scored.collect()) == [(1, 12.0), (1, 12.0), (2, None), (3, None)]
     assert moved == [["row", "term", "tf"]]
+
+
+def test_every_labelled_row_is_fitted(spark):
+    """More rows than any bound that a fit once had (200,000): all weigh in the frequencies of the terms and in the optimum."""
+    n = 200_300
+    rows = spark.range(n).select(
+        F.concat(F.lit("thing w"), F.col("id") % 50, F.when(F.col("id") == 7, " rare").otherwise("")).alias("text"),
+        F.when(F.col("id") % 50 < 20 + F.col("id") % 3 * 8, "no").otherwise("yes").alias("broad_category"))
+    model = classify.fit_category_model(rows, [], tol=1e-9)
+    found = {r.term: r.idf for r in model.terms.collect()}
+    assert len(found) == 52 and np.isclose(found["thing"], 1.0)
+    assert np.isclose(found["w3"], idf_of(np.array([n // 50]), n)[0]) and np.isclose(found["rare"], idf_of(np.array([1]), n)[0])
+    score = classify.category_scores(rows, model).select((1 / (1 + F.exp(-F.col("scores")[1]))).alias("p"))
+    assert np.isclose(score.agg(F.sum("p")).first()[0], rows.filter("broad_category = 'yes'").count(), atol=0.01)
+
+
+@pytest.mark.parametrize("labels", [2, 3])
+def test_both_spaces_give_one_model(spark, monkeypatch, labels):
+    """Fewer terms than rows or not; texts without terms, null texts, null labels and copies; blocks of any size."""
+    from listing_analytics.operators import regression
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 25, rng.integers(0, 7))) for _ in range(120)]
+    rows = [(t, f"c{rng.integers(0, labels)}") for t in texts] + [(None, "c0"), ("w1 w1 w2", None), *[("w3 " * 300, "c1")] * 3]
+    df = spark.createDataFrame(rows, "text string, broad_category string").repartition(3).withColumn("n", F.lit(1))
+    rows = classify.term_lists(df.filter("broad_category is not null").withColumn(
+        "row_id", F.monotonically_increasing_id()).withColumn("label", F.substring("broad_category", 2, 1).cast("int")), ["row_id", "label"], "text")
+    rows = classify.store(rows, "test-rows")
+    counts = rows.groupBy("label", F.shiftright("row_id", 33).alias("part")).count().withColumnRenamed("count", "n").collect()
+    scores = labels if labels > 2 else 1
+    by_rows, free = classify._fit_by_rows(rows, counts, scores, 1e-8, 1000)
+    expected = {r.term: (r.idf, *r.coefficients) for r in by_rows.collect()}
+    for block in (1 << 18, 1):
+        monkeypatch.setattr(regression, "_BLOCK", block)
+        found, intercepts = classify._fit_by_terms(rows, 124, scores, 1e-8, 1000)
+        found = {r.term: (r.idf, *r.coefficients) for r in found.collect()}
+        assert sorted(found) == sorted(expected) and np.allclose([found[t] for t in expected], [*expected.values()], atol=1e-5)
+        assert np.allclose(intercepts, free, atol=1e-5)
+
+
+def test_search_by_terms_ends_in_few_passes():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 40)) * (rng.random((400, 40)) < 0.2)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    for y in ((rng.random((400, 1)) < 0.2).astype(float), np.eye(4)[rng.integers(0, 4, 400)]):
+        passes = []
+
+        def slopes(w, b):
+            passes.append(1)
+            error = chances(x @ w + b) - y
+            return x.T @ error, error.sum(axis=0)
+
+        w, b = fit_by_terms(slopes, 40, y.shape[1], 400, 1e-10, 1000)
+        error = chances(x @ w + b) - y
+        assert len(passes) < 80
+        assert np.abs(x.T @ error + w).max() < 1e-6 and np.abs(error.sum(0)).max() < 1e-6
+
+
+def test_a_pass_has_no_more_tasks_than_run_at_once(spark):
+    """Each task hands on a number per row, however many partitions a shuffle has."""
+    from listing_analytics.operators import regression
+    rows = spark.createDataFrame([(0, "red"), (1, "blue chair")], "row int, text string")
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        with regression.TermMatrix(term_scores.term_lists(rows, ["row"], "text").select("row", F.inline("terms")), 2) as matrix:
+            assert matrix.blocks.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
+def test_fewer_terms_than_rows_without_a_score_or_a_term(spark):
+    one = spark.createDataFrame([("word", "only")] * 5, "text string, broad_category string")
+    model = classify.fit_category_model(one, [])
+    assert (model.labels, model.intercepts, model.terms.count()) == (["only"], [], 1)
+    assert {r.predicted_broad_category for r in classify.predict_category(one, model).collect()} == {"only"}
+    bare = spark.createDataFrame([(None, "a"), ("", "b"), ("", "b"), ("x", "b")], "text string, broad_category string")
+    model = classify.fit_category_model(bare, [])
+    assert model.terms.count() == 0 and np.isclose(model.intercepts[0], np.log(3), atol=1e-5)
