@@ -133,7 +133,7 @@ def _arrivals(rows: DataFrame, path: str) -> str:
     """Three overlapping deliveries of pages: by protocol, then all again."""
     secure = F.col("url").startswith("https")
     for name, part in (("1", rows.filter(secure)), ("2", rows.filter(~secure)), ("3", rows)):
-        part.write.parquet(os.path.join(path, f"delivery-{name}"))
+        part.write.option("compression", "zstd").parquet(os.path.join(path, f"delivery-{name}"))
     return path
 
 
@@ -155,11 +155,18 @@ def i1(spark, sf):
   {output_rows_sql('p')}""")
 def i2(spark, sf):
     base = scratch_path(spark, "ingest")
-    shown = [F.when(F.col("main_business") != "Other", F.col("name")).alias("name"), "vendor", "html"]  # what a page shows
-    made = store(rendered.pages_of(spark, sf, rendered.mixed_n()).select(*shown).distinct().withColumn(
-        "page_id", F.xxhash64("html")), "pages")
-    delivered = made.select("page_id", F.concat(F.when(F.col("page_id") > 0, "https").otherwise("http"), F.lit("://h.test/"), F.md5("html"))
-                            .alias("url"), "html")
+    # Equal pages are found by the few columns that they show, and pages are only written where they are delivered: no page is
+    # moved or stored for that. A page without all that it shows is null.
+    rows, html, c = roles.listing(spark, sf), rendered.mixed_n(), F.col
+    whole, found = html.isNotNull(), c("main_business") != "Other"
+    shown = [F.when(found, c("name")).alias("name"), "vendor", F.when(whole, c("main_business")).alias("main_business"),
+             F.when(whole & found, c("category")).alias("category"), F.when(whole & found, F.floor("price_usd")).alias("price_usd"),
+             F.when(whole & (c("main_business") == "Physical"), c("marketplace")).alias("marketplace")]
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    html = F.when(c("main_business").isNotNull(), html)
+    made = store(rows.select(*shown).repartition(slots, "vendor", "name", "price_usd").distinct().withColumn("page_id", F.xxhash64(html)), "pages")
+    delivered = made.withColumn("html", html).select(
+        "page_id", F.concat(F.when(c("page_id") > 0, "https").otherwise("http"), F.lit("://h.test/"), F.md5("html")).alias("url"), "html")
     source = _arrivals(delivered, os.path.join(base, "in"))
     out = os.path.join(base, "out")
     ingest.ingest_records(spark, source, site_n(), out, os.path.join(base, "state"), files_per_batch=8).awaitTermination()

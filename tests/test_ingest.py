@@ -59,3 +59,22 @@ def test_replay_after_a_failure_before_the_commit(spark, tmp_path, monkeypatch):
     run(start())
     n = {t: ingest.read_ingested(spark, out, t).count() for t in ("product", "vendor", "review", "processed", "rejects")}
     assert n == {"product": 1, "vendor": 1, "review": 2, "processed": 3, "rejects": 0}
+
+
+def test_pages_are_stored_only_where_they_are_delivered(spark, sf_dir, monkeypatch):
+    """I2 neither moves nor stores whole pages to find equal ones; pages that lack something that they show are one null page."""
+    from listing_analytics.plans import roles, source_queries
+    kept, store, delivered = [], source_queries.store, source_queries._arrivals
+    monkeypatch.setattr(source_queries, "store", lambda df, name: kept.append(df) or store(df, name))
+    monkeypatch.setattr(source_queries, "_arrivals", lambda rows, path: kept.append(delivered(rows, path)) or kept[-1])
+    columns = "name string, category string, price_usd double, vendor string, marketplace string, main_business string"
+    rows = [("ring", "PROMO", 5.2, "ann", "ASIA", "Digital"), ("ring", "PROMO", 5.7, "ann", "EUROPE", "Digital"),  # show the same
+            ("ring", "SMALL", 5.2, "ann", "ASIA", "Physical"), ("ring", "SMALL", 5.2, "ann", "EUROPE", "Physical"),
+            ("ring", "ECONOMY", 5.2, "bob", "ASIA", "Other"), ("bolt", None, None, "bob", None, "Other"),  # show the same
+            ("bolt", None, 5.2, "ann", "ASIA", "Digital"), ("bolt", "SMALL", None, "ann", "ASIA", "Physical")]  # null pages
+    monkeypatch.setattr(roles, "listing", lambda spark, sf: spark.createDataFrame(rows, columns))
+    found = source_queries.i2(spark, sf_dir).collect()
+    made, path = kept
+    assert "html" not in made.columns and made.count() == 5
+    assert all(name.endswith(".zstd.parquet") for name in os.listdir(os.path.join(path, "delivery-3")) if name.startswith("part-"))
+    assert sorted(r.output for r in found) == ["processed"] * 3 + ["product"] + ["rejects"] * 2 + ["review"] * 4 + ["vendor"] * 2
